@@ -10,6 +10,9 @@ NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType
 DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 FLOAT_TYPES = (T.FloatType, T.DoubleType)
 
+# What reads as a number; anything else in a numeric column is missing.
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
 # Strings longer than this are compared by a 256-bit digest, so that shuffles carry 32 bytes and
 # not whole texts.
 MAX_PLAIN_KEY_CHARS = 32
@@ -38,13 +41,17 @@ def as_double(name: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, FLOAT_TYPES):
         return F.nanvl(q(name).cast("double"), F.lit(None).cast("double"))
     if isinstance(dtype, T.StringType):
-        number = q(name).try_cast("double")
-        return F.when(~F.isnan(number), number)
+        return number_of(q(name))
     if is_numeric(dtype):
         return q(name).cast("double")
     return F.lit(None).cast("double")
 
 
+def number_of(text: Column) -> Column:
+    """The text as a double, NULL if it is not a plain number."""
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+
+
 def distinct_key(name: str, dtype: T.DataType) -> Column:
     """Small value that is equal exactly where the column is equal."""
     col = present(name, dtype)

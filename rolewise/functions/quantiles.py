@@ -22,6 +22,7 @@ GRID = 250                 # cells of the approximate grid in one pass
 ACCURACY = 10 * GRID        # sketch error well below one grid cell
 FINAL_VALUES = 4_096       # distinct values per bracket that are counted exactly
 MAX_PASSES = 12
+MANY_PROBS = 8             # more quantiles than this are read off one exact ranking instead
 
 
 @dataclass
@@ -50,7 +51,34 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
         row = df.agg(*[F.percentile(e, spec).alias(f"q{i}")
                        for i, e in enumerate(columns.values())]).first()
         return {n: list(row[f"q{i}"] or [None] * len(probs)) for i, n in enumerate(columns)}
-    return _by_narrowing(df, columns, probs)
+    return (_by_narrowing if len(probs) <= MANY_PROBS else _by_rank)(df, columns, probs)
+
+
+def _by_rank(df, columns, probs):
+    """All quantiles of a column from the exact running count over its distinct values."""
+    from .ranks import running_counts
+
+    counts = (to_long(df, columns).filter("value is not null").groupBy("name", "value")
+              .agg(F.count("*").alias("n")))
+    sizes = {r["name"]: r["n"] for r in counts.groupBy("name").agg(F.sum("n").alias("n")).collect()}
+    targets = {n: sorted({k for p in probs for k in (math.floor(p * (size - 1)), math.ceil(p * (size - 1)))})
+               for n, size in sizes.items()}
+    if not targets:
+        return {n: [None] * len(probs) for n in columns}
+    table = df.sparkSession.createDataFrame(list(targets.items()), "name string, ranks array<long>")
+    hits = (running_counts(counts, ["name"], "value", {"n": "before"}).join(F.broadcast(table), "name")
+            .select("name", "value", F.explode(F.filter(
+                "ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))).alias("rank")))
+    at = {(r["name"], r["rank"]): r["value"] for r in hits.collect()}      # two values per quantile
+    out = {}
+    for name in columns:
+        found = []
+        for p in probs if name in sizes else []:
+            rank = p * (sizes[name] - 1)
+            lo, hi = at[name, math.floor(rank)], at[name, math.ceil(rank)]
+            found.append(lo + (hi - lo) * (rank - math.floor(rank)))
+        out[name] = found or [None] * len(probs)
+    return out
 
 
 def _grid_of(col: Column) -> Column:
