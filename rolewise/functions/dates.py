@@ -18,6 +18,7 @@ _LAYOUTS = [
     (r"^[A-Za-z]{3} \d{1,2}, \d{4}$", "MMM d, y"),
     (r"^(19|20)\d{6}$", "yyyyMMdd"),
 ]
+MAX_LENGTH = 40            # no accepted layout is longer, so longer texts are not looked at
 NAME_HINT = r"(?i)(date|time|_at$|_dt$|year|month|day)"
 
 
@@ -30,4 +31,4 @@ def parse_timestamp(col: Column, dtype: T.DataType) -> Column:
     for pattern, layout in _LAYOUTS:
         options.append(F.when(text.rlike(pattern),
                               F.try_to_timestamp(text, F.lit(layout)).cast("timestamp_ntz")))
-    return F.coalesce(*options)
+    return F.when(F.length(text) <= MAX_LENGTH, F.coalesce(*options))

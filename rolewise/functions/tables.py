@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .columns import q, row_hash, unit_interval
 
+T = TypeVar("T")
+
+SMALL_ROWS = 2_000_000         # tables up to this many rows may be dealt over the cores again
+MIN_PIECE_ROWS = 1_000
 BROADCAST_ROWS = 200_000       # lookup tables up to this many rows are broadcast
 HOT_SHARE = 1_000              # a key is hot when it holds more than 1/HOT_SHARE of the rows
 
@@ -39,13 +46,23 @@ def staged(df: DataFrame) -> DataFrame:
     return df.persist()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a table that comes in fewer pieces than there are cores over all cores.
+def spread(df: DataFrame, n_rows: int) -> DataFrame:
+    """Deal a small table over the cores, because it may come in one piece.
 
-    A large table has many more pieces than cores and is left as it is.
+    A large table comes in many pieces already and is left as it is, so nothing large is shuffled.
     """
+    if n_rows > SMALL_ROWS:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(max(1, min(cores, n_rows // MIN_PIECE_ROWS)))
+
+
+def in_parallel(jobs: list[Callable[[], T]], at_once: int = 4) -> list[T]:
+    """Run independent Spark jobs side by side; results in the order of the jobs."""
+    if len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda job: job(), jobs))
 
 
 def hash_sample(df: DataFrame, n: int, keys: list[str] | None = None, seed: int = 42,

@@ -12,7 +12,7 @@ from ..functions.columns import (as_double, field_types, present, q, row_hash, s
                                  unique_name)
 from ..functions.dates import parse_timestamp
 from ..functions.quantiles import exact_quantiles
-from ..functions.tables import lookup
+from ..functions.tables import lookup, spread
 from ..functions.words import STOP_WORDS, tokens
 from .kmeans import assign, distance, fit_best
 from .roles import Roles
@@ -160,7 +160,7 @@ def add_geo(df: DataFrame, lat: str, lon: str, n_rows: int, centres: list[list[f
         n = complete.count()
         if n < GEO_CLUSTERS:
             return df, None
-        centres = fit_best(complete, ["_lat", "_lon"], GEO_CLUSTERS, restarts=restarts).centres
+        centres = fit_best(complete, ["_lat", "_lon"], GEO_CLUSTERS, restarts, n_rows=n).centres
     out = base.withColumns({
         "geo_cluster": F.coalesce(assign(["_lat", "_lon"], centres), F.lit(-1)),
         "geo_dist_to_centroid": distance(["_lat", "_lon"], centres)})
@@ -181,7 +181,8 @@ def term_table(df: DataFrame, name: str, n_terms: int = TEXT_TERMS, min_docs: in
     count, so the only shuffle is of per-task counts by term and no text is moved.
     """
     n = df.count() if n_rows is None else n_rows
-    words = df.select(tokens(F.coalesce(q(name).cast("string"), F.lit(""))).alias("words"))
+    text = spread(df.select(F.coalesce(q(name).cast("string"), F.lit("")).alias("text")), n)
+    words = text.select(tokens(F.col("text")).alias("words"))
     marked = F.concat(
         F.transform("words", lambda w: F.struct(w.alias("term"), F.lit(0).alias("doc"))),
         F.transform(F.array_distinct("words"), lambda w: F.struct(w.alias("term"), F.lit(1).alias("doc"))))

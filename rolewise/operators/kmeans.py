@@ -105,11 +105,11 @@ def _one_pass(df: DataFrame, columns: list[str], runs: list[np.ndarray]) -> dict
 
 
 def fit_sweep(df: DataFrame, columns: list[str], ks: list[int], restarts: int = 10, seed: int = 42,
-              max_iterations: int = MAX_ITERATIONS) -> dict[int, KMeansFit]:
+              n_rows: int | None = None, max_iterations: int = MAX_ITERATIONS) -> dict[int, KMeansFit]:
     """Best fit per k by within-cluster sum of squares; `df` must hold no NULLs in `columns`."""
-    table = spread(df.select(*columns)).persist()
+    n = df.count() if n_rows is None else n_rows
+    table = spread(df.select(*columns), n).persist()
     try:
-        n = table.count()
         ks = [k for k in ks if k < n]
         if not ks:
             return {}
@@ -141,8 +141,9 @@ def fit_sweep(df: DataFrame, columns: list[str], ks: list[int], restarts: int =
     return best
 
 
-def fit_best(df: DataFrame, columns: list[str], k: int, restarts: int = 10, seed: int = 42) -> KMeansFit:
-    return fit_sweep(df, columns, [k], restarts, seed)[k]
+def fit_best(df: DataFrame, columns: list[str], k: int, restarts: int = 10, seed: int = 42,
+             n_rows: int | None = None) -> KMeansFit:
+    return fit_sweep(df, columns, [k], restarts, seed, n_rows)[k]
 
 
 def _distance_terms(columns: list[str], centres: list[list[float]]) -> list[Column]:

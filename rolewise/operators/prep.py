@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import as_double, field_types, q, row_hash, unit_interval
-from ..functions.tables import staged
+from ..functions.tables import spread, staged
 from .association import anova_statistics
 from .features import target_encode
 from .profile import IMBALANCE_MIN
@@ -161,11 +161,12 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
     """Split, encode, coerce and select; the result is staged because every model reads it."""
     base = df.withColumn("row_key", row_hash(df, keys, seed))
     labels: list[str] = []
-    min_class = 0
+    min_class, n_rows = 0, None
     if task == "classification":
         coded = label_codes(base, target)
         rows = coded.orderBy("code").collect()
         labels, min_class = [r["label"] for r in rows], min((r["n"] for r in rows), default=0)
+        n_rows = sum(r["n"] for r in rows)
         base = (base.withColumn("_label", q(target).cast("string"))
                 .join(F.broadcast(coded.select(F.col("label").alias("_label"),
                                                F.col("code").cast("double").alias("y"))), "_label"))
@@ -192,14 +193,14 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
     types = field_types(base)
     flat = base.select("row_key", "is_train", "fold", "y", *[
         F.coalesce(as_double(n, types[n]), F.lit(0.0)).alias(f"x{i}") for i, n in enumerate(features)])
-    flat = staged(flat)
+    flat = staged(spread(flat, base.count() if n_rows is None else n_rows))
     sizes = flat.agg(F.count(F.when(F.col("is_train"), 1)).alias("a"), F.count(F.lit(1)).alias("n")).first()
     train = flat.filter("is_train")
     names = dict(zip([f"x{i}" for i in range(len(features))], features))
     kept, dropped, unselected = list(names), [], []
     if feature_selection:
-        spread = variances(train, kept)
-        dropped = [c for c in kept if spread[c] <= MIN_VARIANCE]
+        variance = variances(train, kept)
+        dropped = [c for c in kept if variance[c] <= MIN_VARIANCE]
         kept = [c for c in kept if c not in dropped]
         if len(kept) > max_features:
             if task == "classification":

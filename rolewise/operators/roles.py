@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.columns import (DATETIME_TYPES, as_double, distinct_key, field_types, is_numeric,
                                  present, q)
 from ..functions.dates import NAME_HINT, parse_timestamp
+from ..functions.tables import in_parallel
 
 # Fixed thresholds and name patterns of the role rules.
 LOW_CARDINALITY_MAX = 20
@@ -117,9 +119,10 @@ def _supported(dtype: T.DataType) -> bool:
 def column_stats(df: DataFrame, distinct: str = "exact") -> dict[str, ColumnStats]:
     """Missing and distinct counts, mean length, date, latitude and longitude shares per column.
 
-    One job holds all plain aggregates.  Exact distinct counts are a second job, because they
-    expand the rows once per column.  ``distinct="triage"`` estimates them and counts exactly only
-    columns whose estimate could change a role.
+    One job holds all plain aggregates.  Exact distinct counts are one job per column, a few at a
+    time: each reads its own column only, while counting all in one job would repeat every row once
+    per column.  ``distinct="triage"`` estimates them and counts exactly only columns whose estimate
+    could change a role.
     """
     if distinct not in ("exact", "triage"):
         raise ValueError("distinct must be 'exact' or 'triage'")
@@ -145,15 +148,19 @@ def column_stats(df: DataFrame, distinct: str = "exact") -> dict[str, ColumnStat
     exact = [m for m in names if _supported(types[m])
              and (distinct == "exact" or _near_threshold(counted[m], n))]
     if exact:
-        found = df.agg(*[F.count_distinct(distinct_key(m, types[m])).alias(f"u{i}")
-                         for i, m in enumerate(exact)]).first()
-        counted.update({m: found[i] for i, m in enumerate(exact)})
+        counted.update(zip(exact, in_parallel([partial(_distinct_count, df, m, types[m]) for m in exact])))
     return {name: ColumnStats(name, types[name], n, n - row[f"c{i}"], counted.get(name, 0),
                               row.get(f"l{i}"), row.get(f"d{i}"), row.get(f"y{i}") or 0.0,
                               row.get(f"x{i}") or 0.0)
             for i, name in enumerate(names)}
 
 
+def _distinct_count(df: DataFrame, name: str, dtype: T.DataType) -> int:
+    """Exact: values are folded per task, the distinct ones shuffled, and only counted then."""
+    keys = df.select(distinct_key(name, dtype).alias("k"))
+    return keys.filter("k is not null").distinct().count()
+
+
 def stats_frame(spark: SparkSession, stats: dict[str, ColumnStats]) -> DataFrame:
     return spark.createDataFrame(
         [(s.name, s.dtype.simpleString(), s.n_rows, s.n_missing, s.pct_missing, s.n_unique)

@@ -128,7 +128,7 @@ def find_segments(df: DataFrame, names: list[str], keys: list[str] | None = None
     with_key = df.withColumn("row_key", row_hash(df, keys or None, seed))
     scaled = standardise(with_key, moments, [*keys, "row_key"], "z_")
     z = [f"z_{c}" for c in columns]
-    fits = fit_sweep(scaled, z, list(ks), restarts, seed)
+    fits = fit_sweep(scaled, z, list(ks), restarts, seed, n)
     labelled = scaled.select("*", *[assign(z, f.centres).alias(f"k{k}") for k, f in fits.items()])
     scores = silhouette_scores(labelled, z, [f"k{k}" for k in fits], min(SCORE_ROWS, n - 1),
                                ["row_key"], n)
