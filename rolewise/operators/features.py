@@ -93,16 +93,16 @@ def target_encode(df: DataFrame, names: list[str], target: str, fold: Column | N
                           "_y": q(target).cast("double")})
     base = out.filter("_train").agg(F.avg("_y").alias("m"), F.count(F.lit(1)).alias("n")).first()
     for n in names:
-        parts = (out.filter("_train").filter(q(n).isNotNull()).groupBy(q(n).alias(n), "_fold")
-                 .agg(F.sum("_y").alias("s"), F.count("_y").alias("c")))
-        stats = parts.groupBy(n).agg(
-            F.sum("s").alias("_s"), F.sum("c").alias("_c"),
-            F.map_from_entries(F.collect_list(F.struct("_fold", F.struct("s", "c")))).alias("_own"))
-        size = parts.agg(F.count_distinct(n)).first()[0]
+        parts = (out.filter("_train").filter(q(n).isNotNull()).groupBy(q(n).alias(n), F.col("_fold"))
+                 .agg(F.sum("_y").alias("_fs"), F.count("_y").alias("_fc")))
+        stats = parts.groupBy(q(n).alias(n)).agg(
+            F.sum("_fs").alias("_s"), F.sum("_fc").alias("_c"),
+            F.map_from_entries(F.collect_list(F.struct("_fold", F.struct("_fs", "_fc")))).alias("_own"))
+        size = stats.count()
         out = lookup(out, stats.withColumn("_n", F.col("_c")), [n], "_n", size, base["n"])
         own = F.try_element_at(F.col("_own"), F.col("_fold"))
-        seen = F.when(F.col("_train"), F.col("_c") - F.coalesce(own["c"], F.lit(0))).otherwise(F.col("_c"))
-        total = F.when(F.col("_train"), F.col("_s") - F.coalesce(own["s"], F.lit(0.0))).otherwise(F.col("_s"))
+        seen = F.when(F.col("_train"), F.col("_c") - F.coalesce(own["_fc"], F.lit(0))).otherwise(F.col("_c"))
+        total = F.when(F.col("_train"), F.col("_s") - F.coalesce(own["_fs"], F.lit(0.0))).otherwise(F.col("_s"))
         mean = F.when(seen > 0, total / seen)
         out = out.withColumn(n, F.coalesce(mean, F.lit(base["m"]))).drop("_s", "_c", "_own")
     return out.drop("_train", "_fold", "_y")

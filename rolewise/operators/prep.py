@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import as_double, field_types, q, row_hash, unit_interval
 from ..functions.tables import spread, staged
 from .association import anova_statistics
-from .features import target_encode
+from .features import frequency_encode, target_encode
 from .profile import IMBALANCE_MIN
 
 TEST_SHARE = 0.2
@@ -77,8 +77,8 @@ def train_test_split(df: DataFrame, test_share: float = TEST_SHARE, seed: int =
 
 def stratified_split(df: DataFrame, target: str, test_share: float = TEST_SHARE, seed: int = SEED,
                      keys: list[str] | None = None, unit: Column | None = None,
-                     tie: Column | None = None) -> DataFrame:
-    """Adds `is_train` with the share kept in every class that has at least two rows.
+                     tie: Column | None = None, flag: str = "is_train") -> DataFrame:
+    """Adds the training flag with the share kept in every class that has at least two rows.
 
     In a large class a hash threshold is within a few percent of the share.  A small class is
     ranked exactly, so it always has rows on both sides; only small classes are gathered.
@@ -89,17 +89,17 @@ def stratified_split(df: DataFrame, target: str, test_share: float = TEST_SHARE,
     small = counts.filter(F.col("_n") <= EXACT_CLASS_ROWS).limit(MAX_CLASSES).collect()
     base = df.withColumns({"_unit": unit, "_tie": tie})
     if not small:
-        return (base.withColumn("is_train", split_flag(base, F.col("_unit"), test_share))
+        return (base.withColumn(flag, split_flag(base, F.col("_unit"), test_share))
                 .drop("_unit", "_tie"))
     values = [r["_label"] for r in small if r["_label"] is not None]
     is_small = F.coalesce(q(target).isin(values), F.lit(False))
     large = (base.filter(~is_small)
-             .withColumn("is_train", split_flag(base, F.col("_unit"), test_share)))
+             .withColumn(flag, split_flag(base, F.col("_unit"), test_share)))
     by_class = Window.partitionBy(q(target))
     place = F.row_number().over(by_class.orderBy("_unit", "_tie"))
     size = F.count(F.lit(1)).over(by_class)
     n_test = F.when(size >= 2, F.greatest(F.lit(1), F.least(size - 1, F.round(size * F.lit(test_share)))))
-    ranked = base.filter(is_small).withColumn("is_train", place > F.coalesce(n_test, F.lit(0)))
+    ranked = base.filter(is_small).withColumn(flag, place > F.coalesce(n_test, F.lit(0)))
     return large.unionByName(ranked).drop("_unit", "_tie")
 
 
@@ -159,7 +159,7 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
             handle_imbalance: bool = True, feature_selection: bool = True,
             encode: list[str] = (), max_features: int = MAX_FEATURES, folds: int = FOLDS) -> ModelFrame:
     """Split, encode, coerce and select; the result is staged because every model reads it."""
-    base = df.withColumn("row_key", row_hash(df, keys, seed))
+    base = df.withColumn("_row_key", row_hash(df, keys, seed))
     labels: list[str] = []
     min_class, n_rows = 0, None
     if task == "classification":
@@ -167,31 +167,27 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
         rows = coded.orderBy("code").collect()
         labels, min_class = [r["label"] for r in rows], min((r["n"] for r in rows), default=0)
         n_rows = sum(r["n"] for r in rows)
-        base = (base.withColumn("_label", q(target).cast("string"))
-                .join(F.broadcast(coded.select(F.col("label").alias("_label"),
-                                               F.col("code").cast("double").alias("y"))), "_label"))
+        codes = coded.select(F.col("label").alias("_label"), F.col("code").cast("double").alias("_target"))
+        base = base.withColumn("_label", q(target).cast("string")).join(F.broadcast(codes), "_label")
     else:
-        base = base.withColumn("y", as_double(target, field_types(df)[target])).filter("y is not null")
-    unit = unit_interval(F.xxhash64(F.lit(seed), "row_key"))
+        base = base.withColumn("_target", as_double(target, field_types(df)[target])).filter("_target is not null")
+    unit = unit_interval(F.xxhash64(F.lit(seed), "_row_key"))
     if task == "classification" and min_class >= 2:
-        base = stratified_split(base, "_label", test_share, unit=unit, tie=F.col("row_key"))
+        base = stratified_split(base, "_label", test_share, unit=unit, tie=F.col("_row_key"), flag="_is_train")
     else:
-        base = base.withColumn("is_train", split_flag(base, unit, test_share))
-    fold = F.pmod(F.xxhash64(F.lit(seed + 7), "row_key"), F.lit(folds)).cast("int")
-    base = base.withColumn("fold", fold)
+        base = base.withColumn("_is_train", split_flag(base, unit, test_share))
 
     encodable = [c for c in encode if c in features]
     if encodable and len(labels) <= 2:
-        base = target_encode(base, encodable, "y", fold=F.pmod(
-            F.xxhash64(F.lit(seed + 11), "row_key"), F.lit(5)), is_train=F.col("is_train"))
-    elif encodable:       # codes of three or more classes have no mean worth encoding
-        for c in encodable:
-            from .features import frequency_encode
-            base = (frequency_encode(base, c, base.filter("is_train"))
-                    .withColumnRenamed(f"{c}_freq", c))
+        inner = F.pmod(F.xxhash64(F.lit(seed + 11), "_row_key"), F.lit(FOLDS))
+        base = target_encode(base, encodable, "_target", inner, F.col("_is_train"))
+    for c in encodable if len(labels) > 2 else ():      # codes of several classes have no useful mean
+        base = (frequency_encode(base, c, base.filter("_is_train")).withColumnRenamed(f"{c}_freq", c))
 
     types = field_types(base)
-    flat = base.select("row_key", "is_train", "fold", "y", *[
+    fold = F.pmod(F.xxhash64(F.lit(seed + 7), "_row_key"), F.lit(folds)).cast("int")
+    flat = base.select(F.col("_row_key").alias("row_key"), F.col("_is_train").alias("is_train"), fold.alias("fold"),
+                       F.col("_target").alias("y"), *[
         F.coalesce(as_double(n, types[n]), F.lit(0.0)).alias(f"x{i}") for i, n in enumerate(features)])
     flat = staged(spread(flat, base.count() if n_rows is None else n_rows))
     sizes = flat.agg(F.count(F.when(F.col("is_train"), 1)).alias("a"), F.count(F.lit(1)).alias("n")).first()

@@ -124,9 +124,9 @@ def find_segments(df: DataFrame, names: list[str], keys: list[str] | None = None
     if len(moments) < MIN_COLUMNS:
         return None
     columns = list(moments)
-    keys = [k for k in keys or [] if k not in columns]
-    with_key = df.withColumn("row_key", row_hash(df, keys or None, seed))
-    scaled = standardise(with_key, moments, [*keys, "row_key"], "z_")
+    with_key = df.withColumn("_row_key", row_hash(df, keys, seed))
+    keys = [k for k in keys or [] if k not in ("row_key", "cluster")]
+    scaled = standardise(with_key, moments, [*keys, "_row_key"], "z_").withColumnRenamed("_row_key", "row_key")
     z = [f"z_{c}" for c in columns]
     fits = fit_sweep(scaled, z, list(ks), restarts, seed, n)
     labelled = scaled.select("*", *[assign(z, f.centres).alias(f"k{k}") for k, f in fits.items()])
