@@ -168,8 +168,8 @@ def _profile_sql(name: str, source: str) -> str:
 SELECT '{name}' AS name, s.n, round(s.mean, 4) AS mean, round(s.std, 4) AS std, round(s.lo, 4) AS min, round(s.hi, 4) AS max,
   round(s.q2, 4) AS median, round(s.skew, 4) AS skew, abs(s.skew) >= 1 AS is_skewed, o.n_outliers,
   round(o.n_outliers / s.n::DOUBLE, 4) AS pct_outliers,
-  round(CASE WHEN q3 > q1 THEN q1 - 1.5 * (q3 - q1) END, 4) AS lower_fence,
-  round(CASE WHEN q3 > q1 THEN q3 + 1.5 * (q3 - q1) END, 4) AS upper_fence
+  round(CASE WHEN q3 > q1 THEN q1 - 1.5 * (q3 - q1) END, 6) AS lower_fence,
+  round(CASE WHEN q3 > q1 THEN q3 + 1.5 * (q3 - q1) END, 6) AS upper_fence
 FROM (SELECT count(v) AS n, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS lo, max(v) AS hi, quantile_cont(v, 0.5) AS q2,
   quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3, skewness(v) AS skew FROM (SELECT CAST({name} AS DOUBLE) AS v FROM {source})) s,
  (SELECT count(*) FILTER (WHERE q3 > q1 AND (v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1))) AS n_outliers
@@ -184,7 +184,7 @@ def numeric(spark, folder):
     profiles = numeric_profiles(table(spark, folder, "lineitem"), [*LINE_NUMERIC, "l_linenumber"])
     profiles |= numeric_profiles(events_gaps(spark, folder), ["value"])
     profiles |= numeric_profiles(table(spark, folder, "documents"), ["n_chars"])
-    return rounded(numeric_frame(spark, profiles), 4)
+    return rounded(numeric_frame(spark, profiles), 4, lower_fence=6, upper_fence=6)
 
 
 @register(QUERIES, SQL, "iqr_outliers", "SELECT name, n_outliers, lower_fence, upper_fence FROM ("
@@ -194,7 +194,7 @@ def outliers(spark, folder):
     profiles = {}
     for source, name in (("events", "value"), ("documents", "n_chars"), ("orders", "o_totalprice")):
         profiles |= numeric_profiles(table(spark, folder, source), [name])
-    return rounded(numeric_frame(spark, profiles).select("name", "n_outliers", "lower_fence", "upper_fence"), 4)
+    return rounded(numeric_frame(spark, profiles).select("name", "n_outliers", "lower_fence", "upper_fence"))
 
 
 def _top_sql(source: str, columns: list[str]) -> str:

@@ -8,6 +8,7 @@ from pathlib import PurePosixPath
 
 from pyspark.sql import SparkSession
 
+from ..functions.tables import staged
 from ..sources.reader import load_table
 from ..sources.sink import write_tables
 from .analyze import analyze
@@ -35,6 +36,8 @@ def main(argv: list[str] | None = None) -> int:
             raise
         print(f"error: not found: {args.data}", file=sys.stderr)
         return 1
+    if "parquet" not in PurePosixPath(args.data.rstrip("/*")).suffix:
+        table = staged(table)                       # the chain reads it many times: parse it once
     name = args.name or PurePosixPath(args.data).stem
     result = analyze(table, args.target, name, intervention_date=args.intervention_date)
     out = args.out or f"reports/{name}"
