@@ -12,6 +12,7 @@ from ..operators.importance import permutation_importance, shallow_tree
 from ..operators.modeling import cross_validate, run_models, score
 from ..operators.models import (BOOSTING, FOREST, LASSO, LINEAR, LOGISTIC, RIDGE, Settings, cross_validate_linear,
                                 fit_all, fit_linear_family)
+from ..plans.analyze import analyze
 from .associations import _SCORES, scores
 from .common import (LINE_NUMERIC, REVENUE, register, revenue, rounded, table, union_sql, unit_of, unit_sql)
 
@@ -362,6 +363,15 @@ def tree(spark, folder):
     return shallow_tree(frame.train, frame.x, frame.names, frame.task, frame.n_train)
 
 
+@register(QUERIES, SQL, "analyze_events")
+def whole_chain(spark, folder):
+    """The whole chain for the value of an event: every result table with its row count."""
+    result = analyze(table(spark, folder, "events"), "value", model_names=[LINEAR, RIDGE], keys=["event_id"],
+                     series_keys=["event_type"], intervention_date="2024-01-16", segment_restarts=3)
+    return spark.createDataFrame([(n, t.count(), len(t.columns)) for n, t in result.tables.items()],
+                                 "name string, n_rows long, n_cols int")
+
+
 @register(QUERIES, SQL, "model_comparison")
 def comparison(spark, folder):
     """The whole comparison of five regressors for the revenue of a line item."""

@@ -51,8 +51,8 @@ def confusion_matrix(df: DataFrame, labels: DataFrame, y: str = "y", prediction:
                      ) -> DataFrame:
     """Counts for every pair of labels, zeros included; `labels` has one column `label`."""
     names = [r["label"] for r in labels.select("label").collect()]      # the classes
-    pairs = df.sparkSession.createDataFrame([(a, p) for a in names for p in names],
-                                            ["actual", "predicted"])
+    pairs = labels.select(F.col("label").alias("actual"),
+                          F.explode(F.array(*[F.lit(n) for n in names])).alias("predicted"))
     counts = confusion_counts(df, y, prediction)
     return (pairs.join(counts, ["actual", "predicted"], "left")
             .select("actual", "predicted", F.coalesce("n", F.lit(0)).cast("long").alias("n")))

@@ -207,15 +207,16 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
             unselected = [c for c in kept if c not in best]
             kept = [c for c in kept if c in best]
 
-    weight, imbalanced = F.lit(1.0), False
+    weighted, imbalanced = flat.withColumn("weight", F.lit(1.0)), False
     if task == "classification":
         weights = class_weights(train, "y").collect()                 # one row per class
         imbalanced = bool(weights and weights[0]["is_imbalanced"])
         if handle_imbalance and imbalanced:
-            table = {r["label"]: r["weight"] for r in weights}
-            pairs = [F.lit(v) for kv in table.items() for v in kv]
-            weight = F.coalesce(F.element_at(F.create_map(*pairs), F.col("y")), F.lit(1.0))
-    final = flat.select("row_key", "is_train", "fold", "y", weight.alias("weight"), *[
+            table = df.sparkSession.createDataFrame([(r["label"], r["weight"]) for r in weights],
+                                                    "y double, _weight double")
+            weighted = flat.join(F.broadcast(table), "y", "left").withColumn(
+                "weight", F.coalesce("_weight", F.lit(1.0)))
+    final = weighted.select("row_key", "is_train", "fold", "y", "weight", *[
         F.col(c).alias(f"x{i}") for i, c in enumerate(kept)])
     return ModelFrame(final, [names[c] for c in kept], task, labels, sizes["a"],
                       sizes["n"] - sizes["a"], len(features), [names[c] for c in dropped],
