@@ -1,41 +1,40 @@
 """Exact, linearly interpolated quantiles of many columns at any row count.
 
 Spark's exact ``percentile`` keeps every distinct value of a column in one task.  That is right for
-small tables and for columns with few values, so it is used up to a fixed number of cells.  Beyond
-it the order statistics are found by narrowing: each pass is one scan that asks for an approximate
-quantile grid inside the current bracket and for exact counts below and inside it; after a few
-passes a bracket holds at most a few thousand distinct values, which are counted exactly.  No pass
-shuffles more than per-task sketches, and ties of any size only raise a count.
+small tables, so it is used up to a fixed number of cells.  Beyond it the order statistics are found
+by narrowing: each pass is one scan that counts the rows of a bracket in bins, with the smallest and
+largest value of each bin; the bin that holds a wanted rank is the next bracket.  The first pass bins
+on a logarithmic scale, so that far outliers cost no extra pass.  A pass shuffles one row per task
+and bin; ties of any size only raise a count.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections import defaultdict
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .columns import to_long
 
-DIRECT_CELLS = 8_000_000   # rows x columns up to which `percentile` may be asked directly
-GRID = 250                 # cells of the approximate grid in one pass
-ACCURACY = 10 * GRID        # sketch error well below one grid cell
-FINAL_VALUES = 4_096       # distinct values per bracket that are counted exactly
-MAX_PASSES = 12
+DIRECT_CELLS = 2_000_000   # rows x columns up to which `percentile` may be asked directly
+BINS = 1_024
+FINAL_ROWS = 2_000         # a bracket with at most this many rows is read off directly
+AT_ONCE = 24               # brackets that share one scan
 MANY_PROBS = 8             # more quantiles than this are read off one exact ranking instead
 
 
 @dataclass
 class _Bracket:
+    """Rows of a column from `lo` to `hi`, and the ranks (of the whole column) wanted among them."""
+
     name: str
-    prob: float
-    k_lo: int              # zero-based ranks of the two order statistics to interpolate between
-    k_hi: int
-    frac: float            # weight of the upper one
     lo: float
     hi: float
-    full: tuple[float, float]
-    done: bool = False
+    below: int
+    size: int
+    ranks: set[int] = field(default_factory=set)
 
 
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float],
@@ -61,8 +60,7 @@ def _by_rank(df, columns, probs):
     counts = (to_long(df, columns).filter("value is not null").groupBy("name", "value")
               .agg(F.count("*").alias("n")))
     sizes = {r["name"]: r["n"] for r in counts.groupBy("name").agg(F.sum("n").alias("n")).collect()}
-    targets = {n: sorted({k for p in probs for k in (math.floor(p * (size - 1)), math.ceil(p * (size - 1)))})
-               for n, size in sizes.items()}
+    targets = {n: sorted({k for p in probs for k in _ranks(p, size)[:2]}) for n, size in sizes.items()}
     if not targets:
         return {n: [None] * len(probs) for n in columns}
     table = df.sparkSession.createDataFrame(list(targets.items()), "name string, ranks array<long>")
@@ -74,88 +72,95 @@ def _by_rank(df, columns, probs):
     for name in columns:
         found = []
         for p in probs if name in sizes else []:
-            rank = p * (sizes[name] - 1)
-            lo, hi = at[name, math.floor(rank)], at[name, math.ceil(rank)]
-            found.append(lo + (hi - lo) * (rank - math.floor(rank)))
+            below, above, share = _ranks(p, sizes[name])
+            lo, hi = at[name, below], at[name, above]
+            found.append(lo + (hi - lo) * share)
         out[name] = found or [None] * len(probs)
     return out
 
 
-def _grid_of(col: Column) -> Column:
-    return F.percentile_approx(col, [j / GRID for j in range(GRID + 1)], ACCURACY)
-
-
 def _by_narrowing(df, columns, probs):
     names = list(columns)
-    row = df.agg(*[F.count(columns[n]).alias(f"n{i}") for i, n in enumerate(names)],
-                 *[_grid_of(columns[n]).alias(f"g{i}") for i, n in enumerate(names)]).first()
-    brackets: list[_Bracket] = []
-    for i, n in enumerate(names):
-        count, grid = row[f"n{i}"], row[f"g{i}"]
-        for p in probs if count else []:
-            rank = p * (count - 1)
-            lo, hi = _cell(grid, math.floor(rank), math.ceil(rank), count)
-            brackets.append(_Bracket(n, p, math.floor(rank), math.ceil(rank),
-                                     rank - math.floor(rank), lo, hi, (grid[0], grid[-1])))
-    for _ in range(MAX_PASSES):
-        open_ = [b for b in brackets if not b.done]
-        if not open_:
+    row = df.agg(*[a for i, n in enumerate(names) for a in (
+        F.count(columns[n]).alias(f"n{i}"), F.min(columns[n]).alias(f"a{i}"),
+        F.max(columns[n]).alias(f"z{i}"))]).first()
+    sizes = {n: row[f"n{i}"] for i, n in enumerate(names)}
+    open_ = [_Bracket(n, row[f"a{i}"], row[f"z{i}"], 0, sizes[n],
+                      {k for p in probs for k in _ranks(p, sizes[n])[:2]})
+             for i, n in enumerate(names) if sizes[n]]
+    known: dict[tuple[str, int], float] = {}
+    logarithmic = True
+    while True:
+        known.update({(b.name, k): b.lo for b in open_ if b.lo == b.hi for k in b.ranks})
+        open_ = [b for b in open_ if b.lo < b.hi]
+        wide = [b for b in open_ if b.size > FINAL_ROWS]
+        if not wide:
             break
-        _narrow_once(df, columns, open_)
-    found = _count_brackets(df, columns, brackets)
-    return {n: [found.get((n, p)) for p in probs] for n in names}
-
-
-def _cell(grid, k_lo, k_hi, count):
-    """Bracket of grid values that holds both ranks, one cell wider on each side for sketch error."""
-    scale = GRID / max(count - 1, 1)
-    lo = max(math.floor(k_lo * scale) - 1, 0)
-    hi = min(math.ceil(k_hi * scale) + 1, GRID)
-    return grid[lo], grid[hi]
-
-
-def _narrow_once(df, columns, open_):
-    aggs = []
-    for i, b in enumerate(open_):
-        e = columns[b.name]
-        inside = F.when(e.between(b.lo, b.hi), e)
-        aggs += [F.count(F.when(e < b.lo, 1)).alias(f"b{i}"), F.count(inside).alias(f"n{i}"),
-                 F.approx_count_distinct(inside).alias(f"d{i}"), _grid_of(inside).alias(f"g{i}")]
-    row = df.agg(*aggs).first()
-    for i, b in enumerate(open_):
-        below, inside, grid = row[f"b{i}"], row[f"n{i}"], row[f"g{i}"]
-        if not below <= b.k_lo <= b.k_hi < below + inside:
-            b.lo, b.hi = b.full            # the sketch was off: start again from the whole range
-            continue
-        if row[f"d{i}"] <= FINAL_VALUES:
-            b.done = True
-            continue
-        lo, hi = _cell(grid, b.k_lo - below, b.k_hi - below, inside)
-        b.done = (lo, hi) == (b.lo, b.hi)
-        b.lo, b.hi = lo, hi
-
-
-def _count_brackets(df, columns, brackets):
-    """Exact order statistics inside the final brackets; the running sum stays on the cluster."""
-    if not brackets:
-        return {}
-    from .ranks import running_counts
-
-    row = df.agg(*[F.count(F.when(columns[b.name] < b.lo, 1)).alias(f"b{i}")
-                   for i, b in enumerate(brackets)]).first()
-    values = to_long(df, {str(i): F.when(columns[b.name].between(b.lo, b.hi), columns[b.name])
-                          for i, b in enumerate(brackets)}).filter("value is not null")
-    counts = values.groupBy("name", "value").agg(F.count("*").alias("n"))
-    ranked = running_counts(counts, ["name"], "value", {"n": "before"})
-    targets = df.sparkSession.createDataFrame(
-        [(str(i), k - row[f"b{i}"]) for i, b in enumerate(brackets) for k in {b.k_lo, b.k_hi}],
-        "name string, rank long")
-    hits = (ranked.join(F.broadcast(targets), "name")
-            .filter("before <= rank and rank < before + n").select("name", "rank", "value"))
-    at = {(r["name"], r["rank"]): r["value"] for r in hits.collect()}
+        open_ = [b for b in open_ if b.size <= FINAL_ROWS]
+        for i in range(0, len(wide), AT_ONCE):
+            open_ += _narrow(df, columns, wide[i:i + AT_ONCE], logarithmic, known)
+        logarithmic = False
+    for i in range(0, len(open_), AT_ONCE):
+        _read_off(df, columns, open_[i:i + AT_ONCE], known)
     out = {}
+    for n in names:
+        out[n] = []
+        for p in probs:
+            lo, hi, share = _ranks(p, sizes[n])
+            a, b = known.get((n, lo)), known.get((n, hi))
+            out[n].append(None if a is None else a + (b - a) * share)
+    return out
+
+
+def _ranks(prob: float, size: int) -> tuple[int, int, float]:
+    """The two zero-based ranks to interpolate between, and the weight of the upper one."""
+    rank = prob * (size - 1)
+    return math.floor(rank), math.ceil(rank), rank - math.floor(rank)
+
+
+def _bin(value: Column, lo: float, hi: float, logarithmic: bool) -> Column:
+    """Bin number 0..BINS-1, never falling as the value grows; `lo` and `hi` differ in it."""
+    if logarithmic:
+        value = F.signum(value) * F.log1p(F.abs(value))
+        lo, hi = (math.copysign(math.log1p(abs(v)), v) for v in (lo, hi))
+    scale = hi / 2 - lo / 2
+    if not 0 < scale < math.inf:
+        return F.when(value > lo, BINS - 1).otherwise(0)
+    return F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((value / 2 - F.lit(lo / 2)) / F.lit(scale) * BINS)))
+
+
+def _inside(columns, brackets, value) -> dict[str, Column]:
+    return {str(i): F.when(columns[b.name].between(b.lo, b.hi), value(columns[b.name], b))
+            for i, b in enumerate(brackets)}
+
+
+def _narrow(df, columns, brackets, logarithmic, known) -> list[_Bracket]:
+    """Brackets one bin wide for the wanted ranks; ranks at the edge of a bin become known."""
+    long = to_long(df, _inside(columns, brackets, lambda v, b: F.struct(
+        _bin(v, b.lo, b.hi, logarithmic).cast("int").alias("bin"), v.alias("v")))).filter("value is not null")
+    bins = defaultdict(list)
+    for r in (long.groupBy("name", "value.bin").agg(F.count(F.lit(1)).alias("n"), F.min("value.v").alias("a"),
+                                                    F.max("value.v").alias("z")).collect()):
+        bins[int(r["name"])].append((r["bin"], r["n"], r["a"], r["z"]))     # at most BINS per bracket
+    out = []
     for i, b in enumerate(brackets):
-        lo = at[str(i), b.k_lo - row[f"b{i}"]]
-        hi = at[str(i), b.k_hi - row[f"b{i}"]]
-        out[b.name, b.prob] = lo + (hi - lo) * b.frac
+        below = b.below
+        for _, n, a, z in sorted(bins[i]):
+            wanted = {k for k in b.ranks if below <= k < below + n}
+            known.update({(b.name, k): v for k, v in ((below, a), (below + n - 1, z)) if k in wanted})
+            wanted -= {below, below + n - 1}
+            if wanted:
+                out.append(_Bracket(b.name, a, z, below, n, wanted))
+            below += n
     return out
+
+
+def _read_off(df, columns, brackets, known) -> None:
+    """All rows of small brackets, sorted on the driver: at most FINAL_ROWS each."""
+    long = to_long(df, _inside(columns, brackets, lambda v, b: v)).filter("value is not null")
+    values = defaultdict(list)
+    for r in long.collect():
+        values[int(r["name"])].append(r["value"])
+    for i, b in enumerate(brackets):
+        ordered = sorted(values[i])
+        known.update({(b.name, k): ordered[k - b.below] for k in b.ranks})

@@ -20,9 +20,11 @@ from ..functions.tables import hash_sample, spread
 
 START_ROWS = 2_000
 WARM_ITERATIONS = 25
-MAX_ITERATIONS = 30
+RACE_ITERATIONS = 8       # scans in which all restarts compete
+RACE_GAIN = 1e-3          # relative fall of the cost below which a restart stops competing
+MAX_ITERATIONS = 20       # further scans for the winner of each k
+MIN_GAIN = 1e-4
 TOLERANCE = 1e-4          # centre movement, in units of the mean column variance
-MIN_GAIN = 5e-4           # relative fall of the cost below which a run has settled
 
 
 @dataclass
@@ -104,9 +106,35 @@ def _one_pass(df: DataFrame, columns: list[str], runs: list[np.ndarray]) -> dict
     return {n: total[a:b] for n, (a, b) in enumerate(zip(edges[:-1], edges[1:]))}
 
 
+def _lloyd(table: DataFrame, columns: list[str], runs: dict[int, np.ndarray], scans: int, gain: float,
+           tolerance: float) -> dict[int, float]:
+    """Improve all runs in place, one scan per iteration for those that still move; cost per run.
+
+    A cost belongs to the centres before the last move, so it is an upper bound of the final one.
+    """
+    moving, costs = set(runs), {}
+    for _ in range(scans):
+        order = sorted(moving)
+        result = _one_pass(table, columns, [runs[r] for r in order])
+        for place, r in enumerate(order):
+            sums = result[place]
+            count = sums[:, -2:-1]
+            new = np.where(count > 0, sums[:, :-2] / np.maximum(count, 1), runs[r])
+            before, costs[r] = costs.get(r, np.inf), float(sums[:, -1].sum())
+            if float(((new - runs[r]) ** 2).sum()) <= tolerance or before - costs[r] <= gain * costs[r]:
+                moving.discard(r)
+            runs[r] = new
+        if not moving:
+            break
+    return costs
+
+
 def fit_sweep(df: DataFrame, columns: list[str], ks: list[int], restarts: int = 10, seed: int = 42,
-              n_rows: int | None = None, max_iterations: int = MAX_ITERATIONS) -> dict[int, KMeansFit]:
-    """Best fit per k by within-cluster sum of squares; `df` must hold no NULLs in `columns`."""
+              n_rows: int | None = None) -> dict[int, KMeansFit]:
+    """Best fit per k by within-cluster sum of squares; `df` must hold no NULLs in `columns`.
+
+    All restarts compete for a few scans; the best of each k is then brought to convergence.
+    """
     n = df.count() if n_rows is None else n_rows
     table = spread(df.select(*columns), n).persist()
     try:
@@ -116,29 +144,17 @@ def fit_sweep(df: DataFrame, columns: list[str], ks: list[int], restarts: int =
         sample = hash_sample(table, START_ROWS, seed=seed, n_rows=n).toPandas().to_numpy(dtype=float)
         tolerance = TOLERANCE * float(sample.var(0).mean())
         runs = dict(enumerate(_starts(sample, ks, restarts, seed)))
-        moving, costs = set(runs), {}
-        for _ in range(max_iterations):
-            order = sorted(moving)
-            result = _one_pass(table, columns, [runs[r] for r in order])
-            for place, r in enumerate(order):
-                sums = result[place]
-                count = sums[:, -2:-1]
-                new = np.where(count > 0, sums[:, :-2] / np.maximum(count, 1), runs[r])
-                before, costs[r] = costs.get(r, np.inf), float(sums[:, -1].sum())
-                moved = float(((new - runs[r]) ** 2).sum())
-                if moved <= tolerance or before - costs[r] <= MIN_GAIN * costs[r]:
-                    moving.discard(r)
-                runs[r] = new
-            if not moving:
-                break
+        costs = _lloyd(table, columns, runs, RACE_ITERATIONS, RACE_GAIN, tolerance)
+        best: dict[int, int] = {}
+        for r, centres in runs.items():
+            k = len(centres)
+            if k not in best or costs[r] < costs[best[k]]:
+                best[k] = r
+        winners = {r: runs[r] for r in best.values()}
+        costs = _lloyd(table, columns, winners, MAX_ITERATIONS, MIN_GAIN, tolerance)
     finally:
         table.unpersist()
-    best: dict[int, KMeansFit] = {}
-    for r, centres in runs.items():
-        k = len(centres)
-        if k not in best or costs[r] < best[k].cost:
-            best[k] = KMeansFit(k, centres.tolist(), costs[r])
-    return best
+    return {k: KMeansFit(k, winners[r].tolist(), costs[r]) for k, r in best.items()}
 
 
 def fit_best(df: DataFrame, columns: list[str], k: int, restarts: int = 10, seed: int = 42,

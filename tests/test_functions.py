@@ -55,6 +55,16 @@ def test_quantiles_beyond_the_direct_limit(make, rng, probs):
     assert found["none"] == [None] * len(probs)
 
 
+def test_quantiles_with_far_outliers(make, rng):
+    x = np.concatenate([rng.normal(size=20_000) * 1e-3, [1e300, -1e300, 1e308, -1.7e308], np.repeat(0.25, 9_000)])
+    found = exact_quantiles(make(x=x), {"x": F.col("x")}, PROBS, direct_cells=0)["x"]
+    want = np.sort(x)
+    for p, v in zip(PROBS, found):
+        rank = p * (len(x) - 1)
+        lo, hi = want[int(np.floor(rank))], want[int(np.ceil(rank))]
+        assert v == pytest.approx(lo + (hi - lo) * (rank - np.floor(rank)), rel=1e-12)
+
+
 @pytest.mark.parametrize("n_ranges", [8, 700])
 def test_running_counts(spark, rng, n_ranges):
     frame = pd.DataFrame({"g": rng.choice(["a", "b"], 5_000), "value": rng.integers(0, 900, 5_000).astype(float)})
