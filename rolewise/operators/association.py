@@ -171,16 +171,21 @@ def mann_whitney_p(u1: float, n1: int, n2: int, ties: float) -> float:
 
 
 def _exact_u(u: float, n1: int, n2: int) -> float:
-    """Share of arrangements with at least u: Gaussian binomial coefficients, small side first."""
+    """Twice the share of arrangements with at least u, by symmetry those with at most n1 n2 - u.
+
+    The arrangements are the coefficients of a Gaussian binomial: (1 - q^(n+i)) / (1 - q^i) over
+    i = 1..m.  The lower tail needs its own coefficients only, so it keeps full precision.
+    """
     m, n = min(n1, n2), max(n1, n2)
-    ways = np.zeros(m * n + 1)
+    last = m * n - math.ceil(u)
+    ways = np.zeros(last + 1)
     ways[0] = 1.0
     for i in range(1, m + 1):
-        top = n + i
-        ways[top:] -= ways[:-top].copy() if top <= m * n else 0.0
-        for j in range(i, m * n + 1):
-            ways[j] += ways[j - i]
-    return min(1.0, 2.0 * float(ways[math.ceil(u):].sum() / ways.sum()))
+        if n + i <= last:
+            ways[n + i:] -= ways[:-(n + i)].copy()
+        for r in range(min(i, last + 1)):
+            ways[r::i] = np.cumsum(ways[r::i])
+    return min(1.0, 2.0 * float(ways.sum()) / math.comb(m + n, m))
 
 
 def mann_whitney(df: DataFrame, names: list[str], target: str) -> DataFrame:
