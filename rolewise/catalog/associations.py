@@ -72,7 +72,8 @@ SELECT '{c}' AS feature, sum(CASE WHEN a THEN r ELSE 0 END) - any_value(n1) * (a
 
 @register(QUERIES, SQL, "mann_whitney_u", union_sql([_u_sql("lineitem", c, "l_linestatus", "F") for c in LINE_NUMERIC]))
 def u(spark, folder):
-    return mann_whitney_statistics(table(spark, folder, "lineitem"), list(LINE_NUMERIC), "l_linestatus", ("F", "O"))
+    df = table(spark, folder, "lineitem")
+    return mann_whitney_statistics(df, list(LINE_NUMERIC), "l_linestatus", ("F", "O"), df.count())
 
 
 _SUITE = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_NUMERIC)

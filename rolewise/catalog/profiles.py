@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import partial, reduce
 
+from pyspark.sql import DataFrame, functions as F
+
+from ..functions.tables import in_parallel
 from ..operators.profile import (class_balance, correlation_matrix, missing_shares, numeric_frame,
                                  numeric_profiles, redundant_pairs, table_profile, top_values)
 from ..operators.roles import column_stats, datetime_shares, geo_shares, infer_roles, infer_task, stats_frame
@@ -73,20 +76,16 @@ def _role_sql(name: str, source: str | None = None, columns=None) -> str:
 
 @register(QUERIES, SQL, "column_stats", union_sql([_stats_sql(t) for t in TABLES]))
 def stats(spark, folder):
-    out = None
-    for name in TABLES:
-        part = stats_frame(spark, column_stats(table(spark, folder, name))).withColumn("source", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return rounded(out)
+    found = in_parallel([partial(column_stats, table(spark, folder, name)) for name in TABLES])
+    parts = [stats_frame(spark, s).withColumn("source", F.lit(n)) for n, s in zip(TABLES, found)]
+    return rounded(reduce(DataFrame.unionByName, parts))
 
 
 @register(QUERIES, SQL, "infer_roles", union_sql([_role_sql(t) for t in TABLES]))
 def roles(spark, folder):
-    out = None
-    for name in TABLES:
-        part = infer_roles(table(spark, folder, name)).table(spark).withColumn("source", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return rounded(out)
+    found = in_parallel([partial(infer_roles, table(spark, folder, name)) for name in TABLES])
+    parts = [r.table(spark).withColumn("source", F.lit(n)) for n, r in zip(TABLES, found)]
+    return rounded(reduce(DataFrame.unionByName, parts))
 
 
 @register(QUERIES, SQL, "role_table", _role_sql("events", EVENTS_GAPS))

@@ -26,11 +26,16 @@ def running_counts(counts: DataFrame, group: list[str], value: str, sums: dict[s
     The number of groups must be small (features, not data keys); a group may be of any size.
     """
     n = n_ranges or _range_count(counts)
-    cuts = counts.groupBy(*group).agg(
-        F.percentile_approx(value, [i / n for i in range(1, n)], max(10_000, 10 * n)).alias("_cuts"))
+    # Cuts, totals and sums all read every count column, so that Spark shuffles `counts` once and
+    # reuses it, and does not compute it anew for each of them with fewer columns.
+    rows = sum((F.col(c) for c in counts.columns if c not in (*group, value)), F.lit(0))
+    cuts = (counts.groupBy(*group).agg(
+        F.percentile_approx(value, [i / n for i in range(1, n)], max(10_000, 10 * n)).alias("_cuts"),
+        F.sum(rows).alias("_rows")).filter("_rows > 0").drop("_rows"))
     ranged = (counts.join(F.broadcast(cuts), group)
               .withColumn("_range", _lookup(F.col("_cuts"), F.col(value), n)).drop("_cuts"))
-    totals = ranged.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_total_{c}") for c in sums])
+    totals = (ranged.groupBy(*group, "_range")
+              .agg(*[F.sum(c).alias(f"_total_{c}") for c in sums], F.sum(rows).alias("_rows")).filter("_rows > 0"))
     below = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, "_range", *[
         F.coalesce(F.sum(f"_total_{c}").over(below), F.lit(0)).alias(f"_offset_{c}") for c in sums])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from ..functions import pvalues
 from ..functions.columns import as_double, field_types, present, q, to_long
 from ..functions.ranks import running_counts
 from ..functions.shapiro import shapiro_wilk
-from ..functions.tables import hash_sample
+from ..functions.tables import hash_sample, in_parallel, spread
 from .roles import Roles
 
 ALPHA = 0.05
@@ -50,19 +51,17 @@ def chi_square_statistics(df: DataFrame, names: list[str], target: str) -> DataF
     levels is dropped and not gathered.
     """
     cells = contingency(df, names, target)
-    fits = (cells.select("feature", "level").distinct().groupBy("feature")
-            .agg(F.count(F.lit(1)).alias("_levels"))
-            .filter(F.col("_levels").between(2, MAX_LEVELS)))
-    cells = cells.join(F.broadcast(fits), "feature")      # one row per feature
     rows = cells.groupBy("feature", "level").agg(F.sum("n").alias("row_n"))
+    fits = (rows.groupBy("feature").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("row_n").alias("all_n"))
+            .filter(F.col("n_rows").between(2, MAX_LEVELS) & (F.col("all_n") > 0)))
+    cells = cells.join(F.broadcast(fits), "feature")      # one row per feature
     cols = cells.groupBy("feature", "label").agg(F.sum("n").alias("col_n"))
-    total = rows.groupBy("feature").agg(F.sum("row_n").alias("all_n"),
-                                        F.count(F.lit(1)).alias("n_rows"))
-    sides = cols.groupBy("feature").agg(F.count(F.lit(1)).alias("n_cols"))
+    sides = (cols.groupBy("feature").agg(F.count(F.lit(1)).alias("n_cols"), F.sum("col_n").alias("_n"))
+             .filter("_n > 0").drop("_n"))
     # Every (level, label) cell counts, also empty ones: sum over cells of (o - e)^2 / e equals
     # the sum over observed cells plus the expected mass of the empty ones.
     joined = (cells.join(rows, ["feature", "level"]).join(cols, ["feature", "label"])
-              .join(F.broadcast(total), "feature").join(F.broadcast(sides), "feature"))
+              .join(F.broadcast(sides), "feature"))
     expected = F.col("row_n") * F.col("col_n") / F.col("all_n")
     gap = F.abs(F.col("n") - expected)
     is_2x2 = (F.col("n_rows") == 2) & (F.col("n_cols") == 2)
@@ -136,8 +135,8 @@ def anova(df: DataFrame, names: list[str], target: str) -> DataFrame:
 
 # --- numeric columns against two classes --------------------------------------------------------
 
-def mann_whitney_statistics(df: DataFrame, names: list[str], target: str, labels: tuple[str, str]
-                            ) -> DataFrame:
+def mann_whitney_statistics(df: DataFrame, names: list[str], target: str, labels: tuple[str, str],
+                            n_rows: int | None = None) -> DataFrame:
     """U of the first label, class sizes and tie sum per column, exact at any size.
 
     Rows are first counted per (column, value), which folds ties; the running count of smaller
@@ -147,6 +146,7 @@ def mann_whitney_statistics(df: DataFrame, names: list[str], target: str, labels
     label = q(target).cast("string")
     base = df.filter(label.isin(*labels)).select(*[q(n) for n in names],
                                                  (label == labels[0]).cast("long").alias("_first"))
+    base = base if n_rows is None else spread(base, n_rows)
     long = to_long(base, {n: as_double(n, types[n]) for n in names}, ["_first"], "feature")
     counts = (long.filter("value is not null").groupBy("feature", "value")
               .agg(F.sum("_first").alias("n1"), F.sum(1 - F.col("_first")).alias("n2")))
@@ -188,13 +188,13 @@ def _exact_u(u: float, n1: int, n2: int) -> float:
     return min(1.0, 2.0 * float(ways.sum()) / math.comb(m + n, m))
 
 
-def mann_whitney(df: DataFrame, names: list[str], target: str) -> DataFrame:
+def mann_whitney(df: DataFrame, names: list[str], target: str, n_rows: int | None = None) -> DataFrame:
     """Mann-Whitney U for targets with exactly two classes, U of the smaller label; else no rows."""
     labels = [r[0] for r in df.filter(q(target).isNotNull()).select(q(target).cast("string"))
               .distinct().limit(3).collect()]
     if not names or len(labels) != 2:
         return tests_frame(df.sparkSession, [])
-    rows = mann_whitney_statistics(df, names, target, tuple(sorted(labels))).collect()
+    rows = mann_whitney_statistics(df, names, target, tuple(sorted(labels)), n_rows).collect()
     return tests_frame(df.sparkSession, [
         (r["feature"], "Mann-Whitney U", r["u1"], mann_whitney_p(r["u1"], r["n1"], r["n2"], r["ties"]))
         for r in rows if r["n1"] >= 2 and r["n2"] >= 2])
@@ -204,9 +204,10 @@ def association_suite(df: DataFrame, roles: Roles) -> DataFrame:
     """All tests of a classification run: chi-square, and ANOVA or Mann-Whitney, never both."""
     if roles.task != "classification":
         return tests_frame(df.sparkSession, [])
-    return (chi_square(df, roles.low + roles.high, roles.target)
-            .unionByName(anova(df, roles.numeric, roles.target))
-            .unionByName(mann_whitney(df, roles.numeric, roles.target)))
+    parts = in_parallel([partial(chi_square, df, roles.low + roles.high, roles.target),
+                         partial(anova, df, roles.numeric, roles.target),
+                         partial(mann_whitney, df, roles.numeric, roles.target, roles.n_rows)])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # --- residuals and scores -----------------------------------------------------------------------

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.tables import in_parallel
 from .association import tests_frame, wilcoxon
 from .baseline import Baseline, logit_baseline, ols_baseline
 from .evaluate import (CLASS_METRICS, PRIMARY, REGRESSION_METRICS, class_metrics, confusion_counts,
@@ -64,12 +66,17 @@ def cross_validate(frame: ModelFrame, names: list[str], settings: Settings, n_fo
             out.setdefault(r["model"], {})[r["fold"]] = {m: r[m] for m in REGRESSION_METRICS}
     others = [n for n in names if n not in linear]
     n_rows = frame.n_train + frame.n_test
-    for fold in range(n_folds) if others else ():
+
+    def one_fold(fold: int) -> dict[str, dict[str, float]]:
         train = frame.table.filter(F.col("fold") != fold)
         held_out = frame.table.filter(F.col("fold") == fold)
-        for f in fit_all(others, frame.task, train, frame.x, settings, len(frame.labels),
-                         n_rows - n_rows // n_folds):
-            out.setdefault(f.name, {})[fold] = score(f.apply(held_out), frame.task, len(frame.labels))
+        fits = fit_all(others, frame.task, train, frame.x, settings, len(frame.labels), n_rows - n_rows // n_folds)
+        return {f.name: score(f.apply(held_out), frame.task, len(frame.labels)) for f in fits}
+
+    found = in_parallel([partial(one_fold, f) for f in range(n_folds)] if others else [], 2)
+    for fold, scores in enumerate(found):
+        for name, s in scores.items():
+            out.setdefault(name, {})[fold] = s
     return out
 
 

@@ -6,6 +6,7 @@ import itertools
 import random
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
@@ -18,6 +19,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import q, to_long
+from ..functions.tables import in_parallel
 from .evaluate import regression_metrics
 from .linear import (alpha_grid, feature_grams, lasso_cv, linear_expression, ridge_loo, solve_lasso,
                      solve_ols, solve_ridge, total)
@@ -297,8 +299,7 @@ def _search(name, task, stage, vectors, s, n_classes, n_rows):
 def fit_all(names: list[str], task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int,
             n_rows: int) -> list[Fitted]:
     linear = fit_linear_family(train, x, [n for n in names if n in (LINEAR, RIDGE, LASSO)], s)
-    done = {f.name: f for f in linear}
-    for name in names:
-        if name not in done:
-            done[name] = fit_mllib(name, task, train, x, s, n_classes, n_rows)
+    others = in_parallel([partial(fit_mllib, n, task, train, x, s, n_classes, n_rows) for n in names
+                          if n not in (LINEAR, RIDGE, LASSO)], s.parallelism)
+    done = {f.name: f for f in [*linear, *others]}
     return [done[n] for n in names]

@@ -207,6 +207,30 @@ def test_logistic_scaling_equals_newton(make, rng):
     assert list(fit.model.coefficients) == pytest.approx(list(b[1:] / x.std(0, ddof=1)), rel=1e-4)
 
 
+def test_logit_baseline_equals_newton(classification):
+    from rolewise.operators.baseline import logit_baseline
+    frame = prepare(classification, "label", ["x1", "x2"], "classification")
+    base = logit_baseline(frame)
+    p = frame.train.toPandas()
+    z, b = np.column_stack([np.ones(len(p)), p[["x0", "x1"]]]), np.zeros(3)
+    for _ in range(50):
+        mu = 1 / (1 + np.exp(-z @ b))
+        hessian = z.T @ (z * (mu * (1 - mu))[:, None])
+        b = b + np.linalg.solve(hessian, z.T @ (p.y - mu))
+    assert [t[1] for t in base.terms] == pytest.approx(list(b), rel=1e-5)
+    assert [t[2] for t in base.terms] == pytest.approx(list(np.sqrt(np.diag(np.linalg.inv(hessian)))), rel=1e-4)
+    share = p.y.mean()
+    fit = (p.y * np.log(mu) + (1 - p.y) * np.log(1 - mu)).sum()
+    null = len(p) * (share * np.log(share) + (1 - share) * np.log(1 - share))
+    assert base.stats["r2"] == pytest.approx(1 - fit / null, rel=1e-5)
+
+
+def test_separated_classes_skip_the_logit(make):
+    from rolewise.operators.baseline import logit_baseline
+    frame = prepare(make(x=np.arange(200.0), label=[0] * 100 + [1] * 100), "label", ["x"], "classification")
+    assert logit_baseline(frame).kind == "skipped"
+
+
 def test_scores(make, rng):
     truth, guess = rng.integers(0, 3, 300), rng.integers(0, 3, 300)
     df = make(y=truth, prediction=guess)
