@@ -26,7 +26,7 @@ from .text import BYTE_VALUE, Rolling, dense, order_of
 LENGTH = 200
 STEP = 50
 GRAM = 32
-PART_BYTES = 512 << 10          # text of one part, which is sorted alone
+PART_BYTES = 128 << 10          # text of one part, which is sorted alone
 
 
 class Part:

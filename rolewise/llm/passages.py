@@ -27,8 +27,9 @@ from .stage import shards, staged
 from .text import BYTE_VALUE, Rolling, lists, minimizers, mix, slices, utf8, word_hashes, words
 
 NO_ID = (1 << 63) - 1            # stands for a null doc_id, so null counts as the largest
-SHARD_BYTES = 2 << 20            # text that one shard indexes at a time
-GROUP_BYTES = 8 << 20            # a group with more is split by window offset
+SHARD_BYTES = 512 << 10          # text that one shard indexes at a time
+GROUP_BYTES = 2 << 20            # a group with more is split by window offset
+PACKED_BYTES = 512 << 10         # compressed texts that a task unpacks at a time
 
 SCAN = "id long, key long, gram array<long>, context array<long>, first array<int>, last array<int>, lead array<int>"
 ENTRY = "grp long, id long, n long, key long, first int, lead int, lo int, hi int, body binary"
@@ -89,7 +90,7 @@ def packed(docs: DataFrame) -> DataFrame:
 def _entries(unit: Unit):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, "z", PACKED_BYTES):
             for row in batch.to_pylist():
                 body = unzip.decompress(row["z"])
                 parts = body.split() if unit.words else None
@@ -188,7 +189,7 @@ def spans(docs: DataFrame, unit: Unit, group_bytes: int = GROUP_BYTES, shard_byt
 def _remove(unit: Unit):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, "z", PACKED_BYTES):
             out: dict[str, list] = {n: [] for n in ("doc_id", "n", "n_removed", "spans", "kept")}
             for row in batch.to_pylist():
                 body = unzip.decompress(row["z"])
