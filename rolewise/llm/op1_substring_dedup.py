@@ -23,6 +23,7 @@ from .text import dense, order_of, word_hashes, words
 
 LENGTH = 50
 GRAM = 16
+GROUP_SIZE = 256 << 10           # words of one gram that a shard holds
 LEAP = 16                        # a found stretch is tried this many words further at once
 
 
@@ -85,16 +86,18 @@ class Index:
         self.wavelet = Wavelet(self.text[order - 1], int(self.text.max()))
         self.smaller = np.concatenate([[0], np.cumsum(np.bincount(self.text))])
         owner = np.append(np.repeat(ids, sizes + 1), np.iinfo(np.int64).max)
-        self.least = [owner[order]]                               # minima over stretches of 1, 2, 4, ... suffixes
+        self.ids = np.unique(owner)
+        self.least = [np.searchsorted(self.ids, owner[order]).astype(np.int32)]      # minima over 1, 2, 4, ... suffixes
         while len(self.least[-1]) > (1 << (len(self.least) - 1)):
             span, m = 1 << (len(self.least) - 1), self.least[-1]
-            self.least.append(np.minimum(m, np.append(m[span:], np.full(span, np.iinfo(np.int64).max))))
+            self.least.append(np.minimum(m, np.append(m[span:], np.full(span, len(self.ids) - 1, np.int32))))
         self.flat = np.concatenate(self.least)
+        self.least = self.least[:1]
 
     def least_id(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         level = np.frexp((right - left).astype(float))[1] - 1
         n = len(self.least[0])
-        return np.minimum(self.flat[level * n + left], self.flat[level * n + right - (1 << level)])
+        return self.ids[np.minimum(self.flat[level * n + left], self.flat[level * n + right - (1 << level)])]
 
     def extend(self, symbol: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Intervals of the matches with one more symbol in front."""
@@ -155,11 +158,11 @@ def _judge(pdf: pd.DataFrame, unit: Unit) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["id", "key", "begin", "stop"]).astype({"id": "int64", "key": "int64", "begin": "int32", "stop": "int32"})
 
 
-def substring_dedup(docs: DataFrame, length: int = LENGTH, **limits: int) -> DataFrame:
+def substring_dedup(docs: DataFrame, length: int = LENGTH, group_size: int = GROUP_SIZE, **limits: int) -> DataFrame:
     """doc_id, n (words), n_removed, spans (removed runs of words) and kept (bytes) for each row of docs."""
     if length <= GRAM:
         raise ValueError(f"length must be above {GRAM}")
-    return without_repeats(docs, Unit(True, length, GRAM, _judge, True), **limits)
+    return without_repeats(docs, Unit(True, length, GRAM, _judge, True, group_size), **limits)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ from .text import BYTE_VALUE, Rolling, dense, order_of
 LENGTH = 200
 STEP = 50
 GRAM = 32
+GROUP_SIZE = 2 << 20              # bytes of one gram that a shard holds
 PART_BYTES = 128 << 10          # text of one part, which is sorted alone
 
 
@@ -119,14 +120,14 @@ def _judge(pdf: pd.DataFrame, unit: Unit) -> pd.DataFrame:
     return pd.DataFrame(out).astype({"begin": "int32", "stop": "int32", "id": "int64", "key": "int64"})
 
 
-def suffix_array_dedup(docs: DataFrame, length: int = LENGTH, **limits: int) -> DataFrame:
+def suffix_array_dedup(docs: DataFrame, length: int = LENGTH, group_size: int = GROUP_SIZE, **limits: int) -> DataFrame:
     """doc_id, n (bytes), n_removed, spans (removed runs) and kept (bytes) for each row of docs.
 
     `length` must be a multiple of STEP.
     """
     if length % STEP or length <= GRAM:
         raise ValueError(f"length must be a multiple of {STEP}")
-    return without_repeats(docs, Unit(False, length, GRAM, _judge, False), **limits)
+    return without_repeats(docs, Unit(False, length, GRAM, _judge, False, group_size), **limits)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,13 +28,14 @@ from .text import BYTE_VALUE, Rolling, lists, minimizers, mix, slices, utf8, wor
 
 NO_ID = (1 << 63) - 1            # stands for a null doc_id, so null counts as the largest
 SHARD_BYTES = 512 << 10          # text that one shard indexes at a time
-GROUP_BYTES = 2 << 20            # a group with more is split by window offset
 PACKED_BYTES = 512 << 10         # compressed texts that a task unpacks at a time
 
 SCAN = "id long, key long, gram array<long>, context array<long>, first array<int>, last array<int>, lead array<int>"
-ENTRY = "grp long, id long, n long, key long, first int, lead int, lo int, hi int, body binary"
+ENTRY = "grp long, size long, m int, id long, n long, key long, first int, lead int, lo int, hi int, body binary"
 SPAN = "id long, key long, begin int, stop int"
 CUT = "doc_id long, n long, n_removed long, spans array<struct<begin:int,stop:int>>, kept binary"
+_ENTRY_KINDS = dict(grp=pa.int64(), size=pa.int64(), m=pa.int32(), id=pa.int64(), n=pa.int64(), key=pa.int64(),
+                    first=pa.int32(), lead=pa.int32(), lo=pa.int32(), hi=pa.int32(), body=pa.binary())
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,7 @@ class Unit:
     k: int
     judge: Callable[[pd.DataFrame, "Unit"], pd.DataFrame]     # entries of a shard -> spans
     other_document: bool                                      # a window counts only if a smaller id has it
+    group_size: int                                           # a group of more symbols is split by window offset
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not self.words:
@@ -94,9 +96,9 @@ def _entries(unit: Unit):
             for row in batch.to_pylist():
                 body = unzip.decompress(row["z"])
                 parts = body.split() if unit.words else None
-                out: dict[str, list] = {n: [] for n in ("grp", "id", "n", "key", "first", "lead", "lo", "hi", "body")}
+                out: dict[str, list] = {n: [] for n in _ENTRY_KINDS}
                 for e in row["entries"]:
-                    for name, value in (("grp", e["gram"]), ("id", row["id"]), ("n", e["n"]), ("key", row["key"]),
+                    for name, value in (("grp", e["gram"]), ("size", e["size"]), ("m", e["last"] - e["first"] + unit.length), ("id", row["id"]), ("n", e["n"]), ("key", row["key"]),
                                         ("first", e["first"]), ("lead", e["lead"]), ("lo", 0), ("hi", unit.length - unit.k),
                                         ("body", unit.cut(body, parts, e["first"], e["last"] + unit.length))):
                         out[name].append(value)
@@ -105,16 +107,14 @@ def _entries(unit: Unit):
 
 
 def _entry_batch(out: dict[str, list]) -> pa.RecordBatch:
-    kinds = dict(grp=pa.int64(), id=pa.int64(), n=pa.int64(), key=pa.int64(), first=pa.int32(), lead=pa.int32(),
-                 lo=pa.int32(), hi=pa.int32(), body=pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in kinds.items()], list(kinds))
+    return pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in _ENTRY_KINDS.items()], list(_ENTRY_KINDS))
 
 
 def _halve(unit: Unit):
     """Each entry of a large group twice: for the windows that begin far before the gram and for those near it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("grp", "id", "n", "key", "first", "lead", "lo", "hi", "body")}
+            out: dict[str, list] = {n: [] for n in _ENTRY_KINDS}
             for e in batch.to_pylist():
                 parts = e["body"].split() if unit.words else None
                 size = len(parts) if unit.words else len(e["body"])
@@ -127,7 +127,7 @@ def _halve(unit: Unit):
                     data = np.frombuffer(common, np.uint8)
                     tag = np.array([e["grp"] & (1 << 64) - 1, lo * 65537 + hi], np.uint64)
                     value = Rolling(np.concatenate([mix(tag), BYTE_VALUE[data]])).of(np.array([0]), np.array([len(data) + 2]))
-                    for name, v in (("grp", int(value.view(np.int64)[0])), ("id", e["id"]), ("n", e["n"]), ("key", e["key"]),
+                    for name, v in (("grp", int(value.view(np.int64)[0])), ("size", 0), ("m", end - begin + unit.length), ("id", e["id"]), ("n", e["n"]), ("key", e["key"]),
                                     ("first", e["first"] + begin), ("lead", e["lead"] - begin), ("lo", lo), ("hi", hi),
                                     ("body", unit.cut(e["body"], parts, begin, end + unit.length))):
                         out[name].append(v)
@@ -135,30 +135,25 @@ def _halve(unit: Unit):
     return run
 
 
-def _split_large(entries: DataFrame, unit: Unit, group_bytes: int) -> tuple[DataFrame, DataFrame | None]:
-    """Entries in groups that one shard can hold, and those whose group is one single window."""
-    kept, single = [], []
-    while True:
-        sizes = entries.groupBy("grp").agg(F.sum(F.length("body") + 64).alias("bytes"), F.min(F.col("hi") - F.col("lo")).alias("range"))
-        large = sizes.filter(F.col("bytes") > group_bytes).select("grp", "range")
-        if large.isEmpty():
-            break
-        kept.append(entries.join(large, "grp", "left_anti"))
-        single.append(entries.join(large.filter("range = 0"), "grp", "left_semi"))
-        entries = staged(entries.join(large.filter("range > 0"), "grp", "left_semi").mapInArrow(_halve(unit), ENTRY))
-    for part in kept:
-        entries = entries.unionByName(part)
-    for part in single[1:]:
-        single[0] = single[0].unionByName(part)
-    return entries, single[0] if single else None
-
-
-def spans(docs: DataFrame, unit: Unit, group_bytes: int = GROUP_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def _split_large(entries: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
+    """Entries in groups that one shard can hold, and those whose large group is one single window."""
+    fits, single = F.col("size") <= unit.group_size, F.col("lo") == F.col("hi")
+    small, windows, large = entries.filter(fits), entries.filter(~fits & single), entries.filter(~fits & ~single)
+    while not large.isEmpty():
+        halves = staged(large.mapInArrow(_halve(unit), ENTRY)).drop("size")
+        sizes = staged(halves.groupBy("grp").agg(F.sum("m").alias("size"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
+        halves = staged(halves.join(sizes, "grp"))
+        small, windows = small.unionByName(halves.filter(fits)), windows.unionByName(halves.filter(~fits & single))
+        large = halves.filter(~fits & ~single)
+    return small, windows
+
+
+def spans(docs: DataFrame, unit: Unit, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Stretches (id, key, begin, stop) of repeated windows; they may overlap."""
     spark = docs.sparkSession
     runs = staged(keyed(docs).mapInArrow(_scan(unit), SCAN)).select(
         "id", "key", F.inline(F.arrays_zip("gram", "context", "first", "last", "lead")))
-    again = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    again = staged(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     live = staged(runs.join(again, "gram", "left_semi"))
     index = staged(live.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "key", "first", "last", "lead")).alias("o"))
@@ -169,21 +164,19 @@ def spans(docs: DataFrame, unit: Unit, group_bytes: int = GROUP_BYTES, shard_byt
     if unit.other_document:
         whole = whole.filter("id > least")
     found = whole.select("id", "key", F.col("first").alias("begin"), (F.col("last") + length).alias("stop"))
-    several = index.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram")
-    wanted = index.join(several, "gram", "left_semi").groupBy("id", "key").agg(
-        F.collect_list(F.struct("gram", "n", "first", "last", "lead")).alias("entries"))
+    several = staged(index.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("last") - F.col("first") + length).alias("size"))
+                     .filter("c > 1").select("gram", "size"))
+    wanted = index.join(several, "gram").groupBy("id", "key").agg(
+        F.collect_list(F.struct("gram", "size", "n", "first", "last", "lead")).alias("entries"))
     entries = staged(packed(docs).join(wanted, ["id", "key"]).mapInArrow(_entries(unit), ENTRY))
-    entries, single = _split_large(entries, unit, group_bytes)
     amount = entries.agg(F.sum(F.length("body"))).first()[0] or 0
-    n = shards(spark, amount, shard_bytes)
-    judged = entries.groupBy(F.pmod("grp", F.lit(n)).alias("shard")).applyInPandas(
+    entries, windows = _split_large(entries, unit)
+    judged = entries.groupBy(F.pmod("grp", F.lit(shards(spark, amount, shard_bytes))).alias("shard")).applyInPandas(
         lambda pdf: unit.judge(pdf, unit), SPAN)
-    found = found.unionByName(judged)
-    if single is not None:
-        same = single.groupBy("grp").agg(F.sum("n").alias("total"), F.min("id").alias("least"))
-        same = single.join(same, "grp").filter("id > least" if unit.other_document else "total > 1")
-        found = found.unionByName(same.select("id", "key", F.col("first").alias("begin"), (F.col("first") + length).alias("stop")))
-    return found
+    totals = windows.groupBy("grp").agg(F.sum("n").alias("total"), F.min("id").alias("least"))
+    same = windows.join(totals, "grp").filter("id > least" if unit.other_document else "total > 1")
+    return found.unionByName(judged).unionByName(
+        same.select("id", "key", F.col("first").alias("begin"), (F.col("first") + length).alias("stop")))
 
 
 def _remove(unit: Unit):
