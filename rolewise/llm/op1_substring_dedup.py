@@ -158,11 +158,13 @@ def _judge(pdf: pd.DataFrame, unit: Unit) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["id", "key", "begin", "stop"]).astype({"id": "int64", "key": "int64", "begin": "int32", "stop": "int32"})
 
 
-def substring_dedup(docs: DataFrame, length: int = LENGTH, group_size: int = GROUP_SIZE, **limits: int) -> DataFrame:
-    """doc_id, n (words), n_removed, spans (removed runs of words) and kept (bytes) for each row of docs."""
+def substring_dedup(docs: DataFrame, length: int = LENGTH, group_size: int = GROUP_SIZE,
+                    carry: tuple[str, ...] = (), **limits: int) -> DataFrame:
+    """doc_id, n (words), n_removed, spans (removed runs of words) and kept (bytes) for each row of docs,
+    and the columns named in `carry` as _0, _1, ..."""
     if length <= GRAM:
         raise ValueError(f"length must be above {GRAM}")
-    return without_repeats(docs, Unit(True, length, GRAM, _judge, True, group_size), **limits)
+    return without_repeats(docs, Unit(True, length, GRAM, _judge, True, group_size), carry, **limits)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
 from .passages import Unit, without_repeats
 from .stage import table
@@ -120,14 +121,25 @@ def _judge(pdf: pd.DataFrame, unit: Unit) -> pd.DataFrame:
     return pd.DataFrame(out).astype({"begin": "int32", "stop": "int32", "id": "int64", "key": "int64"})
 
 
-def suffix_array_dedup(docs: DataFrame, length: int = LENGTH, group_size: int = GROUP_SIZE, **limits: int) -> DataFrame:
-    """doc_id, n (bytes), n_removed, spans (removed runs) and kept (bytes) for each row of docs.
+def suffix_array_dedup(docs: DataFrame, length: int = LENGTH, group_size: int = GROUP_SIZE,
+                       carry: tuple[str, ...] = (), **limits: int) -> DataFrame:
+    """doc_id, n (bytes), n_removed, spans (removed runs) and kept (bytes) for each row of docs,
+    and the columns named in `carry` as _0, _1, ...
 
     `length` must be a multiple of STEP.
     """
     if length % STEP or length <= GRAM:
         raise ValueError(f"length must be a multiple of {STEP}")
-    return without_repeats(docs, Unit(False, length, GRAM, _judge, False, group_size), **limits)
+    return without_repeats(docs, Unit(False, length, GRAM, _judge, False, group_size), carry, **limits)
+
+
+def _decode(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+
+def whole_characters(kept: Column) -> Column:
+    """Text of the bytes that form whole characters."""
+    return F.pandas_udf(_decode, StringType())(kept)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,10 +59,11 @@ class Unit:
         return b" ".join(parts[begin:stop]) if self.words else body[begin:stop]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id with null as the largest, and a key that tells rows of one doc_id apart unless they are equal."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.xxhash64("doc_id", "text").alias("key"), F.col("text").cast("string").alias("text"))
+def keyed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id with null as the largest, a key that tells rows of one doc_id apart unless they are equal, the carried
+    columns as _0, _1, ..., and text."""
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("doc_id", "text").alias("key"),
+                       *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)], F.col("text").cast("string").alias("text"))
 
 
 def _scan(unit: Unit):
@@ -82,11 +83,15 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     zip_ = zstandard.ZstdCompressor(level=1)
     for batch in slices(batches):
         texts = [zip_.compress((t or "").encode()) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(texts, pa.binary())], ["id", "key", "z"])
+        rest = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.binary())], [*rest, "z"])
 
 
-def packed(docs: DataFrame) -> DataFrame:
-    return keyed(docs).mapInArrow(_pack, "id long, key long, z binary")
+def packed(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """id, key, the carried columns as _0, _1, ..., and z, the compressed text (null as empty)."""
+    rows = keyed(docs, carry)
+    schema = ", ".join(f"{c} {t}" for c, t in rows.dtypes if c != "text")
+    return rows.mapInArrow(_pack, f"{schema}, z binary")
 
 
 def _entries(unit: Unit):
@@ -184,12 +189,12 @@ def _remove(unit: Unit):
         unzip = zstandard.ZstdDecompressor()
         for batch in slices(batches, "z", PACKED_BYTES):
             out: dict[str, list] = {n: [] for n in ("doc_id", "n", "n_removed", "spans", "kept")}
-            for row in batch.to_pylist():
-                body = unzip.decompress(row["z"])
+            for id_, z, spans_ in zip(*(batch.column(c).to_pylist() for c in ("id", "z", "spans"))):
+                body = unzip.decompress(z)
                 parts = body.split() if unit.words else None
                 n = len(parts) if unit.words else len(body)
                 at, kept, gaps = 0, [], []
-                for s in sorted(row["spans"] or [], key=lambda s: s["begin"]):
+                for s in sorted(spans_ or [], key=lambda s: s["begin"]):
                     if gaps and s["begin"] <= gaps[-1][1]:
                         gaps[-1][1] = max(gaps[-1][1], s["stop"])
                     else:
@@ -198,17 +203,22 @@ def _remove(unit: Unit):
                     kept.append(unit.cut(body, parts, at, begin))
                     at = stop
                 kept.append(unit.cut(body, parts, at, n))
-                out["doc_id"].append(None if row["id"] == NO_ID else row["id"])
+                out["doc_id"].append(None if id_ == NO_ID else id_)
                 out["n"].append(n)
                 out["n_removed"].append(sum(b - a for a, b in gaps))
                 out["spans"].append([{"begin": a, "stop": b} for a, b in gaps])
                 out["kept"].append(b" ".join(x for x in kept if x) if unit.words else b"".join(kept))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int32()), ("stop", pa.int32())])), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds)], list(out))
+            rest = [c for c in batch.schema.names if c not in ("id", "key", "z", "spans")]
+            yield pa.RecordBatch.from_arrays([*[pa.array(v, t) for v, t in zip(out.values(), kinds)], *[batch.column(c) for c in rest]],
+                                             [*out, *rest])
     return run
 
 
-def without_repeats(docs: DataFrame, unit: Unit, **limits: int) -> DataFrame:
-    """One row for each row of docs: doc_id, n (symbols), n_removed, spans (maximal removed runs) and kept (bytes)."""
+def without_repeats(docs: DataFrame, unit: Unit, carry: tuple[str, ...] = (), **limits: int) -> DataFrame:
+    """One row for each row of docs: doc_id, n (symbols), n_removed, spans (maximal removed runs), kept (bytes), and the
+    carried columns as _0, _1, ..."""
     found = spans(docs, unit, **limits).groupBy("id", "key").agg(F.collect_set(F.struct("begin", "stop")).alias("spans"))
-    return packed(docs).join(found, ["id", "key"], "left").mapInArrow(_remove(unit), CUT)
+    rows = packed(docs, carry).join(found, ["id", "key"], "left")
+    rest = "".join(f", {c} {t}" for c, t in rows.dtypes if c.startswith("_"))
+    return rows.mapInArrow(_remove(unit), CUT + rest)
