@@ -4,13 +4,16 @@ A-Z is lower-cased, words are `[^\\x20\\x09-\\x0D]+`, a set holds the distinct s
 there are fewer).  Two sets link when 100 * intersection >= percent * union.
 
 1. Equal sets are one class, whatever their number; only classes are compared.
-2. In an order of all shingles by hash, two linked sets share one among their first n - ceil(percent * n) + 1.  Classes
-   meet under each such shingle that several of them have; shingles with the same classes count once.
-3. A shard of meetings holds its classes as points: shingles are hashed into groups, and the counts of the groups are the
-   coordinates.  An R-tree keeps the largest coordinates and the range of sizes of each box; the sum of coordinate minima
-   bounds the overlap, so boxes and pairs below what their sizes need go.  The pairs that are left are verified on the sets.
-   A shingle of more than BLOCK classes is cut into blocks by size; pairs of blocks whose sizes can link are tasks.
-4. Links make components by label propagation with pointer jumping.
+2. In an order of all shingles by hash, two linked sets share one among their first n - ceil(percent * n) + 1.  A class
+   belongs to the family of the least such shingle that it shares with any class.  Linked classes are of one family, or
+   their families meet under a shingle that both have; shingles under which the same families meet count once.
+3. Shingles are hashed into groups, and the counts of the groups are a class's coordinates.  An R-tree keeps the largest
+   coordinates and the range of sizes of each box; the sum of coordinate minima bounds the overlap, so boxes whose bound is
+   below what their sizes need go.  Under a shingle of many families, trees of the families' boxes leave the pairs of
+   families that can hold a link; then trees of the classes leave the pairs that are verified on the sets.  Every pair of
+   classes is judged in one task only, which returns the number of links and a spanning set of them, not the pairs.
+   Families and meetings of more than BLOCK members are cut into blocks by size; pairs of blocks whose sizes can link are tasks.
+4. Spanning links make components by label propagation with pointer jumping.
 
 The result has one row for each row of docs; links are kept between classes, never expanded to copies.  Null texts and
 texts without words have an empty set and no links; a null doc_id counts as the largest; repeated rows are linked copies.
@@ -33,12 +36,15 @@ from .text import LOWER, Rolling, lists, mix, slices, utf8, word_hashes, words
 
 WORDS = 5
 PERCENT = 75
-BLOCK = 512                      # classes of one shingle that a task holds on a side
-SHARD_ROWS = 600                 # rows of meetings in a shard
+BLOCK = 512                      # members that a task holds on a side
+FEW = 16                         # families under one shingle that are paired without a tree
+GROUPS = 256                     # coordinates of a family's box
+SHARD_ROWS = 1500                # rows in a shard
 FAN = 16                         # children of a box
 PAIR_CELLS = 1 << 21             # coordinates compared at a time
 
 SETS = "id long, key long, n long, cls long, prefix array<long>"
+LINKS = "cls long, root long, degree long"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,91 +82,162 @@ def _scan(percent: int):
 
 
 class RTree:
-    """Points of group counts with their sizes, packed bottom-up: by size, then by the coordinate that varies most."""
+    """Boxes (largest group counts, range of sizes), packed bottom-up: by size, then by the coordinate that varies most."""
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        wide = int(np.argmax(points.std(axis=0)))
-        self.order = np.lexsort((points[:, wide], sizes))
-        self.levels = [(points[self.order], sizes[self.order], sizes[self.order])]
+    def __init__(self, top: np.ndarray, low: np.ndarray, high: np.ndarray):
+        wide = int(np.argmax(top.std(axis=0)))
+        self.order = np.lexsort((top[:, wide], low))
+        self.levels = [(top[self.order], low[self.order], high[self.order])]
         while len(self.levels[-1][1]) > 1:
             top, low, high = self.levels[-1]
             cuts = np.arange(0, len(low), FAN)
             self.levels.append((np.maximum.reduceat(top, cuts), np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts)))
 
-    def join(self, points: np.ndarray, sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, point) whose bound allows a link."""
-        query, node = np.arange(len(sizes)), np.zeros(len(sizes), np.int64)
+    def join(self, top: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, box) whose bound allows a link."""
+        query, node = np.arange(len(low)), np.zeros(len(low), np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
-            top, low, high = self.levels[level]
+            tops, lows, highs = self.levels[level]
             if level < len(self.levels) - 1:
                 query = np.repeat(query, FAN)
                 node = (node[:, None] * FAN + np.arange(FAN)).ravel()
-                inside = node < len(low)
+                inside = node < len(lows)
                 query, node = query[inside], node[inside]
-            size = sizes[query]
-            fits = (100 * high[node] >= percent * size) & (100 * size >= percent * low[node])
+            fits = (100 * highs[node] >= percent * low[query]) & (100 * high[query] >= percent * lows[node])
             query, node = query[fits], node[fits]
             good = np.ones(len(query), bool)
-            step = max(1, PAIR_CELLS // points.shape[1])
+            step = max(1, PAIR_CELLS // top.shape[1])
             for a in range(0, len(query), step):
                 q, v = query[a:a + step], node[a:a + step]
-                overlap = np.minimum(points[q], top[v]).sum(axis=1, dtype=np.int64)
-                good[a:a + step] = (100 + percent) * overlap >= percent * (sizes[q] + low[v])
+                overlap = np.minimum(top[q], tops[v]).sum(axis=1, dtype=np.int64)
+                good[a:a + step] = (100 + percent) * overlap >= percent * (low[q] + lows[v])
             query, node = query[good], node[good]
         return query, self.order[node]
 
 
-def _points(sets: list[np.ndarray]) -> np.ndarray:
-    """Counts of shingles in groups; about four shingles a group."""
-    groups = 1 << int(np.clip(np.ceil(np.log2(np.median([len(s) for s in sets]) / 4 + 1)), 3, 12))
-    flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    cells = np.bincount(row * groups + (flat & np.uint64(groups - 1)).astype(np.int64), minlength=len(sets) * groups)
-    return cells.reshape(len(sets), groups).astype(np.int32)
+def _cells(flat: np.ndarray, row: np.ndarray, rows: int, groups: int) -> np.ndarray:
+    cell = row * groups + (flat & np.uint64(groups - 1)).astype(np.int64)
+    return np.bincount(cell, minlength=rows * groups).reshape(rows, groups).astype(np.int32)
 
 
-def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int, int]]:
-    """(left, right, intersection) of the linked pairs of two lists of sets."""
-    points = _points(left + right)
+def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, np.ndarray]]:
+    """For sets on the left: the sets on the right that link with them."""
     sizes = np.array([len(s) for s in left + right], np.int64)
+    groups = 1 << int(np.clip(np.ceil(np.log2(np.median(sizes) / 4 + 1)), 3, 12))      # about four shingles a group
+    points = _cells(np.concatenate(left + right), np.repeat(np.arange(len(sizes)), sizes), len(sizes), groups)
     k = len(left)
-    who, other = RTree(points[k:], sizes[k:]).join(points[:k], sizes[:k], percent)
+    who, other = RTree(points[k:], sizes[k:], sizes[k:]).join(points[:k], sizes[:k], sizes[:k], percent)
     order = np.argsort(who, kind="stable")
     who, other, out = who[order], other[order], []
     for part in np.split(np.arange(len(who)), np.flatnonzero(np.diff(who)) + 1) if len(who) else ():
-        mine, theirs = left[who[part[0]]], other[part]
-        for some in np.array_split(theirs, len(theirs) // 256 + 1):
+        mine, good = left[who[part[0]]], []
+        for some in np.array_split(other[part], len(part) // 256 + 1):
             flat = np.concatenate([right[j] for j in some])
             at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
             ends = np.cumsum([len(right[j]) for j in some])
             hits = np.concatenate([[0], np.cumsum(mine[at] == flat)])
             both = hits[ends] - hits[np.concatenate([[0], ends[:-1]])]
-            union = len(mine) + sizes[k + some] - both
-            out += [(int(who[part[0]]), int(j), int(b)) for j, b, u in zip(some, both, union) if 100 * b >= percent * u]
+            good.append(some[100 * both >= percent * (len(mine) + sizes[k + some] - both)])
+        out.append((int(who[part[0]]), np.concatenate(good)))
     return out
 
 
+def _pair_families(percent: int):
+    """Pairs of families under one shingle whose boxes can hold a link."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = set()
+        for _, part in pdf.groupby(["h", "i", "j"]):
+            sides = [part[part["side"] <= 0], part[part["side"] == 1]]
+            if (part["side"] == 0).all():
+                sides[1] = sides[0]
+            if not len(sides[0]) or not len(sides[1]):
+                continue
+            boxes = [(np.frombuffer(b"".join(x["box"]), np.int32).reshape(len(x), -1), x["low"].to_numpy(), x["high"].to_numpy()) for x in sides]
+            a, b = RTree(*boxes[1]).join(*boxes[0], percent)
+            left, right = sides[0]["f"].to_numpy()[a], sides[1]["f"].to_numpy()[b]
+            out.update((min(x, y), max(x, y)) for x, y in zip(left.tolist(), right.tolist()) if x != y)
+        return pd.DataFrame(sorted(out), columns=["fa", "fb"], dtype="int64")
+    return run
+
+
 def _meet(percent: int):
+    """Links of each class in the tasks of a shard: how many rows it links with, and the least class it reaches."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        unzip, sets = zstandard.ZstdDecompressor(), {}
+        unzip, sets, out = zstandard.ZstdDecompressor(), {}, []
+        copies = dict(zip(pdf["cls"], pdf["copies"]))
         for cls, z in zip(pdf["cls"], pdf["z"]):
             if cls not in sets:
                 body = np.frombuffer(unzip.decompress(z), np.uint8)
                 sets[cls] = shingle_sets(body, np.array([0, len(body)]))[0]
-        out = set()
-        for (_, _, _), task in pdf.groupby(["task", "i", "j"]):
-            left = task.loc[task["side"] <= 0, "cls"].unique().tolist()
-            right = left if (task["side"] == 0).all() else task.loc[task["side"] == 1, "cls"].unique().tolist()
-            if left and right:
-                for a, b, _ in linked([sets[c] for c in left], [sets[c] for c in right], percent):
-                    if left[a] != right[b]:
-                        out.add((min(left[a], right[b]), max(left[a], right[b])))
-        return pd.DataFrame(sorted(out), columns=["a", "b"], dtype="int64")
+        for _, task in pdf.groupby(["f", "i", "j"]):
+            left = task.loc[task["side"] <= 0, "cls"].tolist()
+            same = bool((task["side"] == 0).all())
+            right = left if same else task.loc[task["side"] == 1, "cls"].tolist()
+            degree: dict[int, int] = {}
+            root = {c: c for c in left + right}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = root[root[c]]
+                    c = root[c]
+                return c
+
+            for a, found in linked([sets[c] for c in left], [sets[c] for c in right], percent) if left and right else ():
+                x = left[a]
+                for y in (right[b] for b in found):
+                    if x != y:
+                        degree[x] = degree.get(x, 0) + copies[y]
+                        if not same:
+                            degree[y] = degree.get(y, 0) + copies[x]
+                        p, q = find(x), find(y)
+                        root[max(p, q)] = min(p, q)
+            out += [(c, find(c), n) for c, n in degree.items()]
+        return pd.DataFrame(out, columns=["cls", "root", "degree"], dtype="int64")
     return run
 
 
+def _box(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    unzip = zstandard.ZstdDecompressor()
+    for pdf in batches:
+        cells = []
+        for z in pdf["z"]:
+            body = np.frombuffer(unzip.decompress(z), np.uint8)
+            values = shingle_sets(body, np.array([0, len(body)]))[0]
+            cells.append(_cells(values, np.zeros(len(values), np.int64), 1, GROUPS)[0])
+        yield _largest(pd.DataFrame({"f": pdf["f"], "low": pdf["n"], "high": pdf["n"], "box": [c.tobytes() for c in cells]}))
+
+
+def _largest(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One box for each family."""
+    if pdf.empty:
+        return pdf[["f", "low", "high", "box"]]
+    cells = np.frombuffer(b"".join(pdf["box"]), np.int32).reshape(len(pdf), -1)
+    order = np.argsort(pdf["f"].to_numpy(), kind="stable")
+    f = pdf["f"].to_numpy()[order]
+    heads = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
+    low, high = pdf["low"].to_numpy()[order], pdf["high"].to_numpy()[order]
+    return pd.DataFrame({"f": f[heads], "low": np.minimum.reduceat(low, heads), "high": np.maximum.reduceat(high, heads),
+                         "box": [c.tobytes() for c in np.maximum.reduceat(cells[order], heads)]})
+
+
+def _blocks(rows: DataFrame, group: str, low: str, high: str, tie: str, percent: int, carry: list[str]) -> DataFrame:
+    """Rows of a group dealt to tasks (i, j): blocks of BLOCK rows by size, each pair of blocks whose sizes can link.
+    side is 0 in a block's own task, else -1 for block i and 1 for block j."""
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(low, tie)) - 1
+    rows = rows.withColumn("i", F.floor(rank / BLOCK).cast("int"))
+    spans = staged(rows.groupBy(group, "i").agg(F.min(low).alias("l"), F.max(high).alias("h_")))
+    other = spans.select(group, F.col("i").alias("j"), F.col("l").alias("l2"), F.col("h_").alias("h2"))
+    fits = (F.col("i") <= F.col("j")) & (F.col("h_") * 100 >= F.col("l2") * percent) & (F.col("h2") * 100 >= F.col("l") * percent)
+    pairs = staged(spans.join(other, group).filter(fits).select(group, "i", "j"))
+    first = rows.join(pairs, [group, "i"]).select(group, "i", "j", F.when(F.col("i") == F.col("j"), 0).otherwise(-1).alias("side"), *carry)
+    second = rows.withColumnRenamed("i", "j").join(pairs.filter("i < j"), [group, "j"]).select(group, "i", "j", F.lit(1).alias("side"), *carry)
+    return first.unionByName(second)
+
+
 def _components(links: DataFrame) -> DataFrame:
     """cls and label, the least cls that links reach, for all classes with links."""
-    both = staged(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    links = links.select(F.col("cls").alias("a"), F.col("root").alias("b"))
+    both = staged(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = staged(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("label")))
     while True:
         near = both.join(labels, F.col("b") == F.col("cls")).groupBy("a").agg(F.min("label").alias("near"))
@@ -175,7 +252,8 @@ def _components(links: DataFrame) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """rows (id, key, n, cls), classes (cls, n, id, copies) and links (a, b) between classes."""
+    """rows (id, key, n, cls), classes (cls, n, id, copies) and links (cls, root, degree): a class is linked, directly or
+    not, with its root, and its degrees add up to the linked rows outside the class."""
     spark = docs.sparkSession
     sets = staged(keyed(docs).mapInArrow(_scan(percent), SETS))
     rows = sets.select("id", "key", "n", "cls")
@@ -184,31 +262,46 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         .select("cls", "copies", "o.*", "prefix"))
     classes = firsts.drop("prefix")
     tokens = firsts.select("cls", "n", F.explode("prefix").alias("h"))
-    live = staged(tokens.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("m > 1"))
-    lead = staged(live.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("cls")).alias("x"),
-                                        F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
-                  .groupBy("c", "x", "y").agg(F.min("h").alias("h")).select("h"))
-    live = staged(live.join(lead, "h"))
-    amount = live.count()
-    n_shards = shards(spark, amount, SHARD_ROWS)
-    small = live.filter(F.col("m") <= BLOCK).select(
-        "cls", F.pmod("h", F.lit(n_shards)).alias("task"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    rank = F.row_number().over(Window.partitionBy("h").orderBy("n", "cls")) - 1
-    large = live.filter(F.col("m") > BLOCK).withColumn("i", F.floor(rank / BLOCK).cast("int"))
-    spans = large.groupBy("h", "i").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    other = spans.select("h", F.col("i").alias("j"), F.col("low").alias("low_j"))
-    pairs = spans.join(other, "h").filter((F.col("i") <= F.col("j")) & (F.col("high") * 100 >= F.col("low_j") * percent))
-    pairs = staged(pairs.select("h", "i", "j"))
-    side = F.when(F.col("i") == F.col("j"), 0).otherwise(F.lit(-1))
-    large = large.select("h", "cls", "i")
-    large = large.join(pairs, ["h", "i"]).select("cls", F.col("h").alias("task"), "i", "j", side.alias("side")).unionByName(
-        large.withColumnRenamed("i", "j").join(pairs.filter("i < j"), ["h", "j"]).select("cls", F.col("h").alias("task"), "i", "j", F.lit(1).alias("side")))
-    meetings = small.distinct().unionByName(large)
-    texts = packed(docs).join(classes.join(live.select("cls").distinct(), "cls").select("id", "key", "cls"), ["id", "key"])
-    texts = staged(texts.select("cls", "z").dropDuplicates(["cls"]))
-    shard = F.pmod(F.xxhash64("task", "i", "j"), F.lit(n_shards))
-    links = meetings.join(texts, "cls").groupBy(shard.alias("shard")).applyInPandas(_meet(percent), "a long, b long")
-    return rows, classes, staged(links.distinct())
+    live = staged(tokens.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("m > 1").drop("m"))
+    family = staged(live.groupBy("cls").agg(F.min("h").alias("f"), F.min("n").alias("n")))
+    under = live.select("h", "cls").join(family.select("cls", "f"), "cls").select("h", "f").distinct()
+    signs = under.groupBy("h").agg(F.count(F.lit(1)).alias("d"), F.bit_xor(F.xxhash64("f")).alias("x"), F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"))
+    lead = signs.filter("d > 1").groupBy("d", "x", "y").agg(F.min("h").alias("h")).select("h", "d")
+    under = staged(under.join(staged(lead), "h"))
+    members = packed(docs).join(classes.join(family.select("cls", "f"), "cls").select("id", "key", "cls", "copies", "n", "f"), ["id", "key"])
+    members = staged(members.groupBy("cls").agg(F.first(F.struct("f", "n", "copies", "z")).alias("o")).select("cls", "o.*"))
+    families = staged(members.groupBy("f").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high")))
+
+    few = under.filter(F.col("d") <= FEW).select("h", "f")
+    few = few.withColumnRenamed("f", "fa").join(few.withColumnRenamed("f", "fb"), "h").filter("fa < fb").select("fa", "fb").distinct()
+    many = under.filter(F.col("d") > FEW).select("h", "f")
+    wide = members.join(many.select("f").distinct(), "f").select("f", "n", "z")
+    n_shards = shards(spark, members.count(), SHARD_ROWS)
+    boxes = wide.mapInPandas(_box, "f long, low long, high long, box binary")
+    boxes = staged(boxes.groupBy(F.pmod("f", F.lit(n_shards)).alias("part")).applyInPandas(_largest, "f long, low long, high long, box binary"))
+    dealt = _blocks(many.join(boxes.select("f", "low", "high"), "f"), "h", "low", "high", "f", percent, ["f"]).join(boxes, "f")
+    paired = dealt.groupBy(F.pmod(F.xxhash64("h", "i", "j"), F.lit(n_shards)).alias("shard")).applyInPandas(_pair_families(percent), "fa long, fb long")
+    paired = few.unionByName(paired).distinct()
+
+    sized = [families.select(F.col("f").alias(x), F.col("size").alias(f"size_{x}"), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in ("fa", "fb")]
+    paired = paired.join(sized[0], "fa").join(sized[1], "fb").filter(
+        (F.col("high_fa") * 100 >= F.col("low_fb") * percent) & (F.col("high_fb") * 100 >= F.col("low_fa") * percent))
+    larger = F.col("size_fa") >= F.col("size_fb")                    # the larger family stays, the smaller one travels
+    paired = staged(paired.select(F.when(larger, F.col("fa")).otherwise(F.col("fb")).alias("host"), F.when(larger, F.col("fb")).otherwise(F.col("fa")).alias("f")))
+    row = ["cls", "copies", "z"]
+    own = _blocks(members.select("f", "n", "cls"), "f", "n", "n", "cls", percent, ["cls"])
+    hosts = paired.select(F.col("host").alias("f")).distinct()
+    rank = lambda group: F.floor((F.row_number().over(Window.partitionBy(group).orderBy("n", "cls")) - 1) / BLOCK).cast("int")
+    home = staged(members.join(hosts, "f").select("f", "n", "cls").withColumn("i", rank("f")))
+    guest = staged(members.select("f", "n", "cls").join(paired, "f").select(F.col("host").alias("f"), "n", "cls").withColumn("j", rank("f")))
+    at_home = home.groupBy("f", "i").agg(F.min("n").alias("l"), F.max("n").alias("h_"))
+    visits = guest.groupBy("f", "j").agg(F.min("n").alias("l2"), F.max("n").alias("h2"))
+    meets = staged(at_home.join(visits, "f").filter((F.col("h_") * 100 >= F.col("l2") * percent) & (F.col("h2") * 100 >= F.col("l") * percent)).select("f", "i", "j"))
+    away = home.join(meets, ["f", "i"]).select("f", "i", (-1 - F.col("j")).alias("j"), F.lit(-1).alias("side"), "cls").unionByName(
+        guest.join(meets, ["f", "j"]).select("f", "i", (-1 - F.col("j")).alias("j"), F.lit(1).alias("side"), "cls"))
+    tasks = own.join(families.filter("size > 1").select("f"), "f").unionByName(away).join(members.select(*row), "cls")
+    links = staged(tasks.groupBy(F.pmod(F.xxhash64("f", "i", "j"), F.lit(n_shards)).alias("shard")).applyInPandas(_meet(percent), LINKS))
+    return rows, classes, links
 
 
 def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -216,8 +309,7 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows, classes, links = jaccard_classes(docs, percent)
     labels = _components(links)
     least = labels.join(classes, "cls").groupBy("label").agg(F.min("id").alias("least"))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(classes.select(F.col("cls").alias("b"), "copies"), "b").groupBy(F.col("a").alias("cls")).agg(F.sum("copies").alias("degree"))
+    degree = links.groupBy("cls").agg(F.sum("degree").alias("degree"))
     found = classes.join(labels.join(least, "label").select("cls", "least"), "cls", "left").join(degree, "cls", "left").select(
         "cls", F.coalesce("least", "id").alias("least"), (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     component = F.coalesce("least", "id")
