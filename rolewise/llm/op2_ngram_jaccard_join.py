@@ -4,13 +4,13 @@ A-Z is lower-cased, words are `[^\\x20\\x09-\\x0D]+`, a set holds the distinct s
 there are fewer).  Two sets link when 100 * intersection >= percent * union.
 
 1. Equal sets are one class, whatever their number; only classes are compared.
-2. In an order of all shingles by hash, two linked sets share one among their first n - ceil(percent * n) + 1.  A class
+2. In any order of all shingles two linked sets share one among their first n - ceil(percent * n) + 1.  The
+   order is by hash, with shingles that are seen to be frequent last (a hint that changes the work, never the result).  A class
    belongs to the family of the least such shingle that it shares with any class.  Linked classes are of one family, or
    their families meet under a shingle that both have; shingles under which the same families meet count once.
 3. Shingles are hashed into groups, and the counts of the groups are a class's coordinates.  An R-tree keeps the largest
    coordinates and the range of sizes of each box; the sum of coordinate minima bounds the overlap, so boxes whose bound is
-   below what their sizes need go.  Under a shingle of many families, trees of the families' boxes leave the pairs of
-   families that can hold a link; then trees of the classes leave the pairs that are verified on the sets.  Every pair of
+   below what their sizes need go.  Trees of the families' boxes leave the pairs of families that can hold a link; then trees of the classes leave the pairs that are verified on the sets.  Every pair of
    classes is judged in one task only, which returns the number of links and a spanning set of them, not the pairs.
    Families and meetings of more than BLOCK members are cut into blocks by size; pairs of blocks whose sizes can link are tasks.
 4. Spanning links make components by label propagation with pointer jumping.
@@ -37,7 +37,8 @@ from .text import LOWER, Rolling, lists, mix, slices, utf8, word_hashes, words
 WORDS = 5
 PERCENT = 75
 BLOCK = 512                      # members that a task holds on a side
-FEW = 16                         # families under one shingle that are paired without a tree
+HINTS = 200_000                  # most shingles that the order puts last
+HINT_SETS, HINT_TOKENS = 30, 4 << 20   # from so many sets on; counted among so many shingles at a time
 GROUPS = 256                     # coordinates of a family's box
 SHARD_ROWS = 1500                # rows in a shard
 FAN = 16                         # children of a box
@@ -64,13 +65,44 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return values, np.searchsorted(row, np.arange(len(counts) + 1))
 
 
-def _scan(percent: int):
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in _with_end(slices(batches)):
+        if batch is not None:
+            held.append(shingle_sets(*utf8(batch.column("text")))[0])
+            size += len(held[-1])
+        if held and (batch is None or size >= HINT_TOKENS):
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = counts > 2
+            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often])], ["h", "n"])
+            held, size = [], 0
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """At most HINTS frequent shingles in ascending order, and their places in the order of all shingles."""
+    seen = keyed(docs).mapInArrow(_frequent, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    rows = seen.filter(F.col("n") >= HINT_SETS).orderBy(F.desc("n"), "h").limit(HINTS).select("h").collect()
+    values = np.array([r[0] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], (len(values) - order).astype(np.int64)      # the most frequent last
+
+
+def _scan(percent: int, frequent: np.ndarray, late: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             values, offsets = shingle_sets(*utf8(batch.column("text")))
             n = np.diff(offsets)
             sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(values ^ np.uint64(0x5851F42D4C957F2D)))])
             cls = mix((sums[offsets[1:]] - sums[offsets[:-1]]) + n.astype(np.uint64))
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
+                place = np.repeat(np.arange(len(n)), n) * (len(frequent) + 1) + np.where(frequent[at] == values, late[at], 0)
+                values = values[np.argsort(place, kind="stable")]
             first = np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
             row = np.repeat(np.arange(len(n)), first)
             ends = np.cumsum(first)
@@ -143,13 +175,13 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> lis
 
 
 def _pair_families(percent: int):
-    """Pairs of families under one shingle whose boxes can hold a link."""
+    """Pairs of families that meet in a shard and whose boxes can hold a link."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = set()
-        for _, part in pdf.groupby(["h", "i", "j"]):
+        for _, part in pdf.groupby(["t", "i", "j"]):
             sides = [part[part["side"] <= 0], part[part["side"] == 1]]
             if (part["side"] == 0).all():
-                sides[1] = sides[0]
+                sides[1] = sides[0] = sides[0].drop_duplicates("f")
             if not len(sides[0]) or not len(sides[1]):
                 continue
             boxes = [(np.frombuffer(b"".join(x["box"]), np.int32).reshape(len(x), -1), x["low"].to_numpy(), x["high"].to_numpy()) for x in sides]
@@ -255,7 +287,7 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     """rows (id, key, n, cls), classes (cls, n, id, copies) and links (cls, root, degree): a class is linked, directly or
     not, with its root, and its degrees add up to the linked rows outside the class."""
     spark = docs.sparkSession
-    sets = staged(keyed(docs).mapInArrow(_scan(percent), SETS))
+    sets = staged(keyed(docs).mapInArrow(_scan(percent, *frequent_shingles(docs)), SETS))
     rows = sets.select("id", "key", "n", "cls")
     firsts = staged(sets.filter("n > 0").groupBy("cls").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "key", "n")).alias("o"), F.min_by("prefix", "id").alias("prefix"))
@@ -272,16 +304,15 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     members = staged(members.groupBy("cls").agg(F.first(F.struct("f", "n", "copies", "z")).alias("o")).select("cls", "o.*"))
     families = staged(members.groupBy("f").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high")))
 
-    few = under.filter(F.col("d") <= FEW).select("h", "f")
-    few = few.withColumnRenamed("f", "fa").join(few.withColumnRenamed("f", "fb"), "h").filter("fa < fb").select("fa", "fb").distinct()
-    many = under.filter(F.col("d") > FEW).select("h", "f")
-    wide = members.join(many.select("f").distinct(), "f").select("f", "n", "z")
     n_shards = shards(spark, members.count(), SHARD_ROWS)
+    wide = members.join(under.select("f").distinct(), "f").select("f", "n", "z")
     boxes = wide.mapInPandas(_box, "f long, low long, high long, box binary")
     boxes = staged(boxes.groupBy(F.pmod("f", F.lit(n_shards)).alias("part")).applyInPandas(_largest, "f long, low long, high long, box binary"))
-    dealt = _blocks(many.join(boxes.select("f", "low", "high"), "f"), "h", "low", "high", "f", percent, ["f"]).join(boxes, "f")
-    paired = dealt.groupBy(F.pmod(F.xxhash64("h", "i", "j"), F.lit(n_shards)).alias("shard")).applyInPandas(_pair_families(percent), "fa long, fb long")
-    paired = few.unionByName(paired).distinct()
+    small = under.filter(F.col("d") <= BLOCK).select(F.pmod("h", F.lit(n_shards)).alias("t"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "f").distinct()
+    large = under.filter(F.col("d") > BLOCK).select("h", "f").join(boxes.select("f", "low", "high"), "f")
+    large = _blocks(large, "h", "low", "high", "f", percent, ["f"]).withColumnRenamed("h", "t")
+    shard = F.when(F.col("t").between(0, n_shards - 1), F.col("t")).otherwise(F.pmod(F.xxhash64("t", "i", "j"), F.lit(n_shards)))
+    paired = small.unionByName(large).join(boxes, "f").groupBy(shard.alias("shard")).applyInPandas(_pair_families(percent), "fa long, fb long").distinct()
 
     sized = [families.select(F.col("f").alias(x), F.col("size").alias(f"size_{x}"), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in ("fa", "fb")]
     paired = paired.join(sized[0], "fa").join(sized[1], "fb").filter(
