@@ -39,7 +39,7 @@ PERCENT = 75
 BLOCK = 512                      # members that a task holds on a side
 HINTS = 200_000                  # most shingles that the order puts last
 HINT_SETS, HINT_TOKENS = 30, 4 << 20   # from so many sets on; counted among so many shingles at a time
-GROUPS = 256                     # coordinates of a family's box
+GROUPS = 32                      # least number of coordinates of a family's box
 SHARD_ROWS = 1500                # rows in a shard
 FAN = 16                         # children of a box
 PAIR_CELLS = 1 << 21             # coordinates compared at a time
@@ -174,21 +174,55 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> lis
     return out
 
 
+def _fold(cells: np.ndarray, groups: int) -> np.ndarray:
+    """Counts in fewer groups: groups are told apart by the low bits of the hash."""
+    return cells.reshape(-1, groups).sum(axis=0) if len(cells) > groups else cells
+
+
+def _can_link(boxes: list[np.ndarray], low: np.ndarray, high: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of boxes allow a link, by their sizes and by the coordinate minima in the groups that both have."""
+    good = (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
+    sizes = np.array([len(x) for x in boxes])
+    groups = np.minimum(sizes[a], sizes[b])
+    for g in np.unique(groups[good]):
+        some = np.flatnonzero(good & (groups == g))
+        used, at = np.unique(np.concatenate([a[some], b[some]]), return_inverse=True)
+        cells, k = np.array([_fold(boxes[x], g) for x in used]), len(some)
+        for c in range(0, k, max(1, PAIR_CELLS // int(g))):
+            d = min(k, c + max(1, PAIR_CELLS // int(g)))
+            overlap = np.minimum(cells[at[c:d]], cells[at[k + c:k + d]]).sum(axis=1, dtype=np.int64)
+            good[some[c:d]] = (100 + percent) * overlap >= percent * (low[a[some[c:d]]] + low[b[some[c:d]]])
+    return good
+
+
 def _pair_families(percent: int):
-    """Pairs of families that meet in a shard and whose boxes can hold a link."""
+    """Pairs of families under one shingle whose boxes can hold a link."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = set()
-        for _, part in pdf.groupby(["t", "i", "j"]):
-            sides = [part[part["side"] <= 0], part[part["side"] == 1]]
-            if (part["side"] == 0).all():
-                sides[1] = sides[0] = sides[0].drop_duplicates("f")
-            if not len(sides[0]) or not len(sides[1]):
+        names, f = np.unique(pdf["f"].to_numpy(), return_inverse=True)
+        one = np.unique(f, return_index=True)[1]
+        boxes = [np.frombuffer(x, np.int32) for x in pdf["box"].to_numpy()[one]]
+        low, high = pdf["low"].to_numpy()[one], pdf["high"].to_numpy()[one]
+        side, pairs = pdf["side"].to_numpy(), []
+        for rows in pdf.groupby(["t", "i", "j"]).indices.values():
+            left, right = f[rows[side[rows] <= 0]], f[rows[side[rows] == 1]]
+            if not len(right):
+                right = left if (side[rows] == 0).all() else right
+            if not len(left) or not len(right):
                 continue
-            boxes = [(np.frombuffer(b"".join(x["box"]), np.int32).reshape(len(x), -1), x["low"].to_numpy(), x["high"].to_numpy()) for x in sides]
-            a, b = RTree(*boxes[1]).join(*boxes[0], percent)
-            left, right = sides[0]["f"].to_numpy()[a], sides[1]["f"].to_numpy()[b]
-            out.update((min(x, y), max(x, y)) for x, y in zip(left.tolist(), right.tolist()) if x != y)
-        return pd.DataFrame(sorted(out), columns=["fa", "fb"], dtype="int64")
+            if len(left) <= FAN and len(right) <= FAN:            # one leaf
+                pairs.append((np.repeat(left, len(right)), np.tile(right, len(left))))
+            else:
+                g = min(len(boxes[x]) for x in np.concatenate([left, right]))
+                tops = [np.array([_fold(boxes[x], g) for x in s]) for s in (left, right)]
+                a, b = RTree(tops[1], low[right], high[right]).join(tops[0], low[left], high[left], percent)
+                pairs.append((left[a], right[b]))
+        if not pairs:
+            return pd.DataFrame({"fa": [], "fb": []}, dtype="int64")
+        a, b = (np.concatenate(x).astype(np.int64) for x in zip(*pairs))
+        key = np.unique((np.minimum(a, b) * len(names) + np.maximum(a, b))[a != b])
+        a, b = key // len(names), key % len(names)
+        good = _can_link(boxes, low, high, a, b, percent)
+        return pd.DataFrame({"fa": names[a[good]], "fb": names[b[good]]}, dtype="int64")
     return run
 
 
@@ -235,21 +269,20 @@ def _box(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for z in pdf["z"]:
             body = np.frombuffer(unzip.decompress(z), np.uint8)
             values = shingle_sets(body, np.array([0, len(body)]))[0]
-            cells.append(_cells(values, np.zeros(len(values), np.int64), 1, GROUPS)[0])
+            groups = max(GROUPS, 1 << int(len(values) // 4).bit_length())
+            cells.append(_cells(values, np.zeros(len(values), np.int64), 1, groups)[0])
         yield _largest(pd.DataFrame({"f": pdf["f"], "low": pdf["n"], "high": pdf["n"], "box": [c.tobytes() for c in cells]}))
 
 
 def _largest(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One box for each family."""
-    if pdf.empty:
-        return pdf[["f", "low", "high", "box"]]
-    cells = np.frombuffer(b"".join(pdf["box"]), np.int32).reshape(len(pdf), -1)
-    order = np.argsort(pdf["f"].to_numpy(), kind="stable")
-    f = pdf["f"].to_numpy()[order]
-    heads = np.flatnonzero(np.append(True, f[1:] != f[:-1]))
-    low, high = pdf["low"].to_numpy()[order], pdf["high"].to_numpy()[order]
-    return pd.DataFrame({"f": f[heads], "low": np.minimum.reduceat(low, heads), "high": np.maximum.reduceat(high, heads),
-                         "box": [c.tobytes() for c in np.maximum.reduceat(cells[order], heads)]})
+    """One box for each family, in as many groups as all its members have."""
+    out = []
+    for f, rows in pdf.groupby("f").indices.items():
+        boxes = [np.frombuffer(x, np.int32) for x in pdf["box"].to_numpy()[rows]]
+        g = min(map(len, boxes))
+        out.append((f, pdf["low"].to_numpy()[rows].min(), pdf["high"].to_numpy()[rows].max(),
+                    np.max([_fold(x, g) for x in boxes], axis=0).astype(np.int32).tobytes()))
+    return pd.DataFrame(out, columns=["f", "low", "high", "box"])
 
 
 def _blocks(rows: DataFrame, group: str, low: str, high: str, tie: str, percent: int, carry: list[str]) -> DataFrame:
@@ -308,10 +341,10 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     wide = members.join(under.select("f").distinct(), "f").select("f", "n", "z")
     boxes = wide.mapInPandas(_box, "f long, low long, high long, box binary")
     boxes = staged(boxes.groupBy(F.pmod("f", F.lit(n_shards)).alias("part")).applyInPandas(_largest, "f long, low long, high long, box binary"))
-    small = under.filter(F.col("d") <= BLOCK).select(F.pmod("h", F.lit(n_shards)).alias("t"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "f").distinct()
+    small = under.filter(F.col("d") <= BLOCK).select(F.col("h").alias("t"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "f")
     large = under.filter(F.col("d") > BLOCK).select("h", "f").join(boxes.select("f", "low", "high"), "f")
     large = _blocks(large, "h", "low", "high", "f", percent, ["f"]).withColumnRenamed("h", "t")
-    shard = F.when(F.col("t").between(0, n_shards - 1), F.col("t")).otherwise(F.pmod(F.xxhash64("t", "i", "j"), F.lit(n_shards)))
+    shard = F.pmod(F.xxhash64("t", "i", "j"), F.lit(n_shards))
     paired = small.unionByName(large).join(boxes, "f").groupBy(shard.alias("shard")).applyInPandas(_pair_families(percent), "fa long, fb long").distinct()
 
     sized = [families.select(F.col("f").alias(x), F.col("size").alias(f"size_{x}"), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in ("fa", "fb")]
