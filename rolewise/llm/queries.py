@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import (op1_substring_dedup, op2_ngram_jaccard_join, op4_decontamination, op6_suffix_array_dedup, op7_language_id,
-               op8_source_mix, op10_exact_top_k)
+from . import (op1_substring_dedup, op2_ngram_jaccard_join, op3_url_filters, op4_decontamination, op6_suffix_array_dedup,
+               op7_language_id, op8_source_mix, op9_toxicity, op10_exact_top_k)
 
-_MODULES = (op1_substring_dedup, op2_ngram_jaccard_join, op4_decontamination, op6_suffix_array_dedup, op7_language_id,
-            op8_source_mix, op10_exact_top_k)
+_MODULES = (op1_substring_dedup, op2_ngram_jaccard_join, op3_url_filters, op4_decontamination, op6_suffix_array_dedup,
+            op7_language_id, op8_source_mix, op9_toxicity, op10_exact_top_k)
 
 QUERIES = {m.__name__.rpartition(".")[2]: m.query for m in _MODULES}
 SQL = {m.__name__.rpartition(".")[2]: m.SQL for m in _MODULES if hasattr(m, "SQL")}
