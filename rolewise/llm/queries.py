@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import (op1_substring_dedup, op2_ngram_jaccard_join, op3_url_filters, op4_decontamination, op6_suffix_array_dedup,
+from . import (op1_substring_dedup, op2_ngram_jaccard_join, op3_url_filters, op4_decontamination, op5_lm_scoring, op6_suffix_array_dedup,
                op7_language_id, op8_source_mix, op9_toxicity, op10_exact_top_k)
 
-_MODULES = (op1_substring_dedup, op2_ngram_jaccard_join, op3_url_filters, op4_decontamination, op6_suffix_array_dedup,
+_MODULES = (op1_substring_dedup, op2_ngram_jaccard_join, op3_url_filters, op4_decontamination, op5_lm_scoring, op6_suffix_array_dedup,
             op7_language_id, op8_source_mix, op9_toxicity, op10_exact_top_k)
 
 QUERIES = {m.__name__.rpartition(".")[2]: m.query for m in _MODULES}
