@@ -119,15 +119,16 @@ def _rows(known: Known):
     return run
 
 
-def fit(x: np.ndarray, y: np.ndarray, swaps: list[tuple[int, int, int]], penalty: float = PENALTY, ridge: float = RIDGE,
+def fit(row: np.ndarray, column: np.ndarray, size: int, y: np.ndarray, swaps: list[tuple[int, int, int]], penalty: float = PENALTY, ridge: float = RIDGE,
         steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and intercept.  swaps: (row, term, other): the text of a row with a term in place of which another stands."""
-    w, b = np.zeros(x.shape[1]), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    """Weights of `size` features, and intercept, for texts whose features are the pairs (row, column).
+    swaps: (row, term, other): the text of a row with a term in place of which another stands."""
+    w, b = np.zeros(size), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v, t = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
     old, new = (np.array([s[i] for s in swaps], np.int64) for i in (1, 2))
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
-        g = x.T @ (p - y) / len(y) + ridge * w
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(y)) + b, -30, 30)))
+        g = np.bincount(column, (p - y)[row], size) / len(y) + ridge * w
         if len(old):
             change = w[new] - w[old]                    # of the log odds by a swap
             g += 2 * penalty / len(old) * (np.bincount(new, change, len(w)) - np.bincount(old, change, len(w)))
@@ -173,13 +174,14 @@ def train(docs: DataFrame, labels: DataFrame, families: tuple = IDENTITY_TERMS,
     known = Known(np.concatenate([np.array(chosen, np.int64).view(np.uint64), *terms]))
     size = len(known.hashes)
     sample = rows.mapInArrow(_rows(known), "toxic long, words array<int>").collect()
-    x, y = np.zeros((len(sample), 2 * size), np.float32), np.array([r[0] for r in sample], float)
+    y = np.array([r[0] for r in sample], float)
     swaps = []
     family_of = {int(i): [int(j) for j in places] for places in (known.place(t) for t in terms) for i in places}
     for i, (_, present) in enumerate(sample):
-        x[i, present] = 1
         swaps += [(i, t, other + t // size * size) for t in present for other in family_of.get(t % size, ()) if other != t % size]
-    return Model(known, *fit(x, y, swaps))
+    row = np.repeat(np.arange(len(sample)), [len(r[1]) for r in sample])
+    column = np.array([c for r in sample for c in r[1]], np.int64)
+    return Model(known, *fit(row, column, 2 * size, y, swaps))
 
 
 def _predict(model: Model):
