@@ -39,13 +39,14 @@ from .text import LOWER, mix, slices, utf8, word_hashes, words
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"     # read by the driver
 PIECE_LIMIT = 64                 # longer words are cut before they are split into ids
-CLASSES, WIDTH, WINDOW, STEP = 96, 16, 24, 16
+CLASSES, WIDTH, WINDOW, STEP = 56, 12, 24, 16
 BUCKETS = 2048                   # input rows: frequent ids own one, the others share
-WINDOWS, ROUNDS, BATCH, RATE = 4, 6, 32, 0.01
+WINDOWS, ROUNDS, BATCH, RATE = 2, 3, 32, 0.01
 PARTITION_WINDOWS = 4096
-HOT_WORDS = 400_000
+HOT_WORDS = 200_000
 CACHE_WORDS = 300_000
 BASE_SHARE = 0.1
+LOT = 256                        # windows scored at a time
 COUNT_WORDS = 2 << 20            # words that a task counts at a time
 END_HASH = np.uint64(0xE0D0E0D0E0D0E0D1)
 
@@ -302,10 +303,10 @@ def id_scores(model: Attention, ids: Ids, sequence: np.ndarray, offsets: np.ndar
     row = np.repeat(np.arange(len(sizes)), n)
     begin = offsets[row] + STEP * (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
     out, begins = np.empty((2, len(sequence)), np.float32)
-    for a in range(0, len(row), 1024):
-        inputs, targets, there = _contexts(sequence, offsets, begin[a:a + 1024], row[a:a + 1024], end)
+    for a in range(0, len(row), LOT):
+        inputs, targets, there = _contexts(sequence, offsets, begin[a:a + LOT], row[a:a + LOT], end)
         found, first = model.log_classes(ids.rows(inputs), ids.classes[targets], ids.begins)
-        place = (begin[a:a + 1024, None] + np.arange(STEP))[there]
+        place = (begin[a:a + LOT, None] + np.arange(STEP))[there]
         out[place], begins[place] = found[there], first[there]
     return out + ids.log_share[sequence], begins
 
