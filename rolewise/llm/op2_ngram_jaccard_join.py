@@ -4,8 +4,9 @@ A-Z is lower-cased, words are `[^\\x20\\x09-\\x0D]+`, a set holds the distinct s
 there are fewer).  Two sets link when 100 * intersection >= percent * union.
 
 1. Equal sets are one class, whatever their number; only classes are compared.
-2. In any order of all shingles two linked sets share one among their first n - ceil(percent * n) + 1.  The
-   order is by hash, with shingles that are seen to be frequent last (a hint that changes the work, never the result).  A class
+2. In any order of all shingles two linked sets share at least min(c, c') among their first n - ceil(percent * n) + c,
+   where c is EXTRA percent of a set's size, 1 at least.  So a class goes that shares fewer of these with other classes
+   than the c of its smallest possible partner; twice, because fewer classes share less.  The order is by hash, with shingles that are seen to be frequent last (a hint that changes the work, never the result).  A class
    belongs to the family of the least such shingle that it shares with any class.  Linked classes are of one family, or
    their families meet under a shingle that both have; shingles under which the same families meet count once.
 3. Shingles are hashed into groups, and the counts of the groups are a class's coordinates.  An R-tree keeps the largest
@@ -37,6 +38,7 @@ from .text import LOWER, Rolling, lists, mix, slices, utf8, word_hashes, words
 WORDS = 5
 PERCENT = 75
 BLOCK = 512                      # members that a task holds on a side
+EXTRA = 12                       # percent of a set by which its first shingles are more than the least number
 HINTS = 200_000                  # most shingles that the order puts last
 HINT_SETS, HINT_TOKENS = 30, 4 << 20   # from so many sets on; counted among so many shingles at a time
 GROUPS = 32                      # least number of coordinates of a family's box
@@ -103,7 +105,7 @@ def _scan(percent: int, frequent: np.ndarray, late: np.ndarray):
                 at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
                 place = np.repeat(np.arange(len(n)), n) * (len(frequent) + 1) + np.where(frequent[at] == values, late[at], 0)
                 values = values[np.argsort(place, kind="stable")]
-            first = np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
+            first = np.where(n > 0, np.minimum(n, n - -(-n * percent // 100) + np.maximum(1, -(-n * EXTRA // 100))), 0)
             row = np.repeat(np.arange(len(n)), first)
             ends = np.cumsum(first)
             prefix = values[np.arange(len(row)) - np.repeat(ends - first, first) + np.repeat(offsets[:-1], first)]
@@ -327,7 +329,11 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         .select("cls", "copies", "o.*", "prefix"))
     classes = firsts.drop("prefix")
     tokens = firsts.select("cls", "n", F.explode("prefix").alias("h"))
-    live = staged(tokens.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("m > 1").drop("m"))
+    shared = lambda rows: staged(rows.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("m > 1").drop("m"))
+    live, least = shared(tokens), F.greatest(F.lit(1), F.ceil(F.col("n") * (EXTRA * percent) / 10_000))
+    for _ in range(2):
+        enough = live.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).filter(F.col("k") >= least)
+        live = shared(live.join(enough.select("cls"), "cls", "left_semi"))
     family = staged(live.groupBy("cls").agg(F.min("h").alias("f"), F.min("n").alias("n")))
     under = live.select("h", "cls").join(family.select("cls", "f"), "cls").select("h", "f").distinct()
     signs = under.groupBy("h").agg(F.count(F.lit(1)).alias("d"), F.bit_xor(F.xxhash64("f")).alias("x"), F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"))
@@ -390,11 +396,22 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = classes.join(_components(links), "cls", "left").groupBy(group.alias("group")).agg(F.min(F.struct("id", "key")).alias("o"))
     keep = first.select("o.*", F.lit(True).alias("single")).unionByName(
         rows.filter("n = 0").select("id", "key", F.lit(False).alias("single")).distinct())
-    names = docs.columns
-    held = keyed(docs, tuple(names)).drop("text").join(keep, ["id", "key"])
+    names = [c for c in docs.columns if c != "text"]
+    marked = docs.withColumn("_no_text", F.col("text").isNull())
+    held = packed(marked, (*names, "_no_text")).join(keep, ["id", "key"])
     order = F.row_number().over(Window.partitionBy("id", "key").orderBy("id"))
     held = held.withColumn("order", order).filter(~F.col("single") | (F.col("order") == 1))
-    return held.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])
+    held = held.select("z", *[F.col(f"_{i}").alias(c) for i, c in enumerate((*names, "_no_text"))])
+    return held.mapInArrow(_unpack(docs.columns), docs.schema)
+
+
+def _unpack(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unzip = zstandard.ZstdDecompressor()
+        for batch in slices(batches, "z", 512 << 10):
+            texts = [None if no else unzip.decompress(z).decode() for z, no in zip(batch.column("z").to_pylist(), batch.column("_no_text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names)
+    return run
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
