@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .passages import NO_ID, keyed, packed
-from .stage import shards, staged, table
+from .stage import discard, shards, staged, table
 from .text import LOWER, Rolling, lists, mix, slices, utf8, word_hashes, words
 
 WORDS = 5
@@ -323,22 +323,27 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     not, with its root, and its degrees add up to the linked rows outside the class."""
     spark = docs.sparkSession
     sets = staged(keyed(docs).mapInArrow(_scan(percent, *frequent_shingles(docs)), SETS))
-    rows = sets.select("id", "key", "n", "cls")
+    rows = staged(sets.select("id", "key", "n", "cls"))
     firsts = staged(sets.filter("n > 0").groupBy("cls").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("id", "key", "n")).alias("o"), F.min_by("prefix", "id").alias("prefix"))
         .select("cls", "copies", "o.*", "prefix"))
-    classes = firsts.drop("prefix")
+    discard(sets)
+    classes = staged(firsts.drop("prefix"))
     tokens = firsts.select("cls", "n", F.explode("prefix").alias("h"))
     shared = lambda rows: staged(rows.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("m > 1").drop("m"))
     live, least = shared(tokens), F.greatest(F.lit(1), F.ceil(F.col("n") * (EXTRA * percent) / 10_000))
     for _ in range(2):
         enough = live.groupBy("cls").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).filter(F.col("k") >= least)
-        live = shared(live.join(enough.select("cls"), "cls", "left_semi"))
+        before, live = live, shared(live.join(enough.select("cls"), "cls", "left_semi"))
+        discard(before)
+    discard(firsts)
     family = staged(live.groupBy("cls").agg(F.min("h").alias("f"), F.min("n").alias("n")))
-    under = live.select("h", "cls").join(family.select("cls", "f"), "cls").select("h", "f").distinct()
+    under = whole_under = staged(live.select("h", "cls").join(family.select("cls", "f"), "cls").select("h", "f").distinct())
     signs = under.groupBy("h").agg(F.count(F.lit(1)).alias("d"), F.bit_xor(F.xxhash64("f")).alias("x"), F.bit_xor(F.xxhash64("f", F.lit(1))).alias("y"))
     lead = signs.filter("d > 1").groupBy("d", "x", "y").agg(F.min("h").alias("h")).select("h", "d")
-    under = staged(under.join(staged(lead), "h"))
+    lead = staged(lead)
+    under = staged(whole_under.join(lead, "h"))
+    discard(live, whole_under, lead)
     members = packed(docs).join(classes.join(family.select("cls", "f"), "cls").select("id", "key", "cls", "copies", "n", "f"), ["id", "key"])
     members = staged(members.groupBy("cls").agg(F.first(F.struct("f", "n", "copies", "z")).alias("o")).select("cls", "o.*"))
     families = staged(members.groupBy("f").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("low"), F.max("n").alias("high")))
@@ -371,6 +376,7 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
         guest.join(meets, ["f", "j"]).select("f", "i", (-1 - F.col("j")).alias("j"), F.lit(1).alias("side"), "cls"))
     tasks = own.join(families.filter("size > 1").select("f"), "f").unionByName(away).join(members.select(*row), "cls")
     links = staged(tasks.groupBy(F.pmod(F.xxhash64("f", "i", "j"), F.lit(n_shards)).alias("shard")).applyInPandas(_meet(percent), LINKS))
+    discard(family, under, members, families, boxes, paired, home, guest, meets)
     return rows, classes, links
 
 

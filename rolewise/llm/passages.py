@@ -23,7 +23,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .stage import shards, staged
+from .stage import discard, shards, staged
 from .text import BYTE_VALUE, Rolling, lists, minimizers, mix, slices, utf8, word_hashes, words
 
 NO_ID = (1 << 63) - 1            # stands for a null doc_id, so null counts as the largest
@@ -156,10 +156,12 @@ def _split_large(entries: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
 def spans(docs: DataFrame, unit: Unit, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Stretches (id, key, begin, stop) of repeated windows; they may overlap."""
     spark = docs.sparkSession
-    runs = staged(keyed(docs).mapInArrow(_scan(unit), SCAN)).select(
+    scan = staged(keyed(docs).mapInArrow(_scan(unit), SCAN))
+    runs = scan.select(
         "id", "key", F.inline(F.arrays_zip("gram", "context", "first", "last", "lead")))
     again = staged(runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     live = staged(runs.join(again, "gram", "left_semi"))
+    discard(scan, again)
     index = staged(live.groupBy("gram", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "key", "first", "last", "lead")).alias("o"))
         .select("gram", "context", "n", "o.*"))
@@ -173,15 +175,18 @@ def spans(docs: DataFrame, unit: Unit, shard_bytes: int = SHARD_BYTES) -> DataFr
                      .filter("c > 1").select("gram", "size"))
     wanted = index.join(several, "gram").groupBy("id", "key").agg(
         F.collect_list(F.struct("gram", "size", "n", "first", "last", "lead")).alias("entries"))
-    entries = staged(packed(docs).join(wanted, ["id", "key"]).mapInArrow(_entries(unit), ENTRY))
+    whole_entries = entries = staged(packed(docs).join(wanted, ["id", "key"]).mapInArrow(_entries(unit), ENTRY))
+    discard(several)
     amount = entries.agg(F.sum(F.length("body"))).first()[0] or 0
     entries, windows = _split_large(entries, unit)
     judged = entries.groupBy(F.pmod("grp", F.lit(shards(spark, amount, shard_bytes))).alias("shard")).applyInPandas(
         lambda pdf: unit.judge(pdf, unit), SPAN)
     totals = windows.groupBy("grp").agg(F.sum("n").alias("total"), F.min("id").alias("least"))
     same = windows.join(totals, "grp").filter("id > least" if unit.other_document else "total > 1")
-    return found.unionByName(judged).unionByName(
-        same.select("id", "key", F.col("first").alias("begin"), (F.col("first") + length).alias("stop")))
+    found = staged(found.unionByName(judged).unionByName(
+        same.select("id", "key", F.col("first").alias("begin"), (F.col("first") + length).alias("stop"))))
+    discard(live, index, whole_entries)
+    return found
 
 
 def _remove(unit: Unit):

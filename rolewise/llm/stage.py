@@ -12,7 +12,7 @@ from ..functions.tables import shared_dir
 def staged(df: DataFrame) -> DataFrame:
     """Written as Parquet below spark.checkpoint.dir and read again: cuts the lineage, survives lost executors.
 
-    The folder goes when the driver's file system closes, because later steps still read it lazily.
+    The folder goes with `discard`, or when the driver's file system closes.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
@@ -20,7 +20,15 @@ def staged(df: DataFrame) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(schema).parquet(path)
+    written = spark.read.schema(schema).parquet(path)
+    written.staged_at = where
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in frames:
+        df.staged_at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(df.staged_at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
