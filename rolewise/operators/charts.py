@@ -13,7 +13,6 @@ from .linear import feature_grams, linear_expression, total
 from .profile import fences, missing_shares
 from .segments import standardise, usable_columns
 
-HISTOGRAM_COLUMNS = 12
 BINS = 20
 GRID = 50
 QQ_POINTS = 99
@@ -38,10 +37,10 @@ def _ranges(df: DataFrame, cols: dict[str, Column]) -> dict[str, tuple[float, fl
     return {n: (row[f"a{i}"], row[f"z{i}"]) for i, n in enumerate(cols) if row[f"a{i}"] is not None}
 
 
-def histogram(df: DataFrame, names: list[str], bins: int = BINS) -> DataFrame:
-    """Counts per column and equal-width bin for up to 12 columns; empty bins have no row."""
+def histogram(df: DataFrame, names: list[str], bins: int = BINS, columns: int | None = None) -> DataFrame:
+    """Counts per column and equal-width bin, for the first `columns` names if given; empty bins have no row."""
     types = field_types(df)
-    cols = {n: as_double(n, types[n]) for n in names[:HISTOGRAM_COLUMNS]}
+    cols = {n: as_double(n, types[n]) for n in names[:columns]}
     found = _ranges(df, cols)
     if not found:
         return df.sparkSession.createDataFrame([], "name string, bin int, low double, high double, n long")

@@ -33,12 +33,18 @@ SUMMARY = ("series", "n_obs", "first_day", "last_day", "freq", "trend_r2", "adf_
            "is_stationary", "method", "p", "d", "q", "seasonal", "aic", "note")
 
 
+def _key_text(name: str) -> Column:
+    """Text of a key in which neither null nor the separator can be mistaken for another key."""
+    text = F.replace(q(name).cast("string"), F.lit("\\"), F.lit("\\\\"))
+    return F.coalesce(F.replace(text, F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+
+
 def daily_series(df: DataFrame, date_col: str, value_col: str, keys: list[str] = (),
                  min_points: int = 0) -> DataFrame:
     """(series, day, t, y): the mean per calendar day, t counting the observed days from 0."""
     types = field_types(df)
     day = F.to_date(parse_timestamp(present(date_col, types[date_col]), types[date_col]))
-    series = F.concat_ws("|", *[q(k).cast("string") for k in keys]) if keys else F.lit("all")
+    series = F.concat_ws("|", *[_key_text(k) for k in keys]) if keys else F.lit("all")
     daily = (df.select(series.alias("series"), day.alias("day"),
                        as_double(value_col, types[value_col]).alias("y"))
              .filter("day is not null and y is not null")

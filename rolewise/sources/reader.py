@@ -13,6 +13,7 @@ from ..functions.tables import hash_sample
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
            "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 INTEGER_PATTERN = r"^\s*[+-]?\d{1,18}\s*$"
+LONG_INTEGER_PATTERN = r"^\s*[+-]?\d{1,38}\s*$"      # ids beyond bigint keep their digits
 EXCEL = (".xls", ".xlsx")
 # Characters that Windows-1252 puts where Latin-1 has control codes; five codes are unassigned.
 _CODES = [bytes([b]) for b in range(0x80, 0xA0)]
@@ -66,7 +67,7 @@ def _typed(text: DataFrame) -> DataFrame:
     names = text.columns
     if not names:
         return text
-    tests = {"long": INTEGER_PATTERN, "double": NUMBER_PATTERN, "boolean": "^(True|False|TRUE|FALSE|true|false)$"}
+    tests = {"long": INTEGER_PATTERN, "decimal(38,0)": LONG_INTEGER_PATTERN, "double": NUMBER_PATTERN, "boolean": "^(True|False|TRUE|FALSE|true|false)$"}
     row = text.agg(*[F.bool_and(q(c).rlike(p)).alias(f"{t}{i}") for i, c in enumerate(names)
                      for t, p in tests.items()]).first()
     return text.select(*[next((F.trim(q(c)).cast(t).alias(c) for t in tests if row[f"{t}{i}"]), q(c))

@@ -169,3 +169,16 @@ def test_job(spark, make, rng, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "out" / "ts_summary")).first()["n_obs"] == n
     assert "best model" in capsys.readouterr().out
     assert job.main(["run", str(tmp_path / "nothing.parquet")]) == 1
+
+
+def test_composite_keys_stay_apart(spark):
+    rows = [("a", None, 1.0), (None, "a", 2.0), ("a|b", "c", 3.0), ("a", "b|c", 4.0), ("\\N", None, 5.0)]
+    df = spark.createDataFrame([("2024-01-01", *r) for r in rows], "day string, k1 string, k2 string, y double")
+    out = ts.daily_series(df, "day", "y", ["k1", "k2"]).collect()
+    assert sorted(r["y"] for r in out) == [1.0, 2.0, 3.0, 4.0, 5.0] and len({r["series"] for r in out}) == 5
+
+
+def test_long_ids_keep_their_digits(spark, tmp_path):
+    ids = ["9007199254740993123", "9007199254740993124", "90071992547409931250"]
+    (tmp_path / "ids.csv").write_text("id,x\n" + "".join(f"{i},1\n" for i in ids))
+    assert [str(r["id"]) for r in load_table(spark, str(tmp_path / "ids.csv")).orderBy("id").collect()] == ids
