@@ -37,17 +37,17 @@ def split(spark, folder):
 
 
 def _stratified_sql(source: str, key: str, target: str) -> str:
-    return f"""SELECT '{target}' AS target, {key} AS key, CASE WHEN n > 1000 THEN u >= 0.2 ELSE place > n_test END AS is_train FROM (
- SELECT {key}, {unit_sql(key)} AS u, count(*) OVER (PARTITION BY {target}) AS n,
-  row_number() OVER (PARTITION BY {target} ORDER BY {unit_sql(key)}, {key}) AS place,
-  CASE WHEN count(*) OVER (PARTITION BY {target}) >= 2 THEN greatest(1, least(count(*) OVER (PARTITION BY {target}) - 1,
-   round(count(*) OVER (PARTITION BY {target}) * 0.2))) ELSE 0 END AS n_test FROM {source})"""
+    return f"""SELECT '{target}' AS target, {key} AS key, cell > coalesce(cut, last, -1) AS is_train FROM (
+ SELECT *, min(CASE WHEN upto < n AND upto >= greatest(1, round(n * 0.2)) THEN cell END) OVER (PARTITION BY c) AS cut,
+  max(CASE WHEN upto < n THEN cell END) OVER (PARTITION BY c) AS last FROM (
+  SELECT *, count(*) OVER (PARTITION BY c) AS n, count(*) OVER (PARTITION BY c ORDER BY cell) AS upto
+  FROM (SELECT {key}, {target} AS c, CAST(floor({unit_sql(key)} * 1048576) AS BIGINT) AS cell FROM {source})))"""
 
 
 @register(QUERIES, SQL, "stratified_split", union_sql([_stratified_sql("labels", "doc_id", "quality"),
                                                        _stratified_sql("orders", "o_orderkey", "o_orderpriority")]))
 def stratified(spark, folder):
-    parts = [prep.stratified_split(table(spark, folder, t).select(k, c), c, unit=unit_of(k), tie=F.col(k)).select(
+    parts = [prep.stratified_split(table(spark, folder, t).select(k, c), c, unit=unit_of(k)).select(
         F.lit(c).alias("target"), F.col(k).alias("key"), "is_train")
         for t, k, c in (("labels", "doc_id", "quality"), ("orders", "o_orderkey", "o_orderpriority"))]
     return parts[0].unionByName(parts[1])

@@ -11,6 +11,7 @@ and bin; ties of any size only raise a count.
 from __future__ import annotations
 
 import math
+import sys
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -74,7 +75,7 @@ def _by_rank(df, columns, probs):
         for p in probs if name in sizes else []:
             below, above, share = _ranks(p, sizes[name])
             lo, hi = at[name, below], at[name, above]
-            found.append(lo + (hi - lo) * share)
+            found.append(_between(lo, hi, share))
         out[name] = found or [None] * len(probs)
     return out
 
@@ -108,7 +109,7 @@ def _by_narrowing(df, columns, probs):
         for p in probs:
             lo, hi, share = _ranks(p, sizes[n])
             a, b = known.get((n, lo)), known.get((n, hi))
-            out[n].append(None if a is None else a + (b - a) * share)
+            out[n].append(None if a is None else _between(a, b, share))
     return out
 
 
@@ -119,14 +120,22 @@ def _ranks(prob: float, size: int) -> tuple[int, int, float]:
 
 
 def _bin(value: Column, lo: float, hi: float, logarithmic: bool) -> Column:
-    """Bin number 0..BINS-1, never falling as the value grows; `lo` and `hi` differ in it."""
+    """Bin number 0..BINS-1, never falling as the value grows; `lo` and `hi` differ in it.  The first and the last bin
+    are for the infinities alone, so the others are finite."""
+    infinite = F.when(value == -math.inf, 0).when(value == math.inf, BINS - 1)
+    lo, hi = max(lo, -sys.float_info.max), min(hi, sys.float_info.max)
     if logarithmic:
         value = F.signum(value) * F.log1p(F.abs(value))
         lo, hi = (math.copysign(math.log1p(abs(v)), v) for v in (lo, hi))
     scale = hi / 2 - lo / 2
     if not 0 < scale < math.inf:
-        return F.when(value > lo, BINS - 1).otherwise(0)
-    return F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((value / 2 - F.lit(lo / 2)) / F.lit(scale) * BINS)))
+        return infinite.when(value > lo, BINS - 2).otherwise(1)
+    inner = F.floor((value / 2 - F.lit(lo / 2)) / F.lit(scale) * (BINS - 2)) + 1
+    return infinite.otherwise(F.greatest(F.lit(1), F.least(F.lit(BINS - 2), inner)))
+
+
+def _between(a: float, b: float, share: float) -> float:
+    return a if a == b else a + (b - a) * share
 
 
 def _inside(columns, brackets, value) -> dict[str, Column]:

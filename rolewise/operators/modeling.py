@@ -15,7 +15,7 @@ from .evaluate import (CLASS_METRICS, PRIMARY, REGRESSION_METRICS, class_metrics
 from .importance import permutation_importance, shallow_tree
 from .models import (LASSO, LINEAR, RIDGE, TREES, Fitted, Settings, candidates, cross_validate_linear,
                      fit_all)
-from .prep import FOLDS, MAX_FEATURES, SEED, TEST_SHARE, ModelFrame, prepare
+from .prep import FOLDS, MAX_FEATURES, SEED, TEST_SHARE, ModelFrame, prepare, with_folds
 
 COMPARISON_SCHEMA = ("model string, metric string, value double, fold int, is_best boolean, "
                      "hyperparameters string")
@@ -87,10 +87,10 @@ def _mean_scores(folds: dict[int, dict[str, float]]) -> dict[str, float]:
 
 
 def _usable_folds(wanted: int, frame: ModelFrame) -> int:
-    """Fold count, at most the smallest class; 0 means the plain split."""
-    if frame.task == "classification":
-        wanted = min(wanted, frame.min_class)
-    return wanted if wanted >= 2 else 0
+    """Fold count, at most the smallest class but two at least; 0 means the plain split."""
+    if wanted < 2:
+        return 0
+    return max(2, min(wanted, frame.min_class)) if frame.task == "classification" else wanted
 
 
 def run_models(df: DataFrame, target: str, features: list[str], task: str,
@@ -105,8 +105,7 @@ def run_models(df: DataFrame, target: str, features: list[str], task: str,
                     feature_selection, list(encode), max_features, max(cv_folds, FOLDS))
     folds = _usable_folds(cv_folds, frame)
     if folds and folds != max(cv_folds, FOLDS):
-        frame.table = frame.table.withColumn("fold", F.pmod(
-            F.xxhash64(F.lit(seed + 7), "row_key"), F.lit(folds)).cast("int"))
+        frame.table = with_folds(frame.table.drop("fold"), task, folds, seed)
     n_classes = len(frame.labels)
     if task == "regression":
         baseline = ols_baseline(frame)

@@ -16,8 +16,8 @@ TEST_SHARE = 0.2
 SEED = 42
 MAX_FEATURES = 50
 MIN_VARIANCE = 1e-8
-EXACT_CLASS_ROWS = 1_000     # classes up to this size are split by exact rank
-MAX_CLASSES = 10_000         # labels are driver state; a target with more is not a class label
+CELLS = 1 << 20              # cells of the uniform number by which classes are cut
+MAX_CLASSES = 10_000        # labels are driver state; a target with more is not a class label
 FOLDS = 5
 
 
@@ -75,32 +75,40 @@ def train_test_split(df: DataFrame, test_share: float = TEST_SHARE, seed: int =
     return df.withColumn("is_train", split_flag(df, unit, test_share))
 
 
-def stratified_split(df: DataFrame, target: str, test_share: float = TEST_SHARE, seed: int = SEED,
-                     keys: list[str] | None = None, unit: Column | None = None,
-                     tie: Column | None = None, flag: str = "is_train") -> DataFrame:
-    """Adds the training flag with the share kept in every class that has at least two rows.
+def _class_parts(df: DataFrame, target: str, unit: Column, shares: list[float], name: str) -> DataFrame:
+    """Adds the number of the part (0, 1, ...) of a row's class, cut at `shares` of the class's rows.
 
-    In a large class a hash threshold is within a few percent of the share.  A small class is
-    ranked exactly, so it always has rows on both sides; only small classes are gathered.
+    Rows are ordered by the cell of their uniform number, rows of one cell stay together, and both ends of a class of
+    two or more cells get rows.  Only counts per class and cell are shuffled, so neither a class of any size nor any
+    number of classes meets in one place.
     """
+    cell = F.floor(unit * CELLS).cast("long")
+    cells = df.groupBy(q(target).alias("_class"), cell.alias("_cell")).agg(F.count(F.lit(1)).alias("n"))
+    by_class = Window.partitionBy("_class")
+    cells = cells.select("_class", "_cell", F.sum("n").over(by_class).alias("n"),
+                         F.sum("n").over(by_class.orderBy("_cell")).alias("upto"))
+    inner = F.col("upto") < F.col("n")
+    cuts = cells.groupBy("_class").agg(*[F.coalesce(
+        F.min(F.when(inner & (F.col("upto") >= F.greatest(F.lit(1), F.round(F.col("n") * F.lit(s)))), F.col("_cell"))),
+        F.max(F.when(inner, F.col("_cell")))).alias(f"_cut{i}") for i, s in enumerate(shares)])
+    part = sum((F.coalesce((F.col("_cell") > F.col(f"_cut{i}")).cast("int"), F.lit(1)) for i in range(len(shares))), F.lit(0))
+    joined = df.withColumn("_cell", cell).join(cuts, q(target).eqNullSafe(F.col("_class")), "left")
+    return joined.withColumn(name, part).drop("_cell", "_class", *[f"_cut{i}" for i in range(len(shares))])
+
+
+def stratified_split(df: DataFrame, target: str, test_share: float = TEST_SHARE, seed: int = SEED,
+                     keys: list[str] | None = None, unit: Column | None = None, flag: str = "is_train") -> DataFrame:
+    """Adds the training flag with the share kept in every class; a class of one row is for training."""
     unit = unit_interval(row_hash(df, keys, seed)) if unit is None else unit
-    tie = row_hash(df, keys, seed + 1) if tie is None else tie
-    counts = df.groupBy(q(target).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
-    small = counts.filter(F.col("_n") <= EXACT_CLASS_ROWS).limit(MAX_CLASSES).collect()
-    base = df.withColumns({"_unit": unit, "_tie": tie})
-    if not small:
-        return (base.withColumn(flag, split_flag(base, F.col("_unit"), test_share))
-                .drop("_unit", "_tie"))
-    values = [r["_label"] for r in small if r["_label"] is not None]
-    is_small = F.coalesce(q(target).isin(values), F.lit(False))
-    large = (base.filter(~is_small)
-             .withColumn(flag, split_flag(base, F.col("_unit"), test_share)))
-    by_class = Window.partitionBy(q(target))
-    place = F.row_number().over(by_class.orderBy("_unit", "_tie"))
-    size = F.count(F.lit(1)).over(by_class)
-    n_test = F.when(size >= 2, F.greatest(F.lit(1), F.least(size - 1, F.round(size * F.lit(test_share)))))
-    ranked = base.filter(is_small).withColumn(flag, place > F.coalesce(n_test, F.lit(0)))
-    return large.unionByName(ranked).drop("_unit", "_tie")
+    return _class_parts(df, target, unit, [test_share], flag).withColumn(flag, F.col(flag) > 0)
+
+
+def with_folds(df: DataFrame, task: str, folds: int, seed: int = SEED) -> DataFrame:
+    """Adds `fold` to rows with row_key and y; every class is dealt evenly over the folds."""
+    hashed = F.xxhash64(F.lit(seed + 7), "row_key")
+    if task != "classification":
+        return df.withColumn("fold", F.pmod(hashed, F.lit(folds)).cast("int"))
+    return _class_parts(df, "y", unit_interval(hashed), [i / folds for i in range(1, folds)], "fold")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -173,7 +181,7 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
         base = base.withColumn("_target", as_double(target, field_types(df)[target])).filter("_target is not null")
     unit = unit_interval(F.xxhash64(F.lit(seed), "_row_key"))
     if task == "classification" and min_class >= 2:
-        base = stratified_split(base, "_label", test_share, unit=unit, tie=F.col("_row_key"), flag="_is_train")
+        base = stratified_split(base, "_label", test_share, unit=unit, flag="_is_train")
     else:
         base = base.withColumn("_is_train", split_flag(base, unit, test_share))
 
@@ -185,10 +193,9 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
         base = (frequency_encode(base, c, base.filter("_is_train")).withColumnRenamed(f"{c}_freq", c))
 
     types = field_types(base)
-    fold = F.pmod(F.xxhash64(F.lit(seed + 7), "_row_key"), F.lit(folds)).cast("int")
-    flat = base.select(F.col("_row_key").alias("row_key"), F.col("_is_train").alias("is_train"), fold.alias("fold"),
-                       F.col("_target").alias("y"), *[
+    flat = base.select(F.col("_row_key").alias("row_key"), F.col("_is_train").alias("is_train"), F.col("_target").alias("y"), *[
         F.coalesce(as_double(n, types[n]), F.lit(0.0)).alias(f"x{i}") for i, n in enumerate(features)])
+    flat = with_folds(flat, task, folds, seed)
     flat = staged(spread(flat, base.count() if n_rows is None else n_rows))
     sizes = flat.agg(F.count(F.when(F.col("is_train"), 1)).alias("a"), F.count(F.lit(1)).alias("n")).first()
     train = flat.filter("is_train")

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rolewise.functions import pvalues
+from rolewise.functions import pvalues, quantiles
 from rolewise.functions.quantiles import exact_quantiles
 from rolewise.functions.ranks import running_counts
 from rolewise.functions.shapiro import shapiro_wilk
@@ -55,6 +55,15 @@ def test_quantiles_beyond_the_direct_limit(make, rng, probs):
     assert found["none"] == [None] * len(probs)
 
 
+def test_quantiles_with_infinities(make, rng, monkeypatch):
+    passes, narrow = [], quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    x = np.concatenate([rng.normal(size=20_000), [np.inf, -np.inf], np.repeat(0.25, 5_000)])
+    found = exact_quantiles(make(x=x), {"x": F.col("x")}, PROBS, direct_cells=0)["x"]
+    assert len(passes) <= 5 and found[0] == -math.inf and found[-1] == math.inf
+    assert found[1:-1] == pytest.approx(np.quantile(x, PROBS[1:-1]).tolist(), rel=1e-12)
+
+
 def test_quantiles_with_far_outliers(make, rng):
     x = np.concatenate([rng.normal(size=20_000) * 1e-3, [1e300, -1e300, 1e308, -1.7e308], np.repeat(0.25, 9_000)])
     found = exact_quantiles(make(x=x), {"x": F.col("x")}, PROBS, direct_cells=0)["x"]

@@ -11,7 +11,7 @@ from rolewise.operators.features import engineer
 from rolewise.operators.importance import donor_rows, read_tree
 from rolewise.operators.linear import alpha_grid, feature_grams, lasso_cv, ridge_loo, solve_lasso, total
 from rolewise.operators.modeling import run_models
-from rolewise.operators.prep import label_codes, prepare, stratified_split
+from rolewise.operators.prep import label_codes, prepare, stratified_split, with_folds
 from rolewise.operators.roles import infer_roles
 
 FAST = m.Settings(forest_trees=10, forest_depth=6, boosting_rounds=8)
@@ -253,6 +253,27 @@ def test_split_keeps_classes(make, rng):
     assert share["pair"] == 0.5 and share["one"] == 1.0 and len(out) == 5_000
 
 
+def test_split_keeps_every_one_of_many_small_classes(spark):
+    df = spark.range(30_000).select(F.col("id").alias("k"), F.floor(F.col("id") / 2).alias("c"))
+    sides = stratified_split(df, "c", keys=["k"]).groupBy("c").agg(F.countDistinct("is_train").alias("s"))
+    assert sides.filter("s = 2").count() == sides.count() == 15_000
+
+
+def test_split_of_copies_and_nulls(make):
+    df = make(c=["a"] * 40 + [None] * 10, k=[1] * 30 + list(range(2, 22)))
+    out = stratified_split(df, "c", keys=["k"]).toPandas()
+    assert len(out) == 50 and out[out.k == 1].is_train.nunique() == 1
+    assert out.groupby(out.c.fillna("")).is_train.nunique().tolist() == [2, 2]
+
+
+def test_folds_hold_every_class(spark):
+    for seed in range(3):
+        df = spark.range(505).select(F.xxhash64(F.lit(seed), "id").alias("row_key"), F.when(F.col("id") < 5, 1.0).otherwise(0.0).alias("y"))
+        counts = with_folds(df, "classification", 5, seed).groupBy("y", "fold").count().toPandas()
+        assert counts[counts.y == 1].set_index("fold")["count"].to_dict() == dict.fromkeys(range(5), 1)
+        assert counts[counts.y == 0]["count"].between(98, 102).all()
+
+
 def test_prepare_does_not_depend_on_partitioning(regression):
     a = prepare(regression.repartition(1), "target", ["x1", "x2"], "regression").table.toPandas()
     b = prepare(regression.repartition(7), "target", ["x1", "x2"], "regression").table.toPandas()
