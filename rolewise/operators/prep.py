@@ -103,6 +103,20 @@ def stratified_split(df: DataFrame, target: str, test_share: float = TEST_SHARE,
     return _class_parts(df, target, unit, [test_share], flag).withColumn(flag, F.col(flag) > 0)
 
 
+def split_rows(df: DataFrame, target: str, task: str, test_share: float = TEST_SHARE, seed: int = SEED,
+               keys: list[str] | None = None) -> DataFrame:
+    """Adds `_row_key` and `_is_train`.  A table that has them already keeps them, so that a split made before features
+    are learnt is the one that models see."""
+    if "_row_key" not in df.columns:
+        df = df.withColumn("_row_key", row_hash(df, keys, seed))
+    if "_is_train" in df.columns:
+        return df
+    unit = unit_interval(F.xxhash64(F.lit(seed), "_row_key"))
+    if task != "classification":
+        return df.withColumn("_is_train", split_flag(df, unit, test_share))
+    return stratified_split(df.withColumn("_kind", q(target).cast("string")), "_kind", test_share, unit=unit, flag="_is_train").drop("_kind")
+
+
 def with_folds(df: DataFrame, task: str, folds: int, seed: int = SEED) -> DataFrame:
     """Adds `fold` to rows with row_key and y; every class is dealt evenly over the folds."""
     hashed = F.xxhash64(F.lit(seed + 7), "row_key")
@@ -167,7 +181,7 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
             handle_imbalance: bool = True, feature_selection: bool = True,
             encode: list[str] = (), max_features: int = MAX_FEATURES, folds: int = FOLDS) -> ModelFrame:
     """Split, encode, coerce and select; the result is staged because every model reads it."""
-    base = df.withColumn("_row_key", row_hash(df, keys, seed))
+    base = df if "_row_key" in df.columns else df.withColumn("_row_key", row_hash(df, keys, seed))
     labels: list[str] = []
     min_class, n_rows = 0, None
     if task == "classification":
@@ -179,11 +193,7 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
         base = base.withColumn("_label", q(target).cast("string")).join(F.broadcast(codes), "_label")
     else:
         base = base.withColumn("_target", as_double(target, field_types(df)[target])).filter("_target is not null")
-    unit = unit_interval(F.xxhash64(F.lit(seed), "_row_key"))
-    if task == "classification" and min_class >= 2:
-        base = stratified_split(base, "_label", test_share, unit=unit, flag="_is_train")
-    else:
-        base = base.withColumn("_is_train", split_flag(base, unit, test_share))
+    base = split_rows(base, target, task, test_share, seed)
 
     encodable = [c for c in encode if c in features]
     if encodable and len(labels) <= 2:

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import row_hash
 from ..operators import charts
 from ..operators.association import association_suite
 from ..operators.clean import clean
 from ..operators.features import TEXT_COLUMNS, Features, engineer
 from ..operators.modeling import ModelRun, run_models
 from ..operators.models import Settings
-from ..operators.prep import TEST_SHARE
+from ..operators.prep import TEST_SHARE, split_rows
 from ..operators.profile import (NumericProfile, class_balance, correlation_matrix, missing_shares,
                                  numeric_frame, numeric_profiles, profile_columns, redundant_pairs,
                                  table_profile, top_values)
@@ -61,14 +60,11 @@ def analyze(df: DataFrame, target: str | None = None, dataset_name: str = "datas
     profiles = numeric_profiles(df, profile_columns(roles), roles.n_rows)
     cleaned, cleaning_log = clean(df, roles, profiles, numeric_impute_strategy, cap_outliers, log_features)
     n_clean = roles.n_rows - (roles.stats[target].n_missing if target in roles.stats else 0)
-    fit_on = None
-    if fit_on_train and target:
-        from ..operators.prep import SEED
-        from ..functions.columns import unit_interval
-        fit_on = cleaned.filter(unit_interval(F.xxhash64(
-            F.lit(SEED), row_hash(cleaned, keys, SEED))) >= test_size)
-    features = engineer(cleaned, roles, vectorize_text, high_cardinality_encoding, stop_words, fit_on,
-                        text_columns, n_clean)
+    split = split_rows(cleaned, target, roles.task, test_size, keys=keys) if roles.task else cleaned
+    made = engineer(split, roles, vectorize_text, high_cardinality_encoding, stop_words,
+                    split.filter("_is_train") if fit_on_train and roles.task else None, text_columns, n_clean)
+    marks = ["_row_key", "_is_train"]                       # of the split: for the models, no features
+    features = replace(made, table=made.table.drop(*marks), columns=[c for c in made.columns if c not in marks])
     out = Analysis(dataset_name, roles, profiles, cleaned, features)
     tables = out.tables
     tables.update(_profile_tables(df, roles, profiles))
@@ -85,9 +81,8 @@ def analyze(df: DataFrame, target: str | None = None, dataset_name: str = "datas
     if roles.task:
         settings = Settings(ridge_alpha_range, lasso_alpha_range, logreg_C, rf_n_estimators, rf_max_depth,
                             gb_learning_rate, gb_max_iter, hyperparameter_search, broad_hyperparameter_search)
-        out.models = run_models(features.table, target, features.columns, roles.task, test_size, model_names,
-                                handle_imbalance, feature_selection, cv_folds, settings, features.deferred,
-                                [k for k in keys or [] if k in features.table.columns] or None)
+        out.models = run_models(made.table, target, features.columns, roles.task, test_size, model_names,
+                                handle_imbalance, feature_selection, cv_folds, settings, features.deferred)
         tables.update(_model_tables(out.models))
     tables.update(_chart_tables(df, out, n_clean))
 

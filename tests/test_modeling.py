@@ -9,6 +9,7 @@ from rolewise.operators.clean import clean
 from rolewise.operators.evaluate import class_metrics, confusion_counts, confusion_matrix, roc_auc
 from rolewise.operators.features import engineer
 from rolewise.operators.importance import donor_rows, read_tree
+from rolewise.functions.columns import row_hash
 from rolewise.operators.linear import alpha_grid, feature_grams, lasso_cv, ridge_loo, solve_lasso, total
 from rolewise.operators.modeling import run_models
 from rolewise.operators.prep import label_codes, prepare, stratified_split, with_folds
@@ -266,6 +267,27 @@ def test_split_of_copies_and_nulls(make):
     assert out.groupby(out.c.fillna("")).is_train.nunique().tolist() == [2, 2]
 
 
+@pytest.mark.parametrize("kind", ["classification", "regression"])
+def test_features_are_learnt_from_training_rows_only(make, rng, monkeypatch, kind):
+    """The split that encodings are learnt on is the split of the models, with the user's keys."""
+    from rolewise.operators import modeling
+    from rolewise.plans import analyze as plan
+
+    n, seen = 400, {}
+    city = rng.integers(0, 40, n)
+    y = (city % 2 + (rng.uniform(size=n) < 0.2)).clip(0, 1) if kind == "classification" else city + rng.normal(size=n)
+    df = make(id=np.arange(n) + 10_000, city=[f"c{c}" for c in city], x=rng.normal(size=n).round(3), y=y)
+    real = plan.engineer, modeling.prepare
+    monkeypatch.setattr(plan, "engineer", lambda *a: seen.update(learnt=a[5]) or real[0](*a))
+    monkeypatch.setattr(modeling, "prepare", lambda *a: seen.setdefault("frame", real[1](*a)))
+    out = plan.analyze(df, "y", fit_on_train=True, keys=["id"], model_names=["Linear Regression", "Logistic Regression"])
+    learnt = {r[0] for r in seen["learnt"].select("_row_key").collect()}
+    assert learnt == {r[0] for r in seen["frame"].train.select("row_key").collect()}
+    assert seen["frame"].n_test == seen["frame"].test.count() > 40
+    keyed = df.select(row_hash(df, ["id"], 42)).collect()
+    assert learnt < {r[0] for r in keyed} and not {"_row_key", "_is_train"} & {*out.features.table.columns, *out.features.columns}
+
+
 def test_folds_hold_every_class(spark):
     for seed in range(3):
         df = spark.range(505).select(F.xxhash64(F.lit(seed), "id").alias("row_key"), F.when(F.col("id") < 5, 1.0).otherwise(0.0).alias("y"))
