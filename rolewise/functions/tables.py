@@ -7,6 +7,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .columns import q, row_hash, unit_interval
@@ -61,8 +62,8 @@ def in_parallel(jobs: list[Callable[[], T]], at_once: int = 4) -> list[T]:
     """Run independent Spark jobs side by side; results in the order of the jobs."""
     if len(jobs) <= 1:
         return [job() for job in jobs]
-    with ThreadPoolExecutor(at_once) as pool:
-        return list(pool.map(lambda job: job(), jobs))
+    with ThreadPoolExecutor(at_once) as pool:           # job groups and local properties go along
+        return list(pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs]))
 
 
 def hash_sample(df: DataFrame, n: int, keys: list[str] | None = None, seed: int = 42,
