@@ -62,8 +62,10 @@ def in_parallel(jobs: list[Callable[[], T]], at_once: int = 4) -> list[T]:
     """Run independent Spark jobs side by side; results in the order of the jobs."""
     if len(jobs) <= 1:
         return [job() for job in jobs]
-    with ThreadPoolExecutor(at_once) as pool:           # job groups and local properties go along
-        return list(pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs]))
+    session = SparkSession.getActiveSession()             # job groups, tags and local properties go along
+    jobs = [inheritable_thread_target(session)(job) if session else inheritable_thread_target(job) for job in jobs]
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda job: job(), jobs))
 
 
 def hash_sample(df: DataFrame, n: int, keys: list[str] | None = None, seed: int = 42,
