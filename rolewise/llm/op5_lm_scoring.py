@@ -14,8 +14,9 @@ frequency); an id's share of its class comes from counts over all training texts
 words that begin with i, E is the probability that a word begins after the last id, and 1 - L is the share of words seen once.
 The end begins a word and is one; score sums the log10.
 
-Training: every training text gives WINDOWS windows at places that follow from its key, so what is gathered grows with the
-corpus.  A round trains each partition's windows from the same weights by Adam and averages the results by windows.
+Training: every id of every training text is predicted once a round.  Texts are cut into chunks of CHUNK ids, each with the ids
+before it that its windows read, so a long text is many rows.  A round deals the chunks anew, trains each partition's windows
+from the same weights by Adam and averages the results by windows.
 
 Null and empty texts are one end; repeated rows are scored alike and learnt from as often as they come; without training
 rows every count is 0 and classes are even.  Other columns are ignored.
@@ -39,13 +40,15 @@ from .text import LOWER, mix, slices, utf8, word_hashes, words
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"     # read by the driver
 PIECE_LIMIT = 64                 # longer words are cut before they are split into ids
-CLASSES, WIDTH, WINDOW, STEP = 56, 12, 24, 16
+CLASSES, WIDTH, WINDOW, STEP = 96, 16, 24, 16
 BUCKETS = 2048                   # input rows: frequent ids own one, the others share
-WINDOWS, ROUNDS, BATCH, RATE = 2, 3, 32, 0.01
+ROUNDS, BATCH, RATE = 6, 32, 0.01
+CHUNK = 16 * STEP                # ids that a gathered row predicts
 PARTITION_WINDOWS = 4096
 HOT_WORDS = 200_000
 CACHE_WORDS = 300_000
 BASE_SHARE = 0.1
+BEFORE = WINDOW - STEP + 1       # ids that the first window of a later chunk reads
 LOT = 256                        # windows scored at a time
 COUNT_WORDS = 2 << 20            # words that a task counts at a time
 END_HASH = np.uint64(0xE0D0E0D0E0D0E0D1)
@@ -224,8 +227,23 @@ class Ids:
         return np.where(inputs < 0, -1, self.bucket[inputs])
 
 
+def _kind(end: int) -> type:
+    return np.uint16 if end < 1 << 16 else np.int32
+
+
+def _windows(kinds: np.ndarray, n: np.ndarray, bodies: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of chunks with n windows each."""
+    size = np.array([len(b) for b in bodies], np.int64) // np.dtype(_kind(end)).itemsize
+    sequence = np.frombuffer(b"".join(bodies), _kind(end)).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    row = np.repeat(np.arange(len(n)), n)
+    turn = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    return _contexts(sequence, offsets, offsets[row] + np.where(kinds[row] == 4, BEFORE, 0) + STEP * turn, row, end)
+
+
 def _gather(packed: bytes):
-    """Counts of words, ids and first ids of words (kinds 0, 1, 3) and windows of the texts (kind 2, ids in `body`)."""
+    """Counts of words, ids and first ids of words (kinds 0, 1, 3) and chunks of the texts
+    (ids in `body`, number of windows in `n`; kind 2 begins a text, kind 4 has BEFORE ids before its own)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords, held, size = Subwords(packed), [], 0
         id_counts, first_counts = np.zeros((2, subwords.end + 1), np.int64)
@@ -242,12 +260,14 @@ def _gather(packed: bytes):
             id_offsets = np.concatenate([[0], np.cumsum(sizes)])
             first_counts += np.bincount(ids[id_offsets[:-1]], minlength=len(id_counts))
             id_offsets = id_offsets[offsets]
-            row = np.repeat(np.arange(batch.num_rows), WINDOWS)
-            key = batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)[row]
-            place = mix(key + np.tile(np.arange(WINDOWS, dtype=np.uint64), batch.num_rows)) % np.diff(id_offsets)[row].astype(np.uint64)
-            inputs, targets, there = _contexts(ids, id_offsets, id_offsets[row] + place.astype(np.int64), row, subwords.end)
-            lines = np.concatenate([inputs, np.where(there, targets, -1)], axis=1).astype(np.int32)
-            yield _rows(2, key.view(np.int64), np.zeros(len(key), np.int64), [x.tobytes() for x in lines])
+            n = -(-np.diff(id_offsets) // CHUNK)
+            row = np.repeat(np.arange(batch.num_rows), n)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            key = mix(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64)[row] + number.astype(np.uint64))
+            begin = id_offsets[row] + CHUNK * number
+            stop, body = np.minimum(begin + CHUNK, id_offsets[row + 1]), ids.astype(_kind(subwords.end))
+            yield _rows(np.where(number > 0, 4, 2), key.view(np.int64), -(-(stop - begin) // STEP),
+                        [body[a:b].tobytes() for a, b in zip((begin - np.where(number > 0, BEFORE, 0)).tolist(), stop.tolist())])
             if size >= COUNT_WORDS:
                 yield counts()
                 held, size = [], 0
@@ -259,7 +279,7 @@ def _gather(packed: bytes):
     return run
 
 
-def _rows(kind: int, key: np.ndarray, n: np.ndarray, body: list | None = None) -> pa.RecordBatch:
+def _rows(kind: int | np.ndarray, key: np.ndarray, n: np.ndarray, body: list | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64)),
                                        pa.array(body if body is not None else [None] * len(key), pa.binary())], ["kind", "h", "n", "body"])
 
@@ -267,28 +287,39 @@ def _rows(kind: int, key: np.ndarray, n: np.ndarray, body: list | None = None) -
 def _train_round(weights: dict[str, np.ndarray], ids: Ids, rate: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         model = Attention({n: p.copy() for n, p in weights.items()})
-        lines = np.frombuffer(b"".join(pdf["body"]), np.int32).reshape(len(pdf), WINDOW + STEP)
-        lines = lines[np.argsort(pdf["h"].to_numpy(), kind="stable")]
-        inputs, targets = lines[:, :WINDOW], lines[:, WINDOW:]
-        model.train(ids.rows(inputs), ids.classes[np.maximum(targets, 0)], targets >= 0, rate, len(pdf))
+        pdf = pdf.sort_values(["h", "body"], kind="stable")
+        inputs, targets, there = _windows(pdf["kind"].to_numpy(), pdf["n"].to_numpy(), list(pdf["body"]), len(ids.classes) - 1)
+        model.train(ids.rows(inputs), ids.classes[targets], there, rate, len(inputs))
         flat = np.concatenate([p.ravel() for p in model.w.values()]).astype(np.float64)
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "n": [len(pdf)], "body": [(flat * len(pdf)).tobytes()]})
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "n": [len(inputs)], "body": [(flat * len(inputs)).tobytes()]})
     return run
 
 
+def _sum_task(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for all partitions that a task trained."""
+    part, n, total = 0, 0, None
+    for pdf in frames:
+        for body in pdf["body"]:
+            flat = np.frombuffer(body, np.float64)
+            total = flat.copy() if total is None else total + flat
+        part, n = int(pdf["part"].iloc[0]) if len(pdf) else part, n + int(pdf["n"].sum())
+    if n:
+        yield pd.DataFrame({"part": [part], "n": [n], "body": [total.tobytes()]})
+
+
 def _sum_weights(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.sum([np.frombuffer(b, np.float64) for b in pdf["body"]], axis=0)
     return pd.DataFrame({"n": [int(pdf["n"].sum())], "body": [total.tobytes()]})
 
 
-def train(windows: DataFrame, ids: Ids, rounds: int = ROUNDS) -> Attention:
-    """Model of staged windows (h, body): partitions train apart, their weights are averaged in two steps."""
-    weights, n = Attention.start(ids.class_share), windows.count()
+def train(chunks: DataFrame, ids: Ids, rounds: int = ROUNDS) -> Attention:
+    """Model of staged chunks (kind, h, n, body): partitions train apart, their weights are averaged in steps."""
+    weights, n = Attention.start(ids.class_share), chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = n // PARTITION_WINDOWS + 1
-    dealt = windows.select("h", "body", F.pmod(F.xxhash64("h"), F.lit(parts)).alias("part"))
     for r in range(rounds if n else 0):
-        turned = dealt.withColumn("part", F.pmod(F.xxhash64("h", F.lit(r)), F.lit(parts)))
+        turned = chunks.withColumn("part", F.pmod(F.xxhash64("h", F.lit(r)), F.lit(parts)))
         trained = turned.groupBy("part").applyInPandas(_train_round(weights, ids, RATE / (1 + r) ** 0.5), "part long, n long, body binary")
+        trained = trained.mapInPandas(_sum_task, "part long, n long, body binary")
         sums = trained.groupBy(F.pmod("part", F.lit(32)).alias("g")).applyInPandas(_sum_weights, "n long, body binary").collect()
         flat = np.sum([np.frombuffer(x["body"], np.float64) for x in sums], axis=0) / sum(x["n"] for x in sums)
         ends = np.cumsum([0, *(p.size for p in weights.values())])
@@ -361,7 +392,7 @@ def lm_scores(docs: DataFrame, training: DataFrame, vocabulary: str = VOCABULARY
     encoding = _encoder(packed)[0]
     begins = np.array([encoding.decode_single_token_bytes(i)[:1] == b" " for i in range(end)] + [True])
     ids = Ids(id_counts, begins)
-    model = train(gathered.filter("kind = 2").select("h", "body"), ids)
+    model = train(gathered.filter("kind IN (2, 4)").select("kind", "h", "n", "body"), ids)
     top = counts.orderBy(F.desc("c"), "h").limit(HOT_WORDS).toPandas()
     order = np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))
     hot, hot_count = top["h"].to_numpy(np.int64).view(np.uint64)[order], top["c"].to_numpy(np.int64)[order]

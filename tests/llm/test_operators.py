@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,27 @@ def test_lm_scoring(spark, rng, monkeypatch):
     assert sum(r["score"] for r in result) > 1.3 * sum(r["base_score"] for r in result)
 
 
+@pytest.mark.skipif(not os.path.exists(op5.VOCABULARY), reason="the public vocabulary is not here")
+def test_lm_training_predicts_every_id_once():
+    with open(op5.VOCABULARY, "rb") as file:
+        packed = zlib.compress(file.read())
+    texts = [" ".join(f"word{i * i} and" for i in range(n)) for n in (3000, 1, 90)] + ["", None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["key", "text"])
+    subwords = op5.Subwords(packed)
+    _, offsets, ids, sizes = op5._tokens(batch, subwords)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+    n = -(-np.diff(offsets) // op5.STEP)
+    row = np.repeat(np.arange(len(n)), n)
+    begin = offsets[row] + op5.STEP * (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n))
+    want = op5._contexts(ids, offsets, begin, row, subwords.end)                # the windows that scoring reads
+    chunks = pa.Table.from_batches(op5._gather(packed)([batch])).to_pandas().query("kind in (2, 4)")
+    inputs, targets, there = op5._windows(chunks["kind"].to_numpy(), chunks["n"].to_numpy(), list(chunks["body"]), subwords.end)
+    assert there.sum() == len(ids) and len(chunks) > len(texts)
+    lines = lambda i, t, m: sorted(map(tuple, np.concatenate([i, np.where(m, t, -1)], axis=1).tolist()))
+    seen = lambda i, t: np.where(np.arange(op5.WINDOW) < op5.WINDOW - op5.STEP + t.sum(axis=1)[:, None], i, -1)
+    assert lines(seen(inputs, there), targets, there) == lines(seen(want[0], want[2]), want[1], want[2])
+
+
 def test_language_id(spark, rng):
     parts = {"aa": "ba be bi bo bu".split(), "bb": "xoz xaz xuz ñez".split(), "cc": "strk plft mnt".split()}
     rows = []
