@@ -4,8 +4,9 @@ Words are as in decontamination (letters, digits and all characters beyond ASCII
 beginning of a word (PREFIXES bytes, for inflected forms); it counts once if it occurs and once more if it occurs OFTEN
 times.  The vocabulary is learnt: of the CANDIDATES features in most toxic texts, those whose share among toxic texts exceeds
 that among all by `MIN_Z` standard errors, the strongest MAX_WORDS, and all identity terms.  For each labelled text with identity terms, copies with
-the terms swapped for others of their family are made, and squared changes of the log odds are penalised by `PENALTY`; so
-a neutral mention of a group carries no weight that a mention of another would not.
+each term swapped for the others of its family are made: the features of the term (word and beginnings) go where nothing else in the
+text has them, those of the other come.  Squared changes of the whole log odds are penalised by `PENALTY`; so a neutral mention of
+a group carries no weight that a mention of another would not.
 
 Training reads text and label of rows whose crc32(doc_id as text) mod 5 is not 0: a bounded sample, the SAMPLE_DOCS labelled
 ids of the smallest hashes, whole texts.  Several labels of one id count by their mean.  Null labels and null ids are not
@@ -107,7 +108,33 @@ def _count(known: Known):
     return run
 
 
-def _rows(known: Known):
+def _families(known: Known, families: tuple) -> dict[int, tuple[set, list[set]]]:
+    """For the place of each identity term: the known features of the term, and those of each other of its family."""
+    out: dict[int, tuple[set, list[set]]] = {}
+    for family in families:
+        row, found, _ = features(pa.array(family, pa.string()), known)
+        own = [set(found[row == i].tolist()) for i in range(len(family))]
+        for i, place in enumerate(known.place(_hash_of(list(family))).tolist()):
+            out.setdefault(place, (own[i], []))[1].extend(own[:i] + own[i + 1:])
+    return out
+
+
+def _changes(found: np.ndarray, times: np.ndarray, family_of: dict, size: int) -> list[list[tuple[int, int]]]:
+    """For each swap of an identity term in a text: columns that come (1) or go (-1) when all its occurrences are swapped."""
+    have, out = dict(zip(found.tolist(), times.tolist())), []
+    for term in have.keys() & family_of.keys():
+        own, others = family_of[term]
+        for other in others:
+            change = []
+            for f, by in [(f, -have[term]) for f in own - other] + [(f, have[term]) for f in other - own]:
+                old = have.get(f, 0)
+                change += [(f + size * often, int(old + by >= least) - int(old >= least)) for often, least in ((0, 1), (1, OFTEN))
+                           if (old + by >= least) != (old >= least)]
+            out.append(change)
+    return out
+
+
+def _rows(known: Known, family_of: dict):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             row, found, times = features(batch.column("text"), known)
@@ -115,23 +142,30 @@ def _rows(known: Known):
             row = np.concatenate([row, row[times >= OFTEN]])
             order = np.argsort(row, kind="stable")
             parts = np.split(column[order], np.searchsorted(row[order], np.arange(1, batch.num_rows)))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))], ["toxic", "words"])
+            present, size = [p[p < len(known.hashes)] for p in parts], len(known.hashes)
+            count = np.split(times, np.cumsum([len(p) for p in present])[:-1])
+            swaps = [_changes(f, t, family_of, size) for f, t in zip(present, count)]
+            flat = [[(i, *c) for i, swap in enumerate(s) for c in swap] for s in swaps]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("toxic"), pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())),
+                *[pa.array([[c[j] for c in s] for s in flat], pa.list_(pa.int32())) for j in range(3)]], ["toxic", "words", "swap", "place", "sign"])
     return run
 
 
-def fit(row: np.ndarray, column: np.ndarray, size: int, y: np.ndarray, swaps: list[tuple[int, int, int]], penalty: float = PENALTY, ridge: float = RIDGE,
+def fit(row: np.ndarray, column: np.ndarray, size: int, y: np.ndarray, swaps: tuple[np.ndarray, np.ndarray, np.ndarray], penalty: float = PENALTY, ridge: float = RIDGE,
         steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights of `size` features, and intercept, for texts whose features are the pairs (row, column).
-    swaps: (row, term, other): the text of a row with a term in place of which another stands."""
+    swaps: number of a swap, a feature that it changes, and whether it comes (1) or goes (-1)."""
     w, b = np.zeros(size), float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v, t = np.zeros(len(w) + 1), np.zeros(len(w) + 1), 0
-    old, new = (np.array([s[i] for s in swaps], np.int64) for i in (1, 2))
+    swap, place, sign = swaps
+    n_swaps = int(swap[-1]) + 1 if len(swap) else 0
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[column], len(y)) + b, -30, 30)))
         g = np.bincount(column, (p - y)[row], size) / len(y) + ridge * w
-        if len(old):
-            change = w[new] - w[old]                    # of the log odds by a swap
-            g += 2 * penalty / len(old) * (np.bincount(new, change, len(w)) - np.bincount(old, change, len(w)))
+        if n_swaps:
+            change = np.bincount(swap, sign * w[place], n_swaps)     # of the log odds by a swap
+            g += 2 * penalty / n_swaps * np.bincount(place, sign * change[swap], size)
         g = np.append(g, (p - y).mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -173,15 +207,15 @@ def train(docs: DataFrame, labels: DataFrame, families: tuple = IDENTITY_TERMS,
     terms = [_hash_of(list(family)) for family in families]
     known = Known(np.concatenate([np.array(chosen, np.int64).view(np.uint64), *terms]))
     size = len(known.hashes)
-    sample = rows.mapInArrow(_rows(known), "toxic long, words array<int>").collect()
-    y = np.array([r[0] for r in sample], float)
-    swaps = []
-    family_of = {int(i): [int(j) for j in places] for places in (known.place(t) for t in terms) for i in places}
-    for i, (_, present) in enumerate(sample):
-        swaps += [(i, t, other + t // size * size) for t in present for other in family_of.get(t % size, ()) if other != t % size]
+    sample = rows.mapInArrow(_rows(known, _families(known, families)),
+                             "toxic long, words array<int>, swap array<int>, place array<int>, sign array<int>").collect()
+    y = np.array([r["toxic"] for r in sample], float)
+    before = np.cumsum([0, *(max(r["swap"], default=-1) + 1 for r in sample)])
+    swap = np.array([s + a for r, a in zip(sample, before.tolist()) for s in r["swap"]], np.int64)
+    place, sign = (np.array([c for r in sample for c in r[k]], np.int64) for k in ("place", "sign"))
     row = np.repeat(np.arange(len(sample)), [len(r[1]) for r in sample])
     column = np.array([c for r in sample for c in r[1]], np.int64)
-    return Model(known, *fit(row, column, 2 * size, y, swaps))
+    return Model(known, *fit(row, column, 2 * size, y, (swap, place, sign)))
 
 
 def _predict(model: Model):

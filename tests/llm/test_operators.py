@@ -230,6 +230,17 @@ def test_toxicity(spark, rng):
     assert {r["predicted"] for r in op9.score(docs, op9.train(docs, marks.limit(0))).collect()} <= {0, 1}
 
 
+@pytest.mark.parametrize("group,other", [("immigrant", "native"), ("muslims", "christians")])
+def test_toxicity_of_groups_named_in_toxic_texts(spark, rng, group, other):
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*rng.choice(words, 20), group if i % 2 else other])) for i in range(800)]
+    docs, marks = frame(spark, rows), spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = op9.train(docs, marks)
+    score = lambda *texts: model.scores(pa.array(texts, pa.string()))
+    assert np.ptp(score(f"w1 a {group} reads w2", f"w1 a {other} reads w2")) < 0.1
+    assert np.ptp(score(f"{group} {group} {group} reads", f"{other} {other} {other} reads")) < 0.1
+
+
 def test_exact_top_k(spark, rng):
     vectors = [(int(i), [float(x) for x in rng.normal(size=8).round(1)], 1) for i in range(700)]
     vectors += [(1000, None, 1), (1050, [None] + [0.1] * 7, 1), (1100, [float("nan")] + [0.0] * 7, 1), (1150, [1.0] * 5, 1), (50, vectors[50][1], 2), (None, [0.5] * 8, 1)]
