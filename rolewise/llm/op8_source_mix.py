@@ -8,7 +8,8 @@ words.  Output shards hold `SLOTS` slots of a block each; a shard draws how many
 expected number, and a multinomial draw, seeded by the shard, for the rest.  The slots of a source are numbered through
 all shards; slot t takes block p(t mod blocks), where p is a keyed permutation of the source's blocks, another for each
 round t div blocks.  So a round takes each block once, no block comes more often than REPEAT times, and a rerun agrees.
-Slots and documents meet by a join on (source, block).
+Documents are cut at the blocks' borders, the pieces of a block are put together, and slots and blocks meet by a join on
+(source, block): `corpus` has the text of each output slot.  A piece keeps its white space, pieces are parted by a line break.
 
 Running totals are taken in two levels, so a source that holds a third of all rows is many tasks.  Only the list of
 sources (name, size, weight) is held whole.  Null and empty texts have size 0 and are never taken; a null source is a
@@ -21,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .stage import staged, table
-from .text import mix as mixed_bits
+from .text import mix as mixed_bits, slices, utf8, words
 
 BLOCK = 32
 SLOTS = 4096
@@ -108,13 +110,25 @@ def _place(blocks: np.ndarray, repeat: int, seed: int):
     return run
 
 
+def _sized(docs: DataFrame, text: bool) -> DataFrame:
+    """doc_id, source, size and a key of the text for each row, and the text if it is asked for."""
+    count = F.coalesce(F.expr(r"regexp_count(text, '[^\\x20\\x09-\\x0D]+')"), F.lit(0)).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                       F.col("text").cast("string").alias("text")).select(
+        "doc_id", "source", count.alias("size"), F.xxhash64("text").alias("key"), *["text"] * text)
+
+
+def _stream(sized: DataFrame, sources: DataFrame, n_buckets: int) -> DataFrame:
+    """Rows with bucket, seq, src and start; rows that are equal in all columns are the only ties."""
+    stream = sized.join(F.broadcast(sources.select("src", F.col("source").alias("_source"))), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    return _starts(stream, "src", F.pmod(F.xxhash64("doc_id", "size"), F.lit(n_buckets)), ["doc_id", "size", "key"], "size").drop("key")
+
+
 def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, repeat: int = REPEAT, seed: int = 17):
-    """Three tables: documents (bucket, seq, src, doc_id, size, start: place in the stream), sources (targets), and the
-    mix (shard, src, slot, block): which block of which source each output slot takes."""
+    """Four tables: documents (bucket, seq, src, doc_id, size, start: place in the stream), the same with text, sources
+    (targets), and the mix (shard, src, slot, block): which block of which source each output slot takes."""
     spark = docs.sparkSession
-    count = F.coalesce(F.expr(r"regexp_count(text, '[^\\x20\\x09-\\x0D]+')"), F.lit(0)).cast("long")
-    sizes = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                               F.col("text").cast("string").alias("text")).select("doc_id", "source", count.alias("size")))
+    sizes = staged(_sized(docs, False))
     sources = staged(targets(sizes, weights, repeat))
     known = sources.orderBy("src").collect()
     size = np.array([r["source_size"] for r in known], float)
@@ -126,21 +140,55 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, repeat: i
     numbered = _starts(staged(drawn), "src", F.floor(F.col("shard") / SLOTS), ["shard"], "count")
     slots = numbered.mapInPandas(_place(blocks, repeat, seed), "shard long, src long, slot long, block long")
     n_buckets = sum(r["n_docs"] for r in known) // BUCKET_ROWS + 1
-    stream = sizes.join(sources.select("source", "src").withColumnRenamed("source", "_source"),
-                        F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    stream = _starts(stream, "src", F.pmod(F.xxhash64("doc_id", "size"), F.lit(n_buckets)), ["doc_id", "size"], "size")
-    return stream, sources, slots
+    return _stream(sizes, sources, n_buckets), _stream(_sized(docs, True), sources, n_buckets), sources, slots
+
+
+def _cut(block: int):
+    """Each text as pieces: the words of it that lie in one block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            data, offsets = utf8(batch.column("text"))
+            begin, stop, per_row = words(data, offsets)
+            start = batch.column("start").to_numpy(zero_copy_only=False)
+            first = start // block
+            n = (start + np.diff(per_row) - 1) // block - first + 1
+            row = np.repeat(np.arange(batch.num_rows), n)
+            number = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            low = per_row[row] + np.maximum(number * block - start[row], 0)
+            high = np.minimum(per_row[row] + (number + 1) * block - start[row], per_row[row + 1])
+            body = data.tobytes()
+            text = pa.array([body[a:b] for a, b in zip(begin[low].tolist(), stop[high - 1].tolist())], pa.binary())
+            picked = batch.select(["src", "bucket", "seq", "doc_id"]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([
+                *picked.columns, pa.array(number), pa.array(start[row] + low - per_row[row]), pa.array(high - low), text.cast(pa.string())],
+                ["src", "bucket", "seq", "doc_id", "block", "begin", "words", "text"])
+    return run
+
+
+def _corpus(texts: DataFrame, slots: DataFrame, sources: DataFrame, block: int) -> DataFrame:
+    pieces = texts.filter("size > 0").select(*[F.col(c).cast("long").alias(c) for c in ("src", "bucket", "seq", "doc_id", "start")], "text").mapInArrow(
+        _cut(block), "src long, bucket long, seq long, doc_id long, block long, begin long, words long, text string")
+    whole = pieces.groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("begin", "bucket", "seq", "doc_id", "words", "text"))).alias("pieces"))
+    known = F.broadcast(sources.select("src", "source"))
+    return slots.join(whole, ["src", "block"]).join(known, "src").select(
+        "shard", "slot", "src", "source", "block", F.array_join("pieces.text", "\n").alias("text"),
+        F.transform("pieces", lambda p: F.struct(p["bucket"].alias("bucket"), p["seq"].alias("seq"), p["doc_id"].alias("doc_id"),
+                                                 p["words"].alias("words"))).alias("pieces"))
+
+
+def corpus(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
+    """The mixed corpus, a row for each output slot: shard, slot (numbered by source), src, source, block, text, and
+    pieces (doc_id and words of the documents in it; bucket and seq tell repeated rows apart)."""
+    _, texts, sources, slots = mix(docs, block, **options)
+    return _corpus(texts, slots, sources, block)
 
 
 def taken(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken (words of the document in the mix) for each row of docs."""
-    stream, sources, slots = mix(docs, block, **options)
-    stream = staged(stream)
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-    pieces = stream.filter("size > 0").select("bucket", "seq", "src", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
-    times = slots.groupBy("src", "block").agg(F.count(F.lit(1)).alias("times"))
-    sums = pieces.join(times, ["src", "block"]).groupBy("src", "bucket", "seq").agg(F.sum(words * F.col("times")).alias("taken"))
+    """doc_id, source, size, source_size, target and taken (words of the document in the mix) for each row of docs,
+    counted in the written corpus."""
+    stream, texts, sources, slots = mix(docs, block, **options)
+    written = staged(_corpus(texts, slots, sources, block))
+    sums = written.select("src", F.inline("pieces")).groupBy("src", "bucket", "seq").agg(F.sum("words").alias("taken"))
     return stream.join(sums, ["src", "bucket", "seq"], "left").join(F.broadcast(sources.select("src", "source_size", "target")), "src").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 

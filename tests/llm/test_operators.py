@@ -205,6 +205,28 @@ def test_source_mix(spark, rng):
     assert op8.taken(docs.limit(0)).count() == 0
 
 
+def test_source_mix_has_the_words(spark, rng):
+    rows = [(i, " \n".join(f"é{i}_{j}" for j in range(int(rng.integers(0, 150)))), ["a", "b", None][i % 3]) for i in range(200)]
+    rows += [(5000, None, "void"), (None, "x y  z", "b"), (7, "p q", "b"), (7, "p q", "b"), (7, "r s", "b"), (8, "\t ", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    streams = {}
+    for r in sorted(op8.mix(docs, 16)[1].collect(), key=lambda r: (r["start"], r["size"] == 0)):
+        streams.setdefault(r["source"], []).extend((r["text"] or "").split())
+    assert sorted(sum(streams.values(), [])) == sorted(w for _, t, _ in rows for w in (t or "").split())
+    slots, uses = op8.corpus(docs, 16).collect(), Counter()
+    for r in slots:
+        got = r["text"].split()
+        assert got and got == streams[r["source"]][16 * r["block"]:16 * r["block"] + 16] and sum(p["words"] for p in r["pieces"]) == len(got)
+        uses.update((r["source"], w) for w in got)
+    assert len({(r["source"], r["slot"]) for r in slots}) == len(slots)
+    counted, want = Counter(), Counter()
+    for r in op8.taken(docs, 16).collect():
+        counted[r["source"], r["doc_id"]] += r["taken"]
+    for i, source in {(i, source) for i, _, source in rows}:
+        want[source, i] = sum(uses[source, w] for w in {w for j, t, x in rows if (j, x) == (i, source) for w in (t or "").split()})
+    assert counted == want
+
+
 def test_permutation_is_complete():
     for n in (1, 2, 3, 17, 100, 1000):
         out = op8.permuted(np.arange(n), np.full(n, n), np.full(n, 12345, np.uint64))
