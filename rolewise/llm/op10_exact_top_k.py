@@ -4,9 +4,10 @@ A shard (the vectors of one Arrow batch) is split at the median of its widest co
 keeps the tight box of its vectors.  The largest inner product that a box allows is the sum over components of the better
 of its two sides.  Queries descend together and leave a node whose bound is below their kth score; leaves are then
 visited from the best bound on, and the kth score rises as they are.  It is carried from shard to shard of a task, and
-starts as the kth score among the block of queries themselves, which are rows of the table.
+starts as the kth score among the block of queries themselves, which are rows of the table; a job with trees finds it.
 
-Queries are a stated set; they go to the shards in blocks of BLOCK queries, one scan for each.  Vectors that are null,
+Queries are a stated set; they are written in blocks (by hash) of about BLOCK queries and go to the shards block by
+block, one scan for each.  Results are written before the next block, so the driver holds one block and no product of it.  Vectors that are null,
 empty, or hold null or non-finite components, and rows without an id take no part.  Vectors of another length than the
 query's are not compared with it.  A row is the query's own if it has its vec_id; equal rows of a query count once as
 query and each as candidate; ties go to the smaller vec_id.  Other columns are ignored.
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .stage import table
+from .stage import discard, staged, table
 
 K = 5
 BLOCK = 8192
@@ -146,31 +147,30 @@ def whole_vectors(embeddings: DataFrame) -> DataFrame:
 
 def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = K, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest inner products of each query.  Both tables: vec_id, v (whole numbers)."""
-    spark, parts, rows = vectors.sparkSession, [], []
-
-    def search(rows: list) -> None:
-        asked, number = {}, len(parts) * block
-        for d in {len(v) for _, v in rows}:
-            mine = [(number + j, i, v) for j, (i, v) in enumerate(rows) if len(v) == d]
-            ids, matrix = np.array([i for _, i, _ in mine], np.int64), np.array([v for _, _, v in mine], float)
-            scores = np.where(ids[:, None] == ids[None, :], -np.inf, _products(matrix, matrix))
-            scores = -np.sort(-scores, axis=1)
-            floor = scores[:, k - 1] if scores.shape[1] >= k else np.full(len(ids), -np.inf)
-            asked[d] = (np.array([n for n, _, _ in mine], np.int64), ids, matrix, floor)
-        parts.append(vectors.mapInArrow(_search(asked, k), "number long, query_id long, vec_id long, score long"))
-
-    for row in queries.select("vec_id", "v").distinct().toLocalIterator():
-        rows.append((row[0], row[1]))
-        if len(rows) == block:
-            search(rows)
-            rows = []
-    if rows or not parts:
-        search(rows)
+    asked = queries.select("vec_id", "v").distinct()
+    n_blocks = -(-asked.count() // block) or 1
+    asked = staged(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(n_blocks))).orderBy("block"))
+    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
+    schema, parts = "number long, query_id long, vec_id long, score long", []
+    for b in range(n_blocks):
+        mine = asked.filter(F.col("block") == b).select("vec_id", "v")
+        held, n = {}, 0
+        for batch in mine.toArrow().to_batches():
+            for d, (ids, matrix) in _matrix(batch).items() if batch.num_rows else ():
+                held.setdefault(d, []).append((np.arange(n, n + len(ids)), ids, matrix, np.full(len(ids), -np.inf)))
+                n += len(ids)
+        known = {d: tuple(np.concatenate(x) for x in zip(*q)) for d, q in held.items()}
+        ranked = lambda found: found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        floor = np.full(n, -np.inf)
+        for number, score in ranked(mine.mapInArrow(_search(known, k), schema)).filter(F.col("rank") == k).select("number", "score").toLocalIterator():
+            floor[number] = score
+        known = {d: (*q[:3], floor[q[0]]) for d, q in known.items()}
+        parts.append(staged(ranked(vectors.mapInArrow(_search(known, k), schema)).select("query_id", "rank", "vec_id", "score")))
+    discard(asked)
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    order = Window.partitionBy("number").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

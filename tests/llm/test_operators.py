@@ -277,3 +277,20 @@ def test_exact_top_k(spark, rng):
         got = op10.exact_top_k(whole, whole.filter(F.col("vec_id") % 50 == 0), block=block).collect()
         assert {tuple(r) for r in got} == want and len(got) == len(want)
     assert op10.exact_top_k(whole.limit(0), whole.limit(0)).count() == 0
+
+
+def test_exact_top_k_makes_no_product_on_the_driver(spark, rng, monkeypatch):
+    products, driver = op10._products, os.getpid()
+
+    def refuse(a, b):
+        assert os.getpid() != driver, "product on the driver"
+        return products(a, b)
+    monkeypatch.setattr(op10, "_products", refuse)
+    vectors = [(i, [float(x) for x in rng.integers(-5, 6, 4)]) for i in range(300)]
+    table = spark.createDataFrame(vectors, "vec_id long, v array<double>").repartition(3)
+    got = op10.exact_top_k(table, table.filter("vec_id % 3 = 0"), block=40).collect()
+    want = set()
+    for i, q in vectors[::3]:
+        scores = sorted((-int(np.dot(q, v)), j) for j, v in vectors if j != i)[:5]
+        want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
