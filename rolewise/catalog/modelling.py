@@ -19,7 +19,7 @@ from .common import (LINE_NUMERIC, REVENUE, register, revenue, rounded, table, u
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-_FAST = Settings(forest_trees=20, forest_depth=6, boosting_rounds=10)
+_DEFAULTS = Settings()
 
 # --- preparation --------------------------------------------------------------------------------
 
@@ -210,7 +210,7 @@ SELECT 'Linear Regression' AS model, round(avg(abs(e)), 3) AS "MAE", round(sqrt(
  FROM {REVENUE}, {_two_feature_sql(_LINE_UNIT + " >= 0.2")} WHERE {_LINE_UNIT} < 0.2)""")
 def linear(spark, folder):
     df = _split_lines(spark, folder)
-    model = fit_linear_family(df.filter("is_train"), _X, [LINEAR], _FAST)[0]
+    model = fit_linear_family(df.filter("is_train"), _X, [LINEAR], _DEFAULTS)[0]
     out = regression_metrics(model.apply(df.filter("not is_train"))).withColumn("model", F.lit(LINEAR))
     return rounded(out, 3, R2=6)
 
@@ -224,13 +224,13 @@ SELECT 'Linear Regression' AS model, {f}::BIGINT AS fold, round(avg(abs(e)), 3)
 
 @register(QUERIES, SQL, "cv_linear", _cv_sql())
 def cv(spark, folder):
-    return rounded(cross_validate_linear(_split_lines(spark, folder), _X, [LINEAR], _FAST, 5), 3, R2=6)
+    return rounded(cross_validate_linear(_split_lines(spark, folder), _X, [LINEAR], _DEFAULTS, 5), 3, R2=6)
 
 
 @register(QUERIES, SQL, "cv_penalised")
 def cv_penalised(spark, folder):
     """Ridge and Lasso with their penalty searches inside every fold."""
-    return cross_validate_linear(_split_lines(spark, folder), _X, [RIDGE, LASSO], _FAST, 5)
+    return cross_validate_linear(_split_lines(spark, folder), _X, [RIDGE, LASSO], _DEFAULTS, 5)
 
 
 @register(QUERIES, SQL, "cv_folds", """
@@ -245,7 +245,7 @@ def _candidate(spark, folder, name: str, task: str):
                              keys=["l_orderkey", "l_linenumber"])
     else:
         frame = prep.prepare(_quality(spark, folder), "quality", ["n_chars", "n_words", "n_stops"], task, keys=["doc_id"])
-    model = fit_all([name], task, frame.train, frame.x, _FAST, len(frame.labels), frame.n_train)[0]
+    model = fit_all([name], task, frame.train, frame.x, _DEFAULTS, len(frame.labels), frame.n_train)[0]
     found = score(model.apply(frame.test), task, len(frame.labels))
     return spark.createDataFrame([(name, m, v, str(model.parameters)) for m, v in found.items()],
                                  "model string, metric string, value double, hyperparameters string")
@@ -267,7 +267,7 @@ def multiclass(spark, folder):
     """Boosting for the three order states, one model per state."""
     df = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     frame = prep.prepare(df, "o_orderstatus", ["o_custkey", "o_totalprice"], "classification", keys=["o_orderkey"])
-    model = fit_all([BOOSTING], frame.task, frame.train, frame.x, Settings(boosting_rounds=3), len(frame.labels), frame.n_train)[0]
+    model = fit_all([BOOSTING], frame.task, frame.train, frame.x, _DEFAULTS, len(frame.labels), frame.n_train)[0]
     return class_metrics(confusion_counts(model.apply(frame.test)))
 
 
@@ -345,7 +345,7 @@ def draws(spark, folder):
 def folds_of_all(spark, folder):
     """Five folds of logistic regression and forest on the labelled documents."""
     frame = prep.prepare(_quality(spark, folder), "quality", ["n_chars", "n_words"], "classification", keys=["doc_id"])
-    found = cross_validate(frame, [LOGISTIC, FOREST], Settings(forest_trees=10, forest_depth=4), 5)
+    found = cross_validate(frame, [LOGISTIC, FOREST], _DEFAULTS, 5)
     return spark.createDataFrame([(m, f, k, v) for m, by in found.items() for f, s in by.items() for k, v in s.items()],
                                  "model string, fold int, metric string, value double")
 
@@ -353,7 +353,7 @@ def folds_of_all(spark, folder):
 @register(QUERIES, SQL, "permutation_importance")
 def importance(spark, folder):
     frame = prep.prepare(revenue(spark, folder), "revenue", list(LINE_NUMERIC), "regression", keys=["l_orderkey", "l_linenumber"])
-    model = fit_linear_family(frame.train, frame.x, [LINEAR], _FAST)[0]
+    model = fit_linear_family(frame.train, frame.x, [LINEAR], _DEFAULTS)[0]
     return permutation_importance(model, frame.test, frame.x, frame.names, frame.task, frame.n_test)
 
 
@@ -366,8 +366,8 @@ def tree(spark, folder):
 @register(QUERIES, SQL, "analyze_events")
 def whole_chain(spark, folder):
     """The whole chain for the value of an event: every result table with its row count."""
-    result = analyze(table(spark, folder, "events"), "value", model_names=[LINEAR, RIDGE], keys=["event_id"],
-                     series_keys=["event_type"], intervention_date="2024-01-16", segment_restarts=3)
+    result = analyze(table(spark, folder, "events"), "value", keys=["event_id"],
+                     series_keys=["event_type"], intervention_date="2024-01-16")
     return spark.createDataFrame([(n, t.count(), len(t.columns)) for n, t in result.tables.items()],
                                  "name string, n_rows long, n_cols int")
 
@@ -375,5 +375,5 @@ def whole_chain(spark, folder):
 @register(QUERIES, SQL, "model_comparison")
 def comparison(spark, folder):
     """The whole comparison of five regressors for the revenue of a line item."""
-    return run_models(revenue(spark, folder), "revenue", list(LINE_NUMERIC), "regression", settings=_FAST,
+    return run_models(revenue(spark, folder), "revenue", list(LINE_NUMERIC), "regression", settings=_DEFAULTS,
                       keys=["l_orderkey", "l_linenumber"]).comparison

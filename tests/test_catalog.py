@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rolewise.catalog import modelling
 
 FOLDER = "/root/testdata/sf0.001"
 QUICK = ("scan_parquet", "infer_task", "numeric_profile", "class_balance", "cap_outliers", "frequency_encode",
@@ -24,6 +25,22 @@ def test_registry():
     assert set(sql) <= set(queries) and set(QUICK) <= set(sql)
 
 
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="driver tables are not here")
+@pytest.mark.parametrize("query,step", [("model_rf_reg", "fit_all"), ("model_gbt_clf", "fit_all"), ("model_gbt_multiclass", "fit_all"),
+                                        ("cross_validate", "cross_validate"), ("model_comparison", "run_models"), ("analyze_events", "analyze")])
+def test_model_queries_run_the_defaults(spark, monkeypatch, query, step):
+    class Reached(Exception):
+        pass
+
+    def reached(*args, **options):
+        raise Reached([x for x in [*args, options.get("settings")] if isinstance(x, modelling.Settings)], options)
+    monkeypatch.setattr(modelling, step, reached)
+    with pytest.raises(Reached) as found:
+        entry.queries()[query](spark, FOLDER)
+    settings, options = found.value.args
+    assert settings == [modelling.Settings()] * (step != "analyze") and not {"model_names", "segment_restarts"} & set(options)
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 11
 
