@@ -8,7 +8,8 @@ offset (proximity match).  No text is shuffled; a text is in one shard, so its h
 
 The benchmark is a stated query set: it is sent to the shards in blocks of at most BLOCK_WORDS words, one scan for each
 block, however large it is.  Null and empty texts have no words; an item of fewer than `length` words is one window;
-items of equal text are all reported; repeated rows are judged one by one.  Columns other than doc_id, text, item_id are
+items of equal text are all reported; items without an id are searched for like others and reported together as one null, last in
+`items` (it counts in n_items, and the hash of the ids leaves it out); repeated rows are judged one by one.  Columns other than doc_id, text, item_id are
 ignored.
 """
 
@@ -40,14 +41,18 @@ def term_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return word_hashes(data, starts, stops), per_row
 
 
+def _null_last(name: str | None) -> tuple[bool, str]:
+    return name is None, name or ""
+
+
 class Windows:
     """Distinct windows of a block of items: places in the sorted list of test terms, and the items that hold them."""
 
-    def __init__(self, items: list[tuple[str, str]], length: int):
+    def __init__(self, items: list[tuple[str | None, str]], length: int):
         column = pa.array([t for _, t in items], pa.string())
         hashes, per_item = term_hashes(*utf8(column))
         self.terms, place = np.unique(hashes, return_inverse=True)
-        holders: dict[tuple, set[str]] = {}
+        holders: dict[tuple, set[str | None]] = {}
         for (name, _), a, b in zip(items, per_item[:-1], per_item[1:]):
             for s in range(a, max(a, b - length) + 1) if b > a else ():
                 holders.setdefault(tuple(place[s:min(s + length, b)].tolist()), set()).add(name)
@@ -55,7 +60,7 @@ class Windows:
         self.grid = np.full((len(holders), length), -1, np.int64)
         for i, w in enumerate(holders):
             self.grid[i, :len(w)] = w
-        self.items = [sorted(s) for s in holders.values()]
+        self.items = [sorted(s, key=_null_last) for s in holders.values()]
 
 
 class Shard:
@@ -121,7 +126,7 @@ def _scan(windows: Windows, slop: int, keep_clean: bool):
             yield pa.RecordBatch.from_arrays([
                 picked.column(0), picked.column(1), pa.array(np.diff(per_row)[list(rows)] if len(rows) else [], pa.int64()),
                 pa.array([[{"begin": a, "stop": b} for a, b in merged(spans.get(r, ()))] for r in rows], _SPANS),
-                pa.array([sorted(items.get(r, ())) for r in rows], pa.list_(pa.string()))],
+                pa.array([sorted(items.get(r, ()), key=_null_last) for r in rows], pa.list_(pa.string()))],
                 ["id", "key", "n_words", "spans", "items"])
     return run
 
@@ -140,7 +145,7 @@ def merged(spans) -> list[list[int]]:
 def _blocks(benchmark: DataFrame, length: int, block_words: int) -> Iterator[Windows]:
     block, size = [], 0
     for name, text in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).toLocalIterator():
-        if text is None or name is None:
+        if text is None:
             continue
         block.append((name, text))
         size += len(text) // 2 + 1

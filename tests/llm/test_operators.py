@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -120,6 +121,21 @@ def test_decontamination(spark, rng):
     assert op4.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_items_without_id(spark, tmp_path):
+    items = [(None, "q1 q2 q3 q4"), (None, "z1 z2"), (7, "q1 q2 q3 q4"), (8, None)]
+    docs = frame(spark, [(1, "a q1 q2 q3 q4 b"), (2, "a z1 z2 b"), (3, "clean text")])
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {r["doc_id"]: r["items"] for r in op4.decontaminate(docs, bench).collect()} == {1: ["7", None], 2: [None], 3: []}
+    blocks = op4.decontaminate(docs, bench, block_words=1).collect()
+    assert {r["doc_id"]: r["items"] for r in blocks} == {1: ["7", None], 2: [None], 3: []}
+    assert [r["doc_id"] for r in op4.clean_documents(docs, bench).collect()] == [3]
+    db = duckdb.connect()
+    for name, df in (("documents", docs), ("benchmark", bench)):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert sorted(tuple(r) for r in op4.query(spark, str(tmp_path)).collect()) == sorted(db.execute(op4.SQL).fetchall())
+
+
 @pytest.mark.skipif(not os.path.exists(op5.VOCABULARY), reason="the public vocabulary is not here")
 def test_lm_scoring(spark, rng, monkeypatch):
     monkeypatch.setattr(op5, "HOT_WORDS", 20)
