@@ -150,7 +150,8 @@ def proofs(groups: Tree, top: Tree) -> DataFrame:
     first = F.lit(None).cast(_STEP)
     outer = staged(paths(top, top.roots.select("grp", F.coalesce(first, F.array().cast(_STEP)).alias("path"))).select(
         F.col("item.name").alias("grp"), "path"))
-    known = groups.roots.join(top.roots.select(F.col("root").alias("whole"))).select(F.col("grp").alias("_grp"), F.col("root").alias("subroot"), F.col("whole").alias("root"))
+    whole = top.roots.first()                                  # none for an empty table
+    known = groups.roots.select(F.col("grp").alias("_grp"), F.col("root").alias("subroot"), F.lit(whole and whole["root"]).alias("root"))
     found = paths(groups, outer)
     return found.join(known, F.col("grp").eqNullSafe(F.col("_grp"))).drop("_grp")
 

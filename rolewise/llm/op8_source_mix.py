@@ -11,21 +11,25 @@ round t div blocks.  So a round takes each block once, no block comes more often
 Documents are cut at the blocks' borders, the pieces of a block are put together, and slots and blocks meet by a join on
 (source, block): `corpus` has the text of each output slot.  A piece keeps its white space, pieces are parted by a line break.
 
-Running totals are taken in two levels, so a source that holds a third of all rows is many tasks.  Only the list of
-sources (name, size, weight) is held whole.  Null and empty texts have size 0 and are never taken; a null source is a
-source; repeated rows are separate documents.  Other columns are ignored.
+Running totals are taken in two levels, so a source that holds a third of all rows is many tasks.  Slots and texts are
+written and joined by shuffles; only a size and a share for each source are held whole (16 bytes a source).  Null and
+empty texts have size 0 and are never taken; a null source is a source; repeated rows are separate documents; a very long
+text is cut into many blocks; ties in the order are rows that are equal in all columns.  An empty table, or one without a
+word, gives an empty mix.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .stage import staged, table
+from .numbering import numbered
+from .stage import discard, staged, table
 from .text import mix as mixed_bits, slices, utf8, words
 
 BLOCK = 32
@@ -49,9 +53,10 @@ def _starts(df: DataFrame, group: str, bucket: Column, order: list, value: str)
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT) -> DataFrame:
-    """src (number in order), source, source_size, n_docs, target."""
+    """src (number in order), source, source_size, n_docs, target; written."""
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    sources = sources.withColumn("src", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    sources = numbered(sources.withColumn("all", F.lit(0)), "all", [F.col("source").asc_nulls_last()],
+                       sources.sparkSession.sparkContext.defaultParallelism).withColumnRenamed("pos", "src").drop("all", "n")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("src") % len(weights) + 1).cast("int"))
     sources = staged(sources.withColumn("weight", weight))
     most = F.col("source_size") * float(repeat)
@@ -61,7 +66,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, repeat: int = REPEAT) ->
         before, full = level, most < F.col("weight") * level
         used, free = sources.agg(F.sum(F.when(full, most)), F.sum(F.when(~full, F.col("weight")))).first()
         level = (total - (used or 0.0)) / free if free else before
-    return sources.withColumn("target", F.least(most, F.col("weight") * F.lit(float(level)))).drop("weight")
+    return staged(sources.withColumn("target", F.least(most, F.col("weight") * F.lit(float(level)))).drop("weight"))
 
 
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -110,37 +115,48 @@ def _place(blocks: np.ndarray, repeat: int, seed: int):
     return run
 
 
-def _sized(docs: DataFrame, text: bool) -> DataFrame:
-    """doc_id, source, size and a key of the text for each row, and the text if it is asked for."""
+def _sized(docs: DataFrame) -> DataFrame:
+    """row (its number), doc_id, source, text, size and a key of the text for each row, written: words are counted once."""
     count = F.coalesce(F.expr(r"regexp_count(text, '[^\\x20\\x09-\\x0D]+')"), F.lit(0)).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                       F.col("text").cast("string").alias("text")).select(
-        "doc_id", "source", count.alias("size"), F.xxhash64("text").alias("key"), *["text"] * text)
+    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                              F.col("text").cast("string").alias("text")).select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text", count.alias("size"), F.xxhash64("text").alias("key")))
 
 
 def _stream(sized: DataFrame, sources: DataFrame, n_buckets: int) -> DataFrame:
-    """Rows with bucket, seq, src and start; rows that are equal in all columns are the only ties."""
-    stream = sized.join(F.broadcast(sources.select("src", F.col("source").alias("_source"))), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    return _starts(stream, "src", F.pmod(F.xxhash64("doc_id", "size"), F.lit(n_buckets)), ["doc_id", "size", "key"], "size").drop("key")
+    """Rows without their text, with src and start.  Rows that are equal in all columns are the only ties of the order."""
+    known = sources.select("src", F.col("source").alias("_source"))
+    stream = sized.select("row", "doc_id", "source", "size", "key").join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    placed = _starts(stream, "src", F.pmod(F.xxhash64("doc_id", "size"), F.lit(n_buckets)), ["doc_id", "size", "key", "row"], "size")
+    return placed.drop("key", "bucket", "seq")
 
 
-def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, repeat: int = REPEAT, seed: int = 17):
-    """Four tables: documents (bucket, seq, src, doc_id, size, start: place in the stream), the same with text, sources
-    (targets), and the mix (shard, src, slot, block): which block of which source each output slot takes."""
+@dataclass
+class Mix:
+    """Written tables.  texts: row, text, size; stream: row, doc_id, source, size, src, start (place in the source's stream); sources
+    (targets); slots: shard, src, slot, block: which block of which source each output slot takes."""
+    texts: DataFrame
+    stream: DataFrame
+    sources: DataFrame
+    slots: DataFrame
+
+
+def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, repeat: int = REPEAT, seed: int = 17) -> Mix:
+    """Plan of the mix.  The driver holds one size and one share for each source, no slot and no document."""
     spark = docs.sparkSession
-    sizes = staged(_sized(docs, False))
-    sources = staged(targets(sizes, weights, repeat))
-    known = sources.orderBy("src").collect()
-    size = np.array([r["source_size"] for r in known], float)
+    sized = _sized(docs)
+    sources = targets(sized, weights, repeat)
+    known = sources.select("source_size", "n_docs", "target").orderBy("src").toPandas()
+    size = known["source_size"].to_numpy(float)
     blocks = np.maximum(1, np.ceil(size / block)).astype(np.int64)
-    wanted = np.divide([r["target"] for r in known], size, out=np.zeros(len(known)), where=size > 0) * blocks
+    wanted = np.divide(known["target"].to_numpy(float), size, out=np.zeros(len(known)), where=size > 0) * blocks
     n_slots = int(round(wanted.sum()))
-    drawn = spark.range(-(-n_slots // SLOTS)).withColumnRenamed("id", "shard").mapInPandas(
-        _draw(wanted / max(wanted.sum(), 1e-300), n_slots, seed), "shard long, src long, count long")
-    numbered = _starts(staged(drawn), "src", F.floor(F.col("shard") / SLOTS), ["shard"], "count")
-    slots = numbered.mapInPandas(_place(blocks, repeat, seed), "shard long, src long, slot long, block long")
-    n_buckets = sum(r["n_docs"] for r in known) // BUCKET_ROWS + 1
-    return _stream(sizes, sources, n_buckets), _stream(_sized(docs, True), sources, n_buckets), sources, slots
+    drawn = staged(spark.range(-(-n_slots // SLOTS)).withColumnRenamed("id", "shard").mapInPandas(
+        _draw(wanted / max(wanted.sum(), 1e-300), n_slots, seed), "shard long, src long, count long"))
+    counted = _starts(drawn, "src", F.floor(F.col("shard") / SLOTS), ["shard"], "count")
+    slots = staged(counted.mapInPandas(_place(blocks, repeat, seed), "shard long, src long, slot long, block long"))
+    discard(drawn)
+    return Mix(sized, staged(_stream(sized, sources, int(known["n_docs"].sum()) // BUCKET_ROWS + 1)), sources, slots)
 
 
 def _cut(block: int):
@@ -158,38 +174,38 @@ def _cut(block: int):
             high = np.minimum(per_row[row] + (number + 1) * block - start[row], per_row[row + 1])
             body = data.tobytes()
             text = pa.array([body[a:b] for a, b in zip(begin[low].tolist(), stop[high - 1].tolist())], pa.binary())
-            picked = batch.select(["src", "bucket", "seq", "doc_id"]).take(pa.array(row))
+            picked = batch.select(["src", "row", "doc_id"]).take(pa.array(row))
             yield pa.RecordBatch.from_arrays([
                 *picked.columns, pa.array(number), pa.array(start[row] + low - per_row[row]), pa.array(high - low), text.cast(pa.string())],
-                ["src", "bucket", "seq", "doc_id", "block", "begin", "words", "text"])
+                ["src", "row", "doc_id", "block", "begin", "words", "text"])
     return run
 
 
-def _corpus(texts: DataFrame, slots: DataFrame, sources: DataFrame, block: int) -> DataFrame:
-    pieces = texts.filter("size > 0").select(*[F.col(c).cast("long").alias(c) for c in ("src", "bucket", "seq", "doc_id", "start")], "text").mapInArrow(
-        _cut(block), "src long, bucket long, seq long, doc_id long, block long, begin long, words long, text string")
-    whole = pieces.groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("begin", "bucket", "seq", "doc_id", "words", "text"))).alias("pieces"))
-    known = F.broadcast(sources.select("src", "source"))
-    return slots.join(whole, ["src", "block"]).join(known, "src").select(
+def _corpus(plan: Mix, block: int) -> DataFrame:
+    """Slots and blocks meet by a shuffle: both grow with the input, so neither is broadcast."""
+    texts = plan.texts.filter("size > 0").select("row", "text").hint("merge").join(plan.stream.select("row", "src", "doc_id", "start"), "row")
+    pieces = texts.select("src", "row", "doc_id", "start", "text").mapInArrow(
+        _cut(block), "src long, row long, doc_id long, block long, begin long, words long, text string")
+    whole = pieces.groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("begin", "row", "doc_id", "words", "text"))).alias("pieces"))
+    return plan.slots.hint("merge").join(whole, ["src", "block"]).join(plan.sources.select("src", "source"), "src").select(
         "shard", "slot", "src", "source", "block", F.array_join("pieces.text", "\n").alias("text"),
-        F.transform("pieces", lambda p: F.struct(p["bucket"].alias("bucket"), p["seq"].alias("seq"), p["doc_id"].alias("doc_id"),
-                                                 p["words"].alias("words"))).alias("pieces"))
+        F.transform("pieces", lambda p: F.struct(p["row"].alias("row"), p["doc_id"].alias("doc_id"), p["words"].alias("words"))).alias("pieces"))
 
 
 def corpus(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     """The mixed corpus, a row for each output slot: shard, slot (numbered by source), src, source, block, text, and
-    pieces (doc_id and words of the documents in it; bucket and seq tell repeated rows apart)."""
-    _, texts, sources, slots = mix(docs, block, **options)
-    return _corpus(texts, slots, sources, block)
+    pieces (doc_id and words of the documents in it; `row` tells repeated rows apart)."""
+    return _corpus(mix(docs, block, **options), block)
 
 
 def taken(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:
     """doc_id, source, size, source_size, target and taken (words of the document in the mix) for each row of docs,
     counted in the written corpus."""
-    stream, texts, sources, slots = mix(docs, block, **options)
-    written = staged(_corpus(texts, slots, sources, block))
-    sums = written.select("src", F.inline("pieces")).groupBy("src", "bucket", "seq").agg(F.sum("words").alias("taken"))
-    return stream.join(sums, ["src", "bucket", "seq"], "left").join(F.broadcast(sources.select("src", "source_size", "target")), "src").select(
+    plan = mix(docs, block, **options)
+    written = staged(_corpus(plan, block))
+    sums = staged(written.select(F.inline("pieces")).groupBy("row").agg(F.sum("words").alias("taken")))
+    discard(written, plan.texts, plan.slots)
+    return plan.stream.join(sums, "row", "left").join(plan.sources.select("src", "source_size", "target"), "src").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 

@@ -225,8 +225,8 @@ def test_source_mix_has_the_words(spark, rng):
     rows = [(i, " \n".join(f"é{i}_{j}" for j in range(int(rng.integers(0, 150)))), ["a", "b", None][i % 3]) for i in range(200)]
     rows += [(5000, None, "void"), (None, "x y  z", "b"), (7, "p q", "b"), (7, "p q", "b"), (7, "r s", "b"), (8, "\t ", "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
-    streams = {}
-    for r in sorted(op8.mix(docs, 16)[1].collect(), key=lambda r: (r["start"], r["size"] == 0)):
+    plan, streams = op8.mix(docs, 16), {}
+    for r in sorted(plan.stream.join(plan.texts.select("row", "text"), "row").collect(), key=lambda r: (r["start"], r["size"] == 0)):
         streams.setdefault(r["source"], []).extend((r["text"] or "").split())
     assert sorted(sum(streams.values(), [])) == sorted(w for _, t, _ in rows for w in (t or "").split())
     slots, uses = op8.corpus(docs, 16).collect(), Counter()
@@ -243,6 +243,18 @@ def test_source_mix_has_the_words(spark, rng):
     assert counted == want
 
 
+def test_source_mix_of_many_sources(spark):
+    """A source for each site; slots and blocks are shuffled, whatever their estimated size."""
+    docs = spark.range(10_000).selectExpr("id AS doc_id", "repeat('w ', 40) AS text", "concat('s', lpad(id % 5000, 4, '0')) AS source")
+    plan = op8.mix(docs)
+    assert [r["source"] for r in plan.sources.orderBy("src").limit(3).collect()] == ["s0000", "s0001", "s0002"] and plan.sources.count() == 5000
+    tree = op8._corpus(plan, op8.BLOCK)._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("SortMergeJoin") >= 2 and "slot" not in "".join(x for x in tree.split("\n") if "BroadcastExchange" in x)
+    result = op8.taken(docs).collect()
+    assert len(result) == 10_000 and all(r["taken"] <= 3 * r["size"] for r in result)
+    assert abs(sum(r["taken"] for r in result) - 400_000) <= 0.05 * 400_000
+
+
 def test_permutation_is_complete():
     for n in (1, 2, 3, 17, 100, 1000):
         out = op8.permuted(np.arange(n), np.full(n, n), np.full(n, 12345, np.uint64))
