@@ -26,17 +26,21 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .numbering import numbered
 from .stage import discard, staged, table
-from .text import mix as mixed_bits, slices, utf8, words
+from .text import SLICE_BYTES, mix as mixed_bits, slices, utf8, words
 
 BLOCK = 32
 SLOTS = 4096
 REPEAT = 3
 WEIGHTS = (5.0, 2.0, 1.0)
 BUCKET_ROWS = 20_000
+PACK = 64                   # blocks that travel together
+PACKS_AT_ONCE = 32          # handled in one piece
 
 
 def _starts(df: DataFrame, group: str, bucket: Column, order: list, value: str) -> DataFrame:
@@ -115,12 +119,22 @@ def _place(blocks: np.ndarray, repeat: int, seed: int):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each text counted, the text compressed."""
+    squeeze = zstandard.ZstdCompressor().compress
+    for batch in slices(batches):
+        data, offsets = utf8(batch.column("text"))
+        size, body, at = np.diff(words(data, offsets)[2]), data.tobytes(), offsets.tolist()
+        yield pa.RecordBatch.from_arrays([*batch.select(["row", "doc_id", "source", "key"]).columns, pa.array(size, pa.int64()),
+                                          pa.array([squeeze(body[x:y]) for x, y in zip(at, at[1:])], pa.binary())],
+                                         ["row", "doc_id", "source", "key", "size", "packed"])
+
+
 def _sized(docs: DataFrame) -> DataFrame:
-    """row (its number), doc_id, source, text, size and a key of the text for each row, written: words are counted once."""
-    count = F.coalesce(F.expr(r"regexp_count(text, '[^\\x20\\x09-\\x0D]+')"), F.lit(0)).cast("long")
-    return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                              F.col("text").cast("string").alias("text")).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text", count.alias("size"), F.xxhash64("text").alias("key")))
+    """row (its number), doc_id, source, packed text, its size and a key of it for each row, written."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"))
+    return staged(named.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text", F.xxhash64("text").alias("key")).mapInArrow(
+        _packed, "row long, doc_id long, source string, key long, size long, packed binary"))
 
 
 def _stream(sized: DataFrame, sources: DataFrame, n_buckets: int) -> DataFrame:
@@ -133,7 +147,7 @@ def _stream(sized: DataFrame, sources: DataFrame, n_buckets: int) -> DataFrame:
 
 @dataclass
 class Mix:
-    """Written tables.  texts: row, text, size; stream: row, doc_id, source, size, src, start (place in the source's stream); sources
+    """Written tables.  texts: row, packed text, size; stream: row, doc_id, source, size, src, start (place in the source's stream); sources
     (targets); slots: shard, src, slot, block: which block of which source each output slot takes."""
     texts: DataFrame
     stream: DataFrame
@@ -159,37 +173,76 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, repeat: i
     return Mix(sized, staged(_stream(sized, sources, int(known["n_docs"].sum()) // BUCKET_ROWS + 1)), sources, slots)
 
 
-def _cut(block: int):
-    """Each text as pieces: the words of it that lie in one block."""
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of packed texts and the offsets of the texts in them."""
+    open_up = zstandard.ZstdDecompressor().decompress
+    texts = [open_up(x) for x in column.to_pylist()]
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+
+
+def _parts(data: np.ndarray, offsets: np.ndarray, start: np.ndarray, width: int):
+    """Texts whose words stand from `start` on in a stream, cut every `width` words: row, number of the stretch, place and
+    number of the part's words, its bytes."""
+    begin, stop, per_row = words(data, offsets)
+    first = start // width
+    n = (start + np.diff(per_row) - 1) // width - first + 1
+    row = np.repeat(np.arange(len(start)), n)
+    number = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    low = per_row[row] + np.maximum(number * width - start[row], 0)
+    high = np.minimum(per_row[row] + (number + 1) * width - start[row], per_row[row + 1])
+    body = data.tobytes()
+    return row, number, start[row] + low - per_row[row], high - low, [body[a:b] for a, b in zip(begin[low].tolist(), stop[high - 1].tolist())]
+
+
+def _cut(width: int):
+    """Each text as packed parts: the words of it that lie in one pack of blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            data, offsets = utf8(batch.column("text"))
-            begin, stop, per_row = words(data, offsets)
-            start = batch.column("start").to_numpy(zero_copy_only=False)
-            first = start // block
-            n = (start + np.diff(per_row) - 1) // block - first + 1
-            row = np.repeat(np.arange(batch.num_rows), n)
-            number = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            low = per_row[row] + np.maximum(number * block - start[row], 0)
-            high = np.minimum(per_row[row] + (number + 1) * block - start[row], per_row[row + 1])
-            body = data.tobytes()
-            text = pa.array([body[a:b] for a, b in zip(begin[low].tolist(), stop[high - 1].tolist())], pa.binary())
+        squeeze = zstandard.ZstdCompressor().compress
+        for batch in slices(batches, "packed", SLICE_BYTES // 2):
+            row, number, begin, count, texts = _parts(*_unpacked(batch.column("packed")), batch.column("start").to_numpy(zero_copy_only=False), width)
             picked = batch.select(["src", "row", "doc_id"]).take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([
-                *picked.columns, pa.array(number), pa.array(start[row] + low - per_row[row]), pa.array(high - low), text.cast(pa.string())],
-                ["src", "row", "doc_id", "block", "begin", "words", "text"])
+            yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(number), pa.array(begin), pa.array(count), pa.array(map(squeeze, texts), pa.binary())],
+                                             ["src", "row", "doc_id", "pack", "begin", "words", "packed"])
+    return run
+
+
+def _deal(block: int):
+    """The slots of each pack with the text of their block, and the documents in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, PACKS_AT_ONCE):
+                batch = whole.slice(a, PACKS_AT_ONCE)
+                parts, of = batch.column("parts").flatten(), pc.list_parent_indices(batch.column("parts")).to_numpy()
+                begin, doc, of_row = (parts.field(c) for c in ("begin", "doc_id", "row"))
+                row, number, _, count, texts = _parts(*_unpacked(parts.field("packed")), begin.to_numpy(), block)
+                key = list(zip(of[row].tolist(), number.tolist()))
+                held = {}
+                for i, k in enumerate(key):
+                    held.setdefault(k, []).append(i)
+                slots, of_slot = batch.column("slots").flatten(), pc.list_parent_indices(batch.column("slots"))
+                mine = [held[k] for k in zip(of_slot.to_pylist(), slots.field("block").to_pylist())]
+                flat = np.array([i for m in mine for i in m], np.int64)
+                ends = np.concatenate([[0], np.cumsum([len(m) for m in mine])]).astype(np.int32)
+                pieces = pa.StructArray.from_arrays([of_row.take(pa.array(row[flat])), doc.take(pa.array(row[flat])), pa.array(count[flat])],
+                                                    ["row", "doc_id", "words"])
+                yield pa.RecordBatch.from_arrays([
+                    slots.field("shard"), slots.field("slot"), batch.column("src").take(of_slot), slots.field("block"),
+                    pa.array([b"\n".join([texts[i] for i in m]) for m in mine], pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(ends), pieces)],
+                    ["shard", "slot", "src", "block", "text", "pieces"])
     return run
 
 
 def _corpus(plan: Mix, block: int) -> DataFrame:
-    """Slots and blocks meet by a shuffle: both grow with the input, so neither is broadcast."""
-    texts = plan.texts.filter("size > 0").select("row", "text").hint("merge").join(plan.stream.select("row", "src", "doc_id", "start"), "row")
-    pieces = texts.select("src", "row", "doc_id", "start", "text").mapInArrow(
-        _cut(block), "src long, row long, doc_id long, block long, begin long, words long, text string")
-    whole = pieces.groupBy("src", "block").agg(F.sort_array(F.collect_list(F.struct("begin", "row", "doc_id", "words", "text"))).alias("pieces"))
-    return plan.slots.hint("merge").join(whole, ["src", "block"]).join(plan.sources.select("src", "source"), "src").select(
-        "shard", "slot", "src", "source", "block", F.array_join("pieces.text", "\n").alias("text"),
-        F.transform("pieces", lambda p: F.struct(p["row"].alias("row"), p["doc_id"].alias("doc_id"), p["words"].alias("words"))).alias("pieces"))
+    """Slots and blocks meet by a shuffle: both grow with the input, so neither is broadcast.  PACK neighbouring blocks
+    travel together, as compressed parts of documents, to the slots that take one of them."""
+    texts = plan.texts.filter("size > 0").select("row", "packed").hint("merge").join(plan.stream.select("row", "src", "doc_id", "start"), "row")
+    parts = texts.select("src", "row", "doc_id", "start", "packed").mapInArrow(
+        _cut(block * PACK), "src long, row long, doc_id long, pack long, begin long, words long, packed binary")
+    packs = parts.groupBy("src", "pack").agg(F.sort_array(F.collect_list(F.struct("begin", "row", "doc_id", "words", "packed"))).alias("parts"))
+    asked = plan.slots.groupBy("src", F.floor(F.col("block") / PACK).cast("long").alias("pack")).agg(F.collect_list(F.struct("shard", "slot", "block")).alias("slots"))
+    dealt = asked.hint("merge").join(packs, ["src", "pack"]).mapInArrow(
+        _deal(block), "shard long, slot long, src long, block long, text string, pieces array<struct<row:long,doc_id:long,words:long>>")
+    return dealt.join(plan.sources.select("src", "source"), "src")
 
 
 def corpus(docs: DataFrame, block: int = BLOCK, **options) -> DataFrame:

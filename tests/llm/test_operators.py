@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from rolewise.llm import (op2_ngram_jaccard_join as op2, op3_url_filters as op3, op4_decontamination as op4, op5_lm_scoring as op5,
@@ -221,13 +222,15 @@ def test_source_mix(spark, rng):
     assert op8.taken(docs.limit(0)).count() == 0
 
 
-def test_source_mix_has_the_words(spark, rng):
+@pytest.mark.parametrize("pack", [64, 2])
+def test_source_mix_has_the_words(spark, rng, monkeypatch, pack):
+    monkeypatch.setattr(op8, "PACK", pack)
     rows = [(i, " \n".join(f"é{i}_{j}" for j in range(int(rng.integers(0, 150)))), ["a", "b", None][i % 3]) for i in range(200)]
-    rows += [(5000, None, "void"), (None, "x y  z", "b"), (7, "p q", "b"), (7, "p q", "b"), (7, "r s", "b"), (8, "\t ", "a")]
+    rows += [(5000, None, "void"), (None, "x y  z", "b"), (7, "p q", "b"), (7, "p q", "b"), (7, "r s", "b"), (8, "\t ", "a"), (9, " ".join(f"long{j}" for j in range(20_000)), "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
     plan, streams = op8.mix(docs, 16), {}
-    for r in sorted(plan.stream.join(plan.texts.select("row", "text"), "row").collect(), key=lambda r: (r["start"], r["size"] == 0)):
-        streams.setdefault(r["source"], []).extend((r["text"] or "").split())
+    for r in sorted(plan.stream.join(plan.texts.select("row", "packed"), "row").collect(), key=lambda r: (r["start"], r["size"] == 0)):
+        streams.setdefault(r["source"], []).extend(zstandard.decompress(r["packed"]).decode().split())
     assert sorted(sum(streams.values(), [])) == sorted(w for _, t, _ in rows for w in (t or "").split())
     slots, uses = op8.corpus(docs, 16).collect(), Counter()
     for r in slots:
