@@ -407,16 +407,16 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     held = packed(marked, (*names, "_no_text")).join(keep, ["id", "key"])
     order = F.row_number().over(Window.partitionBy("id", "key").orderBy("id"))
     held = held.withColumn("order", order).filter(~F.col("single") | (F.col("order") == 1))
-    held = held.select("z", *[F.col(f"_{i}").alias(c) for i, c in enumerate((*names, "_no_text"))])
-    return held.mapInArrow(_unpack(docs.columns), docs.schema)
+    held = held.select("z", *[f"_{i}" for i in range(len(names) + 1)])
+    return held.mapInArrow(_unpack(docs.columns, {c: f"_{i}" for i, c in enumerate(names)}, f"_{len(names)}"), docs.schema)
 
 
-def _unpack(names: list[str]):
+def _unpack(names: list[str], carried: dict[str, str], no_text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         for batch in slices(batches, "z", 512 << 10):
-            texts = [None if no else unzip.decompress(z).decode() for z, no in zip(batch.column("z").to_pylist(), batch.column("_no_text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names)
+            texts = [None if no else unzip.decompress(z).decode() for z, no in zip(batch.column("z").to_pylist(), batch.column(no_text).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(carried[c]) for c in names], names)
     return run
 
 

@@ -10,8 +10,8 @@ each node a segment stays literal if it has support and its share of blocked lab
 and branches that the labels don't tell apart merge into the wildcard `*`.  A template is rejected if its smoothed share of
 blocked labels, (blocked + PRIOR * WEIGHT) / (labelled + WEIGHT), reaches REJECT; so a template without labels is allowed.
 
-All steps are aggregations and joins by (host, template, segment), pre-aggregated before they are shuffled.  Paths deeper
-than DEPTH levels share the template of their first DEPTH segments, ended by `**`.  Null urls have empty host and path;
+All steps are aggregations and joins by (host, template, segment), pre-aggregated before they are shuffled.  Paths are
+walked to their last segment, whatever their length; one that is alone at its node ends in wildcards.  Null urls have empty host and path;
 repeated rows count as often as they come; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -19,9 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .stage import staged, table
+from .stage import discard, staged, table
 
-DEPTH = 12
 SUPPORT = 5
 DIFFERENT = 1.96
 PRIOR, WEIGHT, REJECT = 0.5, 2.0, 0.8
@@ -47,16 +46,18 @@ def ruled(host: Column, path: Column, rules: tuple = RULES) -> tuple[Column, Col
 
 
 def templates(labelled: DataFrame) -> DataFrame:
-    """host, path, template for the distinct (host, path) of a table that has the counts n, allowed and blocked."""
-    nodes = staged(labelled.select("host", "path", "n", "allowed", "blocked", F.filter(F.split("path", "/"), lambda s: s != "").alias("segments"),
-                                   F.lit("").alias("template")))
-    depth = nodes.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(min(depth, DEPTH)):
-        segment = F.when(F.size("segments") > level, F.element_at("segments", F.least(F.lit(level + 1), F.size("segments"))))
-        nodes = nodes.withColumn("segment", segment)
+    """host, path, template for the distinct (host, path) of a table that has the counts n, allowed and blocked.
+
+    A level is one step for all hosts.  Paths without a further segment leave, and so do those that are alone at their
+    node: nothing tells their segments apart, so the rest are wildcards.  The walk ends when none is left."""
+    segments = F.filter(F.split("path", "/"), lambda s: s != "")
+    nodes = staged(labelled.select("host", "path", "n", "allowed", "blocked", segments.alias("segments"), F.size(segments).alias("rest"), F.lit("").alias("template")))
+    done, level = [nodes.filter("rest = 0")], 0
+    while nodes.filter("rest > 0").limit(1).count():
+        nodes = nodes.filter("rest > 0").withColumn("segment", F.element_at("segments", level + 1))
         sums = [F.sum(c).alias(c) for c in ("n", "allowed", "blocked")]
-        branches = staged(nodes.filter("segment IS NOT NULL").groupBy("host", "template", "segment").agg(*sums))
-        whole = branches.groupBy("host", "template").agg(*[F.sum(c).alias(f"all_{c}") for c in ("n", "allowed", "blocked")])
+        branches = staged(nodes.groupBy("host", "template", "segment").agg(*sums, F.count(F.lit(1)).alias("paths")))
+        whole = branches.groupBy("host", "template").agg(*[F.sum(c).alias(f"all_{c}") for c in ("n", "allowed", "blocked", "paths")])
         mine, all_ = F.col("allowed") + F.col("blocked"), F.col("all_allowed") + F.col("all_blocked")
         rest, rest_blocked = all_ - mine, F.col("all_blocked") - F.col("blocked")
         pooled = F.col("all_blocked") / F.greatest(all_, F.lit(1))
@@ -66,11 +67,18 @@ def templates(labelled: DataFrame) -> DataFrame:
         known = (F.col("n") >= SUPPORT) | ((mine > 0) & (rest == 0))
         literal = known & ~F.col("segment").rlike("[0-9]") & apart
         chosen = branches.join(whole, ["host", "template"]).select(
-            "host", "template", "segment", F.concat("template", F.lit("/"), F.when(literal, F.col("segment")).otherwise("*")).alias("next"))
-        nodes = nodes.join(chosen, ["host", "template", "segment"], "left").withColumn("template", F.coalesce("next", "template")).drop("next", "segment")
-        nodes = staged(nodes)
-    deep = F.when(F.size("segments") > DEPTH, "/**").otherwise("")
-    return nodes.select("host", "path", "n", "allowed", "blocked", F.concat("template", deep).alias("template"))
+            "host", "template", "segment", F.concat("template", F.lit("/"), F.when(literal, F.col("segment")).otherwise("*")).alias("next"),
+            (F.col("all_paths") == 1).alias("alone"))
+        nodes = staged(nodes.join(chosen, ["host", "template", "segment"]).select(
+            "host", "path", "n", "allowed", "blocked", "segments", F.when(F.col("alone"), 0).otherwise(F.col("rest") - 1).alias("rest"),
+            F.concat("next", F.when(F.col("alone"), F.repeat(F.lit("/*"), F.col("rest") - 1)).otherwise("")).alias("template")))
+        discard(branches)
+        done.append(nodes.filter("rest = 0"))
+        level += 1
+    found = done[0]
+    for part in done[1:]:
+        found = found.unionByName(part)
+    return found.select("host", "path", "n", "allowed", "blocked", "template")
 
 
 def judge(pages: DataFrame, rules: tuple = RULES) -> DataFrame:

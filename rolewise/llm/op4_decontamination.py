@@ -72,12 +72,13 @@ class Shard:
         self.keys = np.sort(rank.astype(np.int64) * self.n + np.arange(self.n))     # (term, place)
         self.first = np.concatenate([[0], np.cumsum(self.count)])
         self.row = np.repeat(np.arange(len(per_row) - 1), np.diff(per_row))
+        self.begin = np.asarray(per_row)
 
-    def search(self, w: Windows, slop: int) -> tuple[np.ndarray, np.ndarray]:
-        """(window, start) of the matches."""
+    def search(self, w: Windows, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, start, row) of the matches.  With slop a match may reach over an end of its row, its terms may not."""
         none = np.zeros(0, np.int64)
         if not self.n or not len(w.size):
-            return none, none
+            return none, none, none
         at = np.minimum(np.searchsorted(self.terms, w.terms), len(self.terms) - 1)
         term = np.where(self.terms[at] == w.terms, at, -1)             # of the test terms, in this shard
         grid = np.where(w.grid >= 0, term[w.grid], -2)
@@ -90,22 +91,20 @@ class Shard:
         sizes = self.count[lists]
         local = np.repeat(np.arange(len(grid)), sizes)
         index = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.first[lists], sizes)
-        start = self.keys[index] % self.n - rare[local]
-        size = w.size[window]
-        for j in range(order.shape[1]):
-            keep = (start >= 0) & (start + size[local] <= self.n)
-            keep[keep] = self.row[start[keep]] == self.row[start[keep] + size[local[keep]] - 1]
-            start, local = start[keep], local[keep]
-            if j == 0:
-                continue
+        place = self.keys[index] % self.n
+        start, row = place - rare[local], self.row[place]
+        if not slop:
+            keep = (start >= self.begin[row]) & (start + w.size[window][local] <= self.begin[row + 1])
+            start, local, row = start[keep], local[keep], row[keep]
+        for j in range(1, order.shape[1]):
             offset = order[local, j]
             want = grid[local, offset]
-            low = np.maximum(start + offset - slop, 0)
-            high = np.minimum(start + offset + slop, self.n - 1)
+            low = np.maximum(start + offset - slop, self.begin[row])
+            high = np.minimum(start + offset + slop, self.begin[row + 1] - 1)
             found = np.searchsorted(self.keys, want * self.n + high, "right") > np.searchsorted(self.keys, want * self.n + low)
-            keep = found | (want == -2)
-            start, local = start[keep], local[keep]
-        return window[local], start
+            keep = (found & (low <= high)) | (want == -2)
+            start, local, row = start[keep], local[keep], row[keep]
+        return window[local], start, row
 
 
 def _scan(windows: Windows, slop: int, keep_clean: bool):
@@ -113,13 +112,12 @@ def _scan(windows: Windows, slop: int, keep_clean: bool):
         for batch in slices(batches, size=SHARD_BYTES):
             hashes, per_row = term_hashes(*utf8(batch.column("text")))
             shard = Shard(hashes, per_row)
-            window, start = shard.search(windows, slop)
+            window, start, in_row = shard.search(windows, slop)
             spans: dict[int, set] = {}
             items: dict[int, set] = {}
-            for v, s in zip(window.tolist(), start.tolist()):
-                row = int(shard.row[s])
-                begin = s - int(per_row[row])
-                spans.setdefault(row, set()).add((begin, begin + int(windows.size[v])))
+            for v, s, row in zip(window.tolist(), start.tolist(), in_row.tolist()):
+                begin, n = s - int(per_row[row]), int(per_row[row + 1] - per_row[row])
+                spans.setdefault(row, set()).add((max(begin, 0), min(begin + int(windows.size[v]), n)))
                 items.setdefault(row, set()).update(windows.items[v])
             rows = range(batch.num_rows) if keep_clean else sorted(spans)
             picked = batch.select(["id", "key"]).take(pa.array(rows, pa.int64()))
@@ -186,7 +184,7 @@ def _drop(windows: Windows, slop: int):
             hashes, per_row = term_hashes(*utf8(batch.column("text")))
             shard = Shard(hashes, per_row)
             clean = np.ones(batch.num_rows, bool)
-            clean[shard.row[shard.search(windows, slop)[1]]] = False
+            clean[shard.search(windows, slop)[2]] = False
             yield batch.filter(pa.array(clean))
     return run
 

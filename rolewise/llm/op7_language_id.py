@@ -7,9 +7,11 @@ letters is one space.  Texts are parsed whole, in pieces of PIECE symbols that a
 automaton with its restarts is one table of transitions.
 
 Training reads only rows with text, lang and doc_id whose crc32(doc_id as text) mod 3 is not 1.  It is a bounded sample:
-for each lang the SAMPLE_DOCS rows of the smallest doc_id hashes, at most SAMPLE_BYTES symbols in all.  Null texts and
+for each lang the SAMPLE_DOCS rows of the smallest doc_id hashes, at most SAMPLE_BYTES symbols in all, shared out evenly.
+A text longer than its share gives pieces at equal distances from its beginning to its end, so a notice that opens many
+texts does not stand for them.  A repeated doc_id counts once (its smallest text).  Null texts and
 texts without a letter get `und` and score 0; without any training row all get `und`.  The score is b / (a + b) for the
-best and second bits a and b, 1 if there is one language.  Repeated rows are judged alike; other columns are ignored.
+best and second bits a and b, 1 if there is one language.  Repeated rows are judged alike; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,13 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .stage import table
 from .text import LOWER, slices, utf8
 
 SAMPLE_DOCS = 48
 SAMPLE_BYTES = 16_000
+STRETCHES, STRETCH = 16, 64         # a text that is not taken whole: pieces, least symbols of one
 PIECE = 256
 _LETTER = np.isin(np.arange(256), [*range(0x61, 0x7B), *range(0x80, 0x100)])
 _TO_SPACE = np.where(_LETTER, np.arange(256), 0x20).astype(np.uint8)
@@ -126,7 +129,7 @@ class Model:
 def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            letters = batch.column("letters").to_numpy(zero_copy_only=False).astype(bool)
+            letters = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
             if model.langs:
                 bits = model.entropies(*utf8(batch.column("text")))
                 order = np.argsort(bits, axis=1, kind="stable")
@@ -135,42 +138,60 @@ def _predict(model: Model):
                 names = np.array(model.langs, object)[order[:, 0]]
             else:
                 letters, best, score, names = letters & False, np.zeros((len(letters), 1)), np.zeros(len(letters)), np.full(len(letters), "und", object)
-            rest = [batch.column(i) for i, c in enumerate(batch.schema.names) if c != "letters"]
+            rest = [batch.column(i) for i, c in enumerate(batch.schema.names) if c != "_letters"]
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(np.where(letters, names, "und"), pa.string()), pa.array(np.where(letters, score, 0.0)),
                  pa.array(np.where(letters, best[:, 0], 0.0))],
-                [*[c for c in batch.schema.names if c != "letters"], "lang_pred", "score", "bits"])
+                [*[c for c in batch.schema.names if c != "_letters"], "lang_pred", "score", "bits"])
     return run
 
 
+def spread_over(text: str, most: int) -> Column:
+    """A text of up to `most` characters whole, a longer one as STRETCHES pieces from its beginning to its end."""
+    width, n = max(1, most // STRETCHES), F.length(text)
+    at = F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), lambda i: F.floor(i * (n - width) / max(1, STRETCHES - 1)).cast("int") + 1)
+    return F.when(n <= most, F.array(F.col(text))).otherwise(F.transform(at, lambda a: F.substr(F.col(text), a, F.lit(width))))
+
+
+def stretches(body: bytes, share: int) -> list[bytes]:
+    """`share` symbols of a text, taken at equal distances from its beginning to its end."""
+    if len(body) <= share:
+        return [body]
+    n = max(1, min(STRETCHES, share // STRETCH))
+    width = max(1, share // n)
+    return [body[at:at + width] for at in ([(len(body) - width) * i // max(1, n - 1) for i in range(n)] if n > 1 else [(len(body) - width) // 2])]
+
+
 def train(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Model of the rows of labelled (doc_id, lang, text): a bounded sample for each lang."""
     rows = labelled.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = rows.select("doc_id", "lang").distinct().withColumn("r", F.row_number().over(order)).filter(F.col("r") <= sample_docs).drop("r")
     texts: dict[str, list[bytes]] = {}
-    cut = F.substring("text", 1, sample_bytes)
-    for lang, _, text in sorted(rows.join(F.broadcast(picked), ["doc_id", "lang"]).select("lang", "doc_id", cut).collect()):
-        body = text.encode()
-        data, offsets = symbols(np.frombuffer(body, np.uint8), np.array([0, len(body)]))
-        texts.setdefault(lang, []).append(data.tobytes())
+    sampled = rows.join(picked, ["doc_id", "lang"]).groupBy("lang", "doc_id").agg(F.min(spread_over("text", sample_bytes)).alias("parts"))
+    for lang, _, held in sorted(sampled.collect()):
+        bodies = [part.encode() for part in held]
+        ends = np.cumsum([0, *map(len, bodies)])
+        data, offsets = symbols(np.frombuffer(b"".join(bodies), np.uint8), ends)
+        texts.setdefault(lang, []).append(b"".join(data[x:y].tobytes() for x, y in zip(offsets, offsets[1:])))
     for lang, parts in texts.items():
-        share, left = max(1, sample_bytes // len(parts)), sample_bytes
-        parts.sort(key=len)
+        left, parts[:] = sample_bytes, sorted(parts, key=len)
+        kept: list[bytes] = []
         for i, p in enumerate(parts):
             share = max(1, left // (len(parts) - i))
-            parts[i] = p[:share]
-            left -= len(parts[i])
-        texts[lang] = [p for p in parts if p]
+            taken = stretches(p, share)
+            left -= sum(map(len, taken))
+            kept += taken
+        texts[lang] = [p for p in kept if p]
     return Model({lang: parts for lang, parts in texts.items() if parts})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred, score and bits (of the winner).  Only text is read for it."""
+    """docs with lang_pred, score and bits (of the winner), in place of columns of these names.  Only text is read for it."""
     docs = docs.drop("lang_pred", "score", "bits")
     letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.withColumn("letters", letters).mapInArrow(_predict(model), f"{schema}, lang_pred string, score double, bits double")
+    return docs.withColumn("_letters", letters).mapInArrow(_predict(model), f"{schema}, lang_pred string, score double, bits double")
 
 
 def held_out(doc_id: str = "doc_id"):

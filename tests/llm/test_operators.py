@@ -91,6 +91,48 @@ def test_url_filters(spark):
     assert op3.judge(pages.limit(0)).count() == 0
 
 
+def test_url_filters_of_deep_paths(spark):
+    """Paths of 20 segments that differ in the last one only; one path of 400 segments alone in its host."""
+    deep = "/".join(["s"] * 19)
+    urls = [f"http://h.net/{deep}/bad"] * 9 + [f"http://h.net/{deep}/good"] * 9 + ["http://long.org/" + "x/" * 400] * 2
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    host, path = op3.parts(F.col("url"))
+    counts = pages.select(host.alias("host"), path.alias("path")).groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).select(
+        "*", *[F.when(F.col("path").endswith(end), F.col("n")).otherwise(0).alias(name) for end, name in (("good", "allowed"), ("bad", "blocked"))])
+    got = {(r["host"], r["path"].rpartition("/")[2]): r["template"] for r in op3.templates(counts).collect()}
+    assert got["h.net", "bad"].endswith("/bad") and got["h.net", "good"].endswith("/good") and got["h.net", "bad"].count("/") == 20
+    assert got["long.org", ""] == "/*" * 400
+
+
+def brute_proximity(rows, window, slop):
+    """Documents in which each word of the window lies within slop of its place, for some place of the rarest word."""
+    out = set()
+    for i, text in rows:
+        at = {}
+        for p, w in enumerate(text.split()):
+            at.setdefault(w, []).append(p)
+        if all(w in at for w in window):
+            spots = {p - j for j, w in enumerate(window) for p in at[w]}
+            out |= {i for s in spots for anchor in range(len(window)) if s + anchor in at[window[anchor]]
+                    and all(any(abs(p - (s + j)) <= slop for p in at[w]) for j, w in enumerate(window))}
+    return out
+
+
+@pytest.mark.parametrize("slop", [1, 2])
+def test_proximity_stays_in_a_document(spark, rng, slop):
+    """One word of the window occurs once in a document at most, so the rarest is known; row borders and ends of texts are met."""
+    rows = [(i, " ".join(rng.permutation(["alpha", *["beta"] * 2, *["gamma"] * 2, *["x"] * int(rng.integers(0, 4))])[:int(rng.integers(2, 9))])) for i in range(150)]
+    rows += [(900, "zzz alpha"), (901, "qqq beta gamma"), (902, "alpha"), (903, "beta gamma"), (904, "beta x alpha")]
+    found = op4.decontaminate(spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], SCHEMA).coalesce(1),
+                              spark.createDataFrame([(7, "alpha beta gamma")], "item_id long, text string"), slop=slop).collect()
+    got = {r["doc_id"] for r in found if r["items"]}
+    anchored = {i for i, t in rows if (w := t.split()).count("alpha") and all(
+        any(abs(p - (w.index("alpha") + j)) <= slop for p, x in enumerate(w) if x == name) for j, name in ((1, "beta"), (2, "gamma")))}
+    assert got <= brute_proximity(rows, ("alpha", "beta", "gamma"), slop) and got >= anchored & {i for i, t in rows if t.split().count("alpha") == 1} - {
+        i for i, t in rows if min(t.split().count(x) for x in ("beta", "gamma")) < t.split().count("alpha")} and not got & {900, 901, 902, 903}
+    assert all(0 <= s["begin"] < s["stop"] <= r["n_words"] for r in found for s in r["spans"])
+
+
 def test_decontamination(spark, rng):
     vocabulary = [f"t{i}" for i in range(40)]
     items = [(i, " ".join(rng.choice(vocabulary, int(rng.integers(3, 15))))) for i in range(30)] + [(90, None), (91, "?!"), (5, "t1 T2-t3")]
@@ -192,6 +234,17 @@ def test_language_id(spark, rng):
     assert {r["lang_pred"] for r in none.collect()} == {"und"}
 
 
+def test_language_with_a_shared_opening_notice(spark, rng):
+    """All texts of one language open with a notice in the other; its new texts are known all the same."""
+    speak = lambda letters, n: " ".join("".join(rng.choice(list(letters), int(rng.integers(2, 8)))) for _ in range(n))
+    notice = speak("abcdefgh", 110)
+    rows = [(i, speak("abcdefgh", 150), "aa") for i in range(100)] + [(200 + i, notice + " " + speak("pqrstuvw", 150), "pp") for i in range(100)]
+    model = op7.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = spark.createDataFrame([(i, speak("pqrstuvw" if i % 2 else "abcdefgh", 60)) for i in range(40)], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in op7.identify(new, model).collect()} == {i: "pp" if i % 2 else "aa" for i in range(40)}
+    assert op7.identify(new.limit(0), model).count() == 0
+
+
 def test_cross_parsing_is_greedy(rng):
     text, other = bytes(rng.integers(97, 100, 300).astype(np.uint8)), bytes(rng.integers(97, 101, 200).astype(np.uint8))
     model, phrases, i = op7.Model({"x": [text]}), 0, 0

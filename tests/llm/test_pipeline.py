@@ -33,3 +33,15 @@ def test_empty_corpus(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = staged(stage(spark, docs, SF))
         assert docs.count() == 0
+
+
+def test_further_columns_pass(spark, rng):
+    """Names that the stages use for themselves, one of each; values go through unchanged."""
+    names = ("score", "bits", "lang_pred", "letters", "_letters", "z", "id", "key", "_0", "_1", "cls", "label", "row", "kept", "n_removed", "_extra5", "_text", "order")
+    words = [f"{a}{b}" for a in ("ba", "ko", "ti", "ru") for b in ("na", "le", "so", "mi", "du")]
+    rows = [(i, " ".join(rng.choice(words, 60)), "en", "s", 3, *[f"{c}{i}" for c in names]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, SF))
+        assert {r["doc_id"]: tuple(r)[5:] for r in docs.collect()} == {r[0]: r[5:] for r in rows}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 20
