@@ -5,17 +5,21 @@ the next.  A stage judges all rows that its predecessor kept, and only them.  Al
 documents; the last returns how much of each document the mix takes.
 
 Nulls: a null text has no letter and leaves in the first stage; a null doc_id counts as the largest; other columns may be
-null.  Repeated rows are near duplicates of each other, so one stays.  An empty table gives an empty result.
+null.  Repeated rows are near duplicates of each other, so one stays.  Very long texts are judged and cut whole.  Further
+columns go through the first four stages unchanged, whatever their names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rolewise.llm import (op2_ngram_jaccard_join as jaccard, op4_decontamination as benchmark, op6_suffix_array_dedup as suffixes,
                           op7_language_id as language, op8_source_mix as mixing)
 from rolewise.llm.stage import staged, table
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 UNIFORM_BITS = 8.0          # a text that takes more bits a byte than uniform coding fits no language
 
 
@@ -53,11 +57,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.taken(docs)
 
 
+def carrying(stage):
+    """The stage with all further columns of docs kept: under neutral names, so none meets a column that a stage makes."""
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        neutral = [c if c in COLUMNS else f"_extra{i}" for i, c in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*neutral), sf_dir).toDF(*docs.columns)
+    return run_stage
+
+
 STAGES = [
-    ("language_id", keep_known_languages),
-    ("near_duplicates", keep_one_of_near_duplicates),
-    ("repeated_passages", cut_repeated_passages),
-    ("benchmark_decontamination", drop_contaminated),
+    ("language_id", carrying(keep_known_languages)),
+    ("near_duplicates", carrying(keep_one_of_near_duplicates)),
+    ("repeated_passages", carrying(cut_repeated_passages)),
+    ("benchmark_decontamination", carrying(drop_contaminated)),
     ("source_mix", mix_sources),
 ]
 
