@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.tables import shared_dir
-from ..sources.reader import csv_facts, load_table, peek, preview, sample_rows
+from ..sources.reader import MISSING, csv_facts, load_table, peek, preview, sample_rows
 from .common import register, rounded, table
 
 QUERIES: dict = {}
@@ -56,6 +56,20 @@ def csv_encoding(spark, folder):
     return out
 
 
+@register(QUERIES, SQL, "csv_multiline", f"""
+SELECT doc_id, CASE WHEN text IN ({', '.join("'" + m + "'" for m in MISSING)}) THEN NULL ELSE text END AS text, lang || ' 5" pipe' AS lang, n_chars FROM documents""")
+def csv_multiline(spark, folder):
+    """Documents as CSV lines: texts in quotes with their line breaks, a lone inch mark in a field without quotes."""
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    row = F.concat_ws(",", F.col("doc_id").cast("string"), F.coalesce(quoted, F.lit("")), F.concat("lang", F.lit(' 5" pipe')), F.col("n_chars").cast("string"))
+    head = F.lit("doc_id,text,lang,n_chars\n")
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    lines = table(spark, folder, "documents").withColumn("i", F.monotonically_increasing_id())
+    first = F.pmod("i", F.lit(1 << 33)) == 0                         # each file begins with the header
+    lines.select(F.when(first, F.concat(head, row)).otherwise(row).alias("value")).write.text(path)
+    return load_table(spark, path)
+
+
 @register(QUERIES, SQL, "table_peek", "SELECT position::BIGINT AS position, name, dtype, n_rows, 6::BIGINT AS n_cols FROM (VALUES "
           + ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(_ORDERS))
           + ") AS v(position, name, dtype), (SELECT count(*) AS n_rows FROM orders)")

@@ -7,7 +7,8 @@ from pathlib import PurePosixPath
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import NUMBER_PATTERN, q
-from ..functions.tables import hash_sample
+from ..functions.tables import hash_sample, staged
+from .records import LATIN, WINDOWS, records, splits
 
 # Fixed texts that mean "missing" in a CSV field.
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -15,13 +16,6 @@ MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
 INTEGER_PATTERN = r"^\s*[+-]?\d{1,18}\s*$"
 LONG_INTEGER_PATTERN = r"^\s*[+-]?\d{1,38}\s*$"      # ids beyond bigint keep their digits
 EXCEL = (".xls", ".xlsx")
-# Characters that Windows-1252 puts where Latin-1 has control codes; five codes are unassigned.
-_CODES = [bytes([b]) for b in range(0x80, 0xA0)]
-_UNASSIGNED = "".join(b.decode("latin-1") for b in _CODES if b.decode("cp1252", "ignore") == "")
-_LATIN = "".join(b.decode("latin-1") for b in _CODES if b.decode("cp1252", "ignore"))
-_WINDOWS = "".join(b.decode("cp1252", "ignore") for b in _CODES)
-
-
 def load_table(spark: SparkSession, path: str, filename: str | None = None) -> DataFrame:
     """Read a file, a folder or a glob; the suffix of `filename` (or the path) gives the format."""
     suffix = PurePosixPath(str(filename or path).rstrip("/*")).suffix.lower()
@@ -31,35 +25,58 @@ def load_table(spark: SparkSession, path: str, filename: str | None = None) -> D
 
 
 def csv_facts(spark: SparkSession, path: str) -> dict[str, object]:
-    """Encoding and quoting of a CSV file from one scan over its raw lines."""
-    lines = spark.read.text(path)
-    as_latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
-    quotes = F.length(as_latin) - F.length(F.replace(as_latin, F.lit('"'), F.lit("")))
-    row = lines.agg(
-        F.count(F.when(~F.is_valid_utf8("value"), 1)).alias("not_utf8"),
-        F.count(F.when(as_latin.rlike(f"[{_UNASSIGNED}]"), 1)).alias("not_windows"),
-        F.count(F.when(quotes % 2 == 1, 1)).alias("open_quotes")).first()
-    encoding = "utf-8" if not row["not_utf8"] else "cp1252" if not row["not_windows"] else "latin-1"
-    return {"encoding": encoding, "multi_line": row["open_quotes"] > 0}
+    """Encoding and quoting of a CSV file from one scan over its raw lines; of a folder, those of all files together."""
+    return _facts(splits(spark, path))
+
+
+def _facts(found: DataFrame) -> dict[str, object]:
+    row = found.agg(F.collect_set("encoding").alias("encodings"), F.sum("opened").alias("opened")).first()
+    kinds = row["encodings"] or ["utf-8"]                       # three at most
+    return {"encoding": next(e for e in ("latin-1", "cp1252", "utf-8") if e in kinds), "multi_line": bool(row["opened"]), "mixed": len(kinds) > 1}
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header: UTF-8, else Windows-1252, else Latin-1; types from all values.
+    """CSV with a header: each file UTF-8, else Windows-1252, else Latin-1; types from all values.
 
-    Lines are split over tasks unless a quoted field really holds a line break.
+    Files are read in splits.  Where no quoted field holds a line break, a line is a record; else, and where the files'
+    charsets differ, `records` cuts the records.
     """
-    facts = csv_facts(spark, path)
+    found = staged(splits(spark, path))
+    facts = _facts(found)
+    if facts["multi_line"] or facts["mixed"]:
+        text = _from_records(records(spark, path, found))
+    else:
+        text = _from_lines(spark, path, str(facts["encoding"]))
+    return _typed(text.select(*[F.when(~q(c).isin(*MISSING), q(c)).alias(c) for c in text.columns]))
+
+
+def _from_lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
     raw = (spark.read.option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-           .option("encoding", "UTF-8" if facts["encoding"] == "utf-8" else "ISO-8859-1")
-           .option("multiLine", facts["multi_line"]).csv(path))
+           .option("encoding", "UTF-8" if encoding == "utf-8" else "ISO-8859-1").csv(path))
     names = raw.columns
     if names:
         names[0] = names[0].removeprefix("\ufeff").strip('"')
-    if facts["encoding"] == "cp1252":
-        names = [n.translate(str.maketrans(_LATIN, _WINDOWS)) for n in names]
-        raw = raw.select(*[F.translate(q(c), _LATIN, _WINDOWS).alias(c) for c in raw.columns])
-    text = raw.toDF(*names)
-    return _typed(text.select(*[F.when(~q(c).isin(*MISSING), q(c)).alias(c) for c in names]))
+    if encoding == "cp1252":
+        names = [n.translate(str.maketrans(LATIN, WINDOWS)) for n in names]
+        raw = raw.select(*[F.translate(q(c), LATIN, WINDOWS).alias(c) for c in raw.columns])
+    return raw.toDF(*names)
+
+
+def _from_records(found: DataFrame) -> DataFrame:
+    """Fields of the records; the names are those of the first file by name."""
+    head = found.filter("first").orderBy("file").select("text").first()
+    options = {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true", "maxCharsPerColumn": "-1"}
+    width = head["text"].count(",") + 1 if head else 0                # names at most
+    if not width:
+        return found.select()
+    schema = lambda n: ", ".join(f"c{i} string" for i in range(n))
+    spark = found.sparkSession
+    names = spark.createDataFrame([(head["text"],)], "t string").select(F.from_csv("t", schema(width), options).alias("r")).select("r.*").first()
+    last = max(i for i, n in enumerate(names) if n is not None or not i) + 1
+    # Empty and repeated names get what Spark's reader gives them.
+    plain = [n if n else f"_c{i}" for i, n in enumerate(names[:last])]
+    plain = [f"{n}{i}" if [m.lower() for m in plain].count(n.lower()) > 1 else n for i, n in enumerate(plain)]
+    return found.filter(~F.col("first")).select(F.from_csv("text", schema(last), options).alias("r")).select("r.*").toDF(*plain)
 
 
 def _typed(text: DataFrame) -> DataFrame:

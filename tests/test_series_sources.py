@@ -1,3 +1,5 @@
+import csv
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,7 +8,8 @@ import rolewise
 from rolewise.functions.arima import Order, adf_test, fit_arima, forecast_arima, holt, partial_autocorrelations
 from rolewise.operators import timeseries as ts
 from rolewise.plans import job
-from rolewise.sources.reader import load_table, sample_rows
+from rolewise.sources.reader import csv_facts, load_table, sample_rows
+from rolewise.sources.records import splits
 from rolewise.sources.sink import write_tables
 
 
@@ -129,6 +132,60 @@ def test_csv_bytes(spark, tmp_path, raw, name):
     assert df.first()["name"] == name
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_csv_records_over_splits(spark, tmp_path, rng, small_splits, end):
+    """Against Python's csv module: quoted line breaks, escaped quotes, lone quotes, blank lines, a record longer than several splits."""
+    parts = ["plain", "", "two\nlines", 'say "hi"', "a,b", "mixed\r\nbreaks\rhere", '"', "é" * 30, "\n\n", 'x"\n"y']
+    rows = [[str(i), str(rng.choice(parts)) + str(rng.choice(parts)), f"v{i}"] for i in range(400)]
+    rows[200][1] = "long\n" * 1200
+    out = ["id,note,tail"]
+    for i, note, tail in rows:
+        quoted = '"' + note.replace('"', '""') + '"' if note else ""
+        out.append(f'{i},{quoted},{tail}' + (' 5" pipe' if int(i) % 7 == 0 else ""))
+        out += [""] * (int(i) % 50 == 3)
+    path = tmp_path / "t.csv"
+    path.write_bytes((end.join(out) + end * (end != "\r")).encode())
+    with open(path, newline="", encoding="utf-8") as f:
+        want = [r for r in csv.reader(f) if r][1:]
+    df = load_table(spark, str(path))
+    if end != "\r":                     # a file without line feeds is one piece
+        assert splits(spark, str(path)).count() > 10
+    assert df.columns == ["id", "note", "tail"]
+    assert [[str(r["id"]), r["note"] or "", r["tail"]] for r in df.orderBy("id").collect()] == want
+
+
+def test_lone_inch_mark_keeps_lines(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,size\n" + "".join(f"{i},{i}\" pipe\n" for i in range(101)))
+    assert csv_facts(spark, str(path)) == {"encoding": "utf-8", "multi_line": False, "mixed": False}
+    assert [r["size"] for r in load_table(spark, str(path)).orderBy("id").collect()] == [f'{i}" pipe' for i in range(101)]
+
+
+def test_csv_charset_of_each_file(spark, tmp_path):
+    for name, charset in (("a", "utf-8"), ("b", "cp1252"), ("c", "utf-8-sig")):
+        (tmp_path / f"{name}.csv").write_bytes(f"id,text\n{ord(name)},Café’s\n".encode(charset))
+    df = load_table(spark, str(tmp_path / "*.csv"))
+    assert sorted(map(tuple, df.collect())) == [(97, "Café’s"), (98, "Café’s"), (99, "Café’s")]
+
+
+def test_csv_without_rows(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("")
+    (tmp_path / "h.csv").write_text('a,"b\nc"\n')
+    assert load_table(spark, str(tmp_path / "e.csv")).count() == 0
+    df = load_table(spark, str(tmp_path / "h.csv"))
+    assert df.columns == ["a", "b\nc"] and df.count() == 0
+
+
 def test_csv_types_and_missing(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("i,d,b,s,m\n1,1.5,True,x,NA\n2,,False,2d,3\n3,1e3,True,null,\n")
