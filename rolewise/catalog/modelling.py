@@ -264,13 +264,27 @@ _register_candidates()
 
 @register(QUERIES, SQL, "model_gbt_multiclass")
 def multiclass(spark, folder):
-    """Boosting for the three order states, one model per state."""
+    """Boosting for the three order states, one model for all."""
     df = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
     frame = prep.prepare(df, "o_orderstatus", ["o_custkey", "o_totalprice"], "classification", keys=["o_orderkey"])
     model = fit_all([BOOSTING], frame.task, frame.train, frame.x, _DEFAULTS, len(frame.labels), frame.n_train)[0]
     return class_metrics(confusion_counts(model.apply(frame.test)))
 
 
+@register(QUERIES, SQL, "gbt_steps", """
+SELECT step, count(*) AS n, 31::BIGINT AS n_leaves, (step * step) % 29 + step / 2 AS prediction
+FROM (SELECT (l_orderkey % 248) // 8 AS step FROM lineitem) GROUP BY step""")
+def steps(spark, folder):
+    """31 planted steps: one round at rate 1 is a tree of 31 leaves that gives each step its level."""
+    step = F.floor(F.col("l_orderkey") % 248 / 8).cast("long")
+    rows = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") % 248).cast("double").alias("x"), step.alias("step"), (step * step % 29 + step / 2).alias("y"), F.lit(1.0).alias("weight"),
+        F.xxhash64("l_orderkey", "l_linenumber").alias("row_key"))
+    model = fit_all([BOOSTING], "regression", rows, ["x"], Settings(boosting_rate=1.0, boosting_rounds=1), 0, rows.count())[0]
+    leaves = model.model.rounds[0][0].n_leaves
+    return rounded(model.apply(rows).groupBy("step").agg(F.count("*").alias("n"), F.lit(leaves).cast("long").alias("n_leaves"), F.max("prediction").alias("prediction")))
+
+
 # --- evaluation ---------------------------------------------------------------------------------
 
 

@@ -9,17 +9,17 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import q, to_long
 from ..functions.tables import in_parallel
+from .boosting import MAX_LEAVES, Boosted, boost
 from .evaluate import regression_metrics
 from .linear import (alpha_grid, feature_grams, lasso_cv, linear_expression, ridge_loo, solve_lasso,
                      solve_ols, solve_ridge, total)
@@ -33,9 +33,6 @@ TREES = (FOREST, BOOSTING)
 
 SEED = 42
 FOREST_DEPTH = 12            # depth of "unlimited" forests; MLlib allows at most 30
-BOOSTING_DEPTH = 5           # 31 leaves
-BOOSTING_MIN_LEAF = 20
-LEAVES_TO_DEPTH = {15: 4, 31: 5, 63: 6}
 # Fixed values of the two searches (the configured value is always added).
 NEAR_DEPTHS = (8, 16)
 NEAR = {BOOSTING: {"learning_rate": (0.03, 0.3), "max_iter": (50, 200)}, LOGISTIC: {"C": (0.1, 10.0)}}
@@ -163,19 +160,6 @@ def _forest(task: str, s: Settings):
     return RandomForestClassifier(featureSubsetStrategy="sqrt", **common)
 
 
-def _boosting(task: str, s: Settings, n_classes: int):
-    common = dict(featuresCol="features", labelCol="y", weightCol="weight", maxIter=s.boosting_rounds,
-                  stepSize=s.boosting_rate, maxDepth=BOOSTING_DEPTH, maxBins=64,
-                  minInstancesPerNode=BOOSTING_MIN_LEAF, seed=SEED)
-    if task == "regression":
-        return GBTRegressor(**common)
-    inner = GBTClassifier(**common)
-    if n_classes == 2:
-        return inner
-    return OneVsRest(classifier=inner, featuresCol="features", labelCol="y", weightCol="weight",
-                     parallelism=s.parallelism)
-
-
 def _logistic(s: Settings, n_rows: int):
     """L2 penalty of strength 1 / C on the summed loss over standardised features."""
     return LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", maxIter=2000,
@@ -183,17 +167,56 @@ def _logistic(s: Settings, n_rows: int):
                               elasticNetParam=0.0, standardization=True)
 
 
-def estimator(name: str, task: str, s: Settings, n_classes: int, n_rows: int):
-    if name == FOREST:
-        return _forest(task, s)
-    if name == BOOSTING:
-        return _boosting(task, s, n_classes)
-    return _logistic(s, n_rows)
+def estimator(name: str, task: str, s: Settings, n_rows: int):
+    return _forest(task, s) if name == FOREST else _logistic(s, n_rows)
+
+
+# --- boosting -----------------------------------------------------------------------------------
+
+def fit_boosting(task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> Fitted:
+    """One model for all classes: histogram trees of up to 31 leaves, or the best of the search."""
+    rows = train.select(*[q(c) for c in x], "y", "weight", "row_key")
+    choice = {**_configured(BOOSTING, s), "max_leaf_nodes": MAX_LEAVES}
+    if s.search:
+        choice |= _searched(task, rows, x, s, n_classes, n_rows)
+    model = _boosted(task, rows, x, choice, n_classes, n_rows)
+    return Fitted(BOOSTING, partial(_apply_boosted, model, x, task, n_classes), {**choice, "n_iter": len(model.rounds)}, model)
+
+
+def _boosted(task: str, rows: DataFrame, x: list[str], choice: dict, n_classes: int, n_rows: int) -> Boosted:
+    return boost(rows, x, task, n_classes, n_rows, choice["learning_rate"], choice["max_iter"],
+                 choice.get("max_leaf_nodes", MAX_LEAVES), choice.get("max_depth"))
+
+
+def _apply_boosted(model: Boosted, x: list[str], task: str, n_classes: int, df: DataFrame) -> DataFrame:
+    kept, raw = df.columns, F.col("_outputs")
+    out = df.withColumn("_outputs", model.raw(x))
+    if task == "regression":
+        return out.select(*map(q, kept), raw[0].alias("prediction"))
+    if n_classes == 2:
+        score = 1 / (1 + F.exp(-raw[0]))
+        return out.select(*map(q, kept), (raw[0] > 0).cast("double").alias("prediction"), score.alias("score"))
+    return out.select(*map(q, kept), (F.array_position(raw, F.array_max(raw)) - 1).cast("double").alias("prediction"))
+
+
+def _searched(task: str, rows: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> dict[str, object]:
+    """The setting that scores best over three folds, by the primary metric of the comparison."""
+    choices, evaluator = _choices(BOOSTING, s), _evaluator(task)
+    folded = rows.withColumn("_fold", _search_fold())
+
+    def value(choice: dict, fold: int) -> float:
+        model = _boosted(task, folded.filter(F.col("_fold") != fold), x, choice, n_classes, n_rows * (SEARCH_FOLDS - 1) // SEARCH_FOLDS)
+        return evaluator.evaluate(_apply_boosted(model, x, task, n_classes, folded.filter(F.col("_fold") == fold)))
+
+    values = in_parallel([partial(value, c, f) for c in choices for f in range(SEARCH_FOLDS)], s.parallelism)
+    return choices[int(np.argmax(np.reshape(values, (-1, SEARCH_FOLDS)).mean(axis=1)))]
 
 
 def fit_mllib(name: str, task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int,
               n_rows: int) -> Fitted:
-    stage = estimator(name, task, s, n_classes, n_rows)
+    if name == BOOSTING:
+        return fit_boosting(task, train, x, s, n_classes, n_rows)
+    stage = estimator(name, task, s, n_rows)
     vectors = assembled(train, x).select("features", "y", "weight", "row_key")
     if s.search:
         model, parameters = _search(name, task, stage, vectors, s, n_classes, n_rows)
@@ -217,8 +240,6 @@ def _parameters(name: str, s: Settings) -> dict[str, object]:
     if name == FOREST:
         return {"n_estimators": s.forest_trees, "max_depth": s.forest_depth, "depth_limit":
                 s.forest_depth or FOREST_DEPTH}
-    if name == BOOSTING:
-        return {"learning_rate": s.boosting_rate, "max_iter": s.boosting_rounds}
     return {"C": s.logistic_c}
 
 
@@ -259,39 +280,35 @@ def draws(space: dict[str, list], n: int = SEARCH_DRAWS, seed: int = SEED) -> li
 
 
 def _param_map(stage, name: str, choice: dict[str, object], n_rows: int) -> dict:
-    inner = stage.getClassifier() if isinstance(stage, OneVsRest) else stage
-    out = {}
     if name == LOGISTIC:
-        return {inner.regParam: 1.0 / (choice["C"] * max(n_rows, 1))}
-    if name == FOREST:
-        out[inner.numTrees] = choice["n_estimators"]
-        out[inner.maxDepth] = choice["max_depth"] or FOREST_DEPTH
-        if "min_samples_leaf" in choice:
-            out[inner.minInstancesPerNode] = choice["min_samples_leaf"]
-            out[inner.featureSubsetStrategy] = choice["max_features"] or "all"
-        return out
-    out[inner.stepSize], out[inner.maxIter] = choice["learning_rate"], choice["max_iter"]
-    if "max_leaf_nodes" in choice:
-        by_leaves = LEAVES_TO_DEPTH[choice["max_leaf_nodes"]]
-        # one knob in MLlib: the depth; "no limit" leaves the bound to the leaf count
-        out[inner.maxDepth] = min(by_leaves, choice.get("max_depth") or by_leaves)
+        return {stage.regParam: 1.0 / (choice["C"] * max(n_rows, 1))}
+    out = {stage.numTrees: choice["n_estimators"], stage.maxDepth: choice["max_depth"] or FOREST_DEPTH}
+    if "min_samples_leaf" in choice:
+        out[stage.minInstancesPerNode] = choice["min_samples_leaf"]
+        out[stage.featureSubsetStrategy] = choice["max_features"] or "all"
     return out
 
 
+def _choices(name: str, s: Settings) -> list[dict[str, object]]:
+    return draws(search_space(name, s)) if s.broad_search else draws(search_grid(name, s), n=10_000)
+
+
+def _evaluator(task: str):
+    return (RegressionEvaluator(labelCol="y", metricName="r2") if task == "regression" else
+            MulticlassClassificationEvaluator(labelCol="y", metricName="f1"))
+
+
+def _search_fold() -> Column:
+    return F.pmod(F.xxhash64(F.lit(SEED + 23), "row_key"), F.lit(SEARCH_FOLDS)).cast("int")
+
+
 def _search(name, task, stage, vectors, s, n_classes, n_rows):
     """Three-fold search by the primary metric of the comparison."""
-    if s.broad_search:
-        choices = draws(search_space(name, s))
-    else:
-        grid = search_grid(name, s)
-        choices = draws(grid, n=10_000)
-    evaluator = (RegressionEvaluator(labelCol="y", metricName="r2") if task == "regression" else
-                 MulticlassClassificationEvaluator(labelCol="y", metricName="f1"))
-    folds = F.pmod(F.xxhash64(F.lit(SEED + 23), "row_key"), F.lit(SEARCH_FOLDS)).cast("int")
-    search = CrossValidator(estimator=stage, evaluator=evaluator, numFolds=SEARCH_FOLDS,
+    choices = _choices(name, s)
+    search = CrossValidator(estimator=stage, evaluator=_evaluator(task), numFolds=SEARCH_FOLDS,
                             estimatorParamMaps=[_param_map(stage, name, c, n_rows) for c in choices],
                             foldCol="search_fold", parallelism=s.parallelism, seed=SEED)
-    found = search.fit(vectors.withColumn("search_fold", folds))
+    found = search.fit(vectors.withColumn("search_fold", _search_fold()))
     best = choices[int(np.argmax(found.avgMetrics))]
     return found.bestModel, best
 
