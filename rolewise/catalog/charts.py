@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.normal import normal_quantile_sql
 from ..operators import charts
 from ..operators.baseline import ols
 from .common import EVENTS_GAPS, LINE_NUMERIC, PLACES, REVENUE, events_gaps, places, register, revenue, rounded, table, union_sql
@@ -94,3 +95,12 @@ SELECT p, round(v, 4) + 0.0 AS observed FROM (SELECT unnest([{_PROBS}]::DOUBLE[]
   unnest(quantile_cont(residual, [{_PROBS}])) AS v FROM {_RESIDUALS})""")
 def qq(spark, folder):
     return rounded(charts.qq_points(_residuals(spark, folder)).select("p", "observed"), 4)
+
+
+@register(QUERIES, SQL, "qq_line", f"""
+SELECT round(regr_slope(v, x), 4) AS slope, round(regr_intercept(v, x), 4) AS intercept, round(corr(v, x), 6) AS r, count(*) AS n FROM (
+  SELECT v, {normal_quantile_sql('p')} AS x FROM (
+    SELECT residual AS v, CASE WHEN i = n THEN 0.5e0 ** (1e0 / n) WHEN i = 1 THEN 1e0 - 0.5e0 ** (1e0 / n) ELSE (i - 0.3175e0) / (n + 0.365e0) END AS p
+    FROM (SELECT residual, row_number() OVER (ORDER BY residual) AS i, count(*) OVER () AS n FROM {_RESIDUALS})))""")
+def line(spark, folder):
+    return rounded(charts.qq_line(_residuals(spark, folder)), 4, r=6)

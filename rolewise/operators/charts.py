@@ -6,8 +6,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_double, field_types, q, to_long
+from ..functions.normal import normal_quantile_sql
 from ..functions.pvalues import normal_quantile
 from ..functions.quantiles import exact_quantiles
+from ..functions.ranks import running_counts
 from .features import levels
 from .linear import feature_grams, linear_expression, total
 from .profile import fences, missing_shares
@@ -141,3 +143,21 @@ def qq_points(residuals: DataFrame, residual: str = "residual", points: int = QQ
     return residuals.sparkSession.createDataFrame(
         [(p, normal_quantile(p), v) for p, v in zip(probs, found)],
         "p double, theoretical double, observed double")
+
+
+def qq_line(residuals: DataFrame, residual: str = "residual") -> DataFrame:
+    """The line through the ordered values over normal scores: slope, intercept, r and n, from all rows.
+
+    Row i of n stands at Filliben's median rank; equal values share the ranks that they take together.  Ranks come from
+    counts of distinct values, so no window spans the column; the sums for the line are one aggregation."""
+    value = q(residual).cast("double")
+    counts = residuals.select(value.alias("v")).filter("v IS NOT NULL AND NOT isnan(v)").groupBy("v").agg(F.count(F.lit(1)).alias("k"))
+    counts = counts.withColumn("one", F.lit(1))
+    n = counts.agg(F.sum("k")).first()[0] or 0
+    ranked = running_counts(counts.select("one", "v", "k"), ["one"], "v", {"k": "below"})
+    rows = ranked.select("v", F.explode(F.sequence(F.col("below") + 1, F.col("below") + F.col("k"))).alias("i"))
+    median = F.when(F.col("i") == n, F.lit(0.5 ** (1 / max(n, 1)))).when(F.col("i") == 1, F.lit(1 - 0.5 ** (1 / max(n, 1)))).otherwise(
+        (F.col("i") - 0.3175) / F.lit(n + 0.365))
+    scored = rows.select("v", median.alias("p")).select("v", F.expr(normal_quantile_sql("p")).alias("x"))
+    return scored.agg(F.regr_slope("v", "x").alias("slope"), F.regr_intercept("v", "x").alias("intercept"), F.corr("v", "x").alias("r"),
+                      F.count(F.lit(1)).alias("n"))

@@ -1,4 +1,5 @@
 import csv
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -6,7 +7,8 @@ import pytest
 
 import rolewise
 from rolewise.functions.arima import Order, adf_test, fit_arima, forecast_arima, holt, partial_autocorrelations
-from rolewise.operators import timeseries as ts
+from rolewise.functions.normal import normal_quantile_sql
+from rolewise.operators import charts, timeseries as ts
 from rolewise.plans import job
 from rolewise.sources.reader import csv_facts, load_table, sample_rows
 from rolewise.sources.records import splits
@@ -239,3 +241,22 @@ def test_long_ids_keep_their_digits(spark, tmp_path):
     ids = ["9007199254740993123", "9007199254740993124", "90071992547409931250"]
     (tmp_path / "ids.csv").write_text("id,x\n" + "".join(f"{i},1\n" for i in ids))
     assert [str(r["id"]) for r in load_table(spark, str(tmp_path / "ids.csv")).orderBy("id").collect()] == ids
+
+
+def test_normal_quantiles_as_sql(spark):
+    p = [1e-300, 1e-20, 1e-9, 1e-4, 0.0749, 0.0751, 0.3, 0.5, 0.7, 0.9249, 0.9251, 1 - 1e-9, 1 - 1e-15]
+    got = spark.createDataFrame([(x,) for x in p], "p double").selectExpr(f"{normal_quantile_sql('p')} AS x").collect()
+    assert np.allclose([r["x"] for r in got], [NormalDist().inv_cdf(x) for x in p], rtol=1e-13, atol=1e-14)
+
+
+def test_qq_line(make, rng):
+    """Against numpy with ties, a null, and values that hold a third of the rows."""
+    values = np.concatenate([rng.normal(3, 2, 300).round(1), np.full(150, 2.5)])
+    row = charts.qq_line(make(residual=[*values, np.nan])).first()
+    n, v = len(values), np.sort(values)
+    p = (np.arange(1, n + 1) - 0.3175) / (n + 0.365)
+    p[0], p[-1] = 1 - 0.5 ** (1 / n), 0.5 ** (1 / n)
+    x = np.array([NormalDist().inv_cdf(a) for a in p])
+    slope, intercept = np.polyfit(x, v, 1)
+    assert row["n"] == n and np.allclose([row["slope"], row["intercept"], row["r"]], [slope, intercept, np.corrcoef(x, v)[0, 1]])
+    assert charts.qq_line(make(residual=[1.0]).limit(0)).first()["n"] == 0
