@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions.normal import normal_quantile_sql
 from ..operators import charts
@@ -34,6 +34,22 @@ def hist(spark, folder):
         charts.histogram(table(spark, folder, "events"), ["value"])), 4)
 
 
+def _density_sql(name, source):
+    return f"""SELECT '{name}' AS name, i::INTEGER AS point, round(density * (z - a), 3) + 0.0 AS scaled FROM (
+  SELECT i, any_value(a) AS a, any_value(z) AS z, sum(exp(-0.5 * ((a + i * (z - a) / 199 - v) / w) ** 2)) / any_value(n * w * sqrt(2 * pi())) AS density
+  FROM (SELECT {name}::DOUBLE AS v FROM {source}), range(200) p(i),
+    (SELECT min({name})::DOUBLE AS a, max({name})::DOUBLE AS z, count({name}) AS n, stddev_samp({name}) * count({name}) ** -0.2 AS w FROM {source})
+  WHERE v IS NOT NULL GROUP BY i)"""
+
+
+@register(QUERIES, SQL, "density", _density_sql("l_extendedprice", "lineitem") + " UNION ALL " + _density_sql("value", "events"))
+def curve(spark, folder):
+    """Density times the range of the column at 200 points."""
+    both = charts.density(table(spark, folder, "lineitem"), ["l_extendedprice"]).unionByName(charts.density(table(spark, folder, "events"), ["value"]))
+    width = F.max("x").over(Window.partitionBy("name")) - F.min("x").over(Window.partitionBy("name"))       # 200 rows each
+    return rounded(both.select("name", "point", (F.col("density") * width).alias("scaled")), 3)
+
+
 @register(QUERIES, SQL, "target_by_category", """
 WITH q AS (SELECT event_type AS category, count(*) AS n, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
    quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)

@@ -260,3 +260,14 @@ def test_qq_line(make, rng):
     slope, intercept = np.polyfit(x, v, 1)
     assert row["n"] == n and np.allclose([row["slope"], row["intercept"], row["r"]], [slope, intercept, np.corrcoef(x, v)[0, 1]])
     assert charts.qq_line(make(residual=[1.0]).limit(0)).first()["n"] == 0
+
+
+def test_density(make, rng):
+    """Against direct sums; a constant column and one without values have no curve."""
+    v = np.concatenate([rng.normal(0, 1, 400), rng.normal(6, 0.5, 200), np.full(100, 2.0)])
+    df = make(a=[*v, np.nan], same=[1.0] * 701, none=[np.nan] * 701)
+    got = charts.density(df, ["a", "same", "none"]).orderBy("point").collect()
+    width = v.std(ddof=1) * 700 ** -0.2
+    x = np.linspace(v.min(), v.max(), 200)
+    want = np.exp(-0.5 * ((x[:, None] - v) / width) ** 2).sum(axis=1) / (700 * width * np.sqrt(2 * np.pi))
+    assert {r["name"] for r in got} == {"a"} and np.allclose([r["x"] for r in got], x) and np.allclose([r["density"] for r in got], want, rtol=1e-5, atol=1e-9)
