@@ -17,6 +17,7 @@ from ..functions.arima import (Order, adf_test, fit_arima, forecast_arima, holt,
                                partial_autocorrelations)
 from ..functions.columns import as_double, field_types, present, q
 from ..functions.dates import parse_timestamp
+from ..functions.tables import staged
 
 HORIZON = 12
 MIN_POINTS = 20
@@ -290,38 +291,42 @@ def intervention(df: DataFrame, date_col: str, value_col: str, when: str | date,
     if cutoff is None:
         return None
     series = daily_series(df, date_col, value_col, keys, MIN_POINTS)
-    rows = intervention_columns(series, cutoff).filter(
-        f"n_pre >= {MIN_SIDE} and n_post >= {MIN_SIDE}").persist()
-    day = str(cutoff)
-
-    def solve(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x = np.column_stack([np.ones(len(group)), group[["t", "post", "t_since"]].to_numpy(dtype=float)])
-        y = group["y"].to_numpy(dtype=float)
-        beta = np.linalg.lstsq(x, y, rcond=None)[0]
-        rest, dof = y - x @ beta, len(y) - x.shape[1]
-        errors = np.sqrt(np.diag(np.linalg.pinv(x.T @ x)) * float(rest @ rest) / dof)
-        return beta, errors, x @ beta
-
-    def summarise(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("t")
-        beta, errors, _ = solve(group)
-        dof = len(group) - len(beta)
-        p = [pvalues.t_two_sided(float(b / e), dof) if e > 0 else 0.0 for b, e in zip(beta, errors)]
-        return pd.DataFrame({
-            "series": [group["series"].iloc[0]], "intervention_date": [day],
-            "n_pre": [int(group["n_pre"].iloc[0])], "n_post": [int(group["n_post"].iloc[0])],
-            "level_shift": [float(beta[2])], "level_shift_p": [p[2]],
-            "slope_change": [float(beta[3])], "slope_change_p": [p[3]],
-            "significant_level_shift": [p[2] < ALPHA], "significant_slope_change": [p[3] < ALPHA]})
-
-    def fitted(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("t")
-        return pd.DataFrame({"series": group["series"], "day": group["day"], "y": group["y"],
-                             "fitted": solve(group)[2]})
-
-    grouped = rows.groupBy("series")
-    return (grouped.applyInPandas(summarise, (
-        "series string, intervention_date string, n_pre long, n_post long, level_shift double, "
-        "level_shift_p double, slope_change double, slope_change_p double, "
-        "significant_level_shift boolean, significant_slope_change boolean")),
-        grouped.applyInPandas(fitted, "series string, day date, y double, fitted double"))
+    rows = staged(intervention_columns(series, cutoff).filter(f"n_pre >= {MIN_SIDE} and n_post >= {MIN_SIDE}"))
+    solved = segment_lines(rows)
+    dof = F.col("n_pre") + F.col("n_post") - 4
+    noise = (F.col("rest0") + F.col("rest1")) / dof
+    level_error = F.sqrt(noise * sum((1 / F.col(n) + F.pow(F.col("t0") - F.col(f"mean{i}"), 2) / F.col(f"sxx{i}"))
+                                     for i, n in enumerate(("n_pre", "n_post"))))
+    slope_error = F.sqrt(noise * (1 / F.col("sxx0") + 1 / F.col("sxx1")))
+
+    @F.pandas_udf("double")
+    def two_sided(estimate: pd.Series, error: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series([pvalues.t_two_sided(b / e, int(n)) if e > 0 else 0.0 for b, e, n in zip(estimate, error, dof)])
+
+    summary = solved.withColumns({"level_shift_p": two_sided("level_shift", level_error, dof),
+                                  "slope_change_p": two_sided("slope_change", slope_error, dof)}).select(
+        "series", F.lit(str(cutoff)).alias("intervention_date"), "n_pre", "n_post", "level_shift", "level_shift_p",
+        "slope_change", "slope_change_p", (F.col("level_shift_p") < ALPHA).alias("significant_level_shift"),
+        (F.col("slope_change_p") < ALPHA).alias("significant_slope_change"))
+    lines = solved.select("series", "a0", "b0", "a1", "b1")
+    fitted = F.when(F.col("post") == 1, F.col("a1") + F.col("b1") * F.col("t")).otherwise(F.col("a0") + F.col("b0") * F.col("t"))
+    return summary, rows.join(lines, "series").select("series", "day", "y", fitted.alias("fitted"))
+
+
+def segment_lines(rows: DataFrame) -> DataFrame:
+    """One row per series: the lines before (a0, b0) and from the date on (a1, b1), the shift between them at the first
+    day after it, the change of slope, and the sums that their errors need.
+
+    The four coefficients of y ~ 1 + t + post + t_since are those of two separate lines, so one grouped aggregate solves
+    them: level shift = line 1 - line 0 at t0, slope change = b1 - b0, and the residual sum is that of both lines.
+    """
+    aggs = [F.first("n_pre").alias("n_pre"), F.first("n_post").alias("n_post"), F.min(F.when(F.col("post") == 1, F.col("t"))).alias("t0")]
+    for i in (0, 1):
+        t, y = (F.when(F.col("post") == i, F.col(c)).cast("double") for c in ("t", "y"))
+        aggs += [F.regr_slope(y, t).alias(f"b{i}"), F.avg(t).alias(f"mean{i}"), F.avg(y).alias(f"level{i}"), F.regr_sxx(y, t).alias(f"sxx{i}"),
+                 F.regr_syy(y, t).alias(f"syy{i}"), F.regr_sxy(y, t).alias(f"sxy{i}")]
+    found = rows.groupBy("series").agg(*aggs)
+    found = found.withColumns({f"a{i}": F.col(f"level{i}") - F.col(f"b{i}") * F.col(f"mean{i}") for i in (0, 1)} | {
+        f"rest{i}": F.greatest(F.lit(0.0), F.col(f"syy{i}") - F.pow(F.col(f"sxy{i}"), 2) / F.col(f"sxx{i}")) for i in (0, 1)})
+    return found.withColumns({"level_shift": F.col("a1") - F.col("a0") + (F.col("b1") - F.col("b0")) * F.col("t0"),
+                              "slope_change": F.col("b1") - F.col("b0")})

@@ -271,3 +271,27 @@ def test_density(make, rng):
     x = np.linspace(v.min(), v.max(), 200)
     want = np.exp(-0.5 * ((x[:, None] - v) / width) ** 2).sum(axis=1) / (700 * width * np.sqrt(2 * np.pi))
     assert {r["name"] for r in got} == {"a"} and np.allclose([r["x"] for r in got], x) and np.allclose([r["density"] for r in got], want, rtol=1e-5, atol=1e-9)
+
+
+def test_intervention_against_least_squares(make, rng):
+    frames = []
+    for name, n in (("a", 60), ("b", 90)):
+        y = rng.normal(20, 3, n) + 0.3 * np.arange(n) + np.where(np.arange(n) >= 31, 4 - 0.2 * np.arange(n), 0)
+        frames.append(pd.DataFrame({"date": days(n), "value": y, "k": name}))
+    df = make(**pd.concat(frames).to_dict("list"))
+    summary, fitted = ts.intervention(df, "date", "value", str(pd.Timestamp(frames[0]["date"].iloc[31]).date()), ["k"])
+    assert "FlatMapGroupsInPandas" not in summary._jdf.queryExecution().toString()
+    found, lines = {r["series"]: r for r in summary.collect()}, fitted.toPandas()
+    for frame in frames:
+        t, y = np.arange(len(frame), dtype=float), frame["value"].to_numpy()
+        post = (t >= 31).astype(float)
+        x = np.column_stack([np.ones(len(t)), t, post, post * (t - 31)])
+        beta = np.linalg.lstsq(x, y, rcond=None)[0]
+        rest = y - x @ beta
+        errors = np.sqrt(np.diag(np.linalg.inv(x.T @ x)) * (rest @ rest) / (len(t) - 4))
+        row = found[frame["k"].iloc[0]]
+        assert (row["level_shift"], row["slope_change"]) == pytest.approx(tuple(beta[2:]))
+        for value, i in (("level_shift_p", 2), ("slope_change_p", 3)):
+            assert row[value] == pytest.approx(ts.pvalues.t_two_sided(beta[i] / errors[i], len(t) - 4), abs=1e-12, rel=1e-6)
+        mine = lines[lines["series"] == frame["k"].iloc[0]].sort_values("day")["fitted"].to_numpy()
+        assert mine == pytest.approx(x @ beta)
