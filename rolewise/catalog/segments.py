@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import row_hash
 from ..operators.kmeans import fit_sweep
-from ..operators.segments import find_segments, silhouette_scores, standardise, usable_columns
+from ..operators.segments import find_segments, silhouette_scores, squared_silhouettes, standardise, usable_columns
 from .common import LINE_NUMERIC, register, rounded, table, union_sql
 
 QUERIES: dict = {}
@@ -54,6 +54,25 @@ def silhouette(spark, folder):
     return rounded(spark.createDataFrame([("label", score)], "labelling string, silhouette double"))
 
 
+def _squared_sql(label: str) -> str:
+    pts = f"(SELECT row_number() OVER () AS i, l_quantity::DOUBLE AS x, (l_discount * 100)::DOUBLE AS y, {label} AS l FROM lineitem)"
+    return f"""SELECT '{label}' AS labelling, round(avg(CASE WHEN own > 1 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette FROM (
+  SELECT max(CASE WHEN p.l = c.l THEN d * n / greatest(n - 1, 1) END) AS a, max(CASE WHEN p.l = c.l THEN n END) AS own, min(CASE WHEN p.l <> c.l THEN d END) AS b FROM (
+    SELECT p.*, c.l AS cl, c.n, (p.x - c.mx) ** 2 + (p.y - c.my) ** 2 + c.v AS d FROM {pts} p,
+      (SELECT l, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) + var_pop(y) AS v FROM {pts} GROUP BY l) c) p
+    JOIN (SELECT DISTINCT {label} AS l FROM lineitem) c ON c.l = p.cl GROUP BY p.i)"""
+
+
+@register(QUERIES, SQL, "silhouette_squared", union_sql([_squared_sql("l_linenumber"), _squared_sql("(l_quantity >= 25)::INTEGER").replace(
+    "'(l_quantity >= 25)::INTEGER'", "'large'")]))
+def all_rows(spark, folder):
+    """Two labellings of the line items, scored on all rows."""
+    df = table(spark, folder, "lineitem").select("l_linenumber", F.col("l_quantity").cast("double").alias("x"), (
+        F.col("l_discount") * 100).cast("double").alias("y"), (F.col("l_quantity") >= 25).cast("int").alias("large"))
+    scores = squared_silhouettes(df, ["x", "y"], ["l_linenumber", "large"])
+    return rounded(spark.createDataFrame(list(scores.items()), "labelling string, silhouette double"))
+
+
 @register(QUERIES, SQL, "kmeans_sweep")
 def sweep(spark, folder):
     """Cost and silhouette for k = 2..8 with ten restarts over the line items."""

@@ -113,6 +113,48 @@ def silhouette_scores(df: DataFrame, columns: list[str], labels: list[str],
             for i, label in enumerate(labels)}
 
 
+def squared_silhouettes(df: DataFrame, columns: list[str], labels: list[str]) -> dict[str, float | None]:
+    """Mean silhouette under squared Euclidean distance of several labellings, from all rows in two scans.
+
+    The mean squared distance of a row to a cluster is its squared distance to the cluster's mean plus the cluster's
+    variance, so counts, means and variances of the clusters (driver state: columns x clusters numbers) stand for all
+    pairs.  Rows of a cluster of one score 0, as do rows with a = b = 0; a labelling of fewer than two clusters has no
+    score.  Rows without a label and missing or non-finite values are not allowed.
+    """
+    rows = df.select(*[q(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)],
+                     *[q(c).cast("long").alias(f"l{i}") for i, c in enumerate(labels)])
+    x = [f"x{i}" for i in range(len(columns))]
+    keyed = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(f"l{i}").alias("label")) for i in range(len(labels))]))
+    spread = sum((F.var_pop(c) for c in x), F.lit(0.0))
+    found = (rows.select(*x, keyed.alias("_k")).groupBy("_k.which", "_k.label")
+             .agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(c) for c in x]).alias("mean"), spread.alias("spread")).collect())
+    clusters = {}
+    for i in range(len(labels)):
+        mine = sorted((r for r in found if r["which"] == i), key=lambda r: r["label"])
+        clusters[i] = tuple(np.array([r[c] for r in mine]) for c in ("label", "n", "mean", "spread"))
+    scored = [i for i, (codes, *_) in clusters.items() if len(codes) > 1]
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            points, at = batch[x].to_numpy(dtype=float), np.arange(len(batch))
+            for i in scored:
+                codes, sizes, means, spreads = clusters[i]
+                own = np.searchsorted(codes, batch[f"l{i}"].to_numpy())
+                apart = np.column_stack([((points - m) ** 2).sum(1) + v for m, v in zip(means, spreads)])
+                a = apart[at, own] * sizes[own] / np.maximum(sizes[own] - 1, 1)
+                apart[at, own] = np.inf
+                b = apart.min(1)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    s = np.where(sizes[own] > 1, (b - a) / np.maximum(a, b), 0.0)
+                yield pd.DataFrame({"which": [i], "s": [np.nan_to_num(s).sum()], "n": [len(batch)]})
+
+    sums = {}
+    if scored:
+        sums = {r["which"]: r["s"] for r in rows.mapInPandas(score, "which int, s double, n long").groupBy("which").agg(
+            (F.sum("s") / F.sum("n")).alias("s")).collect()}
+    return {label: sums.get(i) for i, label in enumerate(labels)}
+
+
 def find_segments(df: DataFrame, names: list[str], keys: list[str] | None = None,
                   ks: tuple[int, ...] = CLUSTER_COUNTS, restarts: int = 10, seed: int = 42,
                   n_rows: int | None = None) -> Segments | None:

@@ -8,7 +8,7 @@ from rolewise.operators.association import (_exact_u, anova, association_suite,
 from rolewise.operators.charts import pca
 from rolewise.operators.kmeans import fit_sweep
 from rolewise.operators.roles import infer_roles
-from rolewise.operators.segments import find_segments, silhouette_scores
+from rolewise.operators.segments import find_segments, silhouette_scores, squared_silhouettes
 
 
 @pytest.fixture
@@ -145,3 +145,22 @@ def test_statistics_do_not_depend_on_partitioning(classification):
     many = mann_whitney(classification.repartition(9), ["x1", "x2"], "label").collect()
     assert one == many
     assert classification.agg(F.count("x1")).first()[0] == 300
+
+
+def test_squared_silhouettes_against_all_pairs(make, rng):
+    n = 150
+    x = rng.normal(size=(n, 3)) + 1e4
+    labels, single = rng.integers(0, 4, n), np.zeros(n, dtype=int)
+    x[:, 0] += labels
+    labels[0] = 9                                            # a cluster of one
+    square = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)
+    scores = []
+    for i in range(n):
+        own = labels == labels[i]
+        a = square[i, own].sum() / max(own.sum() - 1, 1)
+        b = min(square[i, labels == other].mean() for other in set(labels) if other != labels[i])
+        scores.append((b - a) / max(a, b) if own.sum() > 1 else 0.0)
+    df = make(a=x[:, 0], b=x[:, 1], c=x[:, 2], l=labels, s=single).repartition(5)
+    found = squared_silhouettes(df, ["a", "b", "c"], ["l", "s"])
+    assert found["l"] == pytest.approx(np.mean(scores)) and found["s"] is None
+    assert squared_silhouettes(df.limit(0), ["a"], ["l"]) == {"l": None}
