@@ -63,6 +63,13 @@ def boxes(spark, folder):
     return rounded(charts.target_by_category(table(spark, folder, "events"), "value", "event_type"), 4)
 
 
+@register(QUERIES, SQL, "target_by_part", SQL["target_by_category"].replace(
+    "FROM events", "FROM (SELECT l_partkey::VARCHAR AS event_type, l_extendedprice AS value FROM lineitem)"))
+def boxes_by_part(spark, folder):
+    """Prices by part: a level for every part."""
+    return rounded(charts.target_by_category(table(spark, folder, "lineitem"), "l_extendedprice", "l_partkey"), 4)
+
+
 @register(QUERIES, SQL, "geo_grid", f"""
 SELECT floor(lat / 5)::BIGINT AS lat_cell, floor(lon / 5)::BIGINT AS lon_cell, count(*) AS n, round(avg(label), 6) AS target_mean
 FROM {PLACES} GROUP BY 1, 2""")

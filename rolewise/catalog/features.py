@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import to_long
 from ..functions.words import STOP_WORDS, TOKEN_PATTERN
 from ..operators.clean import clean
-from ..operators.features import (add_geo, engineer, expand_datetime, frequency_encode, one_hot, target_encode,
-                                  term_table, tfidf)
+from ..operators.features import (add_geo, engineer, expand_datetime, frequency_encode, one_hot, one_hot_sparse,
+                                  target_encode, term_table, tfidf)
 from ..operators.roles import infer_roles
 from .common import PLACES, places, register, rounded, table
 
@@ -27,6 +27,20 @@ def dummies(spark, folder):
     return rounded(one_hot(df, ["o_orderstatus", "o_orderpriority"])[0])
 
 
+@register(QUERIES, SQL, "one_hot_sparse", """
+SELECT c_name, sum(code) AS codes, sum(n) AS n FROM (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN c_name END AS c_name FROM orders JOIN customer ON c_custkey = o_custkey) o
+LEFT JOIN (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS code, 1 AS n FROM (
+  SELECT DISTINCT c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderkey % 9 <> 0)) USING (c_name) GROUP BY c_name""")
+def sparse(spark, folder):
+    """Customers' names of the orders as sparse levels: codes and ones of the vectors, summed for each name."""
+    orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    df = orders.join(customers, "o_custkey").select("o_orderkey", F.when(F.col("o_orderkey") % 9 != 0, F.col("c_name")).alias("c_name"))
+    out, _ = one_hot_sparse(df, ["c_name"])
+    ones = F.size(F.regexp_extract_all(F.col("c_name_levels").cast("string"), F.lit(r"1\.0"), F.lit(0)))
+    return out.groupBy("c_name").agg(F.sum("c_name_code").alias("codes"), F.sum(F.when(F.col("c_name_code").isNotNull(), ones)).cast("long").alias("n"))
+
+
 @register(QUERIES, SQL, "frequency_encode", """
 WITH e AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE props END AS props FROM events),
 f AS (SELECT props, count(*) / (SELECT count(props) FROM e)::DOUBLE AS share FROM e WHERE props IS NOT NULL GROUP BY props)

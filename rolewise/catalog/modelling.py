@@ -30,6 +30,13 @@ def codes(spark, folder):
     return prep.label_codes(table(spark, folder, "documents"), "source")
 
 
+@register(QUERIES, SQL, "label_encode_wide", """
+SELECT label, row_number() OVER (ORDER BY label) - 1 AS code, n FROM (SELECT l_orderkey::VARCHAR AS label, count(*) AS n FROM lineitem GROUP BY 1)""")
+def wide_codes(spark, folder):
+    """Codes of order keys as text: a label for every order."""
+    return prep.label_codes(table(spark, folder, "lineitem"), "l_orderkey")
+
+
 @register(QUERIES, SQL, "train_test_split", f"SELECT o_orderkey, {unit_sql('o_orderkey')} >= 0.2 AS is_train FROM orders")
 def split(spark, folder):
     df = table(spark, folder, "orders").select("o_orderkey")

@@ -173,3 +173,30 @@ def _read_off(df, columns, brackets, known) -> None:
     for i, b in enumerate(brackets):
         ordered = sorted(values[i])
         known.update({(b.name, k): ordered[k - b.below] for k in b.ranks})
+
+
+def grouped_ranks(df: DataFrame, group: Column, value: Column, range_rows: int | None = None) -> DataFrame:
+    """Rows (group, value, n, before, total_n): every distinct value of a group with its count, the rows of the group below
+    it and all rows of the group.  Rows without a group or a value are left out."""
+    from .ranks import RANGE_ROWS, running_sums
+
+    pairs = df.select(group.alias("group"), value.alias("value")).dropna()
+    size = pairs.agg(F.approx_count_distinct(F.struct("group", "value"))).first()[0]
+    counts = pairs.groupBy("group", "value").agg(F.count(F.lit(1)).alias("n"))
+    return running_sums(counts, ["group"], ["value"], {"n": "before"}, size, range_rows or RANGE_ROWS)
+
+
+def grouped_quantiles(ranked: DataFrame, probs: list[float]) -> DataFrame:
+    """Rows (group, n, q0, q1, ...) from `grouped_ranks`: exact, linearly interpolated quantiles of every group."""
+    aggs = [F.first("total_n").alias("n")]
+    for i, p in enumerate(probs):
+        rank = F.lit(float(p)) * (F.col("total_n") - 1)
+        for name, place in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            here = (F.col("before") <= place) & (place < F.col("before") + F.col("n"))
+            aggs.append(F.max(F.when(here, F.col("value"))).alias(f"_{name}{i}"))
+    found = ranked.groupBy("group").agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        rank, lo, hi = F.lit(float(p)) * (F.col("n") - 1), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (rank - F.floor(rank))).alias(f"q{i}"))
+    return found.select("group", "n", *out)

@@ -9,7 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .tables import staged
+
 MAX_RANGES = 4_096
+RANGE_ROWS = 200_000        # rows that one range of `running_sums` holds, give or take
 STEP = 64                  # above this many cuts the lookup goes through every 64th cut first
 
 
@@ -57,3 +60,24 @@ def _lookup(cuts, value, n):
     coarse = F.filter(cuts, lambda c, i: (i % STEP == STEP - 1) & (c <= value))
     block = F.size(coarse) * STEP
     return block + at_most(F.slice(cuts, block + 1, F.lit(STEP)))
+
+
+def running_sums(rows: DataFrame, group: list[str], order: list[str], sums: dict[str, str], n_rows: int,
+                 range_rows: int = RANGE_ROWS) -> DataFrame:
+    """For each row the sum of a column over the rows of its group that come before it, and `total_<column>` over the group.
+
+    Rows must differ in `group` and `order`; null groups are not allowed.  Rows are dealt to ranges of (group, order), as
+    many as `n_rows` asks for, so any number of groups and a group of any size are served, and so are values of any type.
+    The dealt rows are written once: ranges found anew for a second scan could differ.  Without a group the ranges' totals,
+    a row for each range, are summed in one task.
+    """
+    pieces = max(1, -(-n_rows // range_rows))
+    placed = staged(rows.repartitionByRange(pieces, *group, *order).withColumn("_range", F.spark_partition_id()))
+    by_group = Window.partitionBy(*group)
+    below = by_group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*group, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    offsets = totals.select(*group, "_range", *[e for c in sums for e in (
+        F.coalesce(F.sum(f"_sum_{c}").over(below), F.lit(0)).alias(f"_offset_{c}"), F.sum(f"_sum_{c}").over(by_group).alias(f"total_{c}"))])
+    inside = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.join(offsets, [*group, "_range"]).select(*rows.columns, *[e for c, out in sums.items() for e in (
+        (F.col(f"_offset_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(out), F.col(f"total_{c}"))])

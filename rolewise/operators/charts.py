@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import as_double, field_types, q, to_long
 from ..functions.normal import normal_quantile_sql
 from ..functions.pvalues import normal_quantile
-from ..functions.quantiles import exact_quantiles
-from ..functions.ranks import running_counts
-from .features import levels
+from ..functions.quantiles import exact_quantiles, grouped_quantiles, grouped_ranks
+from ..functions.ranks import running_counts, running_sums
+from ..functions.tables import lookup, staged
 from .linear import feature_grams, linear_expression, total
-from .profile import fences, missing_shares
+from .profile import FENCE_WIDTH, missing_shares
 from .segments import standardise, usable_columns
 
 BINS = 20
@@ -59,28 +59,27 @@ def histogram(df: DataFrame, names: list[str], bins: int = BINS, columns: int |
         (F.col("a") + (F.col("bin") + 1) * width).alias("high"), "n")
 
 
-def target_by_category(df: DataFrame, target: str, category: str, n_rows: int | None = None) -> DataFrame:
-    """Box-plot summary of the target per level of a low-cardinality column, by median descending."""
+def target_by_category(df: DataFrame, target: str, category: str) -> DataFrame:
+    """Box-plot summary of the target per level, by median descending, for any number of levels.
+
+    Values are counted per level and ranked in ranges that split a large level; quartiles and places are rows of tables,
+    and fences go back to the counted values by a lookup that stands hot levels.  Rows without a level or a target are left out.
+    """
     y = as_double(target, field_types(df)[target])
-    found = levels(df, [category])[category]
-    cols = {level: F.when(q(category).cast("string") == level, y) for level in found}
-    quartiles = {n: v for n, v in exact_quantiles(df, cols, [0.25, 0.5, 0.75], n_rows).items()
-                 if v[0] is not None}
-    aggs = []
-    for i, (level, (q1, _, q3)) in enumerate(quartiles.items()):
-        lower, upper = fences(q1, q3) or (q1, q3)
-        value = cols[level]
-        inside = F.when(value.between(lower, upper), value)
-        aggs += [F.count(value).alias(f"n{i}"), F.min(inside).alias(f"lo{i}"), F.max(inside).alias(f"hi{i}"),
-                 F.count(F.when((value < lower) | (value > upper), 1)).alias(f"out{i}")]
-    row = df.agg(*aggs).first() if aggs else {}
-    rows = [(level, row[f"n{i}"], q1, med, q3, row[f"lo{i}"], row[f"hi{i}"], row[f"out{i}"])
-            for i, (level, (q1, med, q3)) in enumerate(quartiles.items())]
-    rows.sort(key=lambda r: (-r[3], r[0]))
-    return df.sparkSession.createDataFrame(
-        [(i + 1, *r) for i, r in enumerate(rows)],
-        "position int, category string, n long, q1 double, median double, q3 double, "
-        "whisker_low double, whisker_high double, n_outliers long")
+    ranked = grouped_ranks(df, q(category).cast("string"), y)
+    quartiles = staged(grouped_quantiles(ranked, [0.25, 0.5, 0.75]))
+    size = quartiles.agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    reach = F.when(F.col("q2") == F.col("q0"), 0.0).otherwise(F.lit(FENCE_WIDTH) * (F.col("q2") - F.col("q0")))
+    table = quartiles.select("group", F.col("n").alias("_n"), (F.col("q0") - reach).alias("_low"), (F.col("q2") + reach).alias("_high"))
+    within = F.col("value").between(F.col("_low"), F.col("_high"))
+    whiskers = (lookup(ranked.select("group", "value", F.col("n").alias("rows")), table, ["group"], "_n", size["k"], size["n"])
+                .groupBy("group").agg(F.min(F.when(within, F.col("value"))).alias("whisker_low"),
+                                      F.max(F.when(within, F.col("value"))).alias("whisker_high"),
+                                      F.coalesce(F.sum(F.when(~within, F.col("rows"))), F.lit(0)).alias("n_outliers")))
+    places = running_sums(quartiles.withColumns({"_down": -F.col("q1"), "_one": F.lit(1)}), [], ["_down", "group"], {"_one": "_before"}, size["k"])
+    return places.join(whiskers, "group").select(
+        (F.col("_before") + 1).cast("int").alias("position"), F.col("group").alias("category"), "n", F.col("q0").alias("q1"),
+        F.col("q1").alias("median"), F.col("q2").alias("q3"), "whisker_low", "whisker_high", "n_outliers")
 
 
 def geo_grid(df: DataFrame, lat: str, lon: str, cell: float = 1.0, cluster: str | None = None,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +13,8 @@ from ..functions.columns import (as_double, field_types, present, q, row_hash, s
                                  unique_name)
 from ..functions.dates import parse_timestamp
 from ..functions.quantiles import exact_quantiles
-from ..functions.tables import lookup, spread
+from ..functions.ranks import RANGE_ROWS, running_sums
+from ..functions.tables import lookup, spread, staged
 from ..functions.words import STOP_WORDS, tokens
 from .kmeans import assign, distance, fit_best
 from .roles import Roles
@@ -62,6 +64,31 @@ def one_hot(df: DataFrame, names: list[str]) -> tuple[DataFrame, list[tuple]]:
     return df.select(*kept, *[e.alias(o) for o, e in columns.items()]), log
 
 
+def level_codes(df: DataFrame, name: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """Rows (label, code, n): every value as text, its place in text order from 0, and its rows; any number of values."""
+    values = df.select(q(name).cast("string").alias("label")).dropna()
+    size = values.agg(F.approx_count_distinct("label")).first()[0]
+    counts = values.groupBy("label").agg(F.count(F.lit(1)).alias("n")).withColumn("_one", F.lit(1))
+    return running_sums(counts, [], ["label"], {"_one": "code"}, size, range_rows).select("label", F.col("code").cast("long").alias("code"), "n")
+
+
+def one_hot_sparse(df: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """One-hot for columns of any number of levels: `<name>_code` and the sparse vector `<name>_levels`, with the levels of
+    each column as a table.  Missing values have no code and a vector of zeros; a column without any value gets no vector."""
+    found = {}
+    for n in names:
+        found[n] = staged(level_codes(df, n))
+        size = found[n].agg(F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+        table = found[n].select(F.col("label").alias("_label"), F.col("code").alias(f"{n}_code"), F.col("n").alias("_n"))
+        df = lookup(df.withColumn("_label", q(n).cast("string")), table, ["_label"], "_n", size["k"], size["n"]).drop("_label")
+        if size["k"]:
+            encoder = OneHotEncoder(inputCol="_place", outputCol=f"{n}_levels", dropLast=True, handleInvalid="keep")
+            model = encoder.fit(found[n].select(F.col("code").cast("double").alias("_place")))
+            place = F.coalesce(q(f"{n}_code"), F.lit(size["k"])).cast("double")         # one past the last: all zeros
+            df = model.transform(df.withColumn("_place", place)).drop("_place")
+    return df, found
+
+
 def value_shares(df: DataFrame, name: str) -> tuple[DataFrame, int, int]:
     """Share per value among rows that have one, with the number of values and of such rows."""
     counts = (df.filter(q(name).isNotNull()).groupBy(q(name).alias(name))

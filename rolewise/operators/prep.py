@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.columns import as_double, field_types, q, row_hash, unit_interval
 from ..functions.tables import spread, staged
 from .association import anova_statistics
-from .features import frequency_encode, target_encode
+from .features import frequency_encode, level_codes, target_encode
 from .profile import IMBALANCE_MIN
 
 TEST_SHARE = 0.2
@@ -17,7 +17,7 @@ SEED = 42
 MAX_FEATURES = 50
 MIN_VARIANCE = 1e-8
 CELLS = 1 << 20              # cells of the uniform number by which classes are cut
-MAX_CLASSES = 10_000        # labels are driver state; a target with more is not a class label
+MAX_CLASSES = 10_000        # models keep state for each class on the driver; codes themselves have no limit
 FOLDS = 5
 
 
@@ -53,14 +53,8 @@ class ModelFrame:
 
 
 def label_codes(df: DataFrame, target: str) -> DataFrame:
-    """Label, its code by string order, and its row count."""
-    counts = (df.filter(q(target).isNotNull()).groupBy(q(target).cast("string").alias("label"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    rows = counts.orderBy("label").limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"target {target!r} has over {MAX_CLASSES} distinct labels")
-    return df.sparkSession.createDataFrame(
-        [(r["label"], i, r["n"]) for i, r in enumerate(rows)], "label string, code long, n long")
+    """Label, its code by string order, and its row count; any number of labels."""
+    return level_codes(df, target)
 
 
 def split_flag(df: DataFrame, unit: Column, test_share: float = TEST_SHARE) -> Column:
@@ -185,7 +179,9 @@ def prepare(df: DataFrame, target: str, features: list[str], task: str,
     labels: list[str] = []
     min_class, n_rows = 0, None
     if task == "classification":
-        coded = label_codes(base, target)
+        coded = staged(label_codes(base, target))
+        if coded.count() > MAX_CLASSES:
+            raise ValueError(f"target {target!r} has over {MAX_CLASSES} classes, too many for a model")
         rows = coded.orderBy("code").collect()
         labels, min_class = [r["label"] for r in rows], min((r["n"] for r in rows), default=0)
         n_rows = sum(r["n"] for r in rows)

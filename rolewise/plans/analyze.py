@@ -129,7 +129,7 @@ def _chart_tables(df: DataFrame, a: Analysis, n_rows: int) -> dict[str, DataFram
     if len(correlated) >= 2:
         out["correlation_matrix"] = correlation_matrix(a.cleaned, correlated)
     if regression and roles.low:
-        out["target_by_category"] = charts.target_by_category(a.cleaned, roles.target, roles.low[0], n_rows)
+        out["target_by_category"] = charts.target_by_category(a.cleaned, roles.target, roles.low[0])
     if roles.has_geo:
         has_cluster = "geo_cluster" in a.features.columns
         out["geo_grid"] = charts.geo_grid(

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rolewise.operators.clean import clean
-from rolewise.operators.features import (add_geo, engineer, expand_datetime, frequency_encode, one_hot, target_encode,
-                                         term_table, tfidf)
+from rolewise.operators.features import (add_geo, engineer, expand_datetime, frequency_encode, level_codes, one_hot, one_hot_sparse,
+                                         target_encode, term_table, tfidf)
 from rolewise.operators.roles import infer_roles
 
 
@@ -143,3 +143,21 @@ def test_high_cardinality_choice(make, rng):
     assert "code_freq" in engineer(df, without, encoding="target").columns
     with pytest.raises(ValueError):
         engineer(df, without, encoding="hash")
+
+
+def test_codes_of_100000_labels_without_a_list(spark):
+    df = spark.range(130_000).select(F.when(F.col("id") < 30_000, "hot").when(F.col("id") != 30_000, F.concat(F.lit("v"), F.col("id"))).alias("c"))
+    codes = level_codes(df, "c", range_rows=9_000)
+    assert codes.select("code").distinct().count() == codes.count() == 100_000
+    ordered = [r["label"] for r in codes.filter("code < 50").orderBy("code").collect()]
+    assert ordered == sorted(ordered) and ordered[0] == "hot"
+    assert codes.filter("label = 'hot'").first()["n"] == 30_000 and codes.agg(F.max("code")).first()[0] == 99_999
+
+
+def test_one_hot_sparse(make):
+    out, found = one_hot_sparse(make(k=[1, 2, 3, 4], c=["b", "a", None, "b"]).withColumn("none", F.lit(None).cast("string")), ["c", "none"])
+    rows = {r["k"]: r for r in out.collect()}
+    assert [list(rows[k]["c_levels"].toArray()) for k in (1, 2, 3, 4)] == [[0, 1], [1, 0], [0, 0], [0, 1]]
+    assert [rows[k]["c_code"] for k in (1, 2, 3, 4)] == [1, 0, None, 1] and "none_levels" not in out.columns
+    assert [tuple(r) for r in found["c"].orderBy("code").collect()] == [("a", 0, 1), ("b", 1, 2)]
+    assert found["none"].count() == 0

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rolewise.functions import pvalues, quantiles
-from rolewise.functions.quantiles import exact_quantiles
-from rolewise.functions.ranks import running_counts
+from rolewise.functions.quantiles import exact_quantiles, grouped_quantiles, grouped_ranks
+from rolewise.functions.ranks import running_counts, running_sums
 from rolewise.functions.shapiro import shapiro_wilk
 from rolewise.functions import tables
 from rolewise.functions.tables import hash_sample, lookup
@@ -116,3 +116,30 @@ def test_kolmogorov_like_uniform_hash(spark):
     from rolewise.functions.columns import row_hash, unit_interval
     u = spark.range(20_000).select(unit_interval(row_hash(spark.range(1))).alias("u")).toPandas()["u"]
     assert 0 <= u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.01 and not math.isnan(u.std())
+
+
+def test_grouped_quantiles_with_hot_group(spark, make, rng):
+    n = 3_000
+    group = np.where(np.arange(n) % 3 == 0, "hot", [f"g{i % 500}" for i in range(n)])
+    value = np.where(np.arange(n) % 7 == 0, 5.0, rng.normal(size=n).round(2))
+    df = make(g=group, v=value).union(spark.createDataFrame([(None, 1.0), ("only nulls", None)], "g string, v double"))
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    for pieces, size in ((1, 100), (7, 40)):
+        ranked = grouped_ranks(df.repartition(pieces), F.col("g"), F.col("v"), size)
+        found = {r["group"]: r for r in grouped_quantiles(ranked, probs).collect()}
+        frame = pd.DataFrame({"g": group, "v": value})
+        assert set(found) == set(group)
+        for g, values in frame.groupby("g")["v"]:
+            assert found[g]["n"] == len(values)
+            assert [found[g][f"q{i}"] for i in range(len(probs))] == pytest.approx(list(np.quantile(values, probs)))
+    assert grouped_quantiles(grouped_ranks(df.limit(0), F.col("g"), F.col("v")), probs).count() == 0
+
+
+def test_running_sums_over_groups_and_texts(spark, rng):
+    rows = spark.range(2_000).select(F.when(F.col("id") % 2 == 0, "a").otherwise(F.concat(F.lit("b"), (F.col("id") % 100).cast("string"))).alias("g"),
+                                     F.sha2(F.col("id").cast("string"), 256).alias("t"), (F.col("id") % 5).alias("w"))
+    pandas = rows.toPandas().sort_values(["g", "t"])
+    pandas["below"] = pandas.groupby("g")["w"].cumsum() - pandas["w"]
+    pandas["total_w"] = pandas.groupby("g")["w"].transform("sum")
+    got = running_sums(rows, ["g"], ["t"], {"w": "below"}, 2_000, 150).toPandas().sort_values(["g", "t"])
+    assert got[["below", "total_w"]].to_numpy().tolist() == pandas[["below", "total_w"]].to_numpy().tolist()
