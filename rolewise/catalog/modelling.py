@@ -378,6 +378,24 @@ def importance(spark, folder):
     return permutation_importance(model, frame.test, frame.x, frame.names, frame.task, frame.n_test)
 
 
+_GROWN = "o_totalprice * (1 + (o_orderkey % 10) / 20.0)"
+
+
+@register(QUERIES, SQL, "permutation_shift", f"""
+WITH o AS (SELECT o_totalprice AS x, {_GROWN} AS y, row_number() OVER (ORDER BY {unit_sql('o_orderkey')}, o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, var_pop(y) * count(*) AS total, regr_r2(y, x) AS r2 FROM o),
+s AS (SELECT o.*, r, CAST(1 + floor((n - 1) * (((r + 1) * 0.6180339887498949e0) % 1e0)) AS BIGINT) AS ahead FROM o, range(5) t(r)),
+p AS (SELECT s.r, any_value(m.r2) - 1 + sum((s.y - a - b * d.x) ** 2) / any_value(total) AS loss FROM m, s JOIN o d ON d.pos = (s.pos + s.ahead) % s.n GROUP BY s.r)
+SELECT 'o_totalprice' AS feature, round(avg(loss), 5) AS importance, round(stddev_pop(loss), 5) AS std FROM p""")
+def importance_by_position(spark, folder):
+    """Importance of the price of an order for a value grown from it, rows in an arithmetic order that SQL can repeat."""
+    df = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("row_key"), F.col("o_totalprice").alias("x0"), F.expr(_GROWN).cast("double").alias("y"),
+        F.lit(0).alias("fold"))
+    model = fit_linear_family(df, ["x0"], [LINEAR], _DEFAULTS)[0]
+    return rounded(permutation_importance(model, df, ["x0"], ["o_totalprice"], "regression", df.count(), order=unit_of("row_key")), 5)
+
+
 @register(QUERIES, SQL, "shallow_tree")
 def tree(spark, folder):
     frame = prep.prepare(revenue(spark, folder), "revenue", list(LINE_NUMERIC), "regression", keys=["l_orderkey", "l_linenumber"])

@@ -6,54 +6,48 @@ import re
 
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.ranks import running_sums
 from .evaluate import class_metrics, confusion_counts, regression_metrics
 from .models import SEED, Fitted, assembled
 
 REPEATS = 5
 TOP_FEATURES = 15
-BLOCK_ROWS = 4_096
+GOLDEN = 0.6180339887498949     # steps of this share of a circle never come close to each other
 TREE_DEPTH = 3
 NODE_SCHEMA = ("node int, parent int, depth int, feature string, threshold double, "
                "is_leaf boolean, prediction double, n long, share double")
 
 
-def donor_rows(test: DataFrame, x: list[str], n_rows: int, repeats: int = REPEATS) -> DataFrame:
-    """Every row with `repeats` other rows drawn without replacement inside its random block.
+def donor_rows(test: DataFrame, x: list[str], n_rows: int, repeats: int = REPEATS, order: Column | None = None) -> DataFrame:
+    """Rows (repeat, row_key, y, x..., _donor): in each repeat every row with the features of another, each row giving once.
 
-    Rows are dealt to blocks by key hash.  In each repeat a block is put in a new random order and
-    every row takes the features of its successor, the last one those of the first: a permutation.
-    One shuffle serves all repeats, and no block grows with the table.
+    Rows get exact positions in one global random order (by key hash, or `order`; equal keys by their place in the input).
+    In a repeat a row takes the features of the row a fixed way ahead, round the end, met by a join on the position, so
+    copies of a row neither share a group nor a task.  `n_rows` only sizes the ranges.
     """
-    blocks = max(1, n_rows // BLOCK_ROWS)
-    block = F.pmod(F.xxhash64(F.lit(SEED), "row_key"), F.lit(blocks))
-    base = test.select("row_key", "y", *x).withColumn("_block", block)
-    own = F.struct(*x)
-    for r in range(repeats):
-        order = Window.partitionBy("_block").orderBy(F.xxhash64(F.lit(r), "row_key"), "row_key")
-        first = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        base = base.withColumn(f"_donor{r}", F.coalesce(F.lead(own).over(order), F.first(own).over(first)))
-    return base.drop("_block")
+    order = F.xxhash64(F.lit(SEED), "row_key") if order is None else order
+    keyed = test.select("row_key", "y", *x).withColumns(
+        {"_order": order, "_tie": F.monotonically_increasing_id(), "_one": F.lit(1)})
+    placed = running_sums(keyed, [], ["_order", "row_key", "_tie"], {"_one": "_pos"}, n_rows).select(
+        "row_key", "y", *x, "_pos", F.col("total__one").alias("_n"))
+    ways = F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit((r + 1) * GOLDEN % 1.0).alias("share")) for r in range(repeats)])
+    ahead = F.floor((F.col("_n") - 1) * F.col("_way.share")) + 1
+    asking = placed.withColumn("_way", F.explode(ways)).withColumn("_at", F.pmod(F.col("_pos") + ahead, F.col("_n")))
+    giving = placed.select(F.col("_pos").alias("_at"), F.struct(*x).alias("_donor"))
+    return asking.join(giving, "_at").select(F.col("_way.repeat").alias("repeat"), "row_key", "y", *x, "_donor")
 
 
 def permutation_importance(fitted: Fitted, test: DataFrame, x: list[str], names: list[str], task: str,
-                           n_rows: int, repeats: int = REPEATS, top: int = TOP_FEATURES) -> DataFrame:
+                           n_rows: int, repeats: int = REPEATS, top: int = TOP_FEATURES, order: Column | None = None) -> DataFrame:
     """Mean loss of R² or weighted F1 when one feature is permuted, over all test rows.
 
-    Each row is scored once per feature and repeat as it streams by; only per-variant sums shuffle.
+    Each row is scored once per feature and repeat as it streams by; after the positions only per-variant sums shuffle.
     """
-    rows = donor_rows(test, x, n_rows, repeats)
-    variants = F.array(*[F.struct(F.lit(i).alias("feature"), F.lit(r).alias("repeat"))
-                         for i in range(len(x)) for r in range(repeats)])
-    spread = rows.withColumn("_v", F.explode(variants))
-    donor = F.col("_donor0")
-    for r in range(1, repeats):
-        donor = F.when(F.col("_v.repeat") == r, F.col(f"_donor{r}")).otherwise(donor)
-    swapped = [F.when(F.col("_v.feature") == i, donor[c]).otherwise(F.col(c)).alias(c)
-               for i, c in enumerate(x)]
-    permuted = fitted.apply(spread.select(F.col("_v.feature").alias("feature"),
-                                          F.col("_v.repeat").alias("repeat"), "y", *swapped))
+    rows = donor_rows(test, x, n_rows, repeats, order).withColumn("feature", F.explode(F.array(*[F.lit(i) for i in range(len(x))])))
+    swapped = [F.when(F.col("feature") == i, F.col("_donor")[c]).otherwise(F.col(c)).alias(c) for i, c in enumerate(x)]
+    permuted = fitted.apply(rows.select("feature", "repeat", "y", *swapped))
     base = fitted.apply(test.select("y", *x))
     by = ["feature", "repeat"]
     if task == "regression":

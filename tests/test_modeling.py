@@ -306,8 +306,20 @@ def test_donors_are_a_permutation(spark):
     df = spark.range(20_000).select(F.col("id").alias("row_key"), F.lit(0.0).alias("y"), F.col("id").cast("double").alias("x0"))
     rows = donor_rows(df, ["x0"], 20_000, 2)
     for r in range(2):
-        got = rows.select(F.col(f"_donor{r}.x0").alias("v"), "x0").toPandas()
-        assert sorted(got.v) == sorted(got.x0) and (got.v != got.x0).mean() > 0.99
+        got = rows.filter(F.col("repeat") == r).select(F.col("_donor.x0").alias("v"), "x0").toPandas()
+        assert len(got) == 20_000 and sorted(got.v) == sorted(got.x0) and (got.v != got.x0).mean() > 0.99
+
+
+def test_donors_of_equal_keys(spark):
+    """A third of the rows has one key: all give once, and copies are dealt to ranges like other rows."""
+    df = spark.range(0, 9_000, 1, 6).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("row_key"), F.lit(0.0).alias("y"),
+                                            F.col("id").cast("double").alias("x0"))
+    got = donor_rows(df, ["x0"], 400_000 * 8, 3).toPandas()
+    for _, rows in got.groupby("repeat"):
+        assert sorted(rows["_donor"].map(lambda d: d["x0"])) == sorted(rows["x0"]) == list(range(9_000))
+    one = donor_rows(df.limit(1), ["x0"], 1, 2).collect()
+    assert len(one) == 2 and all(r["_donor"]["x0"] == r["x0"] for r in one)
+    assert donor_rows(df.limit(0), ["x0"], 0, 2).count() == 0
 
 
 def test_tree_text():
