@@ -292,6 +292,19 @@ def steps(spark, folder):
     return rounded(model.apply(rows).groupBy("step").agg(F.count("*").alias("n"), F.lit(leaves).cast("long").alias("n_leaves"), F.max("prediction").alias("prediction")))
 
 
+@register(QUERIES, SQL, "forest_stairs", """
+SELECT step, count(*) AS n, TRUE AS beyond_15, round(pow(3.0, step), 3) AS prediction FROM (SELECT l_orderkey % 20 AS step FROM lineitem) GROUP BY step""")
+def stairs(spark, folder):
+    """20 planted steps, each three times the last: best splits take one step off at a time, so every tree is deeper than 15."""
+    step = F.col("l_orderkey") % 20
+    rows = table(spark, folder, "lineitem").select(
+        step.cast("double").alias("x"), step.alias("step"), F.pow(F.lit(3.0), step).alias("y"), F.lit(1.0).alias("weight"),
+        F.xxhash64("l_orderkey", "l_linenumber").alias("row_key"))
+    model = fit_all([FOREST], "regression", rows, ["x"], Settings(forest_trees=8), 0, rows.count())[0]
+    return rounded(model.apply(rows).groupBy("step").agg(F.count("*").alias("n"), F.lit(model.model.depth > 15).alias("beyond_15"),
+                                                         F.max("prediction").alias("prediction")), 3)
+
+
 # --- evaluation ---------------------------------------------------------------------------------
 
 

@@ -9,11 +9,10 @@ from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,6 +20,7 @@ from ..functions.columns import q, to_long
 from ..functions.tables import in_parallel
 from .boosting import MAX_LEAVES, Boosted, boost
 from .evaluate import regression_metrics
+from .forest import Forest, fit_forest
 from .linear import (alpha_grid, feature_grams, lasso_cv, linear_expression, ridge_loo, solve_lasso,
                      solve_ols, solve_ridge, total)
 
@@ -32,7 +32,6 @@ CLASSIFIERS = (LOGISTIC, FOREST, BOOSTING)
 TREES = (FOREST, BOOSTING)
 
 SEED = 42
-FOREST_DEPTH = 12            # depth of "unlimited" forests; MLlib allows at most 30
 # Fixed values of the two searches (the configured value is always added).
 NEAR_DEPTHS = (8, 16)
 NEAR = {BOOSTING: {"learning_rate": (0.03, 0.3), "max_iter": (50, 200)}, LOGISTIC: {"C": (0.1, 10.0)}}
@@ -152,14 +151,6 @@ def cross_validate_linear(df: DataFrame, x: list[str], names: list[str], setting
 
 # --- MLlib models -------------------------------------------------------------------------------
 
-def _forest(task: str, s: Settings):
-    common = dict(featuresCol="features", labelCol="y", weightCol="weight", numTrees=s.forest_trees,
-                  maxDepth=s.forest_depth or FOREST_DEPTH, seed=SEED)
-    if task == "regression":
-        return RandomForestRegressor(featureSubsetStrategy="all", **common)
-    return RandomForestClassifier(featureSubsetStrategy="sqrt", **common)
-
-
 def _logistic(s: Settings, n_rows: int):
     """L2 penalty of strength 1 / C on the summed loss over standardised features."""
     return LogisticRegression(featuresCol="features", labelCol="y", weightCol="weight", maxIter=2000,
@@ -167,20 +158,33 @@ def _logistic(s: Settings, n_rows: int):
                               elasticNetParam=0.0, standardization=True)
 
 
-def estimator(name: str, task: str, s: Settings, n_rows: int):
-    return _forest(task, s) if name == FOREST else _logistic(s, n_rows)
-
-
-# --- boosting -----------------------------------------------------------------------------------
+# --- trees --------------------------------------------------------------------------------------
 
-def fit_boosting(task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> Fitted:
-    """One model for all classes: histogram trees of up to 31 leaves, or the best of the search."""
+def fit_trees(name: str, task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> Fitted:
+    """A forest or a boosted model as configured, or the best of the search."""
     rows = train.select(*[q(c) for c in x], "y", "weight", "row_key")
-    choice = {**_configured(BOOSTING, s), "max_leaf_nodes": MAX_LEAVES}
+    choice = {**_configured(name, s), **({"max_leaf_nodes": MAX_LEAVES} if name == BOOSTING else {})}
     if s.search:
-        choice |= _searched(task, rows, x, s, n_classes, n_rows)
-    model = _boosted(task, rows, x, choice, n_classes, n_rows)
-    return Fitted(BOOSTING, partial(_apply_boosted, model, x, task, n_classes), {**choice, "n_iter": len(model.rounds)}, model)
+        choice |= _searched(name, task, rows, x, s, n_classes, n_rows)
+    model, apply = _grown(name, task, rows, x, choice, n_classes, n_rows)
+    return Fitted(name, apply, {**choice, **({"n_iter": len(model.rounds)} if name == BOOSTING else {})}, model)
+
+
+def _grown(name: str, task: str, rows: DataFrame, x: list[str], choice: dict, n_classes: int, n_rows: int):
+    if name == BOOSTING:
+        model = _boosted(task, rows, x, choice, n_classes, n_rows)
+        return model, partial(_apply_boosted, model, x, task, n_classes)
+    model = fit_forest(rows, x, task, n_classes, n_rows, choice["n_estimators"], choice["max_depth"], choice.get("min_samples_leaf", 1),
+                       choice.get("max_features", None if task == "regression" else "sqrt"), SEED)
+    return model, partial(_apply_forest, model, x, task, n_classes)
+
+
+def _apply_forest(model: Forest, x: list[str], task: str, n_classes: int, df: DataFrame) -> DataFrame:
+    out, shares = model.outputs(df, x), F.col("_outputs")
+    if task == "regression":
+        return out.select(*map(q, df.columns), shares[0].alias("prediction"))
+    best = (F.array_position(shares, F.array_max(shares)) - 1).cast("double").alias("prediction")
+    return out.select(*map(q, df.columns), best, *([shares[1].alias("score")] if n_classes == 2 else []))
 
 
 def _boosted(task: str, rows: DataFrame, x: list[str], choice: dict, n_classes: int, n_rows: int) -> Boosted:
@@ -199,14 +203,14 @@ def _apply_boosted(model: Boosted, x: list[str], task: str, n_classes: int, df:
     return out.select(*map(q, kept), (F.array_position(raw, F.array_max(raw)) - 1).cast("double").alias("prediction"))
 
 
-def _searched(task: str, rows: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> dict[str, object]:
+def _searched(name: str, task: str, rows: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> dict[str, object]:
     """The setting that scores best over three folds, by the primary metric of the comparison."""
-    choices, evaluator = _choices(BOOSTING, s), _evaluator(task)
+    choices, evaluator = _choices(name, s), _evaluator(task)
     folded = rows.withColumn("_fold", _search_fold())
 
     def value(choice: dict, fold: int) -> float:
-        model = _boosted(task, folded.filter(F.col("_fold") != fold), x, choice, n_classes, n_rows * (SEARCH_FOLDS - 1) // SEARCH_FOLDS)
-        return evaluator.evaluate(_apply_boosted(model, x, task, n_classes, folded.filter(F.col("_fold") == fold)))
+        _, apply = _grown(name, task, folded.filter(F.col("_fold") != fold), x, choice, n_classes, n_rows * (SEARCH_FOLDS - 1) // SEARCH_FOLDS)
+        return evaluator.evaluate(apply(folded.filter(F.col("_fold") == fold)))
 
     values = in_parallel([partial(value, c, f) for c in choices for f in range(SEARCH_FOLDS)], s.parallelism)
     return choices[int(np.argmax(np.reshape(values, (-1, SEARCH_FOLDS)).mean(axis=1)))]
@@ -214,14 +218,14 @@ def _searched(task: str, rows: DataFrame, x: list[str], s: Settings, n_classes:
 
 def fit_mllib(name: str, task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int,
               n_rows: int) -> Fitted:
-    if name == BOOSTING:
-        return fit_boosting(task, train, x, s, n_classes, n_rows)
-    stage = estimator(name, task, s, n_rows)
+    if name in TREES:
+        return fit_trees(name, task, train, x, s, n_classes, n_rows)
+    stage = _logistic(s, n_rows)
     vectors = assembled(train, x).select("features", "y", "weight", "row_key")
     if s.search:
         model, parameters = _search(name, task, stage, vectors, s, n_classes, n_rows)
     else:
-        model, parameters = stage.fit(vectors), _parameters(name, s)
+        model, parameters = stage.fit(vectors), _configured(name, s)
     return Fitted(name, _applier(model, x, task == "classification" and n_classes == 2), parameters, model)
 
 
@@ -236,13 +240,6 @@ def _applier(model, x: list[str], scored: bool):
     return apply
 
 
-def _parameters(name: str, s: Settings) -> dict[str, object]:
-    if name == FOREST:
-        return {"n_estimators": s.forest_trees, "max_depth": s.forest_depth, "depth_limit":
-                s.forest_depth or FOREST_DEPTH}
-    return {"C": s.logistic_c}
-
-
 # --- search -------------------------------------------------------------------------------------
 
 def search_grid(name: str, s: Settings) -> dict[str, list] | None:
@@ -279,16 +276,6 @@ def draws(space: dict[str, list], n: int = SEARCH_DRAWS, seed: int = SEED) -> li
     return every if len(every) <= n else random.Random(seed).sample(every, n)
 
 
-def _param_map(stage, name: str, choice: dict[str, object], n_rows: int) -> dict:
-    if name == LOGISTIC:
-        return {stage.regParam: 1.0 / (choice["C"] * max(n_rows, 1))}
-    out = {stage.numTrees: choice["n_estimators"], stage.maxDepth: choice["max_depth"] or FOREST_DEPTH}
-    if "min_samples_leaf" in choice:
-        out[stage.minInstancesPerNode] = choice["min_samples_leaf"]
-        out[stage.featureSubsetStrategy] = choice["max_features"] or "all"
-    return out
-
-
 def _choices(name: str, s: Settings) -> list[dict[str, object]]:
     return draws(search_space(name, s)) if s.broad_search else draws(search_grid(name, s), n=10_000)
 
@@ -306,7 +293,7 @@ def _search(name, task, stage, vectors, s, n_classes, n_rows):
     """Three-fold search by the primary metric of the comparison."""
     choices = _choices(name, s)
     search = CrossValidator(estimator=stage, evaluator=_evaluator(task), numFolds=SEARCH_FOLDS,
-                            estimatorParamMaps=[_param_map(stage, name, c, n_rows) for c in choices],
+                            estimatorParamMaps=[{stage.regParam: 1.0 / (c["C"] * max(n_rows, 1))} for c in choices],
                             foldCol="search_fold", parallelism=s.parallelism, seed=SEED)
     found = search.fit(vectors.withColumn("search_fold", _search_fold()))
     best = choices[int(np.argmax(found.avgMetrics))]
