@@ -1,13 +1,18 @@
-"""Cross-product matrices of the feature columns: one Arrow pass, one row set per task."""
+"""Cross-product matrices of the feature columns, of few columns by group, or of many by blocks of columns."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+BLOCK = 128                  # columns of a block
+LOT = 64                     # pairs of blocks of a pass, 0.8 MB each in a task
+
 
 def gram_by_group(df: DataFrame, columns: list[str], group: str | None = None,
                   weight: str | None = None) -> dict[int, np.ndarray]:
@@ -44,27 +49,72 @@ def gram_by_group(df: DataFrame, columns: list[str], group: str | None = None,
     return out
 
 
-def pairwise_sums(df: DataFrame, columns: list[str], centres: list[float]) -> dict[str, np.ndarray]:
-    """Counts, sums, squares and products over the rows where both columns of a pair are present."""
-    width = len(columns)
-    shift = np.asarray(centres, dtype=float)
+def column_means(packed: DataFrame, width: int) -> np.ndarray:
+    """Mean of the present values of each place of the array `x`; 0 where there is none."""
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s = np.zeros(width), np.zeros(width)
+        for batch in batches:
+            x = _values(batch, width)
+            n, s = n + (~np.isnan(x)).sum(0), s + np.nansum(x, axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(n), pa.array(s)], ["i", "n", "s"])
 
-    def partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((4, width, width))
+    out = np.zeros(width)
+    for r in packed.mapInArrow(sums, "i long, n double, s double").groupBy("i").agg((F.sum("s") / F.greatest(F.sum("n"), F.lit(1.0))).alias("m")).collect():
+        out[r["i"]] = r["m"]
+    return out
+
+
+def _values(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def pairwise(packed: DataFrame, width: int, finish: Callable, schema: str, block: int = BLOCK, lot: int = LOT) -> DataFrame:
+    """Counts, sums, squares and products of each pair of places of the array `x` over the rows where both are present.
+
+    Places go in blocks.  A pass adds up `lot` pairs of blocks; each task emits a table a pair, the tables of a pair meet in
+    one task, which adds them as they come and hands them to finish(first place, other first place, sums): an Arrow batch of
+    `schema`.  No task holds more than `lot` tables, the driver holds the means.
+    """
+    centres = column_means(packed, width)
+    starts = range(0, width, block)
+    pairs = [(a, b) for a in starts for b in starts if a <= b]
+    parts = [_products(packed, width, centres, pairs[k:k + lot], finish, schema, block) for k in range(0, len(pairs), lot)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _products(packed, width, centres, pairs, finish, schema, block) -> DataFrame:
+    wanted = sorted({a for pair in pairs for a in pair})
+
+    def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {pair: 0.0 for pair in pairs}
+        for batch in batches:
+            x = _values(batch, width)
+            parts = {}
+            for a in wanted:
+                v = x[:, a:a + block] - centres[a:a + block]
+                seen = ~np.isnan(v)
+                v = np.where(seen, v, 0.0)
+                parts[a] = seen.astype(float), v, v * v
+            for a, b in pairs:
+                (s, v, vv), (t, w, ww) = parts[a], parts[b]
+                sums[a, b] = sums[a, b] + np.stack([s.T @ t, v.T @ t, s.T @ w, vv.T @ t, s.T @ ww, v.T @ w])
+        some = [(a, b, m.tobytes()) for (a, b), m in sums.items() if not isinstance(m, float)]
+        for a, b, m in some:
+            yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([b], pa.int32()), pa.array([m], pa.binary())], ["a", "b", "m"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, None
         for batch in batches:
-            x = batch[columns].to_numpy(dtype=float) - shift
-            seen = (~np.isnan(x)).astype(float)
-            x = np.nan_to_num(x)
-            sums[0] += seen.T @ seen
-            sums[1] += x.T @ seen
-            sums[2] += (x * x).T @ seen
-            sums[3] += x.T @ x
-        kind, i, j = np.indices(sums.shape)
-        yield pd.DataFrame({"kind": kind.ravel(), "i": i.ravel(), "j": j.ravel(), "v": sums.ravel()})
-
-    rows = (df.select(*columns).mapInPandas(partial_sums, "kind int, i int, j int, v double")
-            .groupBy("kind", "i", "j").agg(F.sum("v").alias("v")).collect())
-    out = np.zeros((4, width, width))
-    for r in rows:
-        out[r["kind"], r["i"], r["j"]] = r["v"]
-    return {"n": out[0], "sum": out[1], "sq": out[2], "prod": out[3]}
+            for i in range(batch.num_rows):
+                key = (batch.column("a")[i].as_py(), batch.column("b")[i].as_py())
+                shape = (6, min(block, width - key[0]), min(block, width - key[1]))
+                table = np.frombuffer(batch.column("m")[i].as_buffer()).reshape(shape)
+                if key != at and at is not None:
+                    yield finish(*at, total)
+                total = table.copy() if key != at else total + table
+                at = key
+        if at is not None:
+            yield finish(*at, total)
+
+    tables = packed.mapInArrow(partial_sums, "a int, b int, m binary").repartition(len(pairs), "a", "b").sortWithinPartitions("a", "b")
+    return tables.mapInArrow(meet, schema)

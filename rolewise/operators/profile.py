@@ -6,10 +6,11 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import as_double, distinct_key, field_types, present, q, to_long
-from ..functions.gram import pairwise_sums
+from ..functions.gram import pairwise
 from ..functions.quantiles import exact_quantiles
 from .roles import Roles
 
@@ -19,7 +20,8 @@ FENCE_WIDTH = 1.5
 IMBALANCE_MIN = 1.5
 REDUNDANT_MIN = 0.9
 TOP_VALUES = 10
-SQL_CORRELATION_COLUMNS = 12     # above this the pairwise sums go through one Arrow pass
+SQL_CORRELATION_COLUMNS = 12     # above this the pairs are made by blocks of columns
+PAIRS_SCHEMA = "col_a string, col_b string, correlation double"
 
 NUMERIC_SCHEMA = ("name string, n long, mean double, std double, min double, max double, "
                   "median double, skew double, is_skewed boolean, n_outliers long, "
@@ -148,47 +150,53 @@ def class_balance(df: DataFrame, target: str) -> DataFrame:
                          F.lit(bool(ratio and ratio >= IMBALANCE_MIN)).alias("is_imbalanced"))
 
 
-def correlations(df: DataFrame, names: list[str]) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of each pair over the rows where both are present, one scan."""
+def correlation_pairs(df: DataFrame, names: list[str]) -> DataFrame:
+    """Pearson correlation of each pair of columns over the rows where both are present, the earlier column first.
+
+    NULL where a column does not vary on these rows.  Beyond a few columns the pairs are made and kept in tasks, by blocks of columns."""
     types = field_types(df)
     names = list(dict.fromkeys(names))
+    if len(names) < 2:
+        return df.sparkSession.createDataFrame([], PAIRS_SCHEMA)
+    values = [as_double(n, types[n]) for n in names]
+    if len(names) > SQL_CORRELATION_COLUMNS:
+        return pairwise(df.select(F.array(*values).alias("x")), len(names), _correlation_batch(names), PAIRS_SCHEMA)
+    flat = df.select(*[v.alias(f"v{i}") for i, v in enumerate(values)])
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-    if not pairs:
-        return {}
-    flat = df.select(*[as_double(n, types[n]).alias(f"v{i}") for i, n in enumerate(names)])
-    if len(names) <= SQL_CORRELATION_COLUMNS:
-        row = flat.agg(*[F.corr(f"v{i}", f"v{j}").alias(f"r{i}_{j}") for i, j in pairs]).first()
-        found = {(i, j): row[f"r{i}_{j}"] for i, j in pairs}
-    else:
-        found = _wide_correlations(flat, pairs)
-    return {(names[i], names[j]): None if r is None or math.isnan(r) else r
-            for (i, j), r in found.items()}
-
-
-def _wide_correlations(flat, pairs):
-    means = flat.agg(*[F.avg(c).alias(c) for c in flat.columns]).first()
-    s = pairwise_sums(flat, flat.columns, [m or 0.0 for m in means])
-    n = np.where(s["n"] > 0, s["n"], np.nan)
-    spread = s["sq"] - s["sum"] ** 2 / n                 # of the first column of the pair
-    spread[spread <= 1e-12 * s["sq"]] = np.nan
-    with np.errstate(invalid="ignore"):
-        r = (s["prod"] - s["sum"] * s["sum"].T / n) / np.sqrt(spread * spread.T)
-    return {(i, j): float(np.clip(r[i, j], -1, 1)) for i, j in pairs}
+    row = flat.agg(*[F.corr(f"v{i}", f"v{j}").alias(f"r{i}_{j}") for i, j in pairs]).first()
+    found = [(names[i], names[j], row[f"r{i}_{j}"]) for i, j in pairs]
+    return df.sparkSession.createDataFrame([(a, b, None if r is None or math.isnan(r) else r) for a, b, r in found], PAIRS_SCHEMA)
+
+
+def _correlation_batch(names: list[str]):
+    def finish(a: int, b: int, sums: np.ndarray) -> pa.RecordBatch:
+        n, left, right, left_sq, right_sq, product = sums
+        n = np.where(n > 0, n, np.nan)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            spreads = [np.where(q - s * s / n > 1e-12 * q, q - s * s / n, np.nan) for s, q in ((left, left_sq), (right, right_sq))]
+            r = np.clip((product - left * right / n) / np.sqrt(spreads[0] * spreads[1]), -1, 1)
+        i, j = (np.triu_indices(len(r), 1) if a == b else np.indices(r.shape).reshape(2, -1))
+        return pa.RecordBatch.from_arrays([pa.array([names[a + k] for k in i], pa.string()), pa.array([names[b + k] for k in j], pa.string()),
+                                           pa.array(r[i, j], pa.float64(), from_pandas=True)], ["col_a", "col_b", "correlation"])
+    return finish
+
+
+def correlations(df: DataFrame, names: list[str]) -> dict[tuple[str, str], float | None]:
+    """The pairs of a table of few columns on the driver."""
+    return {(r["col_a"], r["col_b"]): r["correlation"] for r in correlation_pairs(df, names).collect()}
 
 
 def redundant_pairs(df: DataFrame, names: list[str], threshold: float = REDUNDANT_MIN) -> DataFrame:
-    rows = [(a, b, r) for (a, b), r in correlations(df, names).items()
-            if r is not None and abs(r) >= threshold]
-    rows.sort(key=lambda p: -abs(p[2]))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, correlation double")
+    return correlation_pairs(df, names).filter(F.abs("correlation") >= threshold).orderBy(F.desc(F.abs("correlation")))
 
 
 def correlation_matrix(df: DataFrame, names: list[str]) -> DataFrame:
     """All ordered pairs, the diagonal being 1."""
     names = list(dict.fromkeys(names))
-    upper = correlations(df, names)
-    rows = [(a, b, 1.0 if a == b else upper.get((a, b), upper.get((b, a)))) for a in names for b in names]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, correlation double")
+    pairs = correlation_pairs(df, names)
+    both = pairs.select(F.explode(F.array(F.struct("col_a", "col_b", "correlation"), F.struct(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "correlation"))).alias("p")).select("p.*")
+    return both.unionByName(df.sparkSession.createDataFrame([(n, n, 1.0) for n in names], PAIRS_SCHEMA))
 
 
 def profile_columns(roles: Roles) -> list[str]:

@@ -3,6 +3,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rolewise.functions.gram import pairwise
+from rolewise.operators import profile
 from rolewise.operators.profile import (class_balance, correlation_matrix, correlations, missing_shares,
                                         numeric_profiles, redundant_pairs, table_profile, top_values)
 
@@ -79,3 +81,32 @@ def test_profile_of_empty_table(spark):
     assert numeric_profiles(df, ["x"]) == {}
     assert tuple(table_profile(df).first()) == (0, 1, 0)
     assert df.agg(F.count("x")).first()[0] == 0
+
+
+def test_wide_pairs_by_blocks(spark, rng, monkeypatch):
+    """Several blocks and passes, gaps of every column, a constant and an empty one, against pandas."""
+    x = rng.normal(size=(300, 23)) + 1e6
+    x[:, 5] = x[:, 2] * 2 + rng.normal(size=300) * 0.01
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 7], x[:, 8] = 4.0, np.nan
+    names = [f"c{i}" for i in range(23)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{c} double" for c in names)).repartition(4)
+    want = pd.DataFrame(x, columns=names).corr()
+    finish = profile._correlation_batch(names)
+    packed = df.select(F.array(*names).alias("x"))
+    for block, lot in ((4, 5), (30, 64)):
+        got = pairwise(packed, 23, finish, profile.PAIRS_SCHEMA, block, lot).collect()
+        assert len(got) == 23 * 22 // 2 and all(int(r["col_a"][1:]) < int(r["col_b"][1:]) for r in got)
+        for r in got:
+            w = want.loc[r["col_a"], r["col_b"]]
+            assert r["correlation"] is None if np.isnan(w) else abs(r["correlation"] - w) < 1e-6
+    assert [tuple(r)[:2] for r in profile.redundant_pairs(df, names).collect()] == [("c2", "c5")]
+
+
+def test_two_thousand_columns_stay_in_tasks(spark):
+    """Two million pairs as rows of Spark tasks; planted copies of a column are the only redundant ones."""
+    names = [f"c{i}" for i in range(2000)]
+    mixed = [F.sin(F.col("id") * F.lit(0.37 + 0.013 * (i % 1000)) + i % 1000).alias(n) for i, n in enumerate(names)]
+    got = profile.correlation_pairs(spark.range(0, 200, 1, 2).select(*mixed), names)
+    assert got.count() == 2000 * 1999 // 2
+    assert got.filter("correlation > 0.999999999 and col_a = concat('c', cast(substr(col_b, 2) as int) - 1000)").count() == 1000
