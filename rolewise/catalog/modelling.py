@@ -8,6 +8,7 @@ from ..operators import prep
 from ..operators.baseline import breusch_pagan, logit_baseline, ols, vif_pruning, vif_table
 from ..operators.evaluate import (class_metrics, confusion_counts, confusion_matrix, regression_metrics, roc_auc,
                                   select_best)
+from ..operators.logistic import fit_logistic
 from ..operators.importance import permutation_importance, shallow_tree
 from ..operators.modeling import cross_validate, run_models, score
 from ..operators.models import (BOOSTING, FOREST, LASSO, LINEAR, LOGISTIC, RIDGE, Settings, cross_validate_linear,
@@ -305,6 +306,20 @@ def stairs(spark, folder):
                                                          F.max("prediction").alias("prediction")), 3)
 
 
+@register(QUERIES, SQL, "logistic_odds", """
+SELECT left_out, round(ln(p0 / (1 - p0)), 4) AS intercept, round(ln(p1 / (1 - p1)) - ln(p0 / (1 - p0)), 4) AS coef FROM (
+ SELECT f AS left_out, avg(y) FILTER (WHERE x = 0) AS p0, avg(y) FILTER (WHERE x = 1) AS p1 FROM (
+  SELECT l_orderkey % 5 AS fold, (l_linenumber > 2)::INT AS x, ((l_quantity + 7 * l_linenumber) % 10 < 4)::INT AS y FROM lineitem), range(-1, 5) t(f) WHERE fold <> f GROUP BY f)""")
+def odds(spark, folder):
+    """Logistic fits of one feature of two values, all rows (-1) and each of five folds left out: log odds in closed form."""
+    rows = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") % 5).cast("int").alias("fold"), (F.col("l_linenumber") > 2).cast("double").alias("x"),
+        ((F.col("l_quantity") + 7 * F.col("l_linenumber")) % 10 < 4).cast("double").alias("y"), F.lit(1.0).alias("weight"))
+    fits = fit_logistic(rows, ["x"], [(f, 1e12) for f in (None, *range(5))])
+    return rounded(spark.createDataFrame([(-1 if f.fold is None else f.fold, f.intercept, f.coefficients[0]) for f in fits],
+                                         "left_out long, intercept double, coef double"), 4)
+
+
 # --- evaluation ---------------------------------------------------------------------------------
 
 
@@ -384,6 +399,25 @@ def folds_of_all(spark, folder):
                                  "model string, fold int, metric string, value double")
 
 
+@register(QUERIES, SQL, "cv_comparison")
+def compared_by_folds(spark, folder):
+    """Logistic regression and forest compared over five folds: means and folds of each, the winner, and its paired test against the runner-up."""
+    run = run_models(_quality(spark, folder), "quality", ["n_chars", "n_words", "n_stops"], "classification", names=[LOGISTIC, FOREST], cv_folds=5,
+                     settings=_DEFAULTS, keys=["doc_id"])
+    scores = run.comparison.select("model", "metric", "value", "fold", "is_best")
+    test = run.best_vs_runner_up
+    return scores.unionByName(test.select(F.col(test.columns[0]).alias("model"), F.lit("p").alias("metric"), F.col("p_value").alias("value"),
+                                          F.lit(None).cast("int").alias("fold"), F.lit(True).alias("is_best")))
+
+
+@register(QUERIES, SQL, "target_encoded_model")
+def encoded_model(spark, folder):
+    """Revenue of a line item from its line status and return flag by out-of-fold target means, and the numeric columns."""
+    run = run_models(revenue(spark, folder), "revenue", ["l_linestatus", "l_returnflag", "l_quantity", "l_discount"], "regression",
+                     names=[LINEAR, RIDGE, LASSO], encode=["l_linestatus", "l_returnflag"], settings=_DEFAULTS, keys=["l_orderkey", "l_linenumber"])
+    return run.comparison.withColumn("target_encoded", F.lit(",".join(run.frame.encoded)))
+
+
 @register(QUERIES, SQL, "permutation_importance")
 def importance(spark, folder):
     frame = prep.prepare(revenue(spark, folder), "revenue", list(LINE_NUMERIC), "regression", keys=["l_orderkey", "l_linenumber"])

@@ -13,8 +13,9 @@ from .baseline import Baseline, logit_baseline, ols_baseline
 from .evaluate import (CLASS_METRICS, PRIMARY, REGRESSION_METRICS, class_metrics, confusion_counts,
                        confusion_matrix, regression_metrics, roc_auc)
 from .importance import permutation_importance, shallow_tree
-from .models import (LASSO, LINEAR, RIDGE, TREES, Fitted, Settings, candidates, cross_validate_linear,
-                     fit_all)
+from .logistic import fit_logistic
+from .models import (LASSO, LINEAR, LOGISTIC, RIDGE, TREES, Fitted, Settings, candidates, cross_validate_linear,
+                     fit_all, logistic_model)
 from .prep import FOLDS, MAX_FEATURES, SEED, TEST_SHARE, ModelFrame, prepare, with_folds
 
 COMPARISON_SCHEMA = ("model string, metric string, value double, fold int, is_best boolean, "
@@ -65,15 +66,21 @@ def cross_validate(frame: ModelFrame, names: list[str], settings: Settings, n_fo
         for r in cross_validate_linear(frame.table, frame.x, linear, settings, n_folds).collect():
             out.setdefault(r["model"], {})[r["fold"]] = {m: r[m] for m in REGRESSION_METRICS}
     others = [n for n in names if n not in linear]
+    shared: dict[int, Fitted] = {}
+    if LOGISTIC in others and len(frame.labels) == 2:          # the fits of all folds from the same scans
+        others.remove(LOGISTIC)
+        shared = {f.fold: logistic_model(f, frame.x) for f in fit_logistic(
+            frame.table, frame.x, [(f, settings.logistic_c) for f in range(n_folds)])}
     n_rows = frame.n_train + frame.n_test
 
     def one_fold(fold: int) -> dict[str, dict[str, float]]:
         train = frame.table.filter(F.col("fold") != fold)
         held_out = frame.table.filter(F.col("fold") == fold)
         fits = fit_all(others, frame.task, train, frame.x, settings, len(frame.labels), n_rows - n_rows // n_folds)
+        fits += [shared[fold]] if shared else []
         return {f.name: score(f.apply(held_out), frame.task, len(frame.labels)) for f in fits}
 
-    found = in_parallel([partial(one_fold, f) for f in range(n_folds)] if others else [], 2)
+    found = in_parallel([partial(one_fold, f) for f in range(n_folds)] if others or shared else [], 2)
     for fold, scores in enumerate(found):
         for name, s in scores.items():
             out.setdefault(name, {})[fold] = s

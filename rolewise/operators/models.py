@@ -19,10 +19,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import q, to_long
 from ..functions.tables import in_parallel
 from .boosting import MAX_LEAVES, Boosted, boost
-from .evaluate import regression_metrics
+from .evaluate import class_metrics, confusion_counts, regression_metrics
 from .forest import Forest, fit_forest
 from .linear import (alpha_grid, feature_grams, lasso_cv, linear_expression, ridge_loo, solve_lasso,
                      solve_ols, solve_ridge, total)
+from .logistic import LogisticFit, fit_logistic
+from .prep import with_folds
 
 # Fixed display names of the candidates.
 LINEAR, RIDGE, LASSO = "Linear Regression", "Ridge (CV)", "Lasso (CV)"
@@ -206,7 +208,7 @@ def _apply_boosted(model: Boosted, x: list[str], task: str, n_classes: int, df:
 def _searched(name: str, task: str, rows: DataFrame, x: list[str], s: Settings, n_classes: int, n_rows: int) -> dict[str, object]:
     """The setting that scores best over three folds, by the primary metric of the comparison."""
     choices, evaluator = _choices(name, s), _evaluator(task)
-    folded = rows.withColumn("_fold", _search_fold())
+    folded = with_folds(rows, task, SEARCH_FOLDS, SEED + 23).withColumnRenamed("fold", "_fold")
 
     def value(choice: dict, fold: int) -> float:
         _, apply = _grown(name, task, folded.filter(F.col("_fold") != fold), x, choice, n_classes, n_rows * (SEARCH_FOLDS - 1) // SEARCH_FOLDS)
@@ -216,10 +218,39 @@ def _searched(name: str, task: str, rows: DataFrame, x: list[str], s: Settings,
     return choices[int(np.argmax(np.reshape(values, (-1, SEARCH_FOLDS)).mean(axis=1)))]
 
 
+def fit_two_classes(train: DataFrame, x: list[str], s: Settings) -> Fitted:
+    """Logistic regression of two classes, or the best of the search: fits of all folds and C, and the refits, share their scans."""
+    rows = train.select(*[q(c) for c in x], "y", "weight", "row_key")
+    if not s.search:
+        return logistic_model(fit_logistic(rows, x, [(None, s.logistic_c)])[0], x)
+    values = [c["C"] for c in _choices(LOGISTIC, s)]
+    folded = with_folds(rows, "classification", SEARCH_FOLDS, SEED + 23)
+    fits = fit_logistic(folded, x, [(f, c) for c in values for f in (None, *range(SEARCH_FOLDS))])
+    said = {c: F.lit(None).cast("double") for c in values}
+    for fit in fits:
+        if fit.fold is not None:
+            said[fit.c] = F.when(F.col("fold") == fit.fold, _says(fit, x)).otherwise(said[fit.c])
+    counts = confusion_counts(to_long(folded, {str(c): v for c, v in said.items()}, ["fold", "y"], "setting", "prediction"), by=["setting", "fold"])
+    means = {r["setting"]: r["m"] for r in class_metrics(counts, ["setting", "fold"]).groupBy("setting").agg(F.avg("F1_weighted").alias("m")).collect()}
+    best = max(values, key=lambda c: (means.get(str(c), 0.0), -values.index(c)))
+    return logistic_model(next(f for f in fits if f.fold is None and f.c == best), x)
+
+
+def _says(fit: LogisticFit, x: list[str]) -> Column:
+    return (linear_expression(x, fit.intercept, np.array(fit.coefficients)) > 0).cast("double")
+
+
+def logistic_model(fit: LogisticFit, x: list[str]) -> Fitted:
+    score = 1 / (1 + F.exp(-linear_expression(x, fit.intercept, np.array(fit.coefficients))))
+    return Fitted(LOGISTIC, lambda df: df.withColumns({"prediction": _says(fit, x), "score": score}), {"C": fit.c}, fit)
+
+
 def fit_mllib(name: str, task: str, train: DataFrame, x: list[str], s: Settings, n_classes: int,
               n_rows: int) -> Fitted:
     if name in TREES:
         return fit_trees(name, task, train, x, s, n_classes, n_rows)
+    if n_classes == 2:
+        return fit_two_classes(train, x, s)
     stage = _logistic(s, n_rows)
     vectors = assembled(train, x).select("features", "y", "weight", "row_key")
     if s.search:
@@ -285,17 +316,13 @@ def _evaluator(task: str):
             MulticlassClassificationEvaluator(labelCol="y", metricName="f1"))
 
 
-def _search_fold() -> Column:
-    return F.pmod(F.xxhash64(F.lit(SEED + 23), "row_key"), F.lit(SEARCH_FOLDS)).cast("int")
-
-
 def _search(name, task, stage, vectors, s, n_classes, n_rows):
     """Three-fold search by the primary metric of the comparison."""
     choices = _choices(name, s)
     search = CrossValidator(estimator=stage, evaluator=_evaluator(task), numFolds=SEARCH_FOLDS,
                             estimatorParamMaps=[{stage.regParam: 1.0 / (c["C"] * max(n_rows, 1))} for c in choices],
                             foldCol="search_fold", parallelism=s.parallelism, seed=SEED)
-    found = search.fit(vectors.withColumn("search_fold", _search_fold()))
+    found = search.fit(with_folds(vectors, task, SEARCH_FOLDS, SEED + 23).withColumnRenamed("fold", "search_fold"))
     best = choices[int(np.argmax(found.avgMetrics))]
     return found.bestModel, best
 
