@@ -31,7 +31,8 @@ TOLERANCE = 1e-4          # centre movement, in units of the mean column varianc
 class KMeansFit:
     k: int
     centres: list[list[float]]
-    cost: float
+    cost: float              # of these centres over all rows
+    converged: bool = True   # the last scan neither moved the centres nor gained, within the tolerances
 
 
 def _squared_distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -107,8 +108,8 @@ def _one_pass(df: DataFrame, columns: list[str], runs: list[np.ndarray]) -> dict
 
 
 def _lloyd(table: DataFrame, columns: list[str], runs: dict[int, np.ndarray], scans: int, gain: float,
-           tolerance: float) -> dict[int, float]:
-    """Improve all runs in place, one scan per iteration for those that still move; cost per run.
+           tolerance: float) -> tuple[dict[int, float], set[int]]:
+    """Improve all runs in place, one scan per iteration for those that still move; cost per run, and the runs that still moved.
 
     A cost belongs to the centres before the last move, so it is an upper bound of the final one.
     """
@@ -126,7 +127,7 @@ def _lloyd(table: DataFrame, columns: list[str], runs: dict[int, np.ndarray], sc
             runs[r] = new
         if not moving:
             break
-    return costs
+    return costs, moving
 
 
 def fit_sweep(df: DataFrame, columns: list[str], ks: list[int], restarts: int = 10, seed: int = 42,
@@ -144,17 +145,20 @@ def fit_sweep(df: DataFrame, columns: list[str], ks: list[int], restarts: int =
         sample = hash_sample(table, START_ROWS, seed=seed, n_rows=n).toPandas().to_numpy(dtype=float)
         tolerance = TOLERANCE * float(sample.var(0).mean())
         runs = dict(enumerate(_starts(sample, ks, restarts, seed)))
-        costs = _lloyd(table, columns, runs, RACE_ITERATIONS, RACE_GAIN, tolerance)
+        costs, _ = _lloyd(table, columns, runs, RACE_ITERATIONS, RACE_GAIN, tolerance)
         best: dict[int, int] = {}
         for r, centres in runs.items():
             k = len(centres)
             if k not in best or costs[r] < costs[best[k]]:
                 best[k] = r
         winners = {r: runs[r] for r in best.values()}
-        costs = _lloyd(table, columns, winners, MAX_ITERATIONS, MIN_GAIN, tolerance)
+        _, moving = _lloyd(table, columns, winners, MAX_ITERATIONS, MIN_GAIN, tolerance)
+        order = sorted(winners)
+        last = _one_pass(table, columns, [winners[r] for r in order])
+        costs = {r: float(last[place][:, -1].sum()) for place, r in enumerate(order)}
     finally:
         table.unpersist()
-    return {k: KMeansFit(k, winners[r].tolist(), costs[r]) for k, r in best.items()}
+    return {k: KMeansFit(k, winners[r].tolist(), costs[r], r not in moving) for k, r in best.items()}
 
 
 def fit_best(df: DataFrame, columns: list[str], k: int, restarts: int = 10, seed: int = 42,

@@ -164,3 +164,12 @@ def test_squared_silhouettes_against_all_pairs(make, rng):
     found = squared_silhouettes(df, ["a", "b", "c"], ["l", "s"])
     assert found["l"] == pytest.approx(np.mean(scores)) and found["s"] is None
     assert squared_silhouettes(df.limit(0), ["a"], ["l"]) == {"l": None}
+
+
+def test_cost_is_that_of_the_returned_centres(make, rng):
+    x = rng.normal(size=(400, 2)) + rng.integers(0, 3, (400, 1)) * 6
+    fits = fit_sweep(make(a=x[:, 0], b=x[:, 1]), ["a", "b"], [2, 3, 5], restarts=3)
+    for k, fit in fits.items():
+        apart = ((x[:, None, :] - np.array(fit.centres)[None]) ** 2).sum(2).min(1)
+        assert len(fit.centres) == k and fit.cost == pytest.approx(apart.sum()) and fit.converged in (True, False)
+    assert fits[3].converged
