@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rolewise.operators import models as m
-from rolewise.operators.boosting import Grower, best_split, boost
+from rolewise.operators.boosting import Grower, best_split, boost, folded
 
 
 def frame(spark, x, y, weight=None):
@@ -126,3 +126,23 @@ def test_ties_take_the_first_split():
         grower = Grower(leaves, 1, None)
         grower.receive({0: sums})
         assert grower.replay() == want
+
+
+@pytest.mark.parametrize("task,k", [("regression", 0), ("classification", 2), ("classification", 3)])
+def test_rows_of_equal_bins_are_folded(spark, rng, task, k):
+    """Copies fold into one row of their weight, and the model is that of one row a value with the copies as weights."""
+    x = np.repeat(rng.integers(0, 6, (40, 2)), 5, axis=0).astype(float)
+    y = (x[:, 0] + 2 * x[:, 1]) % (k or 11) if k else x[:, 0] * 3 + rng.normal(size=200)
+    df, names = frame(spark, x, y)
+    binned = df.select(F.encode(F.concat("x0", "x1"), "utf-8").alias("bins"), "y", "weight", F.lit(False).alias("valid"))
+    rows = folded(binned, "squared" if not k else "softmax").toPandas()
+    assert len(rows) == len({tuple(r) for r in x}) and rows["n"].sum() == 200 and np.isclose((rows["y"] * rows["weight"]).sum(), y.sum())
+    within = sum(((y[(x == v).all(axis=1)] - y[(x == v).all(axis=1)].mean()) ** 2).sum() for v in np.unique(x, axis=0)) / 2
+    assert np.isclose(rows["off"].sum(), 0.0 if k else within)
+    cells = {(*r, t if k else 0.0): [] for r, t in zip(x, y)}
+    for r, t in zip(x, y):
+        cells[(*r, t if k else 0.0)].append(t)
+    few, _ = frame(spark, [c[:2] for c in cells], [np.mean(v) for v in cells.values()], [len(v) for v in cells.values()])
+    models = [boost(d, names, task, k, 200, n_rounds=3, max_leaves=4, min_leaf=1) for d in (df, few)]
+    a, b = ({(r["x0"], r["x1"]): r["s"] for r in df.select("x0", "x1", m.raw(names).alias("s")).distinct().collect()} for m in models)
+    assert all(np.allclose(a[c], b[c]) for c in a)
