@@ -127,3 +127,20 @@ def test_nothing_to_learn(spark, y):
     df, names = frame(spark, [[float(i)] for i in range(len(y))], y)
     assert np.allclose(predicted(f.fit_forest(df, names, "regression", 0, len(y), 4), df, names), y[0])
     assert np.allclose(predicted(f.fit_forest(df, names, "regression", 0, len(y), 4, fit_rows=10), df, names), y[0])
+
+
+@pytest.mark.parametrize("n_codes", [0, 2, 3, 12])
+def test_first_split_against_all_splits(rng, n_codes):
+    """The gain of a stump is the best of all, for numbers and for classes on both sides of the limit of running weights by class."""
+    from rolewise.operators.forest import FEW_CLASSES, grow
+    x, w = rng.integers(0, 40, (500, 3)).astype(float), rng.integers(1, 4, 500).astype(float)
+    y = rng.integers(0, n_codes, 500).astype(float) if n_codes else x[:, 1] ** 2 + rng.normal(size=500)
+    assert n_codes <= 3 or n_codes > FEW_CLASSES
+
+    def gain(left):
+        sides = [(y[s], w[s]) for s in (left, ~left)]
+        return sum((np.bincount(t.astype(int), v) ** 2).sum() / v.sum() if n_codes else (t * v).sum() ** 2 / v.sum() for t, v in sides)
+    part = grow(x, y, w, n_codes > 0, 3, 4, 1, 7)
+    tried = [x[:, j] <= t for j in range(3) for t in np.unique(x[:, j])[:-1]]
+    best = max(gain(left) for left in tried if min(left.sum(), (~left).sum()) >= 4)
+    assert np.isclose(gain(x[:, part.feature[0]] <= part.threshold[0]), best, rtol=1e-12)
