@@ -3,6 +3,7 @@
 import math
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -23,6 +24,25 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows], SCHEMA).repartition(4)
 
 
+def test_frequent_shingles_are_counted_in_little_memory(monkeypatch):
+    """The count keeps one buffer of shingles and sorts it in place; lots and counts are those of all shingles."""
+    monkeypatch.setattr(op2, "HINT_TOKENS", 3 << 20)
+    rng, texts = np.random.default_rng(3), []
+    for i in range(4000):
+        texts.append(" ".join(["often seen words stand here", *map(str, rng.integers(0, 10**6, 1000)), *(["only two have these words"] if i < 2 else [])]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    seen = Counter()
+    op2.shingle_sets(*op2.utf8(batch.column("text")))               # tables that all tasks keep
+    tracemalloc.start()
+    for found in op2._frequent(iter([batch])):
+        seen.update(dict(zip(found.column("h").to_pylist(), found.column("n").to_pylist())))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    often = op2.shingle_sets(*op2.utf8(pa.array(["often seen words stand here"])))[0].view(np.int64)
+    assert seen == {int(often[0]): 4000}
+    assert peak < 72 << 20                                          # 24 MB of shingles, and a slice at work
+
+
 def near_copies(rng, n=60):
     base = [[f"w{x}" for x in rng.integers(0, 10**6, 120)] for _ in range(5)]
     boiler, rows = " ".join(f"b{i}" for i in range(9)), []
