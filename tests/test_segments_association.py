@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 from rolewise.operators.association import (_exact_u, anova, association_suite, chi_square, chi_square_statistics,
                                             mann_whitney, mann_whitney_statistics, shapiro_tests, wilcoxon)
 from rolewise.operators.charts import pca
-from rolewise.operators.kmeans import fit_sweep
+from rolewise.operators.kmeans import _sums_of, fit_sweep
 from rolewise.operators.roles import infer_roles
 from rolewise.operators.segments import find_segments, silhouette_scores, squared_silhouettes
 
@@ -173,3 +175,26 @@ def test_cost_is_that_of_the_returned_centres(make, rng):
         apart = ((x[:, None, :] - np.array(fit.centres)[None]) ** 2).sum(2).min(1)
         assert len(fit.centres) == k and fit.cost == pytest.approx(apart.sum()) and fit.converged in (True, False)
     assert fits[3].converged
+
+
+def test_kmeans_sums_match_brute_force_in_little_memory():
+    """Sums, counts and costs of all runs, the first of equal centres on a tie, with distances of a lot of rows at a time."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(50_000, 3)), 1)
+    runs = [np.array([[0.0, 0, 0], [0.0, 0, 0], [1.0, 1, 1]])] + [rng.normal(size=(k, 3)) for k in (2, 2, 5, 8) for _ in range(10)]
+    sums = np.zeros((sum(map(len, runs)), 5))
+    tracemalloc.start()
+    _sums_of(np.ascontiguousarray(x.T), runs, sums)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20                                       # all distances at once take 70 MB
+    at = 0
+    for centres in runs:
+        apart = ((x[:, None, :] - centres[None]) ** 2).sum(2)
+        near = apart.argmin(1)
+        for c in range(len(centres)):
+            mine = near == c
+            assert sums[at + c, -2] == mine.sum()
+            np.testing.assert_allclose(sums[at + c, :3], x[mine].sum(0), atol=1e-8)
+            np.testing.assert_allclose(sums[at + c, -1], apart[mine, c].sum(), rtol=1e-9, atol=1e-8)
+        at += len(centres)
