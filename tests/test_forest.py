@@ -144,3 +144,25 @@ def test_first_split_against_all_splits(rng, n_codes):
     tried = [x[:, j] <= t for j in range(3) for t in np.unique(x[:, j])[:-1]]
     best = max(gain(left) for left in tried if min(left.sum(), (~left).sum()) >= 4)
     assert np.isclose(gain(x[:, part.feature[0]] <= part.threshold[0]), best, rtol=1e-12)
+
+
+@pytest.mark.parametrize("classes", [False, True])
+def test_features_of_two_values_split_as_by_brute_force(classes, monkeypatch):
+    """Features of two values need no order; the tree is the one that orders of all features give."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=400), np.where(rng.random(400) < 0.3, -1.5, 2.25), (rng.random(400) < 0.5) * 1.0, np.full(400, 7.0)])
+    y = x[:, 0] + 3 * (x[:, 1] > 0) + rng.normal(size=400)
+    y = (y > y.mean()) * 1.0 if classes else y
+    w = rng.integers(1, 4, 400).astype(float)
+    assert sorted(f._two_valued(x.T)) == [1, 2]
+    found = f.grow(x, y, w, classes, 4, 5, 3, 7)
+    monkeypatch.setattr(f, "_two_valued", lambda columns: {})
+    want = f.grow(x, y, w, classes, 4, 5, 3, 7)
+    for name in ("feature", "threshold", "left", "right", "offset", "output"):
+        np.testing.assert_array_equal(getattr(found, name), getattr(want, name))
+    np.testing.assert_allclose(found.share, want.share)
+    cost = lambda s: (w[s] * (y[s] - np.average(y[s], weights=w[s])) ** 2).sum()
+    cuts = [(j, v) for j in range(4) for v in np.unique(x[:, j])[:-1] if 5 <= (x[:, j] <= v).sum() <= 395]
+    j, v = min(cuts, key=lambda c: cost(x[:, c[0]] <= c[1]) + cost(x[:, c[0]] > c[1]))
+    assert found.feature[0] == j and ((x[:, j] <= found.threshold[0]) == (x[:, j] <= v)).all()
+    assert 1 in found.feature and (found.threshold[found.feature == 1] == 0.375).all()
