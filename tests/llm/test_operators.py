@@ -3,6 +3,7 @@
 import math
 import os
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -237,6 +238,83 @@ def test_lm_training_predicts_every_id_once():
     assert lines(seen(inputs, there), targets, there) == lines(seen(want[0], want[2]), want[1], want[2])
 
 
+def _plain_training(model, inputs, classes, there, rate, seed):
+    """The same rounds by a formula at a time: attention, softmax, gradients and Adam for each weight."""
+    width, late, batch = op5.WIDTH, op5.WINDOW - op5.STEP, op5.BATCH
+    w = {"e": model.w["e"].copy(), **dict(zip("qkv", (p.copy() for p in np.hsplit(model.w["qkv"], 3)))),
+         "r": model.w["r"].copy(), "o": model.w["o"][:-1].copy(), "b": model.w["o"][-1].copy()}
+    m, s = ({n: np.zeros_like(p) for n, p in w.items()} for _ in range(2))
+    flat = lambda x: x.reshape(-1, x.shape[-1])
+    distance = np.arange(late, op5.WINDOW)[:, None] - np.arange(op5.WINDOW)
+    order = np.random.default_rng(seed).permutation(len(inputs))
+    for t, begin in enumerate(range(0, len(order), batch), 1):
+        some = order[begin:begin + batch]
+        x = w["e"][inputs[some]]
+        own = x[:, late:]
+        q, k, v = own @ w["q"], x @ w["k"], x @ w["v"]
+        a = q @ k.transpose(0, 2, 1) * np.float32(width ** -0.5) + np.where(distance >= 0, w["r"][np.maximum(distance, 0)], np.float32(-1e9))
+        a += np.where(inputs[some] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+        a = np.exp(a - a.max(axis=2, keepdims=True))
+        a /= a.sum(axis=2, keepdims=True)
+        y = own + a @ v
+        p = y @ w["o"] + w["b"]
+        p = np.exp(p - p.max(axis=2, keepdims=True))
+        p /= p.sum(axis=2, keepdims=True)
+        np.put_along_axis(p, classes[some][:, :, None], np.take_along_axis(p, classes[some][:, :, None], 2) - 1, 2)
+        dz = p * (there[some][:, :, None] / np.float32(max(1, there[some].sum())))
+        dy = dz @ w["o"].T
+        da = dy @ v.transpose(0, 2, 1)
+        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
+        g = {"r": np.bincount(np.maximum(distance, 0).ravel(), ds.sum(axis=0).ravel(), op5.WINDOW).astype(np.float32)}
+        ds = ds * np.float32(width ** -0.5)
+        dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dy
+        g |= {"o": flat(y).T @ flat(dz), "b": dz.sum(axis=(0, 1)), "q": flat(own).T @ flat(dq), "k": flat(x).T @ flat(dk), "v": flat(x).T @ flat(dv)}
+        dx = dk @ w["k"].T + dv @ w["v"].T
+        dx[:, late:] += dy + dq @ w["q"].T
+        g["e"] = np.zeros_like(w["e"])
+        np.add.at(g["e"], inputs[some].ravel(), flat(dx))
+        g["e"][-1] = 0
+        for n, p in w.items():
+            m[n] = 0.9 * m[n] + 0.1 * g[n]
+            s[n] = 0.98 * s[n] + 0.02 * g[n] * g[n]
+            p -= (rate * (m[n] / (1 - 0.9 ** t)) / (np.sqrt(s[n] / (1 - 0.98 ** t)) + 1e-6)).astype(np.float32)
+    return {"e": w["e"], "qkv": np.hstack([w["q"], w["k"], w["v"]]), "r": w["r"], "o": np.vstack([w["o"], w["b"]])}
+
+
+def test_lm_training_is_plain_training_in_less_time(rng):
+    n, share = 1100, np.full(op5.CLASSES, 1 / op5.CLASSES)
+    inputs, classes = rng.integers(0, op5.BUCKETS, (n, op5.WINDOW)) // rng.integers(1, 400, (n, 1)), rng.integers(0, op5.CLASSES, (n, op5.STEP))
+    there = np.ones((n, op5.STEP), bool)
+    inputs[:200, :op5.WINDOW - op5.STEP] = -1                               # windows that begin a text
+    there[100:300, 5:] = False                                              # and that end one
+    inputs[100:300, op5.WINDOW - op5.STEP + 5:] = -1
+    times = {"plain": [], "ours": []}
+    for _ in range(4):
+        model = op5.Attention(op5.Attention.start(share))
+        for name, run in (("plain", lambda: _plain_training(model, inputs, classes, there, 0.01, 3)), ("ours", lambda: model.train(inputs, classes, there, 0.01, 3))):
+            begin = time.process_time()
+            want = run() or want
+            times[name].append(time.process_time() - begin)
+    assert all(np.abs(want[k] - p).max() < 1e-4 for k, p in model.w.items())
+    assert min(times["ours"]) < 0.8 * min(times["plain"])
+
+
+def test_lm_logits_beyond_the_range_of_exp(rng):
+    model = op5.Attention(op5.Attention.start(np.full(op5.CLASSES, 1 / op5.CLASSES)))
+    inputs, classes = rng.integers(-1, op5.BUCKETS, (9, op5.WINDOW)), rng.integers(0, op5.CLASSES, (9, op5.STEP))
+    inputs[0] = -1
+    begins = (np.arange(op5.CLASSES) % 2).astype(np.float32)
+    for far in (0, 300, -300):
+        model.w["o"] = rng.normal(size=model.w["o"].shape).astype(np.float32)
+        model.w["o"][-1] += far * (np.arange(op5.CLASSES) > 3)
+        z = (model.forward(inputs)[5] @ model.w["o"]).astype(float)         # the last rows before the softmax
+        z -= z.max(axis=1, keepdims=True)
+        total = np.log(np.exp(z).sum(axis=1))
+        got, first = model.log_classes(inputs, classes, begins)
+        assert np.abs(got.ravel() - (z[np.arange(len(z)), classes.ravel()] - total)).max() < 1e-3
+        assert np.abs(first.ravel() - (np.log(np.exp(z) @ begins + 1e-20) - total)).max() < 1e-3
+
+
 def test_language_id(spark, rng):
     parts = {"aa": "ba be bi bo bu".split(), "bb": "xoz xaz xuz ñez".split(), "cc": "strk plft mnt".split()}
     rows = []
