@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from rolewise.operators.association import (_exact_u, anova, association_suite, chi_square, chi_square_statistics,
                                             mann_whitney, mann_whitney_statistics, shapiro_tests, wilcoxon)
 from rolewise.operators.charts import pca
+from rolewise.catalog import segments
+from rolewise.operators import kmeans
 from rolewise.operators.kmeans import _sums_of, fit_sweep
 from rolewise.operators.roles import infer_roles
 from rolewise.operators.segments import find_segments, silhouette_scores, squared_silhouettes
@@ -198,3 +200,56 @@ def test_kmeans_sums_match_brute_force_in_little_memory():
             np.testing.assert_allclose(sums[at + c, :3], x[mine].sum(0), atol=1e-8)
             np.testing.assert_allclose(sums[at + c, -1], apart[mine, c].sum(), rtol=1e-9, atol=1e-8)
         at += len(centres)
+
+
+def test_sweep_brings_every_restart_to_rest_from_all_rows(make, rng, monkeypatch):
+    """Ten restarts per k: each starts from rows of the table and ends where another Lloyd step leaves it; no sample, no race."""
+    x = rng.uniform(size=(3_000, 2))
+    runs = {}
+    lloyd = kmeans._lloyd
+
+    def kept(blocks, given, tolerance):
+        runs["start"] = [run.copy() for run in given]
+        moving = lloyd(blocks, given, tolerance)
+        runs["end"], runs["moving"], runs["tolerance"] = given, moving, tolerance
+        return moving
+
+    monkeypatch.setattr(kmeans, "_lloyd", kept)
+    fits = fit_sweep(make(a=x[:, 0], b=x[:, 1]).repartition(3), ["a", "b"], [2, 3, 5], scored=True)
+    rows = set(map(tuple, x.tolist()))
+    assert sorted(map(len, runs["end"])) == [2] * 10 + [3] * 10 + [5] * 10 and not runs["moving"]
+    assert all(tuple(centre) in rows for run in runs["start"] for centre in run.tolist())
+    assert runs["tolerance"] == pytest.approx(1e-4 * x.var(0).mean())
+    costs = {}
+    for run in runs["end"]:
+        apart = ((x[:, None, :] - run[None]) ** 2).sum(2)
+        moved = np.array([x[apart.argmin(1) == c].mean(0) for c in range(len(run))])
+        assert ((moved - run) ** 2).sum() < 2 * runs["tolerance"]
+        costs.setdefault(len(run), []).append(apart.min(1).sum())
+    assert {k: f.cost for k, f in fits.items()} == pytest.approx({k: min(c) for k, c in costs.items()})
+
+
+def test_sweep_silhouettes_score_all_rows(make, rng):
+    x = rng.normal(size=(7_000, 2)) + rng.integers(0, 3, (7_000, 1)) * 6
+    df = make(a=x[:, 0], b=x[:, 1])
+    fits = fit_sweep(df, ["a", "b"], [2, 3, 4], restarts=3, scored=True)
+    labelled = df.select("a", "b", *[kmeans.assign(["a", "b"], f.centres).alias(f"k{k}") for k, f in fits.items()])
+    want = squared_silhouettes(labelled, ["a", "b"], ["k2", "k3", "k4"])
+    assert {f"k{k}": f.silhouette for k, f in fits.items()} == pytest.approx(want)
+
+
+def test_starts_are_drawn_by_squared_distance(spark):
+    """A draw among 0 (30 rows), 1 (20 rows) and 3 (10 rows), from a first centre at 0: 20 to 90 for 1 and 3."""
+    rows = np.repeat([0.0, 1.0, 3.0], [30, 20, 10])
+    blocks = spark.sparkContext.parallelize([rows[None, :25], rows[None, 25:40], rows[None, 40:]], 3)
+    found = [start.ravel().tolist() for seed in range(8) for start in kmeans._starts(blocks, 1, 1, 100, seed)]
+    assert np.unique(found, return_counts=True)[1] / 800 == pytest.approx([0.5, 1 / 3, 1 / 6], abs=0.06)
+    pairs = [tuple(start.ravel()) for seed in range(8) for start in kmeans._starts(blocks, 1, 2, 100, seed)]
+    second = [b for a, b in pairs if a == 0.0]                     # the better of two draws: 3 unless both are 1
+    assert 0.0 not in second and second.count(1.0) / len(second) == pytest.approx((20 / 110) ** 2, abs=0.04)
+
+
+def test_sweep_names_cost_and_silhouette(spark):
+    rows = segments.sweep(spark, "/root/testdata/sf0.001").collect()
+    assert [r["k"] for r in rows] == list(range(2, 9)) and all(-1 <= r["silhouette"] <= 1 for r in rows)
+    assert all(a["cost"] > b["cost"] for a, b in zip(rows, rows[1:]))
