@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rolewise.operators import models as m
-from rolewise.operators.boosting import Grower, best_split, boost, folded
+from rolewise.operators import boosting
+from rolewise.operators.boosting import Grower, best_split, boost, boost_all, folded
 
 
 def frame(spark, x, y, weight=None):
@@ -146,3 +147,25 @@ def test_rows_of_equal_bins_are_folded(spark, rng, task, k):
     models = [boost(d, names, task, k, 200, n_rounds=3, max_leaves=4, min_leaf=1) for d in (df, few)]
     a, b = ({(r["x0"], r["x1"]): r["s"] for r in df.select("x0", "x1", m.raw(names).alias("s")).distinct().collect()} for m in models)
     assert all(np.allclose(a[c], b[c]) for c in a)
+
+
+@pytest.mark.parametrize("task,k", [("regression", 0), ("classification", 2), ("classification", 3)])
+def test_fits_side_by_side_equal_fits_alone(spark, rng, monkeypatch, task, k):
+    """Folds that share passes, folds made by a task each, and fits one by one give the same trees and losses."""
+    x = rng.normal(size=(900, 3)).round(1)
+    y = x[:, 0] * 2 + x[:, 1] ** 2 if task == "regression" else (x[:, 0] + rng.normal(0, 0.5, 900) > 0) + (x[:, 1] > 1) * (k > 2)
+    df, names = frame(spark, x, y)
+    trains = [df.filter(F.col("row_key") % 3 != f) for f in range(2)] + [df.filter("row_key < 60")]       # the last one rests first
+    setting = {"n_rounds": 12, "rate": 0.5, "max_leaves": 6, "early": True}
+    in_tasks = boost_all(trains, names, task, k, 600, **setting)
+    monkeypatch.setattr(boosting, "TASK_CELLS", 0)
+    monkeypatch.setattr(boosting, "PIECE_ROWS", 100)
+    shared = boost_all(trains, names, task, k, 600, **setting)
+    alone = [boost(train, names, task, k, 600, **setting) for train in trains]
+    assert alone[0].passes == shared[0].passes > 10
+    for a, b, c in zip(in_tasks, shared, alone):
+        assert len(a.rounds) == len(b.rounds) == len(c.rounds) > 0 and len(a.losses) == len(b.losses) == len(c.losses)
+        for other in (b, c):
+            assert np.allclose(a.losses, other.losses)
+            for t, u in zip(sum(a.rounds, []), sum(other.rounds, [])):
+                assert (t.feature == u.feature).all() and np.allclose(t.threshold, u.threshold) and np.allclose(t.value, u.value)

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from rolewise.catalog import modelling as catalog
 from rolewise.operators import models as m
 from rolewise.operators.baseline import breusch_pagan, ols, vif_pruning, vif_table
 from rolewise.operators.clean import clean
@@ -11,7 +12,7 @@ from rolewise.operators.features import engineer
 from rolewise.operators.importance import donor_rows, read_tree
 from rolewise.functions.columns import row_hash
 from rolewise.operators.linear import alpha_grid, feature_grams, lasso_cv, ridge_loo, solve_lasso, total
-from rolewise.operators.modeling import run_models
+from rolewise.operators.modeling import run_models, score
 from rolewise.operators.prep import label_codes, prepare, stratified_split, with_folds
 from rolewise.operators.roles import infer_roles
 
@@ -332,3 +333,23 @@ def test_tree_text():
 def test_label_codes(make):
     rows = label_codes(make(c=["b", "a", "b", None]), "c").collect()
     assert [(r["label"], r["code"], r["n"]) for r in rows] == [("a", 0, 1), ("b", 1, 2)]
+
+
+def test_folds_compare_all_classifiers(classification, monkeypatch):
+    """cv_comparison leaves no candidate out; fold scores are those of each model alone."""
+    seen = {}
+
+    def quick(df, target, features, task, **asked):
+        seen["run"] = run_models(classification, "label", ["x1", "x2"], task, settings=m.Settings(forest_trees=5, boosting_rounds=4), **{
+            k: v for k, v in asked.items() if k not in ("settings", "keys")})
+        return seen["run"]
+
+    monkeypatch.setattr(catalog, "run_models", quick)
+    spark = classification.sparkSession
+    rows = catalog.compared_by_folds(spark, "/root/testdata/sf0.001").collect()
+    folds = {(r["model"], r["metric"]) for r in rows if r["fold"] == 4}
+    assert folds == {(n, k) for n in m.CLASSIFIERS for k in ("Accuracy", "F1_weighted", "Balanced_Accuracy", "ROC_AUC")}
+    frame, settings = seen["run"].frame, m.Settings(forest_trees=5, boosting_rounds=4)
+    train, held_out = frame.table.filter("fold != 2"), frame.table.filter("fold = 2")
+    for fit in m.fit_all(list(m.CLASSIFIERS), "classification", train, frame.x, settings, 2, train.count()):
+        assert seen["run"].fold_scores[fit.name][2] == pytest.approx(score(fit.apply(held_out), "classification", 2), abs=1e-9)
