@@ -166,3 +166,33 @@ def test_features_of_two_values_split_as_by_brute_force(classes, monkeypatch):
     j, v = min(cuts, key=lambda c: cost(x[:, c[0]] <= c[1]) + cost(x[:, c[0]] > c[1]))
     assert found.feature[0] == j and ((x[:, j] <= found.threshold[0]) == (x[:, j] <= v)).all()
     assert 1 in found.feature and (found.threshold[found.feature == 1] == 0.375).all()
+
+
+@pytest.mark.parametrize("m_features,classes", [(1, True), (2, True), (2, False)])
+def test_features_that_fall_to_a_node(rng, m_features, classes):
+    """Gains are asked for some features of a node only; the split is that of all gains cut to the allowed features, the next able one included."""
+    x = rng.integers(0, 9, (160, 6)).astype(float)
+    x[:, 1], x[:, 4] = 3.0, x[:, 4] > 4                          # one feature never splits, one has two values
+    y = rng.integers(0, 3, 160).astype(float) if classes else rng.normal(size=160)
+    w = rng.integers(1, 4, 160).astype(float)
+    hot = np.eye(3)[y.astype(int)] if classes else y[:, None]
+    part = f.grow(x, y, w, classes, m_features, 1, None, 77)
+    stack, splits = [(0, np.arange(160), np.uint64(77))], 0
+    while stack:
+        node, rows, place = stack.pop()
+        gains, cuts = np.full(6, -np.inf), [[] for _ in range(6)]
+        for j in range(6) if len(np.unique(y[rows])) > 1 else ():
+            values = np.unique(x[rows, j])
+            found = [(sum(((w[r, None] * hot[r]).sum(0) ** 2).sum() / w[r].sum() for r in (rows[x[rows, j] <= a], rows[x[rows, j] > a])),
+                      (a + b) / 2) for a, b in zip(values, values[1:])]
+            gains[j] = max((g for g, _ in found), default=-np.inf)
+            cuts[j] = [c for g, c in found if g > gains[j] - 1e-9]
+        chosen = f._allowed(np.array([place], np.uint64), gains[:, None], m_features)[:, 0]
+        j = part.feature[node]
+        assert (j >= 0) == np.isfinite(chosen).any()
+        if j >= 0:
+            splits += 1
+            assert chosen[j] >= chosen.max() - 1e-9 and part.threshold[node] == pytest.approx(min(cuts[j], key=lambda c: abs(c - part.threshold[node])))
+            left = x[rows, j] <= part.threshold[node]
+            stack += [(part.left[node], rows[left], f._child(place, 0)), (part.right[node], rows[~left], f._child(place, 1))]
+    assert splits > 40
